@@ -1,0 +1,2 @@
+"""Streaming: the reference has no stream, watermark or state;
+its runs are cron batches.  Nothing lives here yet."""
