@@ -54,6 +54,19 @@ equities_fact as (
 )"""
 
 
+CTE_NAMES = ("anchor", "yr_start", "holdings", "fallback", "fx", "fx_rate", "px", "v_today",
+             "v_yesterday", "v_ytd", "v_backup", "detail", "merged", "summary", "results", "unioned",
+             "bench", "pre", "report")
+
+
+def suffixed(body: str, sfx: str) -> str:
+    """Rename the literal form's CTEs so several instances fit in one query."""
+    if not sfx:
+        return body
+    import re
+    return re.sub(r"\b(" + "|".join(CTE_NAMES) + r")\b", lambda m: m.group(1) + sfx, body)
+
+
 def with_standins(body: str) -> str:
     return "with " + STANDIN_CTES.strip() + ",\n" + body.strip()
 
@@ -78,7 +91,7 @@ def core_ctes(*, as_of: dt.date = STANDIN_AS_OF, user: str = STANDIN_USER, lake:
     qty = "cast(portfolio.quantity as decimal(10,4))" if lake else "portfolio.quantity"
     cps = "cast(portfolio.cost_per_share as decimal(6,2))" if lake else "portfolio.cost_per_share"
     if lake:
-        fb_where = ("date >= (select boy from boy) and date <> (select today from anchor) "
+        fb_where = ("date >= (select boy from yr_start) and date <> (select today from anchor) "
                     "and ticker in (select distinct ticker from holdings)")
     else:
         fb_where = ("ticker in (select distinct ticker from portfolio_dim where dataset = 'ALPHA-VANTAGE') "
@@ -93,7 +106,7 @@ anchor as (
            when 1 then date '{as_of.isoformat()}' - 3
            when 0 then date '{as_of.isoformat()}' - 2
            else date '{as_of.isoformat()}' - 1 end as yesterday
-), boy as (
+), yr_start as (
   select cast(date_trunc('year', date '{as_of.isoformat()}') + interval '1 day' as date) as boy
 ), holdings as (
   select markets.asset_type, markets.location, markets.capitalization, markets.investment_style,
@@ -119,7 +132,7 @@ anchor as (
                              else close end), 6) as decimal(18,6)) as close
   from equities_fact
   where date = (select today from anchor) or date = (select yesterday from anchor)
-     or date = (select max_known from fallback) or date = (select boy from boy){px_null}
+     or date = (select max_known from fallback) or date = (select boy from yr_start){px_null}
   group by 1, 2
 ), v_today as (
   select {dims}, px.ticker,
@@ -128,7 +141,7 @@ anchor as (
          sum(quantity * coalesce(close, cost_per_share) - quantity * cost_per_share) as gain_loss
   from px right join holdings h on h.ticker = px.ticker
   where date = (select today from anchor)
-     or (case when px.ticker = '{ys_ticker}' and date = (select boy from boy) then 1 else 0 end) = 1
+     or (case when px.ticker = '{ys_ticker}' and date = (select boy from yr_start) then 1 else 0 end) = 1
   group by 1, 2, 3, 4, 5, 6
 ), v_yesterday as (
   select {dims}, px.ticker, sum(quantity * coalesce(close, cost_per_share)) as yesterday
@@ -138,7 +151,7 @@ anchor as (
 ), v_ytd as (
   select {dims}, px.ticker, sum(quantity * coalesce(close, cost_per_share)) as market_value
   from px right join holdings h on h.ticker = px.ticker
-  where date = (select boy from boy)
+  where date = (select boy from yr_start)
   group by 1, 2, 3, 4, 5, 6
 ), v_backup as (
   select {dims}, px.ticker,
@@ -147,7 +160,7 @@ anchor as (
          sum(quantity * coalesce(close, cost_per_share) - quantity * cost_per_share) as gain_loss
   from px right join holdings h on h.ticker = px.ticker
   where date in (select max_known from fallback)
-     or (case when px.ticker = '{ys_ticker}' and date = (select boy from boy) then 1 else 0 end) = 1
+     or (case when px.ticker = '{ys_ticker}' and date = (select boy from yr_start) then 1 else 0 end) = 1
   group by 1, 2, 3, 4, 5, 6
 ), detail as (
   select coalesce(t.asset_type, y.asset_type) as asset_type,
@@ -189,8 +202,8 @@ def _measures(prefix: str = "") -> str:
                      ("cost_basis", "market_value", "gain_loss", "ytd_gain_loss", "today_gain_loss"))
 
 
-def daily_sql(**kw) -> str:
-    """RPT1 / RPT2 in literal form."""
+def daily_ctes(sfx: str = "", **kw) -> str:
+    """RPT1 / RPT2 in literal form, as CTEs ending in ``report``."""
     body = core_ctes(**kw) + """, results as (
   select ticker, description, """ + _measures() + """
   from merged where ticker <> '' group by 1, 2
@@ -198,7 +211,7 @@ def daily_sql(**kw) -> str:
   select 'TOTAL' as ticker, 'Portfolio Total' as description, * from summary
   union all
   select * from results
-)
+), report as (
 select ticker,
        """ + _pct("market_value", "(select market_value from summary)") + """ as "mix_%",
        description,
@@ -210,12 +223,17 @@ select ticker,
        """ + _pct("ytd_gain_loss", "market_value") + """ as "ytd_gain_loss_%",
        """ + _int("gain_loss") + """ as total_gain_loss,
        """ + _pct("gain_loss", "cost_basis") + """ as "total_gain_loss_%"
-from unioned"""
-    return with_standins(body)
+from unioned)"""
+    return suffixed(body, sfx)
 
 
-def rollup_sql(dimension: str, benchmark: str = STANDIN_BENCHMARK_TICKER, **kw) -> str:
-    """RPT3-RPT7 in literal form: Benchmark + TOTAL + groups, masked."""
+def daily_sql(**kw) -> str:
+    return with_standins(daily_ctes(**kw) + "\nselect * from report")
+
+
+def rollup_ctes(dimension: str, sfx: str = "", benchmark: str = STANDIN_BENCHMARK_TICKER, **kw) -> str:
+    """RPT3-RPT7 in literal form: Benchmark + TOTAL + groups, masked; CTEs
+    ending in ``report``."""
     kw.setdefault("weekly", True)
     mask = f"case when asset_type = '{BENCHMARK_LABEL}' then '---' else "
     body = core_ctes(**kw) + f""", bench as (
@@ -242,7 +260,7 @@ def rollup_sql(dimension: str, benchmark: str = STANDIN_BENCHMARK_TICKER, **kw)
          {_int("gain_loss")} as total_gain_loss,
          {_pct("gain_loss", "cost_basis")} as "total_gain_loss_%"
   from unioned
-)
+), report as (
 select {mask}"mix_%" end as "mix_%",
        asset_type,
        {mask}cast(cost_basis as varchar) end as cost_basis,
@@ -253,5 +271,273 @@ select {mask}"mix_%" end as "mix_%",
        "ytd_gain_loss_%",
        {mask}cast(total_gain_loss as varchar) end as total_gain_loss,
        "total_gain_loss_%"
-from pre"""
-    return with_standins(body)
+from pre)"""
+    return suffixed(body, sfx)
+
+
+def rollup_sql(dimension: str, **kw) -> str:
+    return with_standins(rollup_ctes(dimension, **kw) + "\nselect * from report")
+
+
+def union_of(parts: list[tuple[str, str, str]]) -> str:
+    """``parts``: (suffix, CTE text, leading select list such as ``'R' as _user``).
+    Several literal instances side by side, stacked with UNION ALL."""
+    ctes = ",\n".join(p[1] for p in parts)
+    sel = "\nunion all\n".join(f"select {lead}, * from report{sfx}" for sfx, _, lead in parts)
+    return with_standins(ctes + "\n" + sel)
+
+
+# ------------------------------------------------------------ registry SQL
+def _m(c: str) -> str:
+    return f"cast({c} as decimal(18,2))"
+
+
+_MEAS = ("cost_basis", "market_value", "gain_loss", "ytd_gain_loss", "today_gain_loss")
+_DIMS = "asset_type, location, capitalization, investment_style, description"
+
+
+def _money_sums() -> str:
+    return ", ".join(f"{_m(f'sum({c})')} as {c}" for c in _MEAS)
+
+
+def _on_core(select: str, **kw) -> str:
+    return with_standins(core_ctes(**kw) + "\n" + select)
+
+
+def _yesterday(d: dt.date) -> dt.date:
+    wd = d.weekday()
+    return d - dt.timedelta(days=3 if wd == 0 else 2 if wd == 6 else 1)
+
+
+def _count_pivot(devices, where: str = "") -> str:
+    cols = ", ".join(f"cast(nullif(count(*) filter (where device = '{d}'), 0) as integer) as \"{d}\""
+                     for d in devices)
+    return with_standins(f"select date, {cols} from log {where} group by date")
+
+
+def _priced_holdings(dates_sql: str) -> str:
+    return f"""priced as (
+  select m.description, e.date,
+         p.quantity * p.cost_per_share as cb, p.quantity * e.close as mv,
+         p.quantity * e.close - p.quantity * p.cost_per_share as gl
+  from equities_fact e
+  join portfolio_dim p on e.dataset = p.dataset and e.ticker = p.ticker
+  join markets_dim m on e.dataset = m.dataset and e.ticker = m.ticker
+  where e.date in ({dates_sql})
+), cb as (
+  select description, sum(cb) as cost_basis, sum(mv) as market_value, sum(gl) as gain_loss
+  from priced where date = date '{STANDIN_AS_OF.isoformat()}' group by 1
+)"""
+
+
+def _retired_cost_basis() -> str:
+    d = STANDIN_AS_OF.isoformat()
+    return with_standins(_priced_holdings(f"date '{d}'") + f""", u as (
+  select 'Portfolio Total' as description, sum(cost_basis) as cost_basis, sum(market_value) as market_value,
+         sum(gain_loss) as gain_loss from cb
+  union all select * from cb)
+select description, {_int('cost_basis')} as cost_basis, {_int('market_value')} as market_value,
+       {_int('gain_loss')} as gain_loss, {_pct('gain_loss', 'market_value')} as "gain_loss_%"
+from u""")
+
+
+def _pvt2_ctes() -> str:
+    d, y = STANDIN_AS_OF.isoformat(), _yesterday(STANDIN_AS_OF).isoformat()
+    return _priced_holdings(f"date '{d}', date '{y}'") + f""", result as (
+  select description, date, sum(mv) as market_value from priced group by 1, 2
+), pv as (
+  select description,
+         cast(sum(case when date = date '{y}' then market_value end) as decimal(10,2)) as yesterday,
+         cast(sum(case when date = date '{d}' then market_value end) as decimal(10,2)) as today
+  from result group by 1
+)"""
+
+
+def _retired_day_change() -> str:
+    return with_standins(_pvt2_ctes() + f""", detail as (
+  select cb.*, cb.market_value - pv.yesterday as today_gain_loss
+  from cb join pv on cb.description = pv.description
+), u as (
+  select 'Portfolio Total' as description, sum(cost_basis) as cost_basis, sum(market_value) as market_value,
+         sum(gain_loss) as gain_loss, sum(today_gain_loss) as today_gain_loss from detail
+  union all select * from detail)
+select description, {_int('cost_basis')} as cost_basis, {_int('market_value')} as market_value,
+       {_int('gain_loss')} as total_gain_loss, {_pct('gain_loss', 'market_value')} as "total_gain_loss_%",
+       {_int('today_gain_loss')} as today_gain_loss,
+       {_pct('today_gain_loss', 'market_value')} as "today_gain_loss_%"
+from u""")
+
+
+def _fx_per_date() -> str:
+    return with_standins("""days as (
+  select distinct date as as_of from equities_fact where date is not null
+), a as (
+  select as_of, as_of as today,
+         case isodow(as_of) % 7 when 1 then as_of - 3 when 0 then as_of - 2 else as_of - 1 end as yesterday
+  from days
+), ranked as (
+  select a.as_of, c.rate,
+         row_number() over (partition by a.as_of order by c.date desc, c.rate desc) as rn
+  from a join currency_fact c on c.currency = 'GBP' and (c.date = a.today or c.date = a.yesterday)
+)
+select a.as_of, coalesce(r.rate, cast(1.30 as decimal(10,4))) as rate
+from a left join (select as_of, rate from ranked where rn = 1) r on a.as_of = r.as_of""")
+
+
+def _distinct_dates(select: str) -> str:
+    return with_standins(f"d as (select distinct date from equities_fact where date is not null)\n"
+                         f"select {select} from d")
+
+
+def registered_sql() -> dict[str, str]:
+    from .registry import BACKFILL_DATES
+    from .sources.standin import STANDIN_DEVICES, STANDIN_LOG_END, STANDIN_LOG_START
+
+    d = STANDIN_AS_OF.isoformat()
+    dims = ("asset_type", "location", "capitalization", "investment_style")
+    daily_cols = ("ticker", '"mix_%"', "description", "cost_basis", "market_value", "today_gain_loss",
+                  '"today_gain_loss_%"', "ytd_gain_loss", '"ytd_gain_loss_%"', "total_gain_loss",
+                  '"total_gain_loss_%"')
+    block_cols = f"{_DIMS}, ticker"
+    anchors_in = ("select today from anchor union all select yesterday from anchor union all "
+                  "select boy from yr_start union all select max_known from fallback")
+    log_between = f"where date between date '{STANDIN_LOG_START}' and date '{STANDIN_LOG_END}'"
+    sql = {
+        "rpt1": daily_sql(),
+        "rpt2": daily_sql(lake=True),
+        "rpt3": rollup_sql("asset_type"), "rpt4": rollup_sql("location"),
+        "rpt5": rollup_sql("capitalization"), "rpt6": rollup_sql("investment_style"),
+        **{f"rpt7_{x}": rollup_sql(x, lake=True) for x in dims},
+        "rpt8": with_standins(f"select * from equities_fact where date = date '{d}'"),
+        "rpt9": _count_pivot(STANDIN_DEVICES, log_between),
+        "rpt10": _retired_cost_basis(),
+        "rpt11": _retired_day_change(),
+        "ext1": union_of([(f"_{u}", daily_ctes(sfx=f"_{u}", user=u), f"'{u}' as _user") for u in "ANR"]),
+        "ext2": union_of([(f"_{i}", daily_ctes(sfx=f"_{i}", as_of=x), f"date '{x}' as as_of")
+                          for i, x in enumerate(BACKFILL_DATES)]),
+        "ext3": union_of([(f"_{x}", rollup_ctes(x, sfx=f"_{x}"), f"'{x}' as dimension") for x in dims]),
+        "src1": with_standins("select * from equities_fact"),
+        "src2": with_standins("select * from portfolio_dim"),
+        "src3": with_standins("select * from markets_dim"),
+        "src4": with_standins("select * from currency_fact"),
+        "src5": with_standins("select * from log"),
+        "src6": with_standins(
+            "d as (select distinct date as today from equities_fact)\n"
+            "select 'R' as _user, 'ALPHA-VANTAGE' as datasource, 'GBP' as currency, "
+            "cast(1.30 as decimal(3,2)) as rate, today, case isodow(today) % 7 when 1 then today - 3 "
+            "when 0 then today - 2 else today - 1 end as yesterday from d"),
+        "snk1": with_standins(daily_ctes() + "\nselect " + ", ".join(
+            f"cast({c} as varchar) as {c}" for c in daily_cols) + " from report"),
+        "snk2": with_standins(daily_ctes(lake=True) + "\nselect " + ", ".join(
+            f"cast({c} as varchar) as {c}" for c in daily_cols) + " from report"),
+        "par1": with_standins("select _user, ticker, quantity, cost_per_share from portfolio_dim "
+                              "where dataset = 'ALPHA-VANTAGE' and (_user = 'R' or _user = 'R'' or ''1''=''1')"),
+        "prj1": _on_core(f"select ticker, description, quantity, cost_per_share, "
+                         f"{_m('quantity * cost_per_share')} as cost_basis from holdings"),
+        "prj2": with_standins("select * from equities_fact"),
+        "prj3": rollup_sql("investment_style"),
+        "flt1": with_standins("select * from portfolio_dim where dataset = 'ALPHA-VANTAGE' and _user = 'R'"),
+        "flt2": with_standins(f"select * from equities_fact where date <> date '{d}'"),
+        "flt3": _on_core(f"select * from equities_fact where date in ({anchors_in})"),
+        "flt4": _on_core(f"select * from equities_fact where date in ({anchors_in}) or date is null"),
+        "flt5": _on_core(f"select {block_cols}, {_m('yesterday')} as yesterday from v_yesterday",
+                         lake=True, weekly=True),
+        "flt6": with_standins(f"select * from equities_fact where ticker in "
+                              f"('{STANDIN_FX_TICKER}', '{STANDIN_YEAR_START_TICKER}', '{STANDIN_BENCHMARK_TICKER}')"),
+        "flt7": _on_core(f"select {block_cols}, {_m('cost_basis')} as cost_basis, "
+                         f"{_m('market_value')} as market_value, {_m('gain_loss')} as gain_loss from v_today"),
+        "flt8": _on_core(f"select {block_cols}, " + ", ".join(f"{_m(c)} as {c}" for c in _MEAS)
+                         + " from merged where ticker <> ''"),
+        "flt9": _count_pivot(STANDIN_DEVICES, log_between),
+        "flt10": with_standins("select * from equities_fact where date >= date '2024-01-02'"),
+        "sub1": with_standins(
+            "select * from equities_fact where date = (select max(date) from (select date, dataset "
+            "from equities_fact where ticker in (select ticker from portfolio_dim where dataset = "
+            f"'ALPHA-VANTAGE') and date <> date '{d}' group by date, dataset having count(*) > 40) q)"),
+        "jn1": with_standins(
+            "select p.ticker, m.description, m.asset_type, p.quantity, p.cost_per_share from portfolio_dim p "
+            "join markets_dim m on m.ticker = p.ticker and m.dataset = p.dataset "
+            "where p.dataset = 'ALPHA-VANTAGE' and p._user = 'R'"),
+        "jn2": with_standins(
+            "select p.ticker, m.description, m.asset_type, p.quantity, p.cost_per_share from portfolio_dim p "
+            "join markets_dim m on m.ticker = p.ticker where p.dataset = 'ALPHA-VANTAGE' and p._user = 'R'"),
+        "jn3": _on_core(f"select {block_cols}, {_m('market_value')} as market_value from v_ytd"),
+        "jn4": _on_core(f"select {block_cols}, {_m('yesterday')} as yesterday from v_yesterday",
+                        lake=True, weekly=True),
+        "jn5": _fx_per_date(),
+        "jn6": _on_core(f"select {block_cols}, " + ", ".join(f"{_m(c)} as {c}" for c in _MEAS)
+                        + " from detail"),
+        "jn7": _on_core(f"select {block_cols}, " + ", ".join(f"{_m(c)} as {c}" for c in _MEAS)
+                        + " from merged"),
+        "jn8": with_standins("select * from equities_fact where ticker in "
+                             "(select distinct ticker from portfolio_dim where dataset = 'ALPHA-VANTAGE')"),
+        "jn9": _on_core("select * from equities_fact where ticker in (select ticker from holdings)", lake=True),
+        "jn10": with_standins(
+            "select m.description, e.ticker, e.date, e.close, p.quantity, p.cost_per_share "
+            "from equities_fact e join portfolio_dim p on e.dataset = p.dataset and e.ticker = p.ticker "
+            f"join markets_dim m on e.dataset = m.dataset and e.ticker = m.ticker where e.date = date '{d}'"),
+        "jn11": _retired_day_change(),
+        "agg1": _on_core("select * from holdings"),
+        "agg2": _on_core(f"select {block_cols}, {_m('cost_basis')} as cost_basis, "
+                         f"{_m('market_value')} as market_value, {_m('gain_loss')} as gain_loss from v_backup"),
+        "agg3": _on_core("select * from px"),
+        "agg4": with_standins(
+            "select distinct date from (select date, dataset from equities_fact where ticker in "
+            "(select distinct ticker from portfolio_dim where dataset = 'ALPHA-VANTAGE') "
+            f"and date <> date '{d}' group by 1, 2 having count(*) > 40) q"),
+        "agg5": _on_core(f"select {_money_sums()} from merged"),
+        "agg6": _on_core(f"select 'Benchmark' as asset_type, {_money_sums()} from merged "
+                         f"where ticker = '{STANDIN_BENCHMARK_TICKER}' group by 1"),
+        "agg7": _on_core(f"select ticker, description, {_money_sums()} from merged "
+                         f"where ticker <> '' group by 1, 2"),
+        **{f"agg{8 + i}": _on_core(f"select {x} as asset_type, {_money_sums()} from merged "
+                                   f"where ticker <> '' group by 1") for i, x in enumerate(dims)},
+        "agg12": with_standins("select distinct ticker from portfolio_dim where dataset = 'ALPHA-VANTAGE'"),
+        "agg13": with_standins("select date, device, count(*) as n from log group by 1, 2"),
+        "agg14": _on_core("select * from holdings"),
+        "agg15": with_standins(_priced_holdings(f"date '{d}'") + "\nselect description, "
+                               + ", ".join(f"{_m(c)} as {c}" for c in ("cost_basis", "market_value", "gain_loss"))
+                               + " from cb"),
+        "pvt1": _count_pivot(STANDIN_DEVICES),
+        "pvt2": with_standins(_pvt2_ctes() + "\nselect * from pv"),
+        "srt1": daily_sql(),
+        "srt2": _count_pivot(STANDIN_DEVICES, "where date between date '2024-01-01' and date '2024-12-31'"),
+        "srt3": with_standins("select date, device, count(*) as n from log group by 1, 2"),
+        "top1": _fx_per_date(),
+        "set1": daily_sql(),
+        "set2": rollup_sql("capitalization"),
+        "set3": _retired_cost_basis(),
+        "fn1": "select event_id, cast(timezone('America/Los_Angeles', ts at time zone 'UTC') as date) "
+               "as local_date from events",
+        "fn2": "select event_id, cast(timezone('America/Los_Angeles', ts at time zone 'UTC') as date) as dst_date, "
+               "cast(timezone('Etc/GMT+8', ts at time zone 'UTC') as date) as fixed_date from events",
+        "fn3": _distinct_dates("date, case isodow(date) % 7 when 1 then date - 3 when 0 then date - 2 "
+                               "else date - 1 end as yesterday"),
+        "fn4": _distinct_dates("date, cast(date_trunc('year', date) + interval '1 day' as date) "
+                               "as beginning_of_year"),
+        "fn5": _distinct_dates("date, date - 3 as minus_3, cast(date - interval '1' day as date) as minus_1d"),
+        "fn6": _distinct_dates("date, date - 1 as previous_day"),
+        "fn7": _on_core(f"select {block_cols}, " + ", ".join(f"{_m(c)} as {c}" for c in _MEAS)
+                        + " from merged where ticker is not null"),
+        "fn8": _distinct_dates("date, case isodow(date) when 1 then 'monday' when 7 then 'sunday' "
+                               "else 'other' end as rule"),
+        "fn9": _on_core(f"select ticker, date, cast(round(case when ticker = '{STANDIN_FX_TICKER}' then "
+                        "close * (select rate from fx_rate) * 0.01 else close end, 6) as decimal(18,6)) "
+                        "as close from equities_fact"),
+        "fn10": _on_core(f"select ticker, description, quantity, cost_per_share, "
+                         f"{_m('quantity * cost_per_share')} as cost_basis from holdings"),
+        "fn11": _on_core(f"select ticker, {_pct('gain_loss', 'cost_basis')} as pct from merged "
+                         "where ticker <> ''"),
+        "fn12": _on_core("select ticker, " + ", ".join(f"{_int(c)} as {c}" for c in _MEAS)
+                         + " from merged where ticker <> ''"),
+        "fn13": with_standins("select ticker, cast(quantity as decimal(10,4)) as quantity, "
+                              "cast(cost_per_share as decimal(6,2)) as cost_per_share, "
+                              "cast(quantity as varchar) as quantity_text from portfolio_dim"),
+        "fn14": "select * from (" + union_of(
+            [(f"_{x}", rollup_ctes(x, sfx=f"_{x}"), f"'{x}' as dimension") for x in dims])
+                + ") where asset_type in ('TOTAL', 'Benchmark')",
+        "fn15": with_standins(_priced_holdings(f"date '{d}'") + "\nselect description, "
+                              f"{_pct('gain_loss', 'market_value')} as of_market_value, "
+                              f"{_pct('gain_loss', 'cost_basis')} as of_cost_basis from cb"),
+    }
+    return sql
