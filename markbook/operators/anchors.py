@@ -14,6 +14,7 @@ as literals, so the price scan gets ``date IN (...)`` pushed into Parquet.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from decimal import Decimal
 
@@ -73,10 +74,12 @@ def date_row_counts(tables: Tables, tickers: DataFrame, date_filter=None, by_use
     px = tables.equities.select("date", "dataset", "ticker")
     if date_filter is not None:
         px = px.where(date_filter)
-    if not by_user:
-        return (px.join(tickers.select("ticker"), "ticker", "left_semi")
-                .groupBy("date", "dataset").agg(F.count(F.lit(1)).alias("n")))
+    # map-side combine first: the semi join then sees one row per
+    # (ticker, date, dataset), never the raw price rows
     per_ticker = px.groupBy("ticker", "date", "dataset").agg(F.count(F.lit(1)).alias("n"))
+    if not by_user:
+        return (per_ticker.join(tickers.select("ticker"), "ticker", "left_semi")
+                .groupBy("date", "dataset").agg(F.sum("n").alias("n")))
     return (per_ticker.join(tickers.select("_user", "ticker"), "ticker")
             .groupBy("_user", "date", "dataset").agg(F.sum("n").alias("n")))
 
@@ -106,13 +109,14 @@ def fallback_date(tables: Tables, params: ReportParams, as_of: dt.date,
     boy = dt.date(as_of.year, 1, 2)
     flt = not_today & (F.col("date") >= F.lit(boy))
     if lots is None:
-        raise ValueError("lake profile needs the user's lots")
+        raise ValueError("lake profile needs the user's positions")
+    lots = lots.select("_user", "ticker").distinct()
     if params.user is not None:
-        tickers = lots.select("ticker").distinct()
+        tickers = lots.select("ticker")
         counts = date_row_counts(tables, tickers, flt)
         row = qualifying_dates(counts, thr).agg(F.max("date").alias("d")).collect()[0]
         return row["d"]
-    tickers = lots.select("_user", "ticker").distinct()
+    tickers = lots.select("_user", "ticker")
     counts = date_row_counts(tables, tickers, flt, by_user=True)
     return (qualifying_dates(counts, thr, by_user=True)
             .groupBy("_user").agg(F.max("date").alias("max_known")))
@@ -144,8 +148,12 @@ def compute_anchors(spark: SparkSession, tables: Tables, params: ReportParams,
     """Anchors of one run.  Returns the literal anchors and, for the lake
     profile over many users, the per-user fallback frame."""
     as_of, yesterday, boy = _date_literals(spark, params.as_of)
-    rate = fx_rate(tables, params, as_of, yesterday)
-    fb = fallback_date(tables, params, as_of, lots)
+    # the two lookups are independent jobs: submit them together so the
+    # scheduler runs them side by side instead of one after the other
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        rate_f = pool.submit(fx_rate, tables, params, as_of, yesterday)
+        fb_f = pool.submit(fallback_date, tables, params, as_of, lots)
+        rate, fb = rate_f.result(), fb_f.result()
     if isinstance(fb, DataFrame):
         return Anchors(as_of, as_of, yesterday, boy, rate, None), fb
     return Anchors(as_of, as_of, yesterday, boy, rate, fb), None

@@ -45,7 +45,8 @@ def user_lots(tables: Tables, params: ReportParams, users: list[str] | None = No
 
 
 def positions(lots: DataFrame) -> DataFrame:
-    """One row per (user, ticker, attributes): total quantity and cost basis.
+    """One row per (user, ticker, attributes) from already joined lots:
+    total quantity and cost basis.
 
     ``qty`` is held as decimal(18,4) so that ``qty * price(18,6)`` stays an
     exact decimal(37,10), equal to the reference's per-lot sum.
@@ -53,10 +54,39 @@ def positions(lots: DataFrame) -> DataFrame:
     return lots.groupBy("_user", "ticker", "description", *DIMENSIONS).agg(
         F.sum("quantity").cast("decimal(18,4)").alias("qty"),
         F.sum(F.col("quantity") * F.col("cost_per_share")).alias("cost"),
-        F.count(F.lit(1)).alias("n_lots"),
     )
 
 
+def user_positions(tables: Tables, params: ReportParams) -> DataFrame:
+    """Positions for the valuation, aggregated *before* the markets join.
+
+    The reference de-duplicates (attributes, ticker, quantity, cost) after
+    joining markets.  With the markets rows themselves de-duplicated on
+    (join key, attributes), de-duplicating the lots on (user, key, quantity,
+    cost) first and joining afterwards yields the same rows, so the lots are
+    reduced with map-side partial aggregates (a lot copied many times, or a
+    ticker held in a third of all lots, never lands whole in one task) and
+    the join sees one row per (user, ticker).
+    """
+    prof = params.profile
+    port = with_user_column(tables.portfolio).where(F.col("dataset") == params.dataset)
+    if params.user is not None:
+        port = port.where(F.col("_user") == params.user)
+    keys = ["ticker", "dataset"] if prof.markets_on_dataset else ["ticker"]
+    qty, cost = F.col("quantity"), F.col("cost_per_share")
+    if prof.cast_lots:  # D5
+        qty, cost = qty.cast("decimal(10,4)"), cost.cast("decimal(6,2)")
+    lots = port.select("_user", *keys, qty.alias("quantity"), cost.alias("cost_per_share")).dropDuplicates()
+    sums = lots.groupBy("_user", *keys).agg(
+        F.sum("quantity").cast("decimal(18,4)").alias("qty"),
+        F.sum(F.col("quantity") * F.col("cost_per_share")).alias("cost"))
+    mk = tables.markets
+    if prof.markets_on_dataset:
+        mk = mk.where(F.col("dataset") == params.dataset)
+    mk = mk.select(*keys, "description", *DIMENSIONS).dropDuplicates()
+    return sums.join(mk, keys).select("_user", "ticker", "description", *DIMENSIONS, "qty", "cost")
+
+
 def held_tickers(tables: Tables, params: ReportParams) -> DataFrame:
     """JN8 source: distinct tickers any user holds in the dataset (AGG12)."""
     return (tables.portfolio.where(F.col("dataset") == params.dataset)

@@ -31,6 +31,35 @@ def daily_prices(equities: DataFrame, dates) -> DataFrame:
                  F.count(F.lit(1)).alias("n_rows")))
 
 
+def anchor_prices_at(equities: DataFrame, role_dates: dict, rate: Decimal, fx_ticker: str) -> DataFrame:
+    """Wide prices for ONE as-of date in a single aggregation, no join:
+    conditional sums per role over ``date IN (anchor dates)``, grouped by
+    ticker with a map-side partial aggregate and one shuffle."""
+    dates = sorted({d for d in role_dates.values() if d is not None})
+    close = F.col("close").cast("decimal(18,6)")
+    aggs = []
+    for r in ROLES:
+        d = role_dates.get(r)
+        if d is None:
+            continue
+        on = F.col("date") == F.lit(d)
+        aggs += [F.sum(F.when(on, close)).cast("decimal(24,6)").alias(f"s_{r}"),
+                 F.count(F.when(on, close)).alias(f"n_{r}"),
+                 F.max(F.when(on, F.lit(True))).alias(f"h_{r}")]
+    if not aggs:
+        raise ValueError("no anchor dates")
+    wide = equities.where(F.col("date").isin(dates)).groupBy("ticker").agg(*aggs)
+    rate_lit = F.lit(rate).cast("decimal(10,4)")
+    cols = ["ticker"]
+    for r in ROLES:
+        if role_dates.get(r) is None:
+            cols += [F.lit(None).cast("decimal(18,6)").alias(f"p_{r}"), F.lit(None).cast("boolean").alias(f"h_{r}")]
+            continue
+        total = F.when(F.col("ticker") == fx_ticker, F.col(f"s_{r}") * rate_lit / 100).otherwise(F.col(f"s_{r}"))
+        cols += [price_average(total, F.nullif(F.col(f"n_{r}"), F.lit(0))).alias(f"p_{r}"), F.col(f"h_{r}")]
+    return wide.select(*cols)
+
+
 def role_frame(spark: SparkSession, role_dates: dict[str, dt.date | None], rate: Decimal) -> DataFrame:
     """Parameter frame (role, date, rate) for one as-of date."""
     rows = [(r, d, rate) for r, d in role_dates.items() if d is not None]
@@ -60,7 +89,8 @@ def anchor_prices(daily: DataFrame, roles: DataFrame, fx_ticker: str, keys=()) -
     coincide are each filled independently.  ``roles`` is tiny (four rows per
     as-of date); AQE broadcasts it.
     """
-    tagged = daily.join(roles, "date").withColumn("price", converted_price(fx_ticker))
+    # ``roles`` is a parameter frame bounded by 4 rows per as-of date
+    tagged = daily.join(F.broadcast(roles), "date").withColumn("price", converted_price(fx_ticker))
     aggs = []
     for r in ROLES:
         is_r = F.col("role") == r
@@ -71,7 +101,5 @@ def anchor_prices(daily: DataFrame, roles: DataFrame, fx_ticker: str, keys=()) -
 
 def prices_on(daily: DataFrame, rate: Decimal, fx_ticker: str) -> DataFrame:
     """(ticker, date, price) for per-user fallback dates (lake profile)."""
-    return daily.select("ticker", "date",
-                        converted_price(fx_ticker).alias("price")) if "rate" in daily.columns else \
-        daily.withColumn("rate", F.lit(rate).cast("decimal(10,4)")).select(
-            "ticker", "date", converted_price(fx_ticker).alias("price"))
+    return (daily.withColumn("rate", F.lit(rate).cast("decimal(10,4)"))
+            .select("ticker", "date", converted_price(fx_ticker).alias("price")))

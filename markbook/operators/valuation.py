@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from ..config import DIMENSIONS, ReportParams
 from ..sources.tables import Tables
 from .anchors import Anchors, backfill_anchors, compute_anchors
-from .lots import positions, user_lots
-from .prices import ROLES, anchor_prices, daily_prices, prices_on, role_frame, roles_of
+from .lots import user_positions
+from .prices import ROLES, anchor_prices, anchor_prices_at, daily_prices, prices_on, roles_of
 
 MEASURES = ("cost_basis", "market_value", "gain_loss", "ytd_gain_loss", "today_gain_loss")
 
@@ -40,40 +40,46 @@ def _lit_date(d) -> Column:
 
 def value_rows(j: DataFrame, params: ReportParams, today: Column, boy: Column,
                max_known: Column, keys=()) -> DataFrame:
-    """Apply the per-ticker formula to joined positions x wide prices."""
+    """Apply the per-ticker formula to joined positions x wide prices.
+
+    Three projections, each naming its intermediate values once, keep the
+    expression trees small (Catalyst collapses them into one projection)."""
     h = {r: F.coalesce(F.col(f"h_{r}"), F.lit(False)) for r in ROLES}
     qty, cost = F.col("qty"), F.col("cost")
-
-    def v(r):
-        return F.when(h[r], F.coalesce(F.col(f"p_{r}") * qty, cost))
-
     is_ys = F.col("ticker") == F.lit(params.year_start_price_ticker)
-    x_t = is_ys & h["b"] & (today != boy)
-    x_m = is_ys & h["b"] & (max_known.isNull() | (max_known != boy))
+    base = [*[F.col(k) for k in keys], "_user", "ticker", "description", *DIMENSIONS, "cost"]
+    step1 = j.select(
+        *base,
+        *[h[r].alias(f"h_{r}") for r in ROLES],
+        *[F.when(h[r], F.coalesce(F.col(f"p_{r}") * qty, cost)).alias(f"v_{r}") for r in ROLES],
+        (is_ys & h["b"] & (today != boy)).alias("x_t"),
+        (is_ys & h["b"] & (max_known.isNull() | (max_known != boy))).alias("x_m"))
     zero = F.lit(0)
 
     def leg(hd, xd, vd):
-        val = F.when(hd | xd, F.when(hd, vd).otherwise(zero) + F.when(xd, v("b")).otherwise(zero))
-        basis = F.when(hd | xd, cost * (hd.cast("int") + xd.cast("int")))
+        hd, xd = F.col(hd), F.col(xd)
+        val = F.when(hd | xd, F.when(hd, F.col(vd)).otherwise(zero) + F.when(xd, F.col("v_b")).otherwise(zero))
+        basis = F.when(hd | xd, F.col("cost") * (hd.cast("int") + xd.cast("int")))
         return val, basis
 
-    T, Tc = leg(h["t"], x_t, v("t"))
-    B, Bc = leg(h["m"], x_m, v("m"))
-    present = T.isNotNull() | h["y"] | B.isNotNull()
+    T, Tc = leg("h_t", "x_t", "v_t")
+    B, Bc = leg("h_m", "x_m", "v_m")
+    step2 = step1.select(*base, "h_y", "v_y", "v_b", T.alias("T"), Tc.alias("Tc"), B.alias("B"),
+                         Bc.alias("Bc"))
+    T, Tc, B, Bc, v_b = F.col("T"), F.col("Tc"), F.col("B"), F.col("Bc"), F.col("v_b")
+    present = T.isNotNull() | F.col("h_y") | B.isNotNull()
 
     def keep(c):
-        return F.when(present, c)
+        return F.when(present, F.col(c)).alias(c)
 
-    out = [*[F.col(k) for k in keys], "_user",
-           keep(F.col("ticker")).alias("ticker"),
-           keep(F.col("description")).alias("description"),
-           *[keep(F.col(d)).alias(d) for d in DIMENSIONS],
-           F.coalesce(Tc, Bc).alias("cost_basis"),
-           F.coalesce(T, B).alias("market_value"),
-           F.coalesce(T - Tc, B - Bc).alias("gain_loss"),
-           F.coalesce(F.when(h["y"], T - v("b")), B - v("b"), zero).alias("ytd_gain_loss"),
-           F.coalesce(T - v("y"), zero).alias("today_gain_loss")]
-    return j.select(*out)
+    return step2.select(
+        *[F.col(k) for k in keys], "_user", keep("ticker"), keep("description"),
+        *[keep(d) for d in DIMENSIONS],
+        F.coalesce(Tc, Bc).alias("cost_basis"),
+        F.coalesce(T, B).alias("market_value"),
+        F.coalesce(T - Tc, B - Bc).alias("gain_loss"),
+        F.coalesce(F.when(F.col("h_y"), T - v_b), B - v_b, zero).alias("ytd_gain_loss"),
+        F.coalesce(T - F.col("v_y"), zero).alias("today_gain_loss"))
 
 
 def valuation(spark: SparkSession, tables: Tables, params: ReportParams,
@@ -81,26 +87,22 @@ def valuation(spark: SparkSession, tables: Tables, params: ReportParams,
     """Core rows for one as-of date: (_user, ticker, description, dimensions,
     five measures).  One user (``params.user``) or every user (EXT1)."""
     prof = params.profile
-    lots = user_lots(tables, params)
-    pos = positions(lots)
+    pos = user_positions(tables, params)
     per_user_fb = None
     if anchors is None:
-        anchors, per_user_fb = compute_anchors(spark, tables, params, lots)
-    dates = anchors.dates()
-    if per_user_fb is not None:
-        # bounded by the calendar: the distinct fallback dates across users
-        extra = [r["max_known"] for r in per_user_fb.select("max_known").distinct().collect()]
-        dates = sorted(set(dates) | {d for d in extra if d is not None})
-    daily = daily_prices(tables.equities, dates)
+        anchors, per_user_fb = compute_anchors(spark, tables, params, pos)
     role_dates = {"t": anchors.today, "y": anchors.yesterday, "b": anchors.boy,
                   "m": anchors.max_known if per_user_fb is None else None}
-    px = anchor_prices(daily, role_frame(spark, role_dates, anchors.rate), params.fx_ticker)
+    px = anchor_prices_at(tables.equities, role_dates, anchors.rate, params.fx_ticker)
     how = "left" if prof.keep_unpriced else "inner"
     if per_user_fb is None:
         j = pos.join(px, "ticker", how)
         max_known = _lit_date(anchors.max_known)
     else:
-        pm = (prices_on(daily, anchors.rate, params.fx_ticker)
+        # bounded by the calendar: the distinct fallback dates across users
+        mdates = sorted(r["max_known"] for r in per_user_fb.select("max_known").distinct().collect()
+                        if r["max_known"] is not None)
+        pm = (prices_on(daily_prices(tables.equities, mdates), anchors.rate, params.fx_ticker)
               .select("ticker", F.col("date").alias("max_known"),
                       F.col("price").alias("p_m_"), F.lit(True).alias("h_m_")))
         j = (pos.join(per_user_fb, "_user", "left")
@@ -124,11 +126,11 @@ def backfill_valuation(spark: SparkSession, tables: Tables, params: ReportParams
         raise ValueError("backfill supports the warehouse profile")
     anchors = backfill_anchors(spark, tables, params, as_of_dates)
     rows = anchors.collect()  # one row per requested as-of date
-    local = spark.createDataFrame(rows, anchors.schema)
+    local = F.broadcast(spark.createDataFrame(rows, anchors.schema))  # bounded: one row per as-of date
     dates = sorted({r[c] for r in rows for c in ("today", "yesterday", "boy", "max_known") if r[c]})
     daily = daily_prices(tables.equities, dates)
     px = anchor_prices(daily, roles_of(local), params.fx_ticker, keys=("as_of",))
     px = px.join(local.select("as_of", "today", "boy", "max_known"), "as_of")
-    pos = positions(user_lots(tables, params))
+    pos = user_positions(tables, params)
     j = pos.join(px, "ticker")
     return value_rows(j, params, F.col("today"), F.col("boy"), F.col("max_known"), keys=("as_of",))

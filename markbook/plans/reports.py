@@ -68,8 +68,10 @@ def daily_report(core: DataFrame, keys=(), order: bool = True) -> DataFrame:
     desc = F.when(is_total, F.lit(TOTAL_DESCRIPTION)).otherwise(F.col("description")).alias("description")
     out = g.select(*keys, *_formatted([ticker, desc], total_mv), is_total.alias("_total"))
     if order:
-        out = out.orderBy(*keys, F.col("_total").desc(), F.col("market_value").desc_nulls_last(),
-                          F.col("ticker"))
+        # the window already put each report in one partition: sorting
+        # within partitions orders every report without another shuffle
+        out = out.sortWithinPartitions(*keys, F.col("_total").desc(), F.col("market_value").desc_nulls_last(),
+                                       F.col("ticker"))
     return out.drop("_total")
 
 
@@ -146,6 +148,6 @@ def _format_rollup(rows: DataFrame, keys: list[str], order: bool, with_dimension
     out = pre.select(*keys, *(["dimension"] if with_dimension else []), *cols,
                      sort_key.alias("_k"), F.col("market_value").alias("_mv"))
     if order:
-        out = out.orderBy(*keys, *(["dimension"] if with_dimension else []), "_k",
-                          F.col("_mv").desc_nulls_last(), "asset_type")
+        out = out.sortWithinPartitions(*keys, *(["dimension"] if with_dimension else []), "_k",
+                                       F.col("_mv").desc_nulls_last(), "asset_type")
     return out.drop("_k", "_mv")

@@ -36,8 +36,16 @@ AS_OF = S.STANDIN_AS_OF
 BACKFILL_DATES = [dt.date(2024, 1, d) for d in (2, 3, 15, 26, 27, 28, 29, 30)] + [dt.date(2024, 2, 1)]
 
 
+_TABLES: dict = {}
+
+
 def _tables(spark: SparkSession, sf: str):
-    return S.load(spark, sf)
+    """Table handles per session and directory, built once like a user's
+    session would hold them (lazy plans, no data cached)."""
+    key = (id(spark), sf)
+    if key not in _TABLES:
+        _TABLES[key] = S.load(spark, sf)
+    return _TABLES[key]
 
 
 def _params(**kw) -> ReportParams:

@@ -32,8 +32,8 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def equities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = _read(spark, sf_dir, "events")
+def equities(spark: SparkSession, sf_dir: str, ev: DataFrame | None = None) -> DataFrame:
+    ev = _read(spark, sf_dir, "events") if ev is None else ev
     return ev.select(
         F.when(F.col("event_type").isin("click", "view", "purchase"), F.lit("ALPHA-VANTAGE"))
         .otherwise(F.lit("TIINGO")).alias("dataset"),
@@ -77,26 +77,29 @@ def portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lots.unionAll(dup).drop("l_linenumber")
 
 
-def currency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = _read(spark, sf_dir, "events")
+def currency(spark: SparkSession, sf_dir: str, ev: DataFrame | None = None) -> DataFrame:
+    ev = _read(spark, sf_dir, "events") if ev is None else ev
     return (ev.where(F.col("event_type") == "view")
             .groupBy(F.col("ts").cast("date").alias("date"))
             .agg(F.round(F.lit(1.2) + F.avg("value") / 1000, 4).cast("decimal(10,4)").alias("rate"))
             .select(F.lit("GBP").alias("currency"), "date", "rate"))
 
 
-def log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = _read(spark, sf_dir, "events")
+def log(spark: SparkSession, sf_dir: str, ev: DataFrame | None = None) -> DataFrame:
+    ev = _read(spark, sf_dir, "events") if ev is None else ev
     return ev.select(F.col("ts").cast("date").alias("date"), F.col("event_type").alias("device"))
 
 
 def load(spark: SparkSession, sf_dir: str) -> Tables:
+    """The five stand-in tables (lazy DataFrames; nothing is read yet beyond
+    Parquet footers).  ``events`` feeds three of them and is opened once."""
+    ev = _read(spark, sf_dir, "events")
     return Tables(
-        equities=equities(spark, sf_dir),
+        equities=equities(spark, sf_dir, ev),
         portfolio=portfolio(spark, sf_dir),
         markets=markets(spark, sf_dir),
-        currency=currency(spark, sf_dir),
-        log=log(spark, sf_dir),
+        currency=currency(spark, sf_dir, ev),
+        log=log(spark, sf_dir, ev),
     ).check()
 
 
