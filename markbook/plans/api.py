@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import ReportParams
 from ..operators.valuation import backfill_valuation, valuation
-from ..sources.tables import Tables
+from ..sources.tables import Tables, with_user_column
 from .reports import all_rollups, daily_report, rollup_report
 
 
@@ -14,24 +15,34 @@ def _keys(params: ReportParams) -> list[str]:
     return [] if params.user is not None else ["_user"]
 
 
+def _users(tables: Tables, params: ReportParams) -> DataFrame | None:
+    """Report keys of an all-users run: every user with lots in the dataset
+    gets a report (and so a TOTAL row), as a per-user run would."""
+    if params.user is not None:
+        return None
+    return (with_user_column(tables.portfolio).where(F.col("dataset") == params.dataset)
+            .select("_user").distinct())
+
+
 def portfolio_daily(spark: SparkSession, tables: Tables, params: ReportParams,
                     order: bool = True) -> DataFrame:
     """RPT1 (warehouse profile) / RPT2 (lake profile); every user when
     ``params.user`` is None (EXT1, report keyed by ``_user``)."""
-    return daily_report(valuation(spark, tables, params), _keys(params), order)
+    return daily_report(valuation(spark, tables, params), _keys(params), order, _users(tables, params))
 
 
 def portfolio_rollup(spark: SparkSession, tables: Tables, params: ReportParams, dimension: str,
                      order: bool = True) -> DataFrame:
     """RPT3-RPT7: roll-up by ``asset_type``, ``location``, ``capitalization`` or
     ``investment_style``."""
-    return rollup_report(valuation(spark, tables, params), dimension, params, _keys(params), order)
+    return rollup_report(valuation(spark, tables, params), dimension, params, _keys(params), order,
+                         _users(tables, params))
 
 
 def portfolio_rollups(spark: SparkSession, tables: Tables, params: ReportParams,
                       order: bool = True) -> DataFrame:
     """EXT3: all four roll-ups from one valuation and one aggregate."""
-    return all_rollups(valuation(spark, tables, params), params, _keys(params), order)
+    return all_rollups(valuation(spark, tables, params), params, _keys(params), order, _users(tables, params))
 
 
 def portfolio_daily_backfill(spark: SparkSession, tables: Tables, params: ReportParams, as_of_dates,
@@ -39,4 +50,10 @@ def portfolio_daily_backfill(spark: SparkSession, tables: Tables, params: Report
     """EXT2: daily reports for many as-of dates in one job, keyed by ``as_of``
     (and ``_user`` when ``params.user`` is None)."""
     core = backfill_valuation(spark, tables, params, as_of_dates)
-    return daily_report(core, ["as_of", *_keys(params)], order)
+    dates = F.array(*[F.lit(d).cast("date") for d in sorted(set(as_of_dates))])
+    users = _users(tables, params)
+    if users is None:
+        keys_df = core.sparkSession.range(1).select(F.explode(dates).alias("as_of"))
+    else:  # every (as_of, user): the array of requested dates is bounded
+        keys_df = users.select(F.explode(dates).alias("as_of"), "_user")
+    return daily_report(core, ["as_of", *_keys(params)], order, keys_df)

@@ -55,9 +55,25 @@ def _formatted(label_cols: list[Column], total_mv: Column) -> list[Column]:
     ]
 
 
-def daily_report(core: DataFrame, keys=(), order: bool = True) -> DataFrame:
+def with_total_anchor(core: DataFrame, keys: list[str], key_frame: DataFrame | None = None) -> DataFrame:
+    """Add one all-NULL row per report key so every report has its TOTAL row.
+
+    The reference's TOTAL is a global aggregate: one row even when nothing
+    is priced.  GROUPING SETS over empty input yields no row, so a NULL row
+    (ignored by every sum, dropped by the ``ticker <> ''`` filter) is added
+    for each key in ``key_frame`` (one row when there are no keys)."""
+    if key_frame is None:
+        if keys:
+            return core
+        key_frame = core.sparkSession.range(1).select()
+    fill = [F.lit(None).cast(f.dataType).alias(f.name) for f in core.schema.fields if f.name not in keys]
+    return core.unionByName(key_frame.select(*keys, *fill))
+
+
+def daily_report(core: DataFrame, keys=(), order: bool = True, key_frame: DataFrame | None = None) -> DataFrame:
     """RPT1: TOTAL (over every core row, Q17) + detail for non-blank tickers."""
     keys = list(keys)
+    core = with_total_anchor(core, keys, key_frame)
     g = (core.groupingSets([[*keys, "ticker", "description"], keys], *keys, "ticker", "description")
          .agg(*_sums(), F.grouping_id().alias("gid")))
     is_total = F.col("gid") != 0
@@ -75,12 +91,14 @@ def daily_report(core: DataFrame, keys=(), order: bool = True) -> DataFrame:
     return out.drop("_total")
 
 
-def _rollup_rows(core: DataFrame, dims: list[str], params: ReportParams, keys: list[str]) -> DataFrame:
+def _rollup_rows(core: DataFrame, dims: list[str], params: ReportParams, keys: list[str],
+                 key_frame: DataFrame | None = None) -> DataFrame:
     """Long rows (keys..., dimension, label, kind, five measures) for the
     roll-ups of ``dims``: one GROUPING SETS aggregate, then each TOTAL group
     row becomes TOTAL and (when held) Benchmark rows for every dimension."""
     tk_ok = F.col("ticker") != ""
     is_bm = F.col("ticker") == F.lit(params.benchmark_ticker)
+    core = with_total_anchor(core, keys, key_frame)
     sets = [[*keys, d] for d in dims] + [keys]
     g = core.groupingSets(sets, *keys, *dims).agg(
         *_sums(tk_ok, "f_"), F.count(F.when(tk_ok, F.lit(1))).alias("f_n"),
@@ -111,19 +129,20 @@ def _rollup_rows(core: DataFrame, dims: list[str], params: ReportParams, keys: l
 
 
 def rollup_report(core: DataFrame, dimension: str, params: ReportParams, keys=(),
-                  order: bool = True) -> DataFrame:
+                  order: bool = True, key_frame: DataFrame | None = None) -> DataFrame:
     """RPT3-RPT7: roll-up by one dimension; the label column is named
     ``asset_type`` whatever the dimension (Q10)."""
     if dimension not in DIMENSIONS:
         raise ValueError(f"unknown dimension {dimension!r}")
-    return _format_rollup(_rollup_rows(core, [dimension], params, list(keys)), list(keys), order,
+    return _format_rollup(_rollup_rows(core, [dimension], params, list(keys), key_frame), list(keys), order,
                           with_dimension=False)
 
 
-def all_rollups(core: DataFrame, params: ReportParams, keys=(), order: bool = True) -> DataFrame:
+def all_rollups(core: DataFrame, params: ReportParams, keys=(), order: bool = True,
+                key_frame: DataFrame | None = None) -> DataFrame:
     """EXT3: the four roll-ups from one aggregate, with a ``dimension`` column."""
-    return _format_rollup(_rollup_rows(core, list(DIMENSIONS), params, list(keys)), list(keys), order,
-                          with_dimension=True)
+    return _format_rollup(_rollup_rows(core, list(DIMENSIONS), params, list(keys), key_frame), list(keys),
+                          order, with_dimension=True)
 
 
 def _format_rollup(rows: DataFrame, keys: list[str], order: bool, with_dimension: bool) -> DataFrame:
