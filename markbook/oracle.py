@@ -413,6 +413,8 @@ def registered_sql() -> dict[str, str]:
         "rpt10": _retired_cost_basis(),
         "rpt11": _retired_day_change(),
         "ext1": union_of([(f"_{u}", daily_ctes(sfx=f"_{u}", user=u), f"'{u}' as _user") for u in "ANR"]),
+        "ext1_lake": union_of([(f"_{u}", rollup_ctes("location", sfx=f"_{u}", user=u, lake=True),
+                                f"'{u}' as _user") for u in "ANR"]),
         "ext2": union_of([(f"_{i}", daily_ctes(sfx=f"_{i}", as_of=x), f"date '{x}' as as_of")
                           for i, x in enumerate(BACKFILL_DATES)]),
         "ext3": union_of([(f"_{x}", rollup_ctes(x, sfx=f"_{x}"), f"'{x}' as dimension") for x in dims]),

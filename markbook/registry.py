@@ -106,6 +106,11 @@ def ext1(spark, sf):
     return portfolio_daily(spark, _tables(spark, sf), _params(user=None))
 
 
+def ext1_lake(spark, sf):
+    """EXT1 under the weekly lake profile: the fallback date is per user."""
+    return portfolio_rollup(spark, _tables(spark, sf), _params(user=None, profile=LAKE_WEEKLY), "location")
+
+
 def ext2(spark, sf):
     return portfolio_daily_backfill(spark, _tables(spark, sf), _params(), BACKFILL_DATES)
 
@@ -543,7 +548,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rpt7_capitalization": _rollup("capitalization", LAKE_WEEKLY),
         "rpt7_investment_style": _rollup("investment_style", LAKE_WEEKLY),
         "rpt8": rpt8, "rpt9": rpt9, "rpt10": rpt10, "rpt11": rpt11,
-        "ext1": ext1, "ext2": ext2, "ext3": ext3,
+        "ext1": ext1, "ext1_lake": ext1_lake, "ext2": ext2, "ext3": ext3,
         "src1": src1, "src2": src2, "src3": src3, "src4": src4, "src5": src5, "src6": src6,
         "snk1": snk1, "snk2": snk2, "par1": par1,
         "prj1": prj1, "prj2": prj2, "prj3": prj3,
