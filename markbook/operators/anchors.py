@@ -67,18 +67,22 @@ def _date_literals(spark: SparkSession, as_of: dt.date) -> tuple[dt.date, dt.dat
 
 def date_row_counts(tables: Tables, tickers: DataFrame, date_filter=None, by_user: bool = False) -> DataFrame:
     """AGG4 inner block: ``count(*)`` of price rows by (date, dataset) for the
-    given tickers (semi join, JN8/JN9).  With ``by_user`` the ticker set carries
+    given (distinct) tickers (JN8/JN9).  With ``by_user`` the ticker set carries
     ``_user`` and the counts are per user: prices are first reduced to one row
     per (ticker, date, dataset) so a popular ticker is not replicated row by
     row across its holders."""
     px = tables.equities.select("date", "dataset", "ticker")
     if date_filter is not None:
         px = px.where(date_filter)
-    # map-side combine first: the semi join then sees one row per
-    # (ticker, date, dataset), never the raw price rows
+    # map-side combine first: the join then sees one row per
+    # (ticker, date, dataset), never the raw price rows.  ``tickers`` is a
+    # distinct set, so an inner join equals the reference's semi join; it is
+    # written as an inner join because Catalyst would push a semi join below
+    # the aggregate, back onto raw rows (a shuffle of the whole price table
+    # by ticker whenever the ticker set is not broadcast).
     per_ticker = px.groupBy("ticker", "date", "dataset").agg(F.count(F.lit(1)).alias("n"))
     if not by_user:
-        return (per_ticker.join(tickers.select("ticker"), "ticker", "left_semi")
+        return (per_ticker.join(tickers.select("ticker"), "ticker")
                 .groupBy("date", "dataset").agg(F.sum("n").alias("n")))
     return (per_ticker.join(tickers.select("_user", "ticker"), "ticker")
             .groupBy("_user", "date", "dataset").agg(F.sum("n").alias("n")))
