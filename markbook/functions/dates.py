@@ -37,14 +37,22 @@ def previous_day(d) -> Column:
 
 
 def local_date(ts, zone: str) -> Column:
-    """FN1/FN2: calendar date of a UTC timestamp in ``zone``.
-
-    A region id such as ``America/Los_Angeles`` follows daylight saving; a
-    fixed offset such as ``-08:00`` does not (the warehouse's ``'pst'``).
+    """FN1/FN2: calendar date in ``zone`` of a UTC wall-clock timestamp.
+
+    The timestamp is read as UTC wall-clock time (``timestamp_ntz``; a
+    session-zone timestamp is first taken at its wall-clock value) and
+    converted with ``convert_timezone``, so the result does not depend on the
+    session time zone.  A region id such as ``America/Los_Angeles`` follows
+    daylight saving; a fixed offset such as ``-08:00`` does not (the
+    warehouse's ``'pst'``).
     """
-    return F.to_date(F.from_utc_timestamp(_col(ts), zone))
+    wall = _col(ts).cast("timestamp_ntz")
+    return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(zone), wall))
 
 
 def today_in(zone: str) -> Column:
-    """FN1: today's date in ``zone`` (prefer injecting an explicit as-of)."""
-    return local_date(F.current_timestamp(), zone)
+    """FN1: today's date in ``zone`` (prefer injecting an explicit as-of).
+    ``current_timestamp`` is an instant; its wall-clock value is in the
+    session zone, which is therefore the conversion's source zone."""
+    wall = F.current_timestamp().cast("timestamp_ntz")
+    return F.to_date(F.convert_timezone(None, F.lit(zone), wall))

@@ -29,6 +29,7 @@ from .operators.valuation import valuation
 from .plans import other as X
 from .plans.api import portfolio_daily, portfolio_daily_backfill, portfolio_rollup, portfolio_rollups
 from .plans.reports import daily_report, rollup_report
+from .session import ensure_checkpoint_dir
 from .sources.sinks import write_csv
 from .sources import standin as S
 
@@ -152,7 +153,7 @@ def src6(spark, sf):
 
 
 def _csv_roundtrip(df: DataFrame, spark: SparkSession) -> DataFrame:
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = ensure_checkpoint_dir(spark)  # the cluster's shared folder
     path = os.path.join(base, "markbook-csv", uuid.uuid4().hex)
     write_csv(df, path)
     return spark.read.option("header", True).schema(", ".join(f"`{c}` string" for c in df.columns)).csv(path)
