@@ -9,7 +9,7 @@ options of one :class:`Profile` instead of separate code paths.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 from decimal import Decimal
 
 # --- Fixed values that must equal the reference's for identical results ---
@@ -86,6 +86,7 @@ class ReportParams:
 
     as_of: dt.date
     user: str | None = None  # None: every user in one job (EXT1)
+    users: tuple[str, ...] | None = None  # with user=None: only these users
     profile: Profile = WAREHOUSE
     dataset: str = DEFAULT_DATASET
     fx_currency: str = FX_CURRENCY
@@ -97,7 +98,6 @@ class ReportParams:
     # Q5: the reference excludes only the as-of date itself, so a backfill
     # can pick a later fallback date; strict mode uses dates before as-of.
     strict_as_of: bool = False
-    extra: dict = field(default_factory=dict)
 
     @property
     def threshold(self) -> int:

@@ -72,6 +72,8 @@ def user_positions(tables: Tables, params: ReportParams) -> DataFrame:
     port = with_user_column(tables.portfolio).where(F.col("dataset") == params.dataset)
     if params.user is not None:
         port = port.where(F.col("_user") == params.user)
+    elif params.users:
+        port = port.where(F.col("_user").isin(list(params.users)))
     keys = ["ticker", "dataset"] if prof.markets_on_dataset else ["ticker"]
     qty, cost = F.col("quantity"), F.col("cost_per_share")
     if prof.cast_lots:  # D5

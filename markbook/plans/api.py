@@ -20,8 +20,10 @@ def _users(tables: Tables, params: ReportParams) -> DataFrame | None:
     gets a report (and so a TOTAL row), as a per-user run would."""
     if params.user is not None:
         return None
-    return (with_user_column(tables.portfolio).where(F.col("dataset") == params.dataset)
-            .select("_user").distinct())
+    port = with_user_column(tables.portfolio).where(F.col("dataset") == params.dataset)
+    if params.users:
+        port = port.where(F.col("_user").isin(list(params.users)))
+    return port.select("_user").distinct()
 
 
 def portfolio_daily(spark: SparkSession, tables: Tables, params: ReportParams,
