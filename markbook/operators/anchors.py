@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..config import ReportParams
 from ..functions.dates import beginning_of_year, previous_weekday
+from ..session import ensure_checkpoint_dir
 from ..sources.tables import Tables
 from .lots import held_tickers
 
@@ -159,6 +160,11 @@ def compute_anchors(spark: SparkSession, tables: Tables, params: ReportParams,
         fb_f = pool.submit(fallback_date, tables, params, as_of, lots)
         rate, fb = rate_f.result(), fb_f.result()
     if isinstance(fb, DataFrame):
+        # one row per user, read twice downstream (its distinct dates, then
+        # the join): write it once to the shared checkpoint folder, which also
+        # cuts the long lineage of the per-user counts
+        ensure_checkpoint_dir(spark)
+        fb = fb.checkpoint(eager=True)
         return Anchors(as_of, as_of, yesterday, boy, rate, None), fb
     return Anchors(as_of, as_of, yesterday, boy, rate, fb), None
 
