@@ -6,6 +6,8 @@ literal and a column of many as-of dates (backfill, EXT2) alike.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,6 +28,18 @@ def previous_weekday(d) -> Column:
             .otherwise(F.date_sub(d, 1)))
 
 
+def previous_weekday_of(d: dt.date) -> dt.date:
+    """Driver-side twin of :func:`previous_weekday` for one literal date
+    (tests check both agree)."""
+    wd = d.weekday()
+    return d - dt.timedelta(days=3 if wd == 0 else 2 if wd == 6 else 1)
+
+
+def beginning_of_year_of(d: dt.date) -> dt.date:
+    """Driver-side twin of :func:`beginning_of_year`."""
+    return dt.date(d.year, 1, 2)
+
+
 def beginning_of_year(d) -> Column:
     """FN4: first day of the year plus one day, i.e. 2 January (a date)."""
     return F.date_add(F.trunc(_col(d), "year"), 1)

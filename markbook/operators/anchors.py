@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import ReportParams
-from ..functions.dates import beginning_of_year, previous_weekday
+from ..functions.dates import (beginning_of_year, beginning_of_year_of, previous_weekday,
+                               previous_weekday_of)
 from ..session import ensure_checkpoint_dir
 from ..sources.tables import Tables
 from .lots import held_tickers
@@ -58,12 +59,7 @@ def as_of_frame(spark: SparkSession, as_of_dates) -> DataFrame:
 
 
 def _date_literals(spark: SparkSession, as_of: dt.date) -> tuple[dt.date, dt.date, dt.date]:
-    # the driver-side twin of functions.dates for one literal as-of date
-    # (tests/test_dates.py checks both agree over whole years)
-    wd = as_of.weekday()
-    yesterday = as_of - dt.timedelta(days=3 if wd == 0 else 2 if wd == 6 else 1)
-    boy = dt.date(as_of.year, 1, 2)
-    return as_of, yesterday, boy
+    return as_of, previous_weekday_of(as_of), beginning_of_year_of(as_of)
 
 
 def date_row_counts(tables: Tables, tickers: DataFrame, date_filter=None, by_user: bool = False) -> DataFrame:
@@ -111,7 +107,7 @@ def fallback_date(tables: Tables, params: ReportParams, as_of: dt.date,
         row = qualifying_dates(counts, thr).agg(F.max("date").alias("d")).collect()[0]
         return row["d"]
     # lake: this user's tickers (after the markets join), from 2 January on
-    boy = dt.date(as_of.year, 1, 2)
+    boy = beginning_of_year_of(as_of)
     flt = not_today & (F.col("date") >= F.lit(boy))
     if lots is None:
         raise ValueError("lake profile needs the user's positions")

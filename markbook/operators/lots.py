@@ -98,3 +98,22 @@ def held_tickers(tables: Tables, params: ReportParams) -> DataFrame:
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``keys`` that occur more than once (Q2 / Q7 precondition check)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+
+
+def precondition_violations(tables: Tables, params: ReportParams) -> DataFrame:
+    """(kind, key, n) rows that break the one-pass core's assumptions:
+    several markets rows per join key (Q2), or one description shared by
+    several held tickers (Q7).  Empty when the reports equal the reference's
+    literal join chains; otherwise use :mod:`markbook.operators.literal`."""
+    prof = params.profile
+    keys = ["ticker", "dataset"] if prof.markets_on_dataset else ["ticker"]
+    mk = tables.markets
+    if prof.markets_on_dataset:
+        mk = mk.where(F.col("dataset") == params.dataset)
+    dup_keys = duplicate_keys(mk.select(*keys), keys).select(
+        F.lit("markets_key").alias("kind"), F.concat_ws("|", *keys).alias("key"), "n")
+    held = held_tickers(tables, params)
+    descs = mk.join(held, "ticker").select("ticker", "description").distinct()
+    dup_desc = duplicate_keys(descs.select("description"), ["description"]).select(
+        F.lit("description").alias("kind"), F.col("description").alias("key"), "n")
+    return dup_keys.unionByName(dup_desc)

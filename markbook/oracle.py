@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 
 from .config import BENCHMARK_LABEL, MIN_ROWS_LAKE_WEEKLY, MIN_ROWS_WAREHOUSE
+from .functions.dates import previous_weekday_of
 from .sources.standin import (STANDIN_AS_OF, STANDIN_BENCHMARK_TICKER, STANDIN_FX_TICKER,
                               STANDIN_USER, STANDIN_YEAR_START_TICKER)
 
@@ -304,11 +305,6 @@ def _on_core(select: str, **kw) -> str:
     return with_standins(core_ctes(**kw) + "\n" + select)
 
 
-def _yesterday(d: dt.date) -> dt.date:
-    wd = d.weekday()
-    return d - dt.timedelta(days=3 if wd == 0 else 2 if wd == 6 else 1)
-
-
 def _count_pivot(devices, where: str = "") -> str:
     cols = ", ".join(f"cast(nullif(count(*) filter (where device = '{d}'), 0) as integer) as \"{d}\""
                      for d in devices)
@@ -342,7 +338,7 @@ from u""")
 
 
 def _pvt2_ctes() -> str:
-    d, y = STANDIN_AS_OF.isoformat(), _yesterday(STANDIN_AS_OF).isoformat()
+    d, y = STANDIN_AS_OF.isoformat(), previous_weekday_of(STANDIN_AS_OF).isoformat()
     return _priced_holdings(f"date '{d}', date '{y}'") + f""", result as (
   select description, date, sum(mv) as market_value from priced group by 1, 2
 ), pv as (

@@ -8,16 +8,19 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import LOG_DEVICES, LOG_END, LOG_START, TOTAL_DESCRIPTION
-from ..functions.dates import previous_weekday
+from ..config import LOG_DEVICES, LOG_END, LOG_START, SNAPSHOT_ZONE, TOTAL_DESCRIPTION
+from ..functions.dates import previous_weekday_of, today_in
 from ..functions.money import percent, to_int
 from ..operators.pivot import count_pivot, value_pivot
 from ..sources.tables import Tables
 
 
-def equities_snapshot(tables: Tables, as_of: dt.date) -> DataFrame:
-    """RPT8: every price column on the as-of date (filter pushed to the scan)."""
-    return tables.equities.where(F.col("date") == F.lit(as_of))
+def equities_snapshot(tables: Tables, as_of: dt.date | None = None) -> DataFrame:
+    """RPT8: every price column on the as-of date (filter pushed to the scan);
+    without one, today in the fixed -08:00 offset, like the reference's
+    ``now() at time zone 'pst'``."""
+    day = F.lit(as_of) if as_of is not None else today_in(SNAPSHOT_ZONE)
+    return tables.equities.where(F.col("date") == day)
 
 
 def device_log_pivot(log: DataFrame, start: dt.date = LOG_START, end: dt.date = LOG_END,
@@ -82,7 +85,7 @@ def day_change_report(tables: Tables, as_of: dt.date) -> DataFrame:
     """RPT11 (retired): RPT10 plus the change since the previous weekday, the
     previous value taken from a description x (yesterday, today) pivot (PVT2,
     JN11)."""
-    yday = _yesterday_literal(as_of)
+    yday = previous_weekday_of(as_of)
     ph = _priced_holdings(tables, [as_of, yday])
     today = ph.where(F.col("date") == F.lit(as_of))
     cb = (today.groupBy("description")
@@ -103,10 +106,4 @@ def day_change_report(tables: Tables, as_of: dt.date) -> DataFrame:
                     percent("today_gain_loss", "market_value").alias("today_gain_loss_%"))
 
 
-def _yesterday_literal(as_of: dt.date) -> dt.date:
-    wd = as_of.weekday()
-    return as_of - dt.timedelta(days=3 if wd == 0 else 2 if wd == 6 else 1)
-
-
-__all__ = ["equities_snapshot", "device_log_pivot", "cost_basis_report", "day_change_report",
-           "previous_weekday"]
+__all__ = ["equities_snapshot", "device_log_pivot", "cost_basis_report", "day_change_report"]

@@ -18,17 +18,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle as O
-from .config import DIMENSIONS, LAKE_DAILY, LAKE_WEEKLY, ReportParams
+from .config import LAKE_DAILY, LAKE_WEEKLY, ReportParams
 from .functions import dates as D
 from .functions.money import percent, to_int
 from .operators import literal as L
 from .operators.anchors import compute_anchors, date_row_counts, fx_rates, qualifying_dates
-from .operators.lots import held_tickers, positions, user_lots
+from .operators.lots import held_tickers, user_lots
 from .operators.pivot import count_pivot, value_pivot
 from .operators.valuation import valuation
 from .plans import other as X
 from .plans.api import portfolio_daily, portfolio_daily_backfill, portfolio_rollup, portfolio_rollups
-from .plans.reports import daily_report, rollup_report
 from .session import ensure_checkpoint_dir
 from .sources.sinks import write_csv
 from .sources import standin as S
@@ -57,10 +56,6 @@ def _money(c) -> F.Column:
     return (F.col(c) if isinstance(c, str) else c).cast("decimal(18,2)")
 
 
-def _sql_money(c: str) -> str:
-    return f"cast({c} as decimal(18,2))"
-
-
 def _anchors(spark, t, p):
     lots = user_lots(t, p)
     a, _ = compute_anchors(spark, t, p, lots)
@@ -417,7 +412,7 @@ def pvt1(spark, sf):
 
 def pvt2(spark, sf):
     t = _tables(spark, sf)
-    yday = X._yesterday_literal(AS_OF)
+    yday = D.previous_weekday_of(AS_OF)
     ph = X._priced_holdings(t, [AS_OF, yday])
     return value_pivot(ph, "description", "date", "market_value", [yday, AS_OF], ["yesterday", "today"],
                        "decimal(10,2)")

@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from markbook.functions.dates import beginning_of_year, previous_weekday
-from markbook.operators.anchors import _date_literals
+from markbook.functions.dates import beginning_of_year_of, previous_weekday_of
 
 
 def test_previous_weekday_and_year_anchor_agree_with_driver_twin(spark):
@@ -12,8 +12,7 @@ def test_previous_weekday_and_year_anchor_agree_with_driver_twin(spark):
     got = {r["d"]: (r["y"], r["b"]) for r in
            df.select("d", previous_weekday("d").alias("y"), beginning_of_year("d").alias("b")).collect()}
     for d in days:
-        _, y, b = _date_literals(spark, d)
-        assert got[d] == (y, b), d
+        assert got[d] == (previous_weekday_of(d), beginning_of_year_of(d)), d
     assert got[dt.date(2024, 1, 29)][0] == dt.date(2024, 1, 26)   # Monday -> Friday
     assert got[dt.date(2024, 1, 28)][0] == dt.date(2024, 1, 26)   # Sunday -> Friday
     assert got[dt.date(2024, 1, 27)][0] == dt.date(2024, 1, 26)   # Saturday -> Friday

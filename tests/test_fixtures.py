@@ -179,3 +179,19 @@ def test_total_equals_sum_of_detail(spark):
     detail = core.where(F.col("ticker") != "").agg(
         *[F.sum(c).alias(c) for c in ("cost_basis", "market_value", "ytd_gain_loss")]).collect()[0]
     assert total == detail
+
+
+def test_report_column_layouts(spark):
+    from markbook.plans.reports import DAILY_COLUMNS, ROLLUP_COLUMNS
+    t = tables(spark, [("A", T, 10)], [("U", "A", 1, 5)])
+    assert tuple(portfolio_daily(spark, t, params()).columns) == DAILY_COLUMNS
+    assert tuple(portfolio_rollup(spark, t, params(), "location").columns) == ROLLUP_COLUMNS
+
+
+def test_precondition_violations(spark):
+    from markbook.operators.lots import precondition_violations
+    mk = [("A", "Same", "Stock", "US", "Large", "Blend"), ("B", "Same", "Stock", "US", "Large", "Blend"),
+          ("C", "C Inc", "Stock", "US", "Large", "Blend"), ("C", "C Inc", "Bond", "US", "Large", "Blend")]
+    t = tables(spark, [("A", T, 10)], [("U", "A", 1, 5), ("U", "B", 1, 5), ("U", "C", 1, 5)], markets=mk)
+    got = sorted((r["kind"], r["key"], r["n"]) for r in precondition_violations(t, params()).collect())
+    assert got == [("description", "Same", 2), ("markets_key", "C|ALPHA-VANTAGE", 2)]
