@@ -18,7 +18,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import ReportParams
@@ -91,6 +91,30 @@ def qualifying_dates(counts: DataFrame, min_rows: int, by_user: bool = False) ->
     return counts.where(F.col("n") > min_rows).select(*keys).distinct()
 
 
+# Lower bounds of the widening search for the fallback date, in days before
+# the as-of date (None = no bound).  Dates after the as-of date are always
+# included, so each step is exact; it only decides how much history to read.
+LOOKBACK_DAYS = (7, 31, 366, None)
+
+
+def _latest_qualifying(count_for, as_of: dt.date, floor: dt.date | None = None):
+    """Latest qualifying date, reading as little history as possible.
+
+    Whether a date qualifies depends on that date's rows only, so if some
+    date at or above a lower bound qualifies, the latest of them is the
+    answer over all dates; otherwise the bound widens.  With a
+    date-partitioned fact a nightly run reads about a week of partitions
+    instead of the whole history."""
+    for days in LOOKBACK_DAYS:
+        lower = None if days is None else as_of - dt.timedelta(days=days)
+        if floor is not None and (lower is None or lower < floor):
+            lower = floor
+        found = count_for(lower)
+        if found is not None or days is None or (floor is not None and lower == floor):
+            return found
+    return None
+
+
 def fallback_date(tables: Tables, params: ReportParams, as_of: dt.date,
                   lots: DataFrame | None = None):
     """Fallback date for one as-of date.
@@ -102,23 +126,33 @@ def fallback_date(tables: Tables, params: ReportParams, as_of: dt.date,
     prof = params.profile
     thr = params.threshold
     not_today = (F.col("date") < F.lit(as_of)) if params.strict_as_of else (F.col("date") != F.lit(as_of))
+
+    def since(lower):
+        return not_today if lower is None else not_today & (F.col("date") >= F.lit(lower))
+
     if prof.fallback_scope == "all":
-        counts = date_row_counts(tables, held_tickers(tables, params), not_today)
-        row = qualifying_dates(counts, thr).agg(F.max("date").alias("d")).collect()[0]
-        return row["d"]
+        held = held_tickers(tables, params)
+
+        def count_for(lower):
+            counts = date_row_counts(tables, held, since(lower))
+            return qualifying_dates(counts, thr).agg(F.max("date").alias("d")).collect()[0]["d"]
+
+        return _latest_qualifying(count_for, as_of)
     # lake: this user's tickers (after the markets join), from 2 January on
     boy = beginning_of_year_of(as_of)
-    flt = not_today & (F.col("date") >= F.lit(boy))
     if lots is None:
         raise ValueError("lake profile needs the user's positions")
     lots = lots.select("_user", "ticker").distinct()
     if params.user is not None:
         tickers = lots.select("ticker")
-        counts = date_row_counts(tables, tickers, flt)
-        row = qualifying_dates(counts, thr).agg(F.max("date").alias("d")).collect()[0]
-        return row["d"]
+
+        def count_for(lower):
+            counts = date_row_counts(tables, tickers, since(lower))
+            return qualifying_dates(counts, thr).agg(F.max("date").alias("d")).collect()[0]["d"]
+
+        return _latest_qualifying(count_for, as_of, floor=boy)
     tickers = lots.select("_user", "ticker")
-    counts = date_row_counts(tables, tickers, flt, by_user=True)
+    counts = date_row_counts(tables, tickers, since(boy), by_user=True)
     return (qualifying_dates(counts, thr, by_user=True)
             .groupBy("_user").agg(F.max("date").alias("max_known")))
 
@@ -172,29 +206,40 @@ def backfill_anchors(spark: SparkSession, tables: Tables, params: ReportParams,
     The qualifying dates do not depend on the as-of date except that the
     as-of date itself is excluded, so the fallback is the latest qualifying
     date, or the second latest when the latest is the as-of date; only those
-    two dates reach the driver.  The frame has one row per requested date.
+    two dates reach the driver.  The history read widens like
+    :func:`_latest_qualifying` until every as-of date has its answer (or all
+    history has been read).  The frame has one row per requested date.
     """
     if params.profile.fallback_scope != "all":
         raise ValueError("backfill over many as-of dates needs the warehouse profile")
+    as_of_dates = sorted(set(as_of_dates))
     asof = as_of_frame(spark, as_of_dates)
-    counts = date_row_counts(tables, held_tickers(tables, params), F.col("date").isNotNull())
-    qual = qualifying_dates(counts, params.threshold)
-    if params.strict_as_of:
-        # latest qualifying date strictly before each as-of date: both sides
-        # are calendar-sized, one row per date
-        marks = (qual.select("date", F.lit(True).alias("q"))
-                 .unionByName(asof.select(F.col("as_of").alias("date"), F.lit(None).cast("boolean").alias("q")))
-                 .groupBy("date").agg(F.max("q").alias("q")))
-        from pyspark.sql import Window
-        w = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
-        prior = marks.select("date", F.max(F.when(F.col("q"), F.col("date"))).over(w).alias("max_known"))
-        fb = asof.join(prior.withColumnRenamed("date", "as_of"), "as_of", "left")
-    else:
-        top = [r["date"] for r in qual.orderBy(F.col("date").desc()).limit(2).collect()]
-        d1 = top[0] if top else None
-        d2 = top[1] if len(top) > 1 else None
-        fb = asof.withColumn(
-            "max_known",
-            F.when(F.col("as_of") != F.lit(d1).cast("date"), F.lit(d1).cast("date"))
-            .otherwise(F.lit(d2).cast("date")))
+    held = held_tickers(tables, params)
+    earliest = as_of_dates[0]
+    for days in LOOKBACK_DAYS:
+        lower = None if days is None else earliest - dt.timedelta(days=days)
+        flt = F.col("date").isNotNull() if lower is None else F.col("date") >= F.lit(lower)
+        qual = qualifying_dates(date_row_counts(tables, held, flt), params.threshold)
+        if params.strict_as_of:
+            # latest qualifying date strictly before each as-of date: both
+            # sides are calendar-sized, one row per date
+            marks = (qual.select("date", F.lit(True).alias("q"))
+                     .unionByName(asof.select(F.col("as_of").alias("date"),
+                                              F.lit(None).cast("boolean").alias("q")))
+                     .groupBy("date").agg(F.max("q").alias("q")))
+            w = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
+            prior = marks.select(F.col("date").alias("as_of"),
+                                 F.max(F.when(F.col("q"), F.col("date"))).over(w).alias("max_known"))
+            found = {r["as_of"]: r["max_known"] for r in asof.join(prior, "as_of", "left").collect()}
+            if days is None or all(v is not None for v in found.values()):
+                break
+        else:
+            top = [r["date"] for r in qual.orderBy(F.col("date").desc()).limit(2).collect()]
+            d1 = top[0] if top else None
+            d2 = top[1] if len(top) > 1 else None
+            found = {d: (d1 if d1 != d else d2) for d in as_of_dates}
+            if days is None or all(v is not None for v in found.values()):
+                break
+    fb = asof.join(F.broadcast(spark.createDataFrame(list(found.items()), "as_of date, max_known date")),
+                   "as_of")  # bounded: one row per requested as-of date
     return fb.join(fx_rates(tables, params, asof), "as_of")

@@ -195,3 +195,23 @@ def test_precondition_violations(spark):
     t = tables(spark, [("A", T, 10)], [("U", "A", 1, 5), ("U", "B", 1, 5), ("U", "C", 1, 5)], markets=mk)
     got = sorted((r["kind"], r["key"], r["n"]) for r in precondition_violations(t, params()).collect())
     assert got == [("description", "Same", 2), ("markets_key", "C|ALPHA-VANTAGE", 2)]
+
+
+def test_fallback_search_widens_to_old_history(spark):
+    from markbook import LAKE_DAILY
+    from markbook.operators.anchors import compute_anchors
+    from markbook.operators.lots import user_positions
+    old = dt.date(2022, 6, 1)
+    t = tables(spark, [("A", old, 10), ("A", T, 11)], [("U", "A", 1, 5)])
+    p = params()
+    a, _ = compute_anchors(spark, t, p, user_positions(t, p))
+    assert a.max_known == old          # only found once all history is read
+    t2 = tables(spark, [("A", old, 10), ("A", dt.date(2024, 3, 1), 9), ("A", T, 11)], [("U", "A", 1, 5)])
+    a2, _ = compute_anchors(spark, t2, p, user_positions(t2, p))
+    assert a2.max_known == dt.date(2024, 3, 1)   # later dates always count (Q5)
+    # lake profile: nothing before 2 January counts
+    pl = params(profile=LAKE_DAILY)
+    a3, _ = compute_anchors(spark, t, pl, user_positions(t, pl))
+    assert a3.max_known is None
+    r = rows_by_ticker(portfolio_daily(spark, t, p))
+    assert r["A"]["market_value"] == 11
