@@ -39,4 +39,6 @@ def test_hash_exchanges_move_aggregated_rows(spark, name):
     checked = list(exchange_children(final))
     assert checked
     for ex, child in checked:
-        assert child.startswith("HashAggregate"), f"{ex}\n  over {child[:200]}"
+        # a checkpointed frame (Scan ExistingRDD) is the per-user fallback
+        # table: one row per user, already aggregated
+        assert child.startswith(("HashAggregate", "Scan ExistingRDD")), f"{ex}\n  over {child[:200]}"
