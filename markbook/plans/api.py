@@ -11,40 +11,46 @@ from ..sources.tables import Tables, with_user_column
 from .reports import all_rollups, daily_report, rollup_report
 
 
-def _keys(params: ReportParams) -> list[str]:
-    return [] if params.user is not None else ["_user"]
+# Reports are always keyed by user internally, so every window and sort is
+# per report; a single-user report drops the key column at the end.
+KEYS = ["_user"]
 
 
-def _users(tables: Tables, params: ReportParams) -> DataFrame | None:
-    """Report keys of an all-users run: every user with lots in the dataset
-    gets a report (and so a TOTAL row), as a per-user run would."""
+def _users(spark: SparkSession, tables: Tables, params: ReportParams) -> DataFrame:
+    """Report keys: the one user, or every user with lots in the dataset (each
+    gets a report, and so a TOTAL row, as a per-user run would)."""
     if params.user is not None:
-        return None
+        return spark.range(1).select(F.lit(params.user).alias("_user"))
     port = with_user_column(tables.portfolio).where(F.col("dataset") == params.dataset)
     if params.users:
         port = port.where(F.col("_user").isin(list(params.users)))
     return port.select("_user").distinct()
 
 
+def _out(df: DataFrame, params: ReportParams) -> DataFrame:
+    return df.drop("_user") if params.user is not None else df
+
+
 def portfolio_daily(spark: SparkSession, tables: Tables, params: ReportParams,
                     order: bool = True) -> DataFrame:
     """RPT1 (warehouse profile) / RPT2 (lake profile); every user when
     ``params.user`` is None (EXT1, report keyed by ``_user``)."""
-    return daily_report(valuation(spark, tables, params), _keys(params), order, _users(tables, params))
+    return _out(daily_report(valuation(spark, tables, params), KEYS, order, _users(spark, tables, params)), params)
 
 
 def portfolio_rollup(spark: SparkSession, tables: Tables, params: ReportParams, dimension: str,
                      order: bool = True) -> DataFrame:
     """RPT3-RPT7: roll-up by ``asset_type``, ``location``, ``capitalization`` or
     ``investment_style``."""
-    return rollup_report(valuation(spark, tables, params), dimension, params, _keys(params), order,
-                         _users(tables, params))
+    return _out(rollup_report(valuation(spark, tables, params), dimension, params, KEYS, order,
+                              _users(spark, tables, params)), params)
 
 
 def portfolio_rollups(spark: SparkSession, tables: Tables, params: ReportParams,
                       order: bool = True) -> DataFrame:
     """EXT3: all four roll-ups from one valuation and one aggregate."""
-    return all_rollups(valuation(spark, tables, params), params, _keys(params), order, _users(tables, params))
+    return _out(all_rollups(valuation(spark, tables, params), params, KEYS, order,
+                            _users(spark, tables, params)), params)
 
 
 def portfolio_daily_backfill(spark: SparkSession, tables: Tables, params: ReportParams, as_of_dates,
@@ -53,9 +59,6 @@ def portfolio_daily_backfill(spark: SparkSession, tables: Tables, params: Report
     (and ``_user`` when ``params.user`` is None)."""
     core = backfill_valuation(spark, tables, params, as_of_dates)
     dates = F.array(*[F.lit(d).cast("date") for d in sorted(set(as_of_dates))])
-    users = _users(tables, params)
-    if users is None:
-        keys_df = core.sparkSession.range(1).select(F.explode(dates).alias("as_of"))
-    else:  # every (as_of, user): the array of requested dates is bounded
-        keys_df = users.select(F.explode(dates).alias("as_of"), "_user")
-    return daily_report(core, ["as_of", *_keys(params)], order, keys_df)
+    # every (as_of, user): the array of requested dates is bounded
+    keys_df = _users(spark, tables, params).select(F.explode(dates).alias("as_of"), "_user")
+    return _out(daily_report(core, ["as_of", *KEYS], order, keys_df), params)
