@@ -3,16 +3,29 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> None:
+def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite",
+              unquoted: bool = False) -> None:
     """Write a report as CSV with a header row.
 
-    Unlike ``psql -A -F','`` the writer quotes fields that contain the
-    separator (a deliberate deviation).  ``single_file`` merges the output into
-    one part file; use it only for single-report outputs, whose size is
-    bounded by the number of tickers, never for batch (all-user) reports.
+    By default fields that contain the separator are quoted (a deliberate
+    deviation from ``psql -A -F','``); ``unquoted=True`` writes fields as they
+    are, like the reference's unaligned output.  ``single_file`` merges the
+    output into one part file; use it only for single-report outputs, whose
+    size is bounded by the number of tickers, never for batch reports.
     """
+    if unquoted:
+        # Spark's CSV writer always quotes values holding the separator, so
+        # write text lines: header first, NULL as an empty field (psql -A)
+        sep = ","
+        lines = df.select(F.concat_ws(sep, *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
+                                             for c in df.columns]).alias("value"))
+        header = df.sparkSession.range(1).select(F.lit(sep.join(df.columns)).alias("value"))
+        out = header.unionAll(lines)
+        (out.coalesce(1) if single_file else out).write.mode(mode).text(path)
+        return
     out = df.coalesce(1) if single_file else df
     out.write.mode(mode).option("header", True).csv(path)
 

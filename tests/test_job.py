@@ -21,3 +21,15 @@ def test_daily_job_writes_one_report_per_user(spark):
     tot = back.where("ticker = 'TOTAL'").collect()[0]
     exp = single.where("ticker = 'TOTAL'").collect()[0]
     assert int(tot["market_value"]) == exp["market_value"]
+
+
+def test_unquoted_csv_like_psql(spark):
+    from markbook.sources.sinks import write_csv
+    df = spark.createDataFrame([("a,b", 1)], "d string, n int")
+    out = tempfile.mkdtemp(prefix="markbook-csv-") + "/x"
+    write_csv(df, out, single_file=True, unquoted=True)
+    text = open(glob.glob(out + "/part-*")[0]).read().splitlines()
+    assert text == ["d,n", "a,b,1"]
+    write_csv(df, out, single_file=True)
+    text = open(glob.glob(out + "/part-*.csv")[0]).read().splitlines()
+    assert text == ["d,n", '"a,b",1']
