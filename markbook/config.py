@@ -107,6 +107,18 @@ class ReportParams:
         return replace(self, **kw)
 
 
+def default_as_of(profile: Profile = WAREHOUSE, now: dt.datetime | None = None) -> dt.date:
+    """The as-of date a scheduled run uses when none is given (D1): the
+    server's date for the warehouse job, today in Los Angeles for the lake
+    job."""
+    from zoneinfo import ZoneInfo
+
+    now = now or dt.datetime.now(dt.timezone.utc)
+    if profile.fallback_scope == "user":
+        return now.astimezone(ZoneInfo(LAKE_ZONE)).date()
+    return now.astimezone().date()
+
+
 def as_date(value) -> dt.date:
     if isinstance(value, dt.datetime):
         return value.date()

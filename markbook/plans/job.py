@@ -19,7 +19,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..config import PROFILES, ReportParams, as_date
+from ..config import PROFILES, ReportParams, as_date, default_as_of
 from ..sources.sinks import write_csv
 from ..sources.tables import Tables, read_tables
 from .api import portfolio_daily, portfolio_rollups
@@ -42,7 +42,7 @@ def run(spark: SparkSession, tables: Tables, params: ReportParams, task: str, ou
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.split("\n\n")[0])
     ap.add_argument("--task", choices=["daily", "weekly"], required=True)
-    ap.add_argument("--as-of", required=True)
+    ap.add_argument("--as-of", default=None, help="default: today (D1)")
     ap.add_argument("--tables", required=True, help="name=path pairs, comma separated")
     ap.add_argument("--users", default="", help="comma separated; empty = every user")
     ap.add_argument("--profile", default="warehouse", choices=sorted(PROFILES))
@@ -55,7 +55,9 @@ def main(argv=None) -> None:
     paths = dict(kv.split("=", 1) for kv in a.tables.split(","))
     tables = read_tables(spark, paths, a.format)
     users = tuple(u for u in a.users.split(",") if u) or None
-    params = ReportParams(as_of=as_date(a.as_of), users=users, profile=PROFILES[a.profile])
+    profile = PROFILES[a.profile]
+    as_of = as_date(a.as_of) if a.as_of else default_as_of(profile)
+    params = ReportParams(as_of=as_of, users=users, profile=profile)
     run(spark, tables, params, a.task, a.out)
 
 

@@ -43,9 +43,10 @@ def _tables(spark: SparkSession, sf: str):
     """Table handles per session and directory, built once like a user's
     session would hold them (lazy plans, no data cached)."""
     key = (id(spark), sf)
-    if key not in _TABLES:
-        _TABLES[key] = S.load(spark, sf)
-    return _TABLES[key]
+    hit = _TABLES.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = _TABLES[key] = (spark, S.load(spark, sf))
+    return hit[1]
 
 
 def _params(**kw) -> ReportParams:
