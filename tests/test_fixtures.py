@@ -215,3 +215,39 @@ def test_fallback_search_widens_to_old_history(spark):
     assert a3.max_known is None
     r = rows_by_ticker(portfolio_daily(spark, t, p))
     assert r["A"]["market_value"] == 11
+
+
+def test_q18_prices_average_over_datasets(spark):
+    t = tables(spark, [("A", T, 10)], [("U", "A", 2, 5)])
+    other = spark.createDataFrame([("OTHER", "A", T, D("20"))], t.equities.schema)
+    t.equities = t.equities.unionByName(other)
+    r = rows_by_ticker(portfolio_daily(spark, t, params()))
+    assert r["A"]["market_value"] == 30
+
+
+def test_q7_literal_description_chain_multiplies_rows(spark):
+    from markbook.operators import literal as L
+    from markbook.operators.anchors import Anchors
+    from markbook.operators.lots import user_lots
+    mk = [("A", "Same", "Stock", "US", "Large", "Blend"), ("B", "Same", "Stock", "US", "Large", "Blend")]
+    t = tables(spark, [("A", T, 10), ("B", T, 20), ("A", Y, 9), ("B", Y, 19)],
+               [("U", "A", 1, 5), ("U", "B", 1, 5)], markets=mk)
+    p = params()
+    a = Anchors(T, T, Y, B, D("1.30"), Y)
+    px = L.anchor_price_rows(t, p, a)
+    today, yesterday, ytd, backup = L.blocks(px, user_lots(t, p), p, a)
+    merged = L.description_chain(L.ticker_chain(today, yesterday, ytd), backup, ytd)
+    assert merged.count() == 4          # 2 detail rows x 2 backup rows sharing "Same"
+
+
+def test_q2_ticker_only_join_fans_out_and_is_reported(spark):
+    from markbook import LAKE_DAILY
+    from markbook.operators.lots import precondition_violations, user_positions
+    mk = [("A", "A Inc", "Stock", "US", "Large", "Blend")]
+    t = tables(spark, [("A", T, 10)], [("U", "A", 1, 5)], markets=mk)
+    extra = spark.createDataFrame([("OTHER", "A", "A Inc", "Bond", "US", "Large", "Blend")], t.markets.schema)
+    t.markets = t.markets.unionByName(extra)
+    assert user_positions(t, params()).count() == 1                      # (ticker, dataset) join
+    assert user_positions(t, params(profile=LAKE_DAILY)).count() == 2    # ticker-only join fans out
+    kinds = [r["kind"] for r in precondition_violations(t, params(profile=LAKE_DAILY)).collect()]
+    assert kinds == ["markets_key"]
