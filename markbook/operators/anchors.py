@@ -3,7 +3,8 @@
 * today / yesterday / 2 January: FN3-FN5 on the as-of date.
 * fallback ("max known") date, AGG4: the latest date other than today on which
   some dataset has more than ``min_rows`` price rows for held tickers
-  (JN8 semi join in the warehouse profile, JN9 / FLT10 in the lake profile).
+  (the JN8 / JN9 ticker filter, written as an inner join on a distinct set; FLT10
+  in the lake profile). The search reads recent dates first and widens.
 * FX rate, TOP1 + JN5: the latest rate on today or yesterday, else 1.30.
 
 The anchors are small (one row per as-of date, or per user in the lake

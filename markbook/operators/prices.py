@@ -3,10 +3,14 @@
 The reference averages ``close`` by (ticker, date) over the four anchor dates,
 merging datasets (Q18) and converting the pence-quoted ticker with the FX rate.
 Here the price fact is scanned once with ``date IN (anchor literals)`` pushed
-into the Parquet reader and pre-aggregated to one row per (ticker, date) with a
-map-side partial aggregate, so a hot ticker never reaches one task as raw
-rows.  The rows are then tagged with their anchor role(s) and pivoted into one
-wide row per ticker by conditional aggregation.
+into the Parquet reader (or partition pruning) and reduced with a map-side
+partial aggregate, so a hot ticker never reaches one task as raw rows:
+
+* one as-of date (:func:`anchor_prices_at`): conditional sums per anchor role,
+  grouped by ticker, one wide row per ticker, no join;
+* many as-of dates (:func:`anchor_prices`): one row per (ticker, date), tagged
+  with the roles that use the date (broadcast parameter frame), then pivoted
+  per (as_of, ticker).
 """
 
 from __future__ import annotations
@@ -79,10 +83,9 @@ def anchor_prices(daily: DataFrame, roles: DataFrame, fx_ticker: str, keys=()) -
 
     ``h_r`` says a price row exists on that role's date; ``p_r`` is its average
     close (NULL when every close is NULL: valued at cost, Q19).  Anchors that
-    coincide are each filled independently.  ``roles`` is tiny (four rows per
-    as-of date); AQE broadcasts it.
+    coincide are each filled independently.  ``roles`` is a parameter frame
+    of at most four rows per requested as-of date, so it is broadcast.
     """
-    # ``roles`` is a parameter frame bounded by 4 rows per as-of date
     tagged = daily.join(F.broadcast(roles), "date").withColumn("price", converted_price(fx_ticker))
     aggs = []
     for r in ROLES:
