@@ -471,9 +471,13 @@ def registered_sql() -> dict[str, str]:
                              "(select distinct ticker from portfolio_dim where dataset = 'ALPHA-VANTAGE')"),
         "jn9": _on_core("select * from equities_fact where ticker in (select ticker from holdings)", lake=True),
         "jn10": with_standins(
-            "select m.description, e.ticker, e.date, e.close, p.quantity, p.cost_per_share "
+            f"select m.description, e.ticker, e.date, {_m('sum(p.quantity * p.cost_per_share)')} as cost_basis, "
+            f"{_m('sum(p.quantity * e.close)')} as market_value, "
+            f"{_m('sum(p.quantity * e.close - p.quantity * p.cost_per_share)')} as gain_loss, "
+            "count(*) as n_pairs "
             "from equities_fact e join portfolio_dim p on e.dataset = p.dataset and e.ticker = p.ticker "
-            f"join markets_dim m on e.dataset = m.dataset and e.ticker = m.ticker where e.date = date '{d}'"),
+            f"join markets_dim m on e.dataset = m.dataset and e.ticker = m.ticker where e.date = date '{d}' "
+            "group by 1, 2, 3"),
         "jn11": _retired_day_change(),
         "agg1": _on_core("select * from holdings"),
         "agg2": _on_core(f"select {block_cols}, {_m('cost_basis')} as cost_basis, "

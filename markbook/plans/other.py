@@ -40,7 +40,8 @@ def _lot_sums(tables: Tables) -> DataFrame:
     the join, so a heavily held ticker is one row, not one per lot."""
     return tables.portfolio.groupBy("dataset", "ticker").agg(
         F.sum("quantity").cast("decimal(18,4)").alias("qty"),
-        F.sum(F.col("quantity") * F.col("cost_per_share")).alias("cost"))
+        F.sum(F.col("quantity") * F.col("cost_per_share")).alias("cost"),
+        F.count(F.lit(1)).alias("n_lots"))
 
 
 def _price_sums(tables: Tables, dates) -> DataFrame:
@@ -61,10 +62,18 @@ def _priced_holdings(tables: Tables, dates) -> DataFrame:
     j = _price_sums(tables, dates).join(_lot_sums(tables), ["dataset", "ticker"]).join(mk, ["dataset", "ticker"])
     mv = F.col("qty") * F.col("close_sum")
     return j.select(
-        "description", "date",
+        "description", "ticker", "date",
         (F.col("cost") * F.col("n_rows")).alias("cost_basis"),
         F.when(F.col("close_n") > 0, mv).alias("market_value"),
-        F.when(F.col("close_n") > 0, mv - F.col("cost") * F.col("close_n")).alias("gain_loss"))
+        F.when(F.col("close_n") > 0, mv - F.col("cost") * F.col("close_n")).alias("gain_loss"),
+        (F.col("n_lots") * F.col("n_rows")).alias("n_pairs"))
+
+
+def priced_holdings(tables: Tables, dates) -> DataFrame:
+    """JN10 at the grain the reference aggregates it to: per (description,
+    ticker, date), the sums over all (price row, lot) pairs and the number of
+    pairs, computed from per-key sums without producing the pairs."""
+    return _priced_holdings(tables, dates)
 
 
 def cost_basis_report(tables: Tables, as_of: dt.date) -> DataFrame:

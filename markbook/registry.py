@@ -322,10 +322,12 @@ def jn9(spark, sf):
 
 
 def jn10(spark, sf):
-    t = _tables(spark, sf)
-    e = t.equities.where(F.col("date") == F.lit(AS_OF))
-    j = e.join(t.portfolio, ["dataset", "ticker"]).join(t.markets, ["dataset", "ticker"])
-    return j.select("description", "ticker", "date", "close", "quantity", "cost_per_share")
+    """Three-table join prices x holdings x markets on (dataset, ticker), at the
+    (description, ticker, date) grain; pairs are counted, never materialised."""
+    ph = X.priced_holdings(_tables(spark, sf), [AS_OF])
+    return ph.groupBy("description", "ticker", "date").agg(
+        *[_money(F.sum(c)).alias(c) for c in ("cost_basis", "market_value", "gain_loss")],
+        F.sum("n_pairs").alias("n_pairs"))
 
 
 def jn11(spark, sf):
