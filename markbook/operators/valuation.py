@@ -72,13 +72,24 @@ def value_rows(j: DataFrame, params: ReportParams, today: Column, boy: Column,
     def keep(c):
         return F.when(present, F.col(c)).alias(c)
 
+    # A NULL description never matches in the reference's join on
+    # description: the today/yesterday row and the fallback row stay two rows
+    # of the same ticker, which every report sums.  Their sum is used here;
+    # the fallback part then adds no YTD or day change.
+    no_desc = F.col("description").isNull()
+
+    def both(a, b):
+        return F.when(a.isNull() & b.isNull(), F.lit(None)).otherwise(F.coalesce(a, zero) + F.coalesce(b, zero))
+
+    ytd_today_part = F.when(F.col("h_y"), T - v_b)
     return step2.select(
         *[F.col(k) for k in keys], "_user", keep("ticker"), keep("description"),
         *[keep(d) for d in DIMENSIONS],
-        F.coalesce(Tc, Bc).alias("cost_basis"),
-        F.coalesce(T, B).alias("market_value"),
-        F.coalesce(T - Tc, B - Bc).alias("gain_loss"),
-        F.coalesce(F.when(F.col("h_y"), T - v_b), B - v_b, zero).alias("ytd_gain_loss"),
+        F.when(no_desc, both(Tc, Bc)).otherwise(F.coalesce(Tc, Bc)).alias("cost_basis"),
+        F.when(no_desc, both(T, B)).otherwise(F.coalesce(T, B)).alias("market_value"),
+        F.when(no_desc, both(T - Tc, B - Bc)).otherwise(F.coalesce(T - Tc, B - Bc)).alias("gain_loss"),
+        F.when(no_desc, F.coalesce(ytd_today_part, zero))
+        .otherwise(F.coalesce(ytd_today_part, B - v_b, zero)).alias("ytd_gain_loss"),
         F.coalesce(T - F.col("v_y"), zero).alias("today_gain_loss"))
 
 

@@ -41,8 +41,10 @@ def make_case(seed: int):
                 if rnd.random() < 0.3:
                     lots.append(lot)  # exact duplicate lot (Q1)
     kinds = ["Stock", "Bond", None]
-    markets = [(AV, tk, f"{tk or 'blank'} desc", rnd.choice(kinds), rnd.choice(["US", "EU"]),
-                rnd.choice(["Small", "Large"]), rnd.choice(["Value", "Growth"])) for tk in TICKERS]
+    # descriptions are unique (the core's precondition) but may be missing
+    markets = [(AV, tk, None if rnd.random() < 0.2 else f"{tk or 'blank'} desc", rnd.choice(kinds),
+                rnd.choice(["US", "EU"]), rnd.choice(["Small", "Large"]), rnd.choice(["Value", "Growth"]))
+               for tk in TICKERS]
     rates = [("GBP", d, D(f"{rnd.randint(11000, 14000) / 10000:.4f}")) for d in DAYS if rnd.random() < 0.5]
     as_of = rnd.choice(DAYS[1:])
     min_rows = rnd.choice([0, 1, 3, 6])
@@ -127,3 +129,23 @@ def test_all_user_reports_equal_per_user_literal_forms(spark, seed):
     for df, sql in cases:
         ok, msg = compare(df, con, sql)
         assert ok, f"seed {seed} as_of {as_of} min_rows {min_rows}: {msg}"
+
+
+def test_null_description_rows_stay_apart_like_the_literal_form(spark):
+    # A has no description: priced today (10) and on the fallback date (9);
+    # the literal join on description cannot merge the two rows
+    T, Y = dt.date(2024, 1, 29), dt.date(2024, 1, 26)
+    prices = [(AV, "A", T, D("10")), (AV, "A", Y, D("9")), (AV, "B", T, D("4")), (AV, "B", Y, D("3"))]
+    lots = [(AV, "U", "A", D("1"), D("5")), (AV, "U", "B", D("2"), D("1"))]
+    markets = [(AV, "A", None, "Stock", "US", "Large", "Value"), (AV, "B", "B desc", "Bond", "US", "Large", "Value")]
+    t = frames(spark, prices, lots, markets, [])
+    con = duck_con(prices, lots, markets, [])
+    p = ReportParams(as_of=T, user="U", min_rows=0)
+    kw = dict(as_of=T, user="U", min_rows=0, fx_ticker="LON:FCH", ys_ticker="VMMXX")
+    for df, ctes in [(portfolio_daily(spark, t, p), oracle.daily_ctes(**kw)),
+                     (portfolio_rollup(spark, t, p, "asset_type"),
+                      oracle.rollup_ctes("asset_type", benchmark="VTSAX", **kw))]:
+        ok, msg = compare(df, con, "with " + ctes.strip() + "\nselect * from report")
+        assert ok, msg
+    a = {r["ticker"]: r for r in portfolio_daily(spark, t, p).collect()}["A"]
+    assert a["cost_basis"] == 10 and a["market_value"] == 19 and a["today_gain_loss"] == 1
