@@ -47,6 +47,10 @@ def main(argv=None) -> None:
     ap.add_argument("--users", default="", help="comma separated; empty = every user")
     ap.add_argument("--profile", default="warehouse", choices=sorted(PROFILES))
     ap.add_argument("--format", default="parquet")
+    ap.add_argument("--fx-ticker", default=None, help="pence-quoted ticker")
+    ap.add_argument("--year-start-ticker", default=None, help="ticker also valued at its 2 January price")
+    ap.add_argument("--benchmark-ticker", default=None)
+    ap.add_argument("--min-rows", type=int, default=None, help="fallback-date threshold")
     ap.add_argument("--out", required=True)
     a = ap.parse_args(argv)
     from ..session import get_session
@@ -57,7 +61,10 @@ def main(argv=None) -> None:
     users = tuple(u for u in a.users.split(",") if u) or None
     profile = PROFILES[a.profile]
     as_of = as_date(a.as_of) if a.as_of else default_as_of(profile)
-    params = ReportParams(as_of=as_of, users=users, profile=profile)
+    params = ReportParams(as_of=as_of, users=users, profile=profile, min_rows=a.min_rows)
+    overrides = {"fx_ticker": a.fx_ticker, "year_start_price_ticker": a.year_start_ticker,
+                 "benchmark_ticker": a.benchmark_ticker}
+    params = params.with_(**{k: v for k, v in overrides.items() if v})
     run(spark, tables, params, a.task, a.out)
 
 
