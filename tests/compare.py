@@ -28,13 +28,14 @@ def _norm(v):
             return "nan"
         return f"{v:.9g}"
     if isinstance(v, decimal.Decimal):
-        return f"{float(v):.9g}"
+        # exact: 1.50 and 1.5000 compare equal, 1.500001 does not
+        return format(v.normalize(), "f")
     if isinstance(v, (dt.datetime, dt.date)):
         return v.isoformat()
     if isinstance(v, bool):
         return str(v)
     if isinstance(v, int):
-        return f"{float(v):.9g}"
+        return str(v)
     return str(v)
 
 
