@@ -216,9 +216,8 @@ class Codec:
 
     def learn(self, words: set[str]) -> None:
         """Ids of the chunks " " + word for all new words; the lexicon is asked for all at once."""
-        new = [w for w in words if w not in self.chunks]
-        self.chunks.room(len(new))
-        new = [w for w in words if w not in self.chunks]
+        new = words.difference(self.chunks)
+        new = list(words if self.chunks.room(len(new)) else new)
         forms = [b" " + w.encode() for w in new]
         rest = []
         for w, ids in zip(new, self.lexicon.find(forms), strict=True):
@@ -236,8 +235,8 @@ class Codec:
         return self.vocabulary.pieces.findall(chunk)
 
     def learn_pieces(self, pieces: set[str]) -> None:
-        self.pieces.room(len(pieces))
-        new = [p for p in pieces if p not in self.pieces]
+        new = pieces.difference(self.pieces)
+        new = list(pieces if self.pieces.room(len(new)) else new)
         words = [p.encode() for p in new]
         for p, w, ids in zip(new, words, self.lexicon.find(words), strict=True):
             self.pieces[p] = self.vocabulary.merge(w) if ids is None else ids
@@ -250,10 +249,10 @@ class Codec:
 
     def encode_many(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text, which holds no special token."""
-        for at in range(0, len(texts), 256):
-            some = [None if self.wide.search(t) else t.split(" ") for t in texts[at:at + 256]]
-            self.learn({w for words in some if words for w in words[1:]})
-            for words, t in zip(some, texts[at:at + 256], strict=True):
+        for at in range(0, len(texts), 1024):
+            some = [None if self.wide.search(t) else t.split(" ") for t in texts[at:at + 1024]]
+            self.learn(set().union(*(words[1:] for words in some if words)))
+            for words, t in zip(some, texts[at:at + 1024], strict=True):
                 if words is None:
                     yield self.uneven(t)
                 else:

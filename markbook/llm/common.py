@@ -28,6 +28,17 @@ def ascii_lower(col: Column) -> Column:
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def row_key(id_col: str, text: str) -> Column:
+    """64-bit key of a row's id and text; repeated rows share it."""
+    return F.xxhash64(F.col(id_col).cast("long"), F.col(text).cast("string"))
+
+
+def keep_rows(docs: DataFrame, keys: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, columns and all, whose key is in ``keys`` (one column)."""
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), row_key(id_col, text).alias("__key"))
+    return own.join(keys.toDF("__key").distinct(), "__key", "left_semi").select("__row.*")
+
+
 class Memo(dict):
     """word -> bytes, kept per Python worker and bounded: :meth:`room` empties it once it
     holds ``most`` entries, which costs time and never changes a result."""
@@ -36,10 +47,12 @@ class Memo(dict):
         super().__init__()
         self.most = most
 
-    def room(self, n: int) -> None:
-        """Call before ``n`` entries are added."""
-        if len(self) + n > self.most:
-            self.clear()
+    def room(self, n: int) -> bool:
+        """Call before ``n`` entries are added; says whether the others had to go."""
+        if len(self) + n <= self.most:
+            return False
+        self.clear()
+        return True
 
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)

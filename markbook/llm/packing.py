@@ -51,23 +51,23 @@ class WordIds:
 
     def learn(self, words: set[str]) -> None:
         memo, cores = self.memo, self.cores
-        new = [w for w in words if w not in memo]
-        memo.room(len(new))
+        new = words.difference(memo)
+        if memo.room(len(new)):
+            new = words
         cores.room(len(new))
-        new = [w for w in words if w not in memo]
         parts = []
         for w in new:
             core, end = (w[:-1], w[-1]) if w[-1:] in (",", ".") and w[:-1].isalpha() else (w, "")
             parts.append((core.lower() if core.isascii() and core.isalpha() else core, end))
-        fresh = list({p for pair in parts for p in pair if p not in cores})
+        fresh = list({p for pair in parts for p in pair}.difference(cores))
         cores.update(zip(fresh, self.ids(fresh), strict=True))
         for w, (core, end) in zip(new, parts, strict=True):
             memo[w] = cores[core] + cores[end]
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        for at in range(0, len(texts), 256):
-            some = [t.replace("\n", " ").split(" ") for t in texts[at:at + 256]]
-            self.learn({w for words in some for w in words})
+        for at in range(0, len(texts), 1024):
+            some = [t.replace("\n", " ").split(" ") for t in texts[at:at + 1024]]
+            self.learn(set().union(*some))
             for words in some:
                 yield b"".join(map(self.memo.__getitem__, words))
 
