@@ -89,8 +89,8 @@ def quality_sql() -> str:
 with listed(lang, common) as (values {listed}),
 d as (
   select row_number() over () as rid, doc_id, coalesce(l.lang, '') as ref, common, coalesce(text, '') as t,
-         list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), x -> x <> '') as words,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as lines
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as lines
   from documents left join listed l using (lang)
 ), windows as (
   select rid, i, words[i:i + 2] as g from (select rid, words, unnest(range(1, len(words) - 1)) as i from d)
@@ -111,7 +111,7 @@ d as (
   select rid, ref, unnest(range({len(q.CLASSES)})) as k, unnest([upper, punct, n_symbols, length(t) - word_chars,
          word_chars - upper - punct - n_symbols]) / greatest(length(t), 1) as p from f
 ), hits as (
-  select rid, ref, k, len(list_filter(words, x -> x = common[k + 1])) as n, n_words
+  select rid, ref, k, len(list_filter(words, lambda x: x = common[k + 1])) as n, n_words
   from (select rid, ref, words, common, n_words, unnest(range({q.BINS})) as k from f where ref <> '')
 ), bins as (
   select rid, ref, k, n / greatest(n_words, 1) as p from hits
