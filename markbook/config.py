@@ -98,6 +98,10 @@ class ReportParams:
     # Q5: the reference excludes only the as-of date itself, so a backfill
     # can pick a later fallback date; strict mode uses dates before as-of.
     strict_as_of: bool = False
+    # The one-pass core needs one markets row per join key and one description
+    # per held ticker; a run over tables that break this stops, unless it is
+    # told to go on with the core's own reading (each ticker counted once).
+    allow_shared: bool = False
 
     @property
     def threshold(self) -> int:
@@ -107,18 +111,26 @@ class ReportParams:
         return replace(self, **kw)
 
 
-def default_as_of(profile: Profile = WAREHOUSE, now: dt.datetime | None = None) -> dt.date:
+def default_as_of(profile: Profile = WAREHOUSE, now: dt.datetime | None = None, task: str = "daily") -> dt.date:
     """The as-of date a scheduled run uses when none is given (D1): the
-    server's date for the warehouse job, today in Los Angeles for the lake
-    job."""
+    server's date for the warehouse job; for the lake job the server's
+    previous calendar day in the daily run (FN6), today in Los Angeles in the
+    weekly one."""
     from zoneinfo import ZoneInfo
 
     now = now or dt.datetime.now(dt.timezone.utc)
     if profile.fallback_scope == "user":
+        if task == "daily":
+            return previous_day_of(now.astimezone().date())
         return now.astimezone(ZoneInfo(LAKE_ZONE)).date()
     return now.astimezone().date()
 
 
+def previous_day_of(day: dt.date) -> dt.date:
+    """FN6 on a Python date."""
+    return day - dt.timedelta(days=1)
+
+
 def as_date(value) -> dt.date:
     if isinstance(value, dt.datetime):
         return value.date()

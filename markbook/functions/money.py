@@ -14,8 +14,9 @@ def _col(c) -> Column:
 
 def to_int(x) -> Column:
     """FN12/Q8: integer cast that rounds half away from zero like PostgreSQL and
-    Presto (a bare Spark cast truncates)."""
-    return F.round(_col(x)).cast("int")
+    Presto (a bare Spark cast truncates).  64 bits: a report's total outgrows
+    32 bits at a few billion."""
+    return F.round(_col(x)).cast("bigint")
 
 
 def ratio(num, den) -> Column:
@@ -25,12 +26,10 @@ def ratio(num, den) -> Column:
 
 
 def percent(num, den) -> Column:
-    """FN11: ``(num / den * 100)::decimal(8,2) || '%'``; NULL stays NULL.
-
-    Above 999999.99 % the decimal cast overflows and raises under ANSI mode,
-    as the reference does.
-    """
-    return F.concat((ratio(num, den) * 100).cast("decimal(8,2)").cast("string"), F.lit("%"))
+    """FN11: the ratio in per cent with two decimals and a percent sign; NULL stays
+    NULL.  Sixteen digits before the point, so one row with a tiny
+    denominator does not end the report."""
+    return F.concat((ratio(num, den) * 100).cast("decimal(18,2)").cast("string"), F.lit("%"))
 
 
 def mask_if(cond: Column, value) -> Column:

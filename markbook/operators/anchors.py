@@ -19,6 +19,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from decimal import Decimal
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,7 +28,7 @@ from ..functions.dates import (beginning_of_year, beginning_of_year_of, previous
                                previous_weekday_of)
 from ..session import ensure_checkpoint_dir
 from ..sources.tables import Tables
-from .lots import held_tickers
+from .lots import check_preconditions, held_tickers
 
 
 @dataclass(frozen=True)
@@ -152,10 +153,48 @@ def fallback_date(tables: Tables, params: ReportParams, as_of: dt.date,
             return qualifying_dates(counts, thr).agg(F.max("date").alias("d")).collect()[0]["d"]
 
         return _latest_qualifying(count_for, as_of, floor=boy)
-    tickers = lots.select("_user", "ticker")
-    counts = date_row_counts(tables, tickers, since(boy), by_user=True)
-    return (qualifying_dates(counts, thr, by_user=True)
-            .groupBy("_user").agg(F.max("date").alias("max_known")))
+    return user_fallbacks(tables, params, [as_of], lots).select("_user", "max_known")
+
+
+def user_fallbacks(tables: Tables, params: ReportParams, as_of_dates, lots: DataFrame) -> DataFrame:
+    """Lake profile: (_user, as_of, max_known) for every user with a fallback date on
+    some of the as-of dates.
+
+    Only the as-of date itself is excluded, so a user's two latest qualifying dates answer
+    every as-of date (in strict mode, the two latest before each).  The search widens like
+    :func:`_latest_qualifying`, and each step counts only for the users that are still
+    without an answer; users x trading days is read for those alone."""
+    spark = lots.sparkSession
+    as_of_dates = sorted(set(as_of_dates))
+    floor = min(beginning_of_year_of(d) for d in as_of_dates)
+    asof = spark.createDataFrame([(d, beginning_of_year_of(d)) for d in as_of_dates], "as_of date, boy date")
+    open_users = lots.select("_user", "ticker").distinct()
+    found = None
+    for days in LOOKBACK_DAYS:
+        lower = floor if days is None else max(floor, as_of_dates[0] - dt.timedelta(days=days))
+        counts = date_row_counts(tables, open_users, F.col("date") >= F.lit(lower), by_user=True)
+        days_of = qualifying_dates(counts, params.threshold, by_user=True)
+        if params.strict_as_of:
+            # calendar-bounded per user: the dates since ``lower`` against the requested dates
+            pairs = days_of.join(F.broadcast(asof), (F.col("date") < F.col("as_of")) & (F.col("date") >= F.col("boy")))
+            step = pairs.groupBy("_user", "as_of").agg(F.max("date").alias("max_known"))
+        else:
+            latest = days_of.groupBy("_user").agg(F.max("date").alias("d1"))
+            second = days_of.join(latest, "_user").where("date < d1").groupBy("_user").agg(F.max("date").alias("d2"))
+            best = F.when(F.col("d1") != F.col("as_of"), F.col("d1")).otherwise(F.col("d2"))
+            step = (latest.join(second, "_user", "left").join(F.broadcast(asof))
+                    .select("_user", "as_of", best.alias("max_known"), "boy").where("max_known >= boy").drop("boy"))
+        ensure_checkpoint_dir(spark)
+        step = step.checkpoint(eager=True)  # read by the next step and by the report
+        last = days is None or lower == floor
+        if not last:
+            done = step.groupBy("_user").agg(F.count("*").alias("n")).where(F.col("n") == len(as_of_dates)).select("_user")
+            step = step.join(done, "_user", "left_semi")
+            open_users = open_users.join(done, "_user", "left_anti")
+        found = step if found is None else found.unionByName(step)
+        if last or open_users.isEmpty():
+            return found
+    return found
 
 
 def fx_rate(tables: Tables, params: ReportParams, today: dt.date, yesterday: dt.date) -> Decimal:
@@ -186,10 +225,13 @@ def compute_anchors(spark: SparkSession, tables: Tables, params: ReportParams,
     as_of, yesterday, boy = _date_literals(spark, params.as_of)
     # the two lookups are independent jobs: submit them together so the
     # scheduler runs them side by side instead of one after the other
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        rate_f = pool.submit(fx_rate, tables, params, as_of, yesterday)
-        fb_f = pool.submit(fallback_date, tables, params, as_of, lots)
-        rate, fb = rate_f.result(), fb_f.result()
+    # (job group and local properties go along)
+    own = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        rate_f = pool.submit(own(fx_rate), tables, params, as_of, yesterday)
+        fb_f = pool.submit(own(fallback_date), tables, params, as_of, lots)
+        check_f = pool.submit(own(check_preconditions), tables, params)
+        rate, fb, _ = rate_f.result(), fb_f.result(), check_f.result()
     if isinstance(fb, DataFrame):
         # one row per user, read twice downstream (its distinct dates, then
         # the join): write it once to the shared checkpoint folder, which also
@@ -201,8 +243,8 @@ def compute_anchors(spark: SparkSession, tables: Tables, params: ReportParams,
 
 
 def backfill_anchors(spark: SparkSession, tables: Tables, params: ReportParams, as_of_dates) -> DataFrame:
-    """EXT2, warehouse profile: anchors for many as-of dates in one frame
-    (as_of, today, yesterday, boy, max_known, rate).
+    """EXT2: anchors for many as-of dates in one frame (as_of, today, yesterday, boy,
+    max_known, rate); in the lake profile max_known is NULL here.
 
     The qualifying dates do not depend on the as-of date except that the
     as-of date itself is excluded, so the fallback is the latest qualifying
@@ -211,9 +253,11 @@ def backfill_anchors(spark: SparkSession, tables: Tables, params: ReportParams,
     :func:`_latest_qualifying` until every as-of date has its answer (or all
     history has been read).  The frame has one row per requested date.
     """
-    if params.profile.fallback_scope != "all":
-        raise ValueError("backfill over many as-of dates needs the warehouse profile")
     as_of_dates = sorted(set(as_of_dates))
+    check_preconditions(tables, params)
+    if params.profile.fallback_scope != "all":  # the fallback is per user, see user_fallbacks
+        asof = as_of_frame(spark, as_of_dates)
+        return asof.withColumn("max_known", F.lit(None).cast("date")).join(fx_rates(tables, params, asof), "as_of")
     asof = as_of_frame(spark, as_of_dates)
     held = held_tickers(tables, params)
     earliest = as_of_dates[0]

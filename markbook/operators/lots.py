@@ -28,8 +28,8 @@ def user_lots(tables: Tables, params: ReportParams, users: list[str] | None = No
     port = with_user_column(tables.portfolio).where(F.col("dataset") == params.dataset)
     if params.user is not None:
         port = port.where(F.col("_user") == params.user)
-    elif users:
-        port = port.where(F.col("_user").isin(list(users)))
+    elif users or params.users:
+        port = port.where(F.col("_user").isin(list(users or params.users)))
     mk = tables.markets
     if prof.markets_on_dataset:
         mk = mk.where(F.col("dataset") == params.dataset)
@@ -104,16 +104,29 @@ def precondition_violations(tables: Tables, params: ReportParams) -> DataFrame:
     """(kind, key, n) rows that break the one-pass core's assumptions:
     several markets rows per join key (Q2), or one description shared by
     several held tickers (Q7).  Empty when the reports equal the reference's
-    literal join chains; otherwise use :mod:`markbook.operators.literal`."""
+    literal join chains; otherwise use :mod:`markbook.operators.literal`.
+    A missing description is not a shared one."""
     prof = params.profile
     keys = ["ticker", "dataset"] if prof.markets_on_dataset else ["ticker"]
     mk = tables.markets
     if prof.markets_on_dataset:
         mk = mk.where(F.col("dataset") == params.dataset)
-    dup_keys = duplicate_keys(mk.select(*keys), keys).select(
+    attributes = mk.select(*keys, "description", *DIMENSIONS).distinct()
+    dup_keys = duplicate_keys(attributes.select(*keys), keys).select(
         F.lit("markets_key").alias("kind"), F.concat_ws("|", *keys).alias("key"), "n")
     held = held_tickers(tables, params)
-    descs = mk.join(held, "ticker").select("ticker", "description").distinct()
+    descs = mk.where(F.col("description").isNotNull()).join(held, "ticker").select("ticker", "description").distinct()
     dup_desc = duplicate_keys(descs.select("description"), ["description"]).select(
         F.lit("description").alias("kind"), F.col("description").alias("key"), "n")
     return dup_keys.unionByName(dup_desc)
+
+
+def check_preconditions(tables: Tables, params: ReportParams) -> None:
+    """Stops a run whose tables break the core's assumptions."""
+    if params.allow_shared:
+        return
+    found = precondition_violations(tables, params).limit(5).collect()
+    if found:
+        raise ValueError("the one-pass reports need one markets row per ticker and one ticker per description; found "
+                         + ", ".join(f"{r['kind']} {r['key']!r} x {r['n']}" for r in found)
+                         + " (allow_shared=True counts each ticker once; operators.literal has the join chains)")

@@ -2,9 +2,11 @@
 
 The reference averages ``close`` by (ticker, date) over the four anchor dates,
 merging datasets (Q18) and converting the pence-quoted ticker with the FX rate.
-Here the price fact is scanned once with ``date IN (anchor literals)`` pushed
-into the Parquet reader (or partition pruning) and reduced with a map-side
-partial aggregate, so a hot ticker never reaches one task as raw rows:
+Here the price fact is scanned once for the anchor dates and reduced with a
+map-side partial aggregate, so a hot ticker never reaches one task as raw rows.
+A stored or partition ``date`` column prunes to the anchor dates themselves; where
+``date`` is a cast of a timestamp, the range from the first to the last anchor
+reaches the reader (see :func:`on_dates`):
 
 * one as-of date (:func:`anchor_prices_at`): conditional sums per anchor role,
   grouped by ticker, one wide row per ticker, no join;
@@ -25,9 +27,20 @@ from ..functions.money import price_average
 ROLES = ("t", "y", "b", "m")  # today, yesterday, 2 January, fallback date
 
 
+def on_dates(dates, column: str = "date") -> F.Column:
+    """``column`` is one of ``dates``.  The range around them is stated too, because the
+    optimizer turns a range over ``cast(ts as date)`` into a range over ``ts`` that the
+    reader can use, which it does not do for a list."""
+    days = sorted({d for d in dates if d is not None})
+    c = F.col(column)
+    if not days:
+        return F.lit(False)
+    return c.between(F.lit(days[0]), F.lit(days[-1])) & c.isin(days)
+
+
 def daily_prices(equities: DataFrame, dates) -> DataFrame:
     """(ticker, date, close_sum, close_n, n_rows) for the given dates."""
-    return (equities.where(F.col("date").isin(list(dates)))
+    return (equities.where(on_dates(dates))
             .groupBy("ticker", "date")
             .agg(F.sum(F.col("close").cast("decimal(18,6)")).cast("decimal(24,6)").alias("close_sum"),
                  F.count("close").alias("close_n"),
@@ -51,7 +64,7 @@ def anchor_prices_at(equities: DataFrame, role_dates: dict, rate: Decimal, fx_ti
                  F.max(F.when(on, F.lit(True))).alias(f"h_{r}")]
     if not aggs:
         raise ValueError("no anchor dates")
-    wide = equities.where(F.col("date").isin(dates)).groupBy("ticker").agg(*aggs)
+    wide = equities.where(on_dates(dates)).groupBy("ticker").agg(*aggs)
     rate_lit = F.lit(rate).cast("decimal(10,4)")
     cols = ["ticker"]
     for r in ROLES:

@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 
 from ..config import DIMENSIONS, ReportParams
 from ..sources.tables import Tables
-from .anchors import Anchors, backfill_anchors, compute_anchors
+from .anchors import Anchors, backfill_anchors, compute_anchors, user_fallbacks
 from .lots import user_positions
-from .prices import ROLES, anchor_prices, anchor_prices_at, daily_prices, prices_on, roles_of
+from .prices import ROLES, anchor_prices, anchor_prices_at, converted_price, daily_prices, prices_on, roles_of
 
 MEASURES = ("cost_basis", "market_value", "gain_loss", "ytd_gain_loss", "today_gain_loss")
 
@@ -133,8 +133,6 @@ def backfill_valuation(spark: SparkSession, tables: Tables, params: ReportParams
     The anchors frame (one row per as-of date) is collected once and rebuilt
     as a local relation; the price scan reads only the union of anchor dates.
     """
-    if params.profile.keep_unpriced or params.profile.fallback_scope != "all":
-        raise ValueError("backfill supports the warehouse profile")
     anchors = backfill_anchors(spark, tables, params, as_of_dates)
     rows = anchors.collect()  # one row per requested as-of date
     local = F.broadcast(spark.createDataFrame(rows, anchors.schema))  # bounded: one row per as-of date
@@ -143,5 +141,24 @@ def backfill_valuation(spark: SparkSession, tables: Tables, params: ReportParams
     px = anchor_prices(daily, roles_of(local), params.fx_ticker, keys=("as_of",))
     px = px.join(local.select("as_of", "today", "boy", "max_known"), "as_of")
     pos = user_positions(tables, params)
+    if params.profile.fallback_scope != "all":
+        return _lake_backfill(tables, params, as_of_dates, local, px, pos)
     j = pos.join(px, "ticker")
     return value_rows(j, params, F.col("today"), F.col("boy"), F.col("max_known"), keys=("as_of",))
+
+
+def _lake_backfill(tables: Tables, params: ReportParams, as_of_dates, local: DataFrame, px: DataFrame,
+                   pos: DataFrame) -> DataFrame:
+    """Core rows of many as-of dates where every user has a fallback date of their own:
+    each position meets its (as_of, ticker) prices and its user's fallback price."""
+    fb = user_fallbacks(tables, params, as_of_dates, pos)
+    known = sorted(r["max_known"] for r in fb.select("max_known").distinct().collect())  # calendar-bounded
+    pm = daily_prices(tables.equities, known).select("ticker", F.col("date").alias("max_known"), "close_sum", "close_n")
+    wide = px.select("as_of", "ticker", *[c for r in ROLES if r != "m" for c in (f"p_{r}", f"h_{r}")])
+    j = (pos.join(local.select("as_of", "today", "boy", "rate"))  # bounded: one row per requested date
+         .join(wide, ["as_of", "ticker"], "left").join(fb, ["_user", "as_of"], "left").join(pm, ["ticker", "max_known"], "left"))
+    j = j.withColumn("h_m", F.col("close_n").isNotNull()).withColumn("p_m", converted_price(params.fx_ticker))
+    if not params.profile.keep_unpriced:
+        priced = [F.coalesce(F.col(f"h_{r}"), F.lit(False)) for r in ROLES]
+        j = j.where(priced[0] | priced[1] | priced[2] | priced[3])
+    return value_rows(j, params, F.col("today"), F.col("boy"), F.col("max_known"), keys=("as_of",))

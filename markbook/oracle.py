@@ -1,10 +1,10 @@
 """DuckDB SQL twins of the registered queries (the correctness oracle).
 
-The oracle deliberately keeps the reference's *literal* shape: four grouped
-right joins, two chains of full outer joins, a TOTAL computed separately and
-a UNION ALL.  The Spark side uses the single-pass core, so a match checks
-that the rewrite is equivalent.  Stand-in views (FIXTURES.md section 3) are
-prepended as CTEs over the driver's pre-registered tables.
+The valuation is written from its rules: role-tagged prices spread over
+positions, two legs per position, explicit rows for what has no counterpart,
+TOTAL by grouping.  The operators that pair rows (JN3-JN7) are also held
+against small hand-computed cases in the tests.  Stand-in views (FIXTURES.md
+section 3) are prepended as CTEs over the driver's pre-registered tables.
 """
 
 from __future__ import annotations
@@ -55,237 +55,185 @@ equities_fact as (
 )"""
 
 
-CTE_NAMES = ("anchor", "yr_start", "holdings", "fallback", "fx", "fx_rate", "px", "v_today",
-             "v_yesterday", "v_ytd", "v_backup", "detail", "merged", "summary", "results", "unioned",
-             "bench", "pre", "report")
-
-
-def suffixed(body: str, sfx: str) -> str:
-    """Rename the literal form's CTEs so several instances fit in one query."""
-    if not sfx:
-        return body
-    import re
-    return re.sub(r"\b(" + "|".join(CTE_NAMES) + r")\b", lambda m: m.group(1) + sfx, body)
-
-
 def with_standins(body: str) -> str:
     return "with " + STANDIN_CTES.strip() + ",\n" + body.strip()
 
 
 def _pct(num: str, den: str) -> str:
-    return (f"cast(cast({num} as double) / nullif(cast({den} as double), 0) * 100 as decimal(8,2))"
+    return (f"cast(cast({num} as double) / nullif(cast({den} as double), 0) * 100 as decimal(18,2))"
             f" || '%'")
 
 
 def _int(x: str) -> str:
-    return f"cast(round({x}) as integer)"
+    return f"cast(round({x}) as bigint)"
+
+
+_MEAS = ("cost_basis", "market_value", "gain_loss", "ytd_gain_loss", "today_gain_loss")
+_DIM_COLS = ("asset_type", "location", "capitalization", "investment_style")
+_DIMS = ", ".join((*_DIM_COLS, "description"))
 
 
 def core_ctes(*, as_of: dt.date = STANDIN_AS_OF, user: str = STANDIN_USER, lake: bool = False,
               weekly: bool = False, min_rows: int | None = None, fx_ticker: str = STANDIN_FX_TICKER,
               ys_ticker: str = STANDIN_YEAR_START_TICKER) -> str:
-    """Literal valuation chain up to ``detail_with_backup``."""
+    """CTEs of one run, ending in ``valued``: one row per valued position.
+
+    Every anchor date gets a role (t today, y previous weekday, b 2 January, m fallback); prices
+    are tagged with the roles their date plays and spread into one row per position.  A
+    position has a *current* leg (priced today) and a *fallback* leg (priced on the fallback
+    date); the year-start ticker adds its 2 January value to either leg when that date is
+    priced and is not the leg's own date.  The rules for what has no counterpart are spelled out:
+
+    * with a description, the current leg wins over the fallback leg, measure by measure;
+    * without one the two legs are separate rows;
+    * a 2 January price that meets no previous-weekday price, or no fallback leg, leaves a row
+      without any key and with zero changes;
+    * in the weekly lake run, a position without any anchor price leaves a row without ticker.
+    """
     if min_rows is None:
         min_rows = MIN_ROWS_LAKE_WEEKLY if (lake and weekly) else MIN_ROWS_WAREHOUSE
-    mk_join = ("markets.ticker = portfolio.ticker" if lake else
-               "markets.ticker = portfolio.ticker and markets.dataset = portfolio.dataset")
-    qty = "cast(portfolio.quantity as decimal(10,4))" if lake else "portfolio.quantity"
-    cps = "cast(portfolio.cost_per_share as decimal(6,2))" if lake else "portfolio.cost_per_share"
+    day = f"date '{as_of.isoformat()}'"
     if lake:
-        fb_where = ("date >= (select boy from yr_start) and date <> (select today from anchor) "
-                    "and ticker in (select distinct ticker from holdings)")
+        lot, same = "cast(w.quantity as decimal(10,4)) as quantity, cast(w.cost_per_share as decimal(6,2)) as cost_per_share", ""
+        counted = "e.ticker in (select ticker from lots) and e.date >= (select day from calendar where role = 'b')"
     else:
-        fb_where = ("ticker in (select distinct ticker from portfolio_dim where dataset = 'ALPHA-VANTAGE') "
-                    "and date <> (select today from anchor)")
-    px_null = " or date is null" if (weekly and not lake) else ""
-    y_null = " or date is null" if (weekly and lake) else ""
-    dims = "h.asset_type, h.location, h.capitalization, h.investment_style, h.description"
+        lot, same = "w.quantity, w.cost_per_share", " and a.dataset = w.dataset"
+        counted = "exists (from portfolio_dim o where o.dataset = 'ALPHA-VANTAGE' and o.ticker = e.ticker)"
+    null_quotes = " or e.date is null" if weekly and not lake else ""
+    spread = ",\n         ".join(
+        f"max(q.close) filter (where c.role = '{r}') as p_{r}, count(c.role) filter (where c.role = '{r}') > 0 as h_{r}"
+        for r in "tybm")
+    worth = ", ".join(f"case when h_{r} then coalesce(qty * p_{r}, cost) end as v_{r}" for r in "tybm")
+    unpriced = f"""
+  union all
+  select {_DIMS}, null, null, null, null, 0, 0 from positions
+  where not (h_t or h_y or h_b or h_m)""" if lake and weekly else ""
+    nothing = ", ".join(["null"] * (len(_DIM_COLS) + 5)) + ", 0, 0"
     return f"""
-anchor as (
-  select date '{as_of.isoformat()}' as today,
-         case isodow(date '{as_of.isoformat()}') % 7
-           when 1 then date '{as_of.isoformat()}' - 3
-           when 0 then date '{as_of.isoformat()}' - 2
-           else date '{as_of.isoformat()}' - 1 end as yesterday
-), yr_start as (
-  select cast(date_trunc('year', date '{as_of.isoformat()}') + interval '1 day' as date) as boy
-), holdings as (
-  select markets.asset_type, markets.location, markets.capitalization, markets.investment_style,
-         markets.description, portfolio.ticker, {qty} as quantity, {cps} as cost_per_share
-  from portfolio_dim portfolio join markets_dim markets on {mk_join}
-  where portfolio.dataset = 'ALPHA-VANTAGE' and portfolio._user = '{user}'
-  group by 1, 2, 3, 4, 5, 6, 7, 8
-), fallback as (
-  select max(date) as max_known from (
-    select date, dataset, count(*) as n from equities_fact
-    where {fb_where}
-    group by 1, 2 having count(*) > {min_rows}) q
-), fx as (
-  select currency, rate from currency_fact
-  where currency = 'GBP' and (date = (select today from anchor) or date = (select yesterday from anchor))
-  order by date desc, rate desc limit 1
-), fx_rate as (
-  select coalesce(fx.rate, d.rate) as rate
-  from fx right join (select 'GBP' as currency, 1.30 as rate) d on fx.currency = d.currency
-), px as (
-  select ticker, date,
-         cast(round(avg(case when ticker = '{fx_ticker}' then close * (select rate from fx_rate) / 100
-                             else close end), 6) as decimal(18,6)) as close
-  from equities_fact
-  where date = (select today from anchor) or date = (select yesterday from anchor)
-     or date = (select max_known from fallback) or date = (select boy from yr_start){px_null}
-  group by 1, 2
-), v_today as (
-  select {dims}, px.ticker,
-         sum(quantity * cost_per_share) as cost_basis,
-         sum(quantity * coalesce(close, cost_per_share)) as market_value,
-         sum(quantity * coalesce(close, cost_per_share) - quantity * cost_per_share) as gain_loss
-  from px right join holdings h on h.ticker = px.ticker
-  where date = (select today from anchor)
-     or (case when px.ticker = '{ys_ticker}' and date = (select boy from yr_start) then 1 else 0 end) = 1
-  group by 1, 2, 3, 4, 5, 6
-), v_yesterday as (
-  select {dims}, px.ticker, sum(quantity * coalesce(close, cost_per_share)) as yesterday
-  from px right join holdings h on h.ticker = px.ticker
-  where date in (select yesterday from anchor){y_null}
-  group by 1, 2, 3, 4, 5, 6
-), v_ytd as (
-  select {dims}, px.ticker, sum(quantity * coalesce(close, cost_per_share)) as market_value
-  from px right join holdings h on h.ticker = px.ticker
-  where date = (select boy from yr_start)
-  group by 1, 2, 3, 4, 5, 6
-), v_backup as (
-  select {dims}, px.ticker,
-         sum(quantity * cost_per_share) as cost_basis,
-         sum(quantity * coalesce(close, cost_per_share)) as market_value,
-         sum(quantity * coalesce(close, cost_per_share) - quantity * cost_per_share) as gain_loss
-  from px right join holdings h on h.ticker = px.ticker
-  where date in (select max_known from fallback)
-     or (case when px.ticker = '{ys_ticker}' and date = (select boy from yr_start) then 1 else 0 end) = 1
-  group by 1, 2, 3, 4, 5, 6
-), detail as (
-  select coalesce(t.asset_type, y.asset_type) as asset_type,
-         coalesce(t.location, y.location) as location,
-         coalesce(t.capitalization, y.capitalization) as capitalization,
-         coalesce(t.investment_style, y.investment_style) as investment_style,
-         coalesce(t.description, y.description) as description,
-         coalesce(t.ticker, y.ticker) as ticker,
-         t.cost_basis, t.market_value, t.gain_loss,
-         t.market_value - b.market_value as ytd_gain_loss,
-         t.market_value - y.yesterday as today_gain_loss
-  from v_today t
-  full outer join v_yesterday y on t.ticker = y.ticker
-  full outer join v_ytd b on y.ticker = b.ticker
-), merged as (
-  select coalesce(d.asset_type, k.asset_type) as asset_type,
-         coalesce(d.location, k.location) as location,
-         coalesce(d.capitalization, k.capitalization) as capitalization,
-         coalesce(d.investment_style, k.investment_style) as investment_style,
-         coalesce(d.description, k.description) as description,
-         coalesce(d.ticker, k.ticker) as ticker,
-         coalesce(d.cost_basis, k.cost_basis) as cost_basis,
-         coalesce(d.market_value, k.market_value) as market_value,
-         coalesce(d.gain_loss, k.gain_loss) as gain_loss,
-         coalesce(d.ytd_gain_loss, k.market_value - b.market_value, 0) as ytd_gain_loss,
-         coalesce(d.today_gain_loss, 0) as today_gain_loss
-  from detail d
-  full outer join v_backup k on d.description = k.description
-  full outer join v_ytd b on k.description = b.description
-), summary as (
-  select sum(cost_basis) as cost_basis, sum(market_value) as market_value, sum(gain_loss) as gain_loss,
-         sum(ytd_gain_loss) as ytd_gain_loss, sum(today_gain_loss) as today_gain_loss
-  from merged
+calendar as (
+  select 't' as role, {day} as day
+  union all select 'y', {day} - case dayname({day}) when 'Monday' then 3 when 'Sunday' then 2 else 1 end
+  union all select 'b', make_date(year({day}), 1, 2)
+), lots as (
+  select distinct {", ".join(f"a.{c}" for c in (*_DIM_COLS, "description"))}, w.ticker, {lot}
+  from (from portfolio_dim where _user = '{user}' and dataset = 'ALPHA-VANTAGE') w
+  join markets_dim a on a.ticker = w.ticker{same}
+), last_full as (
+  select max(date) as day
+  from (select e.date from equities_fact e where e.date <> {day} and {counted}
+        group by e.date, e.dataset having count(*) > {min_rows})
+), roles as (
+  from calendar union all select 'm', day from last_full where day is not null
+), rate as (
+  select coalesce(max_by(f.rate, (f.date, f.rate)), 1.30) as rate
+  from currency_fact f where f.currency = 'GBP' and f.date in (select day from calendar where role in ('t', 'y'))
+), quotes as (
+  select e.ticker, e.date,
+         cast(round(avg(e.close * if(e.ticker = '{fx_ticker}', r.rate, 100) / 100), 6) as decimal(18,6)) as close
+  from equities_fact e, rate r
+  where e.date in (select day from roles){null_quotes}
+  group by all
+), spread as (
+  select q.ticker, {spread}
+  from quotes q join roles c on c.day = q.date group by q.ticker
+), held as (
+  select {_DIMS}, ticker, sum(quantity) as qty, sum(quantity * cost_per_share) as cost from lots group by all
+), positions as (
+  select h.*, {", ".join(f"s.p_{r}, coalesce(s.h_{r}, false) as h_{r}" for r in "tybm")}
+  from held h left join spread s using (ticker)
+), worth as (
+  select *, {worth},
+         (ticker is not distinct from '{ys_ticker}') and h_b and (select max(day) from roles where role = 't') <> (select day from roles where role = 'b') as x_t,
+         (ticker is not distinct from '{ys_ticker}') and h_b and (select max(day) from roles where role = 'm') is distinct from (select day from roles where role = 'b') as x_m
+  from positions
+), legs as (
+  select *,
+         case when h_t or x_t then cost * (h_t::int + x_t::int) end as cost_now,
+         case when h_t or x_t then if(h_t, v_t, 0) + if(x_t, v_b, 0) end as value_now,
+         case when h_m or x_m then cost * (h_m::int + x_m::int) end as cost_then,
+         case when h_m or x_m then if(h_m, v_m, 0) + if(x_m, v_b, 0) end as value_then
+  from worth
+), valued as (
+  select {_DIMS}, ticker, coalesce(cost_now, cost_then) as cost_basis, coalesce(value_now, value_then) as market_value,
+         coalesce(value_now - cost_now, value_then - cost_then) as gain_loss,
+         coalesce(if(h_y, value_now - v_b, null), value_then - v_b, 0) as ytd_gain_loss,
+         coalesce(value_now - v_y, 0) as today_gain_loss
+  from legs where description is not null and (value_now is not null or h_y or value_then is not null)
+  union all
+  select {_DIMS}, ticker, cost_now, value_now, value_now - cost_now,
+         coalesce(if(h_y, value_now - v_b, null), 0), coalesce(value_now - v_y, 0)
+  from legs where description is null and (value_now is not null or h_y)
+  union all
+  select {_DIMS}, ticker, cost_then, value_then, value_then - cost_then, 0, 0
+  from legs where description is null and value_then is not null
+  union all
+  select {nothing} from legs where h_b and not h_y
+  union all
+  select {nothing} from legs where h_b and (value_then is null or description is null){unpriced}
 )"""
 
 
-def _measures(prefix: str = "") -> str:
-    return ", ".join(f"sum({prefix}{m}) as {m}" for m in
-                     ("cost_basis", "market_value", "gain_loss", "ytd_gain_loss", "today_gain_loss"))
+def _measures(cond: str = "") -> str:
+    return ", ".join(f"sum({m}){cond} as {m}" for m in _MEAS)
 
 
-def daily_ctes(sfx: str = "", **kw) -> str:
-    """RPT1 / RPT2 in literal form, as CTEs ending in ``report``."""
-    body = core_ctes(**kw) + """, results as (
-  select ticker, description, """ + _measures() + """
-  from merged where ticker <> '' group by 1, 2
-), unioned as (
-  select 'TOTAL' as ticker, 'Portfolio Total' as description, * from summary
-  union all
-  select * from results
-), report as (
-select ticker,
-       """ + _pct("market_value", "(select market_value from summary)") + """ as "mix_%",
-       description,
-       """ + _int("cost_basis") + """ as cost_basis,
-       """ + _int("market_value") + """ as market_value,
-       """ + _int("today_gain_loss") + """ as today_gain_loss,
-       """ + _pct("today_gain_loss", "market_value") + """ as "today_gain_loss_%",
-       """ + _int("ytd_gain_loss") + """ as ytd_gain_loss,
-       """ + _pct("ytd_gain_loss", "market_value") + """ as "ytd_gain_loss_%",
-       """ + _int("gain_loss") + """ as total_gain_loss,
-       """ + _pct("gain_loss", "cost_basis") + """ as "total_gain_loss_%"
-from unioned)"""
-    return suffixed(body, sfx)
+def _printed(total: str) -> dict[str, str]:
+    """Report columns from summed measures; ``total``: TOTAL's market value."""
+    return {'"mix_%"': _pct("market_value", total), "cost_basis": _int("cost_basis"), "market_value": _int("market_value"),
+            "today_gain_loss": _int("today_gain_loss"), '"today_gain_loss_%"': _pct("today_gain_loss", "market_value"),
+            "ytd_gain_loss": _int("ytd_gain_loss"), '"ytd_gain_loss_%"': _pct("ytd_gain_loss", "market_value"),
+            "total_gain_loss": _int("gain_loss"), '"total_gain_loss_%"': _pct("gain_loss", "cost_basis")}
+
+
+_TOTAL_VALUE = "max(market_value) filter (where kind = 'total') over ()"
+
+
+def daily_select(**kw) -> str:
+    """RPT1 / RPT2 over the base tables: TOTAL and detail from one grouping."""
+    cols = ", ".join(f"{x} as {c}" for c, x in _printed(_TOTAL_VALUE).items())
+    return "with " + core_ctes(**kw).strip() + f""", grouped as (
+  select ticker, description, if(grouping(ticker) = 1, 'total', 'row') as kind, {_measures()}
+  from valued group by grouping sets ((ticker, description), ())
+)
+select if(kind = 'total', 'TOTAL', ticker) as ticker, if(kind = 'total', 'Portfolio Total', description) as description, {cols}
+from (from grouped where kind = 'total' or ticker <> '')"""
 
 
 def daily_sql(**kw) -> str:
-    return with_standins(daily_ctes(**kw) + "\nselect * from report")
+    return with_standins(f"one as ({daily_select(**kw)})\nselect * from one")
 
 
-def rollup_ctes(dimension: str, sfx: str = "", benchmark: str = STANDIN_BENCHMARK_TICKER, **kw) -> str:
-    """RPT3-RPT7 in literal form: Benchmark + TOTAL + groups, masked; CTEs
-    ending in ``report``."""
+def rollup_select(dimension: str, benchmark: str = STANDIN_BENCHMARK_TICKER, **kw) -> str:
+    """RPT3-RPT7: each valued row goes to the groups it counts in (TOTAL always, its own group
+    with a ticker, the benchmark for that ticker), then one aggregate."""
     kw.setdefault("weekly", True)
-    mask = f"case when asset_type = '{BENCHMARK_LABEL}' then '---' else "
-    body = core_ctes(**kw) + f""", bench as (
-  select '{BENCHMARK_LABEL}' as asset_type, {_measures()}
-  from merged where ticker = '{benchmark}' group by 1
-), results as (
-  select {dimension} as asset_type, {_measures()}
-  from merged where ticker <> '' group by 1
-), unioned as (
-  select * from bench
-  union all
-  select 'TOTAL' as asset_type, * from summary
-  union all
-  select * from results
-), pre as (
-  select {_pct("market_value", "(select market_value from summary)")} as "mix_%",
-         asset_type,
-         {_int("cost_basis")} as cost_basis,
-         {_int("market_value")} as market_value,
-         {_int("today_gain_loss")} as today_gain_loss,
-         {_pct("today_gain_loss", "market_value")} as "today_gain_loss_%",
-         {_int("ytd_gain_loss")} as ytd_gain_loss,
-         {_pct("ytd_gain_loss", "market_value")} as "ytd_gain_loss_%",
-         {_int("gain_loss")} as total_gain_loss,
-         {_pct("gain_loss", "cost_basis")} as "total_gain_loss_%"
-  from unioned
-), report as (
-select {mask}"mix_%" end as "mix_%",
-       asset_type,
-       {mask}cast(cost_basis as varchar) end as cost_basis,
-       {mask}cast(market_value as varchar) end as market_value,
-       {mask}cast(today_gain_loss as varchar) end as today_gain_loss,
-       "today_gain_loss_%",
-       {mask}cast(ytd_gain_loss as varchar) end as ytd_gain_loss,
-       "ytd_gain_loss_%",
-       {mask}cast(total_gain_loss as varchar) end as total_gain_loss,
-       "total_gain_loss_%"
-from pre)"""
-    return suffixed(body, sfx)
+    text = {"cost_basis", "market_value", "today_gain_loss", "ytd_gain_loss", "total_gain_loss"}
+    cols = ", ".join(
+        f"case when asset_type = '{BENCHMARK_LABEL}' then '---' else cast({x} as varchar) end as {c}"
+        if c in text or "mix" in c else f"{x} as {c}" for c, x in _printed(_TOTAL_VALUE).items())
+    return "with " + core_ctes(**kw).strip() + f""", counted as (
+  select 'total' as kind, 'TOTAL' as label, * from valued
+  union all select 'row', {dimension}, * from valued where ticker <> ''
+  union all select 'benchmark', '{BENCHMARK_LABEL}', * from valued where ticker = '{benchmark}'
+), grouped as (
+  select kind, label as asset_type, {_measures()} from counted group by all
+  union all  -- TOTAL exists even without a row
+  select 'total', 'TOTAL', null, null, null, null, null where not exists (from valued)
+)
+select asset_type, {cols} from grouped"""
 
 
 def rollup_sql(dimension: str, **kw) -> str:
-    return with_standins(rollup_ctes(dimension, **kw) + "\nselect * from report")
+    return with_standins(f"one as ({rollup_select(dimension, **kw)})\nselect * from one")
+
+
+def stacked(parts: list[tuple[str, str]]) -> str:
+    """Several runs in one statement; ``parts``: (leading column, select text)."""
+    return "\nunion all\n".join(f"select {lead}, * from ({text})" for lead, text in parts)
 
 
-def union_of(parts: list[tuple[str, str, str]]) -> str:
-    """``parts``: (suffix, CTE text, leading select list such as ``'R' as _user``).
-    Several literal instances side by side, stacked with UNION ALL."""
-    ctes = ",\n".join(p[1] for p in parts)
-    sel = "\nunion all\n".join(f"select {lead}, * from report{sfx}" for sfx, _, lead in parts)
-    return with_standins(ctes + "\n" + sel)
+def union_of(parts: list[tuple[str, str]]) -> str:
+    return with_standins("every_run as (\n" + stacked(parts) + "\n)\nselect * from every_run")
 
 
 # ------------------------------------------------------------ registry SQL
@@ -293,10 +241,6 @@ def _m(c: str) -> str:
     return f"cast({c} as decimal(18,2))"
 
 
-_MEAS = ("cost_basis", "market_value", "gain_loss", "ytd_gain_loss", "today_gain_loss")
-_DIMS = "asset_type, location, capitalization, investment_style, description"
-
-
 def _money_sums() -> str:
     return ", ".join(f"{_m(f'sum({c})')} as {c}" for c in _MEAS)
 
@@ -343,8 +287,8 @@ def _pvt2_ctes() -> str:
   select description, date, sum(mv) as market_value from priced group by 1, 2
 ), pv as (
   select description,
-         cast(sum(case when date = date '{y}' then market_value end) as decimal(10,2)) as yesterday,
-         cast(sum(case when date = date '{d}' then market_value end) as decimal(10,2)) as today
+         cast(sum(case when date = date '{y}' then market_value end) as decimal(18,2)) as yesterday,
+         cast(sum(case when date = date '{d}' then market_value end) as decimal(18,2)) as today
   from result group by 1
 )"""
 
@@ -395,8 +339,18 @@ def registered_sql() -> dict[str, str]:
                   '"today_gain_loss_%"', "ytd_gain_loss", '"ytd_gain_loss_%"', "total_gain_loss",
                   '"total_gain_loss_%"')
     block_cols = f"{_DIMS}, ticker"
-    anchors_in = ("select today from anchor union all select yesterday from anchor union all "
-                  "select boy from yr_start union all select max_known from fallback")
+    anchors_in = "select day from roles"
+    now_leg = ("select " + block_cols + ", {cost} as cost_basis, {value} as market_value, {gain} as gain_loss "
+               "from legs where value_{leg} is not null")
+    yesterday_leg = (f"select {block_cols}, {_m('v_y')} as yesterday from legs where h_y union all "
+                     f"select {_DIMS}, null, {_m('sum(cost)')} from positions "
+                     f"where not (h_t or h_y or h_b or h_m) group by all")
+
+    def leg(name: str) -> str:
+        return now_leg.format(leg=name, cost=_m(f"cost_{name}"), value=_m(f"value_{name}"),
+                              gain=_m(f"value_{name} - cost_{name}"))
+
+    no_keys = ", ".join(["null"] * (len(_DIM_COLS) + 2))
     log_between = f"where date between date '{STANDIN_LOG_START}' and date '{STANDIN_LOG_END}'"
     sql = {
         "rpt1": daily_sql(),
@@ -408,12 +362,12 @@ def registered_sql() -> dict[str, str]:
         "rpt9": _count_pivot(STANDIN_DEVICES, log_between),
         "rpt10": _retired_cost_basis(),
         "rpt11": _retired_day_change(),
-        "ext1": union_of([(f"_{u}", daily_ctes(sfx=f"_{u}", user=u), f"'{u}' as _user") for u in "ANR"]),
-        "ext1_lake": union_of([(f"_{u}", rollup_ctes("location", sfx=f"_{u}", user=u, lake=True),
-                                f"'{u}' as _user") for u in "ANR"]),
-        "ext2": union_of([(f"_{i}", daily_ctes(sfx=f"_{i}", as_of=x), f"date '{x}' as as_of")
-                          for i, x in enumerate(BACKFILL_DATES)]),
-        "ext3": union_of([(f"_{x}", rollup_ctes(x, sfx=f"_{x}"), f"'{x}' as dimension") for x in dims]),
+        "ext1": union_of([(f"'{u}' as _user", daily_select(user=u)) for u in "ANR"]),
+        "ext1_lake": union_of([(f"'{u}' as _user", rollup_select("location", user=u, lake=True)) for u in "ANR"]),
+        "ext2": union_of([(f"date '{x}' as as_of", daily_select(as_of=x)) for x in BACKFILL_DATES]),
+        "ext2_lake": union_of([(f"date '{x}' as as_of, '{u}' as _user", daily_select(as_of=x, user=u, lake=True))
+                               for x in BACKFILL_DATES[2:6] for u in "ANR"]),
+        "ext3": union_of([(f"'{x}' as dimension", rollup_select(x)) for x in dims]),
         "src1": with_standins("select * from equities_fact"),
         "src2": with_standins("select * from portfolio_dim"),
         "src3": with_standins("select * from markets_dim"),
@@ -424,28 +378,25 @@ def registered_sql() -> dict[str, str]:
             "select 'R' as _user, 'ALPHA-VANTAGE' as datasource, 'GBP' as currency, "
             "cast(1.30 as decimal(3,2)) as rate, today, case isodow(today) % 7 when 1 then today - 3 "
             "when 0 then today - 2 else today - 1 end as yesterday from d"),
-        "snk1": with_standins(daily_ctes() + "\nselect " + ", ".join(
-            f"cast({c} as varchar) as {c}" for c in daily_cols) + " from report"),
-        "snk2": with_standins(daily_ctes(lake=True) + "\nselect " + ", ".join(
-            f"cast({c} as varchar) as {c}" for c in daily_cols) + " from report"),
+        **{name: with_standins(f"one as ({daily_select(lake=lake)})\nselect " + ", ".join(
+            f"cast({c} as varchar) as {c}" for c in daily_cols) + " from one")
+           for name, lake in (("snk1", False), ("snk2", True))},
         "par1": with_standins("select _user, ticker, quantity, cost_per_share from portfolio_dim "
                               "where dataset = 'ALPHA-VANTAGE' and (_user = 'R' or _user = 'R'' or ''1''=''1')"),
         "prj1": _on_core(f"select ticker, description, quantity, cost_per_share, "
-                         f"{_m('quantity * cost_per_share')} as cost_basis from holdings"),
+                         f"{_m('quantity * cost_per_share')} as cost_basis from lots"),
         "prj2": with_standins("select * from equities_fact"),
         "prj3": rollup_sql("investment_style"),
         "flt1": with_standins("select * from portfolio_dim where dataset = 'ALPHA-VANTAGE' and _user = 'R'"),
         "flt2": with_standins(f"select * from equities_fact where date <> date '{d}'"),
         "flt3": _on_core(f"select * from equities_fact where date in ({anchors_in})"),
         "flt4": _on_core(f"select * from equities_fact where date in ({anchors_in}) or date is null"),
-        "flt5": _on_core(f"select {block_cols}, {_m('yesterday')} as yesterday from v_yesterday",
-                         lake=True, weekly=True),
+        "flt5": _on_core(yesterday_leg, lake=True, weekly=True),
         "flt6": with_standins(f"select * from equities_fact where ticker in "
                               f"('{STANDIN_FX_TICKER}', '{STANDIN_YEAR_START_TICKER}', '{STANDIN_BENCHMARK_TICKER}')"),
-        "flt7": _on_core(f"select {block_cols}, {_m('cost_basis')} as cost_basis, "
-                         f"{_m('market_value')} as market_value, {_m('gain_loss')} as gain_loss from v_today"),
+        "flt7": _on_core(leg("now")),
         "flt8": _on_core(f"select {block_cols}, " + ", ".join(f"{_m(c)} as {c}" for c in _MEAS)
-                         + " from merged where ticker <> ''"),
+                         + " from valued where ticker <> ''"),
         "flt9": _count_pivot(STANDIN_DEVICES, log_between),
         "flt10": with_standins("select * from equities_fact where date >= date '2024-01-02'"),
         "sub1": with_standins(
@@ -459,17 +410,18 @@ def registered_sql() -> dict[str, str]:
         "jn2": with_standins(
             "select p.ticker, m.description, m.asset_type, p.quantity, p.cost_per_share from portfolio_dim p "
             "join markets_dim m on m.ticker = p.ticker where p.dataset = 'ALPHA-VANTAGE' and p._user = 'R'"),
-        "jn3": _on_core(f"select {block_cols}, {_m('market_value')} as market_value from v_ytd"),
-        "jn4": _on_core(f"select {block_cols}, {_m('yesterday')} as yesterday from v_yesterday",
-                        lake=True, weekly=True),
+        "jn3": _on_core(f"select {block_cols}, {_m('v_b')} as market_value from legs where h_b"),
+        "jn4": _on_core(yesterday_leg, lake=True, weekly=True),
         "jn5": _fx_per_date(),
-        "jn6": _on_core(f"select {block_cols}, " + ", ".join(f"{_m(c)} as {c}" for c in _MEAS)
-                        + " from detail"),
+        "jn6": _on_core(f"select {block_cols}, {_m('cost_now')} as cost_basis, {_m('value_now')} as market_value, "
+                        f"{_m('value_now - cost_now')} as gain_loss, {_m('if(h_y, value_now - v_b, null)')} as ytd_gain_loss, "
+                        f"{_m('value_now - v_y')} as today_gain_loss from legs where value_now is not null or h_y "
+                        f"union all select {no_keys}, null, null, null, null, null from legs where h_b and not h_y"),
         "jn7": _on_core(f"select {block_cols}, " + ", ".join(f"{_m(c)} as {c}" for c in _MEAS)
-                        + " from merged"),
+                        + " from valued"),
         "jn8": with_standins("select * from equities_fact where ticker in "
                              "(select distinct ticker from portfolio_dim where dataset = 'ALPHA-VANTAGE')"),
-        "jn9": _on_core("select * from equities_fact where ticker in (select ticker from holdings)", lake=True),
+        "jn9": _on_core("select * from equities_fact where ticker in (select ticker from lots)", lake=True),
         "jn10": with_standins(
             f"select m.description, e.ticker, e.date, {_m('sum(p.quantity * p.cost_per_share)')} as cost_basis, "
             f"{_m('sum(p.quantity * e.close)')} as market_value, "
@@ -479,24 +431,23 @@ def registered_sql() -> dict[str, str]:
             f"join markets_dim m on e.dataset = m.dataset and e.ticker = m.ticker where e.date = date '{d}' "
             "group by 1, 2, 3"),
         "jn11": _retired_day_change(),
-        "agg1": _on_core("select * from holdings"),
-        "agg2": _on_core(f"select {block_cols}, {_m('cost_basis')} as cost_basis, "
-                         f"{_m('market_value')} as market_value, {_m('gain_loss')} as gain_loss from v_backup"),
-        "agg3": _on_core("select * from px"),
+        "agg1": _on_core("select * from lots"),
+        "agg2": _on_core(leg("then")),
+        "agg3": _on_core("select * from quotes"),
         "agg4": with_standins(
             "select distinct date from (select date, dataset from equities_fact where ticker in "
             "(select distinct ticker from portfolio_dim where dataset = 'ALPHA-VANTAGE') "
             f"and date <> date '{d}' group by 1, 2 having count(*) > 40) q"),
-        "agg5": _on_core(f"select {_money_sums()} from merged"),
-        "agg6": _on_core(f"select 'Benchmark' as asset_type, {_money_sums()} from merged "
+        "agg5": _on_core(f"select {_money_sums()} from valued"),
+        "agg6": _on_core(f"select 'Benchmark' as asset_type, {_money_sums()} from valued "
                          f"where ticker = '{STANDIN_BENCHMARK_TICKER}' group by 1"),
-        "agg7": _on_core(f"select ticker, description, {_money_sums()} from merged "
+        "agg7": _on_core(f"select ticker, description, {_money_sums()} from valued "
                          f"where ticker <> '' group by 1, 2"),
-        **{f"agg{8 + i}": _on_core(f"select {x} as asset_type, {_money_sums()} from merged "
+        **{f"agg{8 + i}": _on_core(f"select {x} as asset_type, {_money_sums()} from valued "
                                    f"where ticker <> '' group by 1") for i, x in enumerate(dims)},
         "agg12": with_standins("select distinct ticker from portfolio_dim where dataset = 'ALPHA-VANTAGE'"),
         "agg13": with_standins("select date, device, count(*) as n from log group by 1, 2"),
-        "agg14": _on_core("select * from holdings"),
+        "agg14": _on_core("select * from lots"),
         "agg15": with_standins(_priced_holdings(f"date '{d}'") + "\nselect description, "
                                + ", ".join(f"{_m(c)} as {c}" for c in ("cost_basis", "market_value", "gain_loss"))
                                + " from cb"),
@@ -520,23 +471,22 @@ def registered_sql() -> dict[str, str]:
         "fn5": _distinct_dates("date, date - 3 as minus_3, cast(date - interval '1' day as date) as minus_1d"),
         "fn6": _distinct_dates("date, date - 1 as previous_day"),
         "fn7": _on_core(f"select {block_cols}, " + ", ".join(f"{_m(c)} as {c}" for c in _MEAS)
-                        + " from merged where ticker is not null"),
+                        + " from valued where ticker is not null"),
         "fn8": _distinct_dates("date, case isodow(date) when 1 then 'monday' when 7 then 'sunday' "
                                "else 'other' end as rule"),
         "fn9": _on_core(f"select ticker, date, cast(round(case when ticker = '{STANDIN_FX_TICKER}' then "
-                        "close * (select rate from fx_rate) * 0.01 else close end, 6) as decimal(18,6)) "
+                        "close * (select rate from rate) * 0.01 else close end, 6) as decimal(18,6)) "
                         "as close from equities_fact"),
         "fn10": _on_core(f"select ticker, description, quantity, cost_per_share, "
-                         f"{_m('quantity * cost_per_share')} as cost_basis from holdings"),
-        "fn11": _on_core(f"select ticker, {_pct('gain_loss', 'cost_basis')} as pct from merged "
+                         f"{_m('quantity * cost_per_share')} as cost_basis from lots"),
+        "fn11": _on_core(f"select ticker, {_pct('gain_loss', 'cost_basis')} as pct from valued "
                          "where ticker <> ''"),
         "fn12": _on_core("select ticker, " + ", ".join(f"{_int(c)} as {c}" for c in _MEAS)
-                         + " from merged where ticker <> ''"),
+                         + " from valued where ticker <> ''"),
         "fn13": with_standins("select ticker, cast(quantity as decimal(10,4)) as quantity, "
                               "cast(cost_per_share as decimal(6,2)) as cost_per_share, "
                               "cast(quantity as varchar) as quantity_text from portfolio_dim"),
-        "fn14": "select * from (" + union_of(
-            [(f"_{x}", rollup_ctes(x, sfx=f"_{x}"), f"'{x}' as dimension") for x in dims])
+        "fn14": "select * from (" + union_of([(f"'{x}' as dimension", rollup_select(x)) for x in dims])
                 + ") where asset_type in ('TOTAL', 'Benchmark')",
         "fn15": with_standins(_priced_holdings(f"date '{d}'") + "\nselect description, "
                               f"{_pct('gain_loss', 'market_value')} as of_market_value, "

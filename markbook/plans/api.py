@@ -21,9 +21,9 @@ def _users(spark: SparkSession, tables: Tables, params: ReportParams) -> DataFra
     gets a report, and so a TOTAL row, as a per-user run would)."""
     if params.user is not None:
         return spark.range(1).select(F.lit(params.user).alias("_user"))
+    if params.users:  # every requested user gets a report, holdings or not
+        return spark.createDataFrame([(u,) for u in sorted(set(params.users))], "_user string")
     port = with_user_column(tables.portfolio).where(F.col("dataset") == params.dataset)
-    if params.users:
-        port = port.where(F.col("_user").isin(list(params.users)))
     return port.select("_user").distinct()
 
 

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from ..config import LOG_DEVICES, LOG_END, LOG_START, SNAPSHOT_ZONE, TOTAL_DESCRIPTION
 from ..functions.dates import previous_weekday_of, today_in
 from ..functions.money import percent, to_int
-from ..operators.pivot import count_pivot, value_pivot
+from ..operators.pivot import count_pivot
+from ..operators.prices import on_dates
 from ..sources.tables import Tables
 
 
@@ -45,15 +46,17 @@ def _lot_sums(tables: Tables) -> DataFrame:
 
 
 def _price_sums(tables: Tables, dates) -> DataFrame:
-    return (tables.equities.where(F.col("date").isin(list(dates)))
+    return (tables.equities.where(on_dates(dates))
             .groupBy("dataset", "ticker", "date")
             .agg(F.sum("close").cast("decimal(24,6)").alias("close_sum"),
                  F.count("close").alias("close_n"),
                  F.count(F.lit(1)).alias("n_rows")))
 
 
-def _priced_holdings(tables: Tables, dates) -> DataFrame:
-    """JN10: prices x holdings x markets on (dataset, ticker), per price date.
+def priced_holdings(tables: Tables, dates) -> DataFrame:
+    """JN10: prices x holdings x markets on (dataset, ticker), at the grain the
+    reports aggregate it to: sums over all (price row, lot) pairs and the number of
+    pairs per (description, ticker, date), without producing the pairs.
 
     sum over (price row, lot) pairs of ``q * close`` equals
     ``sum(q) * sum(close)``; of ``q * cost`` equals ``rows * sum(q * cost)``,
@@ -69,50 +72,49 @@ def _priced_holdings(tables: Tables, dates) -> DataFrame:
         (F.col("n_lots") * F.col("n_rows")).alias("n_pairs"))
 
 
-def priced_holdings(tables: Tables, dates) -> DataFrame:
-    """JN10 at the grain the reference aggregates it to: per (description,
-    ticker, date), the sums over all (price row, lot) pairs and the number of
-    pairs, computed from per-key sums without producing the pairs."""
-    return _priced_holdings(tables, dates)
+def _with_total(detail: DataFrame, measures) -> DataFrame:
+    """TOTAL and the detail rows from one grouping, so the detail is planned once.  An
+    all-NULL row stands in where nothing is priced: TOTAL always exists."""
+    pad = detail.sparkSession.range(1).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in detail.schema], F.lit(True).alias("pad"))
+    rows = detail.withColumn("pad", F.lit(False)).unionByName(pad)
+    g = rows.groupingSets([["pad", "description"], []], "pad", "description").agg(
+        *[F.sum(m).alias(m) for m in measures], F.grouping_id().alias("gid"))
+    total = F.col("gid") != 0
+    return g.where(total | ~F.col("pad")).select(
+        F.when(total, F.lit(TOTAL_DESCRIPTION)).otherwise(F.col("description")).alias("description"), *measures)
 
 
 def cost_basis_report(tables: Tables, as_of: dt.date) -> DataFrame:
     """RPT10 (retired): cost basis, value and gain by description on one day,
     all users, plus a 'Portfolio Total' row (AGG15, SET3, FN15: gain as a
     share of market value)."""
-    detail = (_priced_holdings(tables, [as_of]).groupBy("description")
-              .agg(*[F.sum(c).alias(c) for c in ("cost_basis", "market_value", "gain_loss")]))
-    total = detail.agg(F.lit(TOTAL_DESCRIPTION).alias("description"),
-                       *[F.sum(c).alias(c) for c in ("cost_basis", "market_value", "gain_loss")])
-    u = total.unionByName(detail)
-    return u.select("description", to_int("cost_basis").alias("cost_basis"),
-                    to_int("market_value").alias("market_value"), to_int("gain_loss").alias("gain_loss"),
-                    percent("gain_loss", "market_value").alias("gain_loss_%"))
+    measures = ("cost_basis", "market_value", "gain_loss")
+    detail = priced_holdings(tables, [as_of]).groupBy("description").agg(*[F.sum(c).alias(c) for c in measures])
+    return _with_total(detail, measures).select(
+        "description", to_int("cost_basis").alias("cost_basis"), to_int("market_value").alias("market_value"),
+        to_int("gain_loss").alias("gain_loss"), percent("gain_loss", "market_value").alias("gain_loss_%"))
 
 
 def day_change_report(tables: Tables, as_of: dt.date) -> DataFrame:
-    """RPT11 (retired): RPT10 plus the change since the previous weekday, the
-    previous value taken from a description x (yesterday, today) pivot (PVT2,
-    JN11)."""
+    """RPT11 (retired): RPT10 plus the change since the previous weekday.
+
+    One pass over both days: the previous day's value by description (PVT2) is a conditional
+    sum beside today's sums, and the inner join of the two (JN11) is the condition that the
+    description has a row today."""
     yday = previous_weekday_of(as_of)
-    ph = _priced_holdings(tables, [as_of, yday])
-    today = ph.where(F.col("date") == F.lit(as_of))
-    cb = (today.groupBy("description")
-          .agg(*[F.sum(c).alias(c) for c in ("cost_basis", "market_value", "gain_loss")]))
-    pv = value_pivot(ph, "description", "date", "market_value", [yday, as_of], ["yesterday", "today"],
-                     "decimal(10,2)")
-    detail = cb.join(pv.select("description", "yesterday"), "description").select(
-        "description", "cost_basis", "market_value", "gain_loss",
-        (F.col("market_value") - F.col("yesterday")).alias("today_gain_loss"))
-    m = ("cost_basis", "market_value", "gain_loss", "today_gain_loss")
-    total = detail.agg(F.lit(TOTAL_DESCRIPTION).alias("description"), *[F.sum(c).alias(c) for c in m])
-    u = total.unionByName(detail)
-    return u.select("description", to_int("cost_basis").alias("cost_basis"),
-                    to_int("market_value").alias("market_value"),
-                    to_int("gain_loss").alias("total_gain_loss"),
-                    percent("gain_loss", "market_value").alias("total_gain_loss_%"),
-                    to_int("today_gain_loss").alias("today_gain_loss"),
-                    percent("today_gain_loss", "market_value").alias("today_gain_loss_%"))
-
-
-__all__ = ["equities_snapshot", "device_log_pivot", "cost_basis_report", "day_change_report"]
+    today, before = F.col("date") == F.lit(as_of), F.col("date") == F.lit(yday)
+    base = ("cost_basis", "market_value", "gain_loss")
+    detail = priced_holdings(tables, [as_of, yday]).groupBy("description").agg(
+        *[F.sum(F.when(today, F.col(c))).alias(c) for c in base],
+        F.sum(F.when(before, F.col("market_value"))).cast("decimal(18,2)").alias("yesterday"),
+        F.count(F.when(today, 1)).alias("n_today"))
+    detail = detail.where("n_today > 0 and description is not null").select(
+        "description", *base, (F.col("market_value") - F.col("yesterday")).alias("today_gain_loss"))
+    return _with_total(detail, (*base, "today_gain_loss")).select(
+        "description", to_int("cost_basis").alias("cost_basis"), to_int("market_value").alias("market_value"),
+        to_int("gain_loss").alias("total_gain_loss"), percent("gain_loss", "market_value").alias("total_gain_loss_%"),
+        to_int("today_gain_loss").alias("today_gain_loss"), percent("today_gain_loss", "market_value").alias("today_gain_loss_%"))
+
+
+__all__ = ["equities_snapshot", "device_log_pivot", "priced_holdings", "cost_basis_report", "day_change_report"]

@@ -25,6 +25,7 @@ from .operators import literal as L
 from .operators.anchors import compute_anchors, date_row_counts, fx_rates, qualifying_dates
 from .operators.lots import held_tickers, user_lots
 from .operators.pivot import count_pivot, value_pivot
+from .operators.prices import on_dates
 from .operators.valuation import valuation
 from .plans import other as X
 from .plans.api import portfolio_daily, portfolio_daily_backfill, portfolio_rollup, portfolio_rollups
@@ -36,17 +37,8 @@ AS_OF = S.STANDIN_AS_OF
 BACKFILL_DATES = [dt.date(2024, 1, d) for d in (2, 3, 15, 26, 27, 28, 29, 30)] + [dt.date(2024, 2, 1)]
 
 
-_TABLES: dict = {}
-
-
 def _tables(spark: SparkSession, sf: str):
-    """Table handles per session and directory, built once like a user's
-    session would hold them (lazy plans, no data cached)."""
-    key = (id(spark), sf)
-    hit = _TABLES.get(key)
-    if hit is None or hit[0] is not spark:
-        hit = _TABLES[key] = (spark, S.load(spark, sf))
-    return hit[1]
+    return S.load(spark, sf)
 
 
 def _params(**kw) -> ReportParams:
@@ -112,6 +104,11 @@ def ext2(spark, sf):
     return portfolio_daily_backfill(spark, _tables(spark, sf), _params(), BACKFILL_DATES)
 
 
+def ext2_lake(spark, sf):
+    """EXT2 under the daily lake profile, every user."""
+    return portfolio_daily_backfill(spark, _tables(spark, sf), _params(user=None, profile=LAKE_DAILY), BACKFILL_DATES[2:6])
+
+
 def ext3(spark, sf):
     return portfolio_rollups(spark, _tables(spark, sf), _params())
 
@@ -148,19 +145,19 @@ def src6(spark, sf):
                        "today", D.previous_weekday("today").alias("yesterday"))
 
 
-def _csv_roundtrip(df: DataFrame, spark: SparkSession) -> DataFrame:
-    base = ensure_checkpoint_dir(spark)  # the cluster's shared folder
-    path = os.path.join(base, "markbook-csv", uuid.uuid4().hex)
+def _csv_roundtrip(df: DataFrame, spark: SparkSession, path: str | None = None) -> DataFrame:
+    """Written to ``path``, by default a new folder in the cluster's shared one."""
+    path = path or os.path.join(ensure_checkpoint_dir(spark), "markbook-csv", uuid.uuid4().hex)
     write_csv(df, path)
     return spark.read.option("header", True).schema(", ".join(f"`{c}` string" for c in df.columns)).csv(path)
 
 
-def snk1(spark, sf):
-    return _csv_roundtrip(rpt1(spark, sf), spark)
+def snk1(spark, sf, path=None):
+    return _csv_roundtrip(rpt1(spark, sf), spark, path)
 
 
-def snk2(spark, sf):
-    return _csv_roundtrip(rpt2(spark, sf), spark)
+def snk2(spark, sf, path=None):
+    return _csv_roundtrip(rpt2(spark, sf), spark, path)
 
 
 def par1(spark, sf):
@@ -204,12 +201,12 @@ def _anchor_dates(spark, sf):
 
 def flt3(spark, sf):
     t, a = _anchor_dates(spark, sf)
-    return t.equities.where(F.col("date").isin(a.dates()))
+    return t.equities.where(on_dates(a.dates()))
 
 
 def flt4(spark, sf):
     t, a = _anchor_dates(spark, sf)
-    return t.equities.where(F.col("date").isin(a.dates()) | F.col("date").isNull())
+    return t.equities.where(on_dates(a.dates()) | F.col("date").isNull())
 
 
 def _blocks(spark, sf, lake_weekly=False):
@@ -262,9 +259,10 @@ def sub1(spark, sf):
     """Scalar subquery: price rows on the fallback date, computed in SQL."""
     t = _tables(spark, sf)
     return spark.sql(
-        "select * from {e} where date = (select max(date) from (select date, dataset from {e} "
-        "where ticker in (select ticker from {p} where dataset = 'ALPHA-VANTAGE') and date <> :d "
-        "group by date, dataset having count(*) > 40))", args={"d": AS_OF}, e=t.equities, p=t.portfolio)
+        "with full_days as (select e.date from {e} e left semi join {p} h on h.ticker = e.ticker and "
+        "h.dataset = 'ALPHA-VANTAGE' group by e.date, e.dataset having count(*) > 40) "
+        "select q.* from {e} q where q.date = (select max(date) from full_days where date <> :d)",
+        args={"d": AS_OF}, e=t.equities, p=t.portfolio)
 
 
 # ----------------------------------------------------------------- joins
@@ -316,9 +314,12 @@ def jn8(spark, sf):
 
 
 def jn9(spark, sf):
-    t = _tables(spark, sf)
-    lots = user_lots(t, _params(profile=LAKE_DAILY))
-    return t.equities.join(lots.select("ticker"), "ticker", "left_semi")
+    """Price rows of the user's listed tickers: only ticker names are joined.  The price rows
+    themselves move by ticker when the set is too large to broadcast, which is what returning
+    them row by row costs (JN8 alike)."""
+    t, p = _tables(spark, sf), _params(profile=LAKE_DAILY)
+    own = t.portfolio.where((F.col("dataset") == p.dataset) & (F.col("_user") == p.user)).select("ticker").distinct()
+    return t.equities.join(own.join(t.markets, "ticker", "left_semi"), "ticker", "left_semi")
 
 
 def jn10(spark, sf):
@@ -396,15 +397,15 @@ def agg13(spark, sf):
 def agg14(spark, sf):
     t = _tables(spark, sf)
     return spark.sql(
-        "select m.asset_type, m.location, m.capitalization, m.investment_style, m.description, p.ticker, "
-        "p.quantity, p.cost_per_share from {p} p join {m} m on m.ticker = p.ticker and m.dataset = p.dataset "
-        "where p.dataset = 'ALPHA-VANTAGE' and p._user = :u group by 1, 2, 3, 4, 5, 6, 7, 8",
+        "select asset_type, location, capitalization, investment_style, description, ticker, quantity, "
+        "cost_per_share from {p} join {m} using (ticker, dataset) "
+        "where dataset = 'ALPHA-VANTAGE' and _user = :u group by 1, 2, 3, 4, 5, 6, 7, 8",
         args={"u": "R"}, p=t.portfolio, m=t.markets)
 
 
 def agg15(spark, sf):
     t = _tables(spark, sf)
-    d = (X._priced_holdings(t, [AS_OF]).groupBy("description")
+    d = (X.priced_holdings(t, [AS_OF]).groupBy("description")
          .agg(*[_money(F.sum(c)).alias(c) for c in ("cost_basis", "market_value", "gain_loss")]))
     return d
 
@@ -416,9 +417,9 @@ def pvt1(spark, sf):
 def pvt2(spark, sf):
     t = _tables(spark, sf)
     yday = D.previous_weekday_of(AS_OF)
-    ph = X._priced_holdings(t, [AS_OF, yday])
+    ph = X.priced_holdings(t, [AS_OF, yday])
     return value_pivot(ph, "description", "date", "market_value", [yday, AS_OF], ["yesterday", "today"],
-                       "decimal(10,2)")
+                       "decimal(18,2)")
 
 
 # ------------------------------------------------------- sort, top, sets
@@ -531,7 +532,7 @@ def fn14(spark, sf):
 
 def fn15(spark, sf):
     t = _tables(spark, sf)
-    d = (X._priced_holdings(t, [AS_OF]).groupBy("description")
+    d = (X.priced_holdings(t, [AS_OF]).groupBy("description")
          .agg(*[F.sum(c).alias(c) for c in ("cost_basis", "market_value", "gain_loss")]))
     return d.select("description", percent("gain_loss", "market_value").alias("of_market_value"),
                     percent("gain_loss", "cost_basis").alias("of_cost_basis"))
@@ -547,7 +548,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rpt7_capitalization": _rollup("capitalization", LAKE_WEEKLY),
         "rpt7_investment_style": _rollup("investment_style", LAKE_WEEKLY),
         "rpt8": rpt8, "rpt9": rpt9, "rpt10": rpt10, "rpt11": rpt11,
-        "ext1": ext1, "ext1_lake": ext1_lake, "ext2": ext2, "ext3": ext3,
+        "ext1": ext1, "ext1_lake": ext1_lake, "ext2": ext2, "ext2_lake": ext2_lake, "ext3": ext3,
         "src1": src1, "src2": src2, "src3": src3, "src4": src4, "src5": src5, "src6": src6,
         "snk1": snk1, "snk2": snk2, "par1": par1,
         "prj1": prj1, "prj2": prj2, "prj3": prj3,

@@ -33,17 +33,19 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; set one only when unset
-    (local tests)."""
+    """The cluster's shared ``spark.checkpoint.dir``.  Where it is unset, a local
+    master gets a temporary folder; on a cluster that would be a different disk on every
+    machine, so it is an error."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="markbook-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
     if not spark.sparkContext.getCheckpointDir():
@@ -57,12 +59,11 @@ def scale_conf(shuffle_bytes: int, cores: int, target_partition_mb: int = 128) -
 
     In the reports that is the holdings table of an all-user run: price rows
     are combined map-side before any shuffle, so the raw fact size is the
-    wrong measure.  Start from one partition per ``target_partition_mb``
-    (between 2 and 4 per core, so map outputs stay manageable); AQE then
-    coalesces small partitions and splits skewed ones at runtime.  Scan
-    splits are 256 MB."""
+    wrong measure.  One partition per ``target_partition_mb``, at least 2 per
+    core; AQE then coalesces small partitions and splits skewed ones at
+    runtime.  Scan splits are 256 MB."""
     target = target_partition_mb * 1024 * 1024
-    parts = min(max(2 * cores, -(-int(shuffle_bytes) // target)), 4 * cores)
+    parts = max(2 * cores, -(-int(shuffle_bytes) // target))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_partition_mb}m",

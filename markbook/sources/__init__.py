@@ -1,5 +1,5 @@
 """Sources (logical tables, stand-in views) and sinks."""
 
-from .tables import Tables, catalog_tables, price_snapshot, read_tables, with_user_column
+from .tables import Tables, catalog_tables, read_tables, with_user_column
 
-__all__ = ["Tables", "catalog_tables", "price_snapshot", "read_tables", "with_user_column"]
+__all__ = ["Tables", "catalog_tables", "read_tables", "with_user_column"]

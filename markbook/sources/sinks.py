@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,9 +23,15 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "
         sep = ","
         lines = df.select(F.concat_ws(sep, *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
                                              for c in df.columns]).alias("value"))
-        header = df.sparkSession.range(1).select(F.lit(sep.join(df.columns)).alias("value"))
-        out = header.unionAll(lines)
-        (out.coalesce(1) if single_file else out).write.mode(mode).text(path)
+        lines = lines.coalesce(1) if single_file else lines
+        head = sep.join(df.columns)
+
+        def with_header(batches):
+            """Every part file begins with the header, as the quoted form's do."""
+            yield pa.RecordBatch.from_pydict({"value": [head]})
+            yield from (pa.RecordBatch.from_arrays(b.columns, names=["value"]) for b in batches)
+
+        lines.mapInArrow(with_header, "value string").write.mode(mode).text(path)
         return
     out = df.coalesce(1) if single_file else df
     out.write.mode(mode).option("header", True).csv(path)
@@ -36,5 +43,5 @@ def write_partitioned(df: DataFrame, path: str, column: str = "date", mode: str
     Every report touches at most four price dates; with this layout the
     literal anchor dates prune whole directories instead of filtering rows.
     Rows are clustered by the partition column first so each task writes few
-    files."""
-    df.repartition(column).write.mode(mode).partitionBy(column).parquet(path)
+    files; the rebalance hint lets AQE split a date that is too large for one task."""
+    df.hint("rebalance", column).write.mode(mode).partitionBy(column).parquet(path)

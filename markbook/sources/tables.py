@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Columns each logical table must provide (types in FIXTURES.md section 1).
 EQUITIES_COLUMNS = ("dataset", "ticker", "date", "close")
@@ -67,8 +66,3 @@ def with_user_column(portfolio: DataFrame) -> DataFrame:
     if "_user" not in portfolio.columns and "user" in portfolio.columns:
         return portfolio.withColumnRenamed("user", "_user")
     return portfolio
-
-
-def price_snapshot(equities: DataFrame, day) -> DataFrame:
-    """RPT8 core: every price column for one date."""
-    return equities.where(F.col("date") == F.lit(day))

@@ -24,6 +24,18 @@ def test_backfill_equals_single_runs(spark, strict):
         assert part == single, d
 
 
+@pytest.mark.parametrize("profile,strict", [("lake_daily", False), ("lake_daily", True), ("lake_weekly", False)])
+def test_lake_backfill_equals_single_runs(spark, profile, strict):
+    from markbook.config import PROFILES
+    t = standin.load(spark, SF001)
+    p = standin.standin_params(strict_as_of=strict, profile=PROFILES[profile], user=None)
+    many = portfolio_daily_backfill(spark, t, p, DATES)
+    for d in DATES[:3]:
+        single = sorted(map(tuple, portfolio_daily(spark, t, p.with_(as_of=d)).collect()), key=str)
+        part = sorted(map(tuple, many.where(F.col("as_of") == F.lit(d)).drop("as_of").collect()), key=str)
+        assert part == single, d
+
+
 def test_strict_mode_never_looks_ahead(spark):
     t = standin.load(spark, SF001)
     from markbook.operators.anchors import compute_anchors

@@ -104,10 +104,40 @@ def test_q12_zero_denominators_give_null_percent(spark):
     assert df.select(percent("a", "b")).collect()[0][0] is None
 
 
-def test_fn11_percent_overflow_raises(spark):
-    df = spark.createDataFrame([(D("100000"), D("1"))], "a decimal(10,2), b decimal(10,2)")
-    with pytest.raises(Exception):
-        df.select(percent("a", "b")).collect()
+def test_fn11_large_percent_is_printed(spark):
+    df = spark.createDataFrame([(D("99999999"), D("0.01"))], "a decimal(18,4), b decimal(18,4)")
+    assert df.select(percent("a", "b")).collect()[0][0] == "999999990000.00%"
+
+
+def test_totals_beyond_32_bits(spark):
+    t = tables(spark, [("A", T, 90000)], [("U", "A", 99999, 9999)])
+    r = rows_by_ticker(portfolio_daily(spark, t, params()))
+    assert r["TOTAL"]["market_value"] == 8_999_910_000 and r["A"]["cost_basis"] == 999_890_001
+
+
+def test_shared_descriptions_stop_the_report(spark):
+    mk = [("A", "Same", "Stock", "US", "Large", "Blend"), ("B", "Same", "Stock", "US", "Large", "Blend")]
+    t = tables(spark, [("A", T, 10), ("B", T, 10)], [("U", "A", 1, 5), ("U", "B", 1, 5)], markets=mk)
+    with pytest.raises(ValueError, match="Same"):
+        portfolio_daily(spark, t, params())
+    r = portfolio_daily(spark, t, params(allow_shared=True)).where("ticker = 'TOTAL'").collect()[0]
+    assert (r["cost_basis"], r["market_value"]) == (10, 20)
+
+
+def test_requested_user_without_holdings_gets_a_total(spark):
+    t = tables(spark, [("A", T, 10)], [("U", "A", 1, 5)])
+    rows = portfolio_daily(spark, t, params(user=None, users=("U", "ZZZ"))).collect()
+    assert {(r["_user"], r["ticker"]) for r in rows} == {("U", "TOTAL"), ("U", "A"), ("ZZZ", "TOTAL")}
+
+
+def test_default_dates_per_profile_and_task():
+    from markbook import LAKE_DAILY, WAREHOUSE
+    from markbook.config import default_as_of
+    now = dt.datetime(2024, 1, 30, 20, tzinfo=dt.timezone.utc)
+    here = now.astimezone().date()
+    assert default_as_of(WAREHOUSE, now) == here
+    assert default_as_of(LAKE_DAILY, now) == here - dt.timedelta(days=1)
+    assert default_as_of(LAKE_WEEKLY, now, task="weekly") == dt.date(2024, 1, 30)
 
 
 @pytest.mark.parametrize("rates,expect", [([(Y, 1.5)], 15), ([(T, 1.21), (Y, 1.5)], 12), ([], 13)])

@@ -8,13 +8,12 @@ import pytest
 from compare import compare, duck
 from conftest import SF0001, SF001
 
-import __spark_entry__ as E
-from markbook import LAKE_DAILY, LAKE_WEEKLY, oracle
+from markbook import LAKE_DAILY, LAKE_WEEKLY, oracle, registry
 from markbook.plans import portfolio_daily, portfolio_rollup
 from markbook.sources import standin
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = registry.queries()
+SQL = registry.oracle_sql()
 
 
 def test_every_query_has_an_oracle():

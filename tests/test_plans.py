@@ -30,6 +30,34 @@ def exchange_children(plan: str):
             break
 
 
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("name", ["rpt1", "rpt2", "ext2", "flt3", "agg3", "rpt10", "rpt11"])
+def test_anchor_dates_reach_the_price_scan(spark, name):
+    """``date`` is a cast of ``ts`` in the stand-in tables: the range around the anchor dates
+    is pushed as a range over ``ts``."""
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = final_plan(E.queries()[name](spark, SF001))
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scans = [x for x in plan.split("\n") if "FileScan parquet" in x and "events.parquet" in x]
+    assert any("GreaterThanOrEqual(ts" in x and "LessThan(ts" in x for x in scans), scans
+
+
+def test_retired_report_and_join_chain_plan_sizes(spark):
+    q = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert final_plan(E.queries()["rpt11"](spark, SF001)).count("FileScan parquet") <= 6
+        plan = final_plan(E.queries()["jn7"](spark, SF001))
+        exchanges = [x for x in plan.split("\n") if "Exchange hashpartitioning" in x and "ReusedExchange" not in x]
+        assert len(exchanges) <= 14
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", q)
+
+
 @pytest.mark.parametrize("name", ["rpt1", "rpt3", "ext1", "ext2", "ext3", "rpt7_location", "ext1_lake"])
 def test_hash_exchanges_move_aggregated_rows(spark, name):
     df = E.queries()[name](spark, SF001)

@@ -93,15 +93,15 @@ def test_reports_equal_literal_form(spark, seed):
                         year_start_price_ticker="YS", benchmark_ticker="BM")
     kw = dict(as_of=as_of, user="U", min_rows=min_rows, fx_ticker="FX", ys_ticker="YS")
     cases = [
-        (portfolio_daily(spark, t, base), oracle.daily_ctes(**kw)),
-        (portfolio_daily(spark, t, base.with_(profile=LAKE_DAILY)), oracle.daily_ctes(lake=True, **kw)),
+        (portfolio_daily(spark, t, base), oracle.daily_select(**kw)),
+        (portfolio_daily(spark, t, base.with_(profile=LAKE_DAILY)), oracle.daily_select(lake=True, **kw)),
         (portfolio_rollup(spark, t, base, "asset_type"),
-         oracle.rollup_ctes("asset_type", benchmark="BM", **kw)),
+         oracle.rollup_select("asset_type", benchmark="BM", **kw)),
         (portfolio_rollup(spark, t, base.with_(profile=LAKE_WEEKLY), "location"),
-         oracle.rollup_ctes("location", benchmark="BM", lake=True, **kw)),
+         oracle.rollup_select("location", benchmark="BM", lake=True, **kw)),
     ]
     for df, ctes in cases:
-        ok, msg = compare(df, con, "with " + ctes.strip() + "\nselect * from report")
+        ok, msg = compare(df, con, ctes)
         assert ok, f"seed {seed} as_of {as_of} min_rows {min_rows}: {msg}"
 
 
@@ -116,14 +116,12 @@ def test_all_user_reports_equal_per_user_literal_forms(spark, seed):
     users = sorted({lot[1] for lot in lots})
 
     def stacked(make):
-        ctes = ",\n".join(make(u).strip() for u in users)
-        sel = "\nunion all\n".join(f"select '{u}' as _user, * from report_{u}" for u in users)
-        return "with " + ctes + "\n" + sel
+        return oracle.stacked([(f"'{u}' as _user", make(u)) for u in users])
 
     cases = [
-        (portfolio_daily(spark, t, base), stacked(lambda u: oracle.daily_ctes(sfx=f"_{u}", user=u, **kw))),
+        (portfolio_daily(spark, t, base), stacked(lambda u: oracle.daily_select(user=u, **kw))),
         (portfolio_rollup(spark, t, base.with_(profile=LAKE_WEEKLY), "investment_style"),
-         stacked(lambda u: oracle.rollup_ctes("investment_style", sfx=f"_{u}", benchmark="BM", user=u,
+         stacked(lambda u: oracle.rollup_select("investment_style", benchmark="BM", user=u,
                                               lake=True, **kw))),
     ]
     for df, sql in cases:
@@ -142,10 +140,10 @@ def test_null_description_rows_stay_apart_like_the_literal_form(spark):
     con = duck_con(prices, lots, markets, [])
     p = ReportParams(as_of=T, user="U", min_rows=0)
     kw = dict(as_of=T, user="U", min_rows=0, fx_ticker="LON:FCH", ys_ticker="VMMXX")
-    for df, ctes in [(portfolio_daily(spark, t, p), oracle.daily_ctes(**kw)),
+    for df, ctes in [(portfolio_daily(spark, t, p), oracle.daily_select(**kw)),
                      (portfolio_rollup(spark, t, p, "asset_type"),
-                      oracle.rollup_ctes("asset_type", benchmark="VTSAX", **kw))]:
-        ok, msg = compare(df, con, "with " + ctes.strip() + "\nselect * from report")
+                      oracle.rollup_select("asset_type", benchmark="VTSAX", **kw))]:
+        ok, msg = compare(df, con, ctes)
         assert ok, msg
     a = {r["ticker"]: r for r in portfolio_daily(spark, t, p).collect()}["A"]
     assert a["cost_basis"] == 10 and a["market_value"] == 19 and a["today_gain_loss"] == 1
