@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from markbook.llm.common import row_key, stored
 
@@ -100,7 +101,7 @@ def text_scores(spark: SparkSession, rows: DataFrame, model: np.ndarray) -> Data
             cols = [b.column(c) for c in kept] + [pa.array(letters, pa.int64()), pa.array(scores, pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays(cols, names=[*kept, "letters", "ll"])
 
-    schema = rows.select(*kept).schema.add("letters", "long").add("ll", "array<double>")
+    schema = rows.select(*kept).schema.add("letters", T.LongType()).add("ll", T.ArrayType(T.DoubleType()))
     return rows.select(*kept, "text").mapInArrow(run, schema)
 
 
