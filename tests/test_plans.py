@@ -46,14 +46,11 @@ def test_anchor_dates_reach_the_price_scan(spark, name):
     assert any("GreaterThanOrEqual(ts" in x and "LessThan(ts" in x for x in scans), scans
 
 
-def test_retired_report_and_join_chain_plan_sizes(spark):
+def test_retired_report_reads_each_table_once(spark):
     q = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         assert final_plan(E.queries()["rpt11"](spark, SF001)).count("FileScan parquet") <= 6
-        plan = final_plan(E.queries()["jn7"](spark, SF001))
-        exchanges = [x for x in plan.split("\n") if "Exchange hashpartitioning" in x and "ReusedExchange" not in x]
-        assert len(exchanges) <= 14
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", q)
 
