@@ -8,8 +8,9 @@ share of the template's distinct shingles found in the text around the window mu
 Lengths are put into classes (powers of two); a window of class ``m`` has ``m`` words and starts
 every ``max(1, m // 4)`` words.  A template is looked up by its parts of the class's length, so a
 verbatim copy shares all but ``m // 8`` words at either end with some window: its Jaccard
-similarity to that part is at least 0.6, and with ``BANDS`` bands of ``ROWS`` hashes the chance to
-miss it is below (1 - 0.6 ** ROWS) ** BANDS, about 5e-7, per part.
+similarity to that part is at least 0.6, and with ``BANDS`` bands of one hash each the chance to
+miss it is below 0.4 ** BANDS, about 4e-7, per part.  A key is a window's least shingle hash, so a
+window without any shingle of a template cannot collide; such windows are left out before.
 
 Words are runs of letters and digits, lower-cased, so punctuation and case never matter.
 
@@ -20,11 +21,11 @@ rows give repeated results; an empty table or no template gives no rows; other c
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,10 +49,10 @@ TEMPLATES = {
             "documentation files"],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"],
 }
-SHINGLE = 2
-BANDS, ROWS = 32, 2
+SHINGLE = 3
+BANDS = 16
 CONTAINMENT = 0.9
-WORD = regex.compile(r"[\p{L}\p{N}]+")
+WORD = re.compile(r"[^\W_]+")
 
 
 class Scanner:
@@ -60,7 +61,7 @@ class Scanner:
     def __init__(self, templates: dict[str, list[str]] = TEMPLATES):
         self.memo = Memo(300_000)
         g = np.random.default_rng(11)
-        self.a = g.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
+        self.a = g.integers(1, 1 << 63, BANDS, dtype=np.uint64) | np.uint64(1)
         self.templates, self.retrieve = [], {}
         for name, notices in sorted(templates.items()):
             for text in notices:
@@ -74,43 +75,64 @@ class Scanner:
                 for key_row in self.keys(h, m, np.array(starts)).T.tolist():
                     for band, key in enumerate(key_row):
                         table.setdefault((band, key), set()).add(k)
+        self.known = np.unique(np.concatenate([s for _, _, s in self.templates])) if self.templates else np.zeros(0, np.uint64)
         self.sorted_keys = {m: np.array(sorted({key for _, key in t}), np.uint64) for m, t in self.retrieve.items()}
 
     def words(self, text: str) -> np.ndarray:
         found = WORD.findall(text.lower())
-        memo = self.memo
-        for w in found:
-            if w not in memo:
-                memo.room(1)
-                memo[w] = xxhash.xxh3_64_intdigest(w)
-        return np.array([memo[w] if w in memo else xxhash.xxh3_64_intdigest(w) for w in found], np.uint64)
+        memo, known = self.memo, set(found)
+        new = memo.missing(known)
+        for w in known if memo.room(len(new)) else new:
+            memo[w] = xxhash.xxh3_64_intdigest(w)
+        return np.fromiter(map(memo.__getitem__, found), np.uint64, len(found))
 
     def shingles(self, h: np.ndarray) -> np.ndarray:
-        return mix64(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:])
+        n = max(len(h) - SHINGLE + 1, 0)
+        total = np.zeros(n, np.uint64)
+        for k in range(SHINGLE):
+            total = total * np.uint64(0x9E3779B97F4A7C15) + h[k:n + k]
+        return mix64(total)
 
     def keys(self, h: np.ndarray, m: int, starts: np.ndarray) -> np.ndarray:
         """Band keys (band, window) of the windows of ``m`` words at ``starts``."""
         s, width = self.shingles(h), max(min(m, len(h)) - SHINGLE + 1, 1)
         out = np.empty((BANDS, len(starts)), np.uint64)
         for band in range(BANDS):
-            key = np.full(len(starts), band, np.uint64)
-            for r in range(ROWS):
-                low = (s ^ (s >> np.uint64(31))) * self.a[band * ROWS + r]
-                low ^= low >> np.uint64(32)
-                size = 1
-                while 2 * size <= width:  # sliding minimum over ``size`` shingles, doubled
-                    low = np.minimum(low[:-size], low[size:])
-                    size *= 2
-                low = np.minimum(low[starts], low[starts + width - size])
-                key = key * np.uint64(0xC4CEB9FE1A85EC53) + low
-            out[band] = mix64(key)
+            low = (s ^ (s >> np.uint64(31))) * self.a[band]
+            low ^= low >> np.uint64(32)
+            size = 1
+            while 2 * size <= width:  # sliding minimum over ``size`` shingles, doubled
+                low = np.minimum(low[:-size], low[size:])
+                size *= 2
+            out[band] = mix64(np.minimum(low[starts], low[starts + width - size]) + np.uint64(band))
         return out
 
+    def near(self, s: np.ndarray) -> list[tuple[int, int]]:
+        """Stretches of shingles around those that some template has, wide enough for any window
+        and any verified place."""
+        if not len(self.known):
+            return []
+        at = np.searchsorted(self.known, s)
+        at[at == len(self.known)] = 0
+        hit = np.flatnonzero(self.known[at] == s)
+        if not len(hit):
+            return []
+        reach = 3 * max(n for _, n, _ in self.templates)
+        cut = np.flatnonzero(np.diff(hit) > 2 * reach)
+        return [(max(0, int(a) - reach), min(len(s), int(b) + reach + 1)) for a, b in zip(
+            hit[np.append(0, cut + 1)], hit[np.append(cut, len(hit) - 1)], strict=True)]
+
     def scan(self, text: str | None) -> list[tuple[str, int, int, float]]:
         """(license, first word, words, containment) of every verified, merged match."""
         h = self.words(text or "")
-        if len(h) < SHINGLE:
-            return []
+        found = []
+        for a, b in self.near(self.shingles(h)) if len(h) >= SHINGLE else ():
+            # windows start at multiples of their step, counted from the text's start
+            a -= a % 64
+            found += [(name, first + a, n, share) for name, first, n, share in self.scan_words(h[a:b + SHINGLE - 1])]
+        return found
+
+    def scan_words(self, h: np.ndarray) -> list[tuple[str, int, int, float]]:
         s, best = self.shingles(h), {}
         for m, table in self.retrieve.items():
             step = max(1, m // 4)
