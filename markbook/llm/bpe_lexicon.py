@@ -216,8 +216,8 @@ class Codec:
 
     def learn(self, words: set[str]) -> None:
         """Ids of the chunks " " + word for all new words; the lexicon is asked for all at once."""
-        new = words.difference(self.chunks)
-        new = list(words if self.chunks.room(len(new)) else new)
+        new = self.chunks.missing(words)
+        new = list(words) if self.chunks.room(len(new)) else new
         forms = [b" " + w.encode() for w in new]
         rest = []
         for w, ids in zip(new, self.lexicon.find(forms), strict=True):
@@ -235,8 +235,8 @@ class Codec:
         return self.vocabulary.pieces.findall(chunk)
 
     def learn_pieces(self, pieces: set[str]) -> None:
-        new = pieces.difference(self.pieces)
-        new = list(pieces if self.pieces.room(len(new)) else new)
+        new = self.pieces.missing(pieces)
+        new = list(pieces) if self.pieces.room(len(new)) else new
         words = [p.encode() for p in new]
         for p, w, ids in zip(new, words, self.lexicon.find(words), strict=True):
             self.pieces[p] = self.vocabulary.merge(w) if ids is None else ids

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,15 +16,35 @@ from markbook.session import ensure_checkpoint_dir
 WORD_SPLIT = r"[\x20\x09-\x0D]+"
 
 
-def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+_open: list[str] = []  # folders of the scratch blocks that the driver is in
+
+
+def _folder(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
+
+
+def stored(spark: SparkSession, df: DataFrame, name: str, kept: bool = False) -> DataFrame:
     """``df`` written once as Parquet under the cluster's shared ``spark.checkpoint.dir``
     and read back: lineage is cut, lost executors lose nothing, and the optimizer sees
-    the real size.  The tables stay until the folder's owner clears them."""
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}/{name}"
+    the real size.  Inside a :func:`scratch` block the table goes with the block, unless it is
+    ``kept``; kept tables stay until the folder's owner clears them."""
+    outer = _open[:-1] if kept else _open
+    path = f"{outer[-1] if outer else _folder(spark)}/{name}-{uuid.uuid4().hex[:8]}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables stored inside the block are deleted at its end."""
+    _open.append(_folder(spark))
+    try:
+        yield
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_open.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ascii_lower(col: Column) -> Column:
     """Lower-cases A-Z only."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -47,6 +69,10 @@ class Memo(dict):
         super().__init__()
         self.most = most
 
+    def missing(self, words: Iterable) -> list:
+        """The words without an entry (a set's own difference would run through all entries)."""
+        return [w for w in words if w not in self]
+
     def room(self, n: int) -> bool:
         """Call before ``n`` entries are added; says whether the others had to go."""
         if len(self) + n <= self.most:

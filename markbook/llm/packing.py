@@ -69,8 +69,8 @@ class WordIds:
             yield from [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
     def learn(self, words: set[str]) -> None:
-        new = words.difference(self.memo)
-        new = list(words if self.memo.room(len(new)) else new)
+        new = self.memo.missing(words)
+        new = list(words) if self.memo.room(len(new)) else new
         self.memo.update(zip(new, self.ids(new), strict=True))
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
