@@ -2,17 +2,23 @@
 
 Texts with equal shingle sets form one class, and classes stand for their copies from then
 on.  Classes are kept in groups of similar ones; the matrix holds, per token, the groups whose
-union has it.  A class asks the matrix with its rarest tokens (any class it may link to has
-one of them), the overlap of its whole set with a group's union bounds the overlap with every
-member, and only groups within the bound are opened and compared member by member.
-
+union has it.  A class asks the matrix with its rarest tokens; the number of tokens it shares
+with a group's union bounds its overlap with every member, and only groups within the bound
+are opened and compared member by member.
+
+* Prefixes: of an n-set, the n - ceil(0.75 n) + 1 rarest tokens.  Similarity 0.75 of an n-set and
+  an m-set takes an overlap of a = ceil(3 (n + m) / 7), so they share a token that is among the
+  n - a + 1 rarest of the one and the m - a + 1 rarest of the other; and if they share c prefix
+  tokens, their overlap is at most c + ceil(0.75 N) - 1 with N the larger size, which must reach a.
 * Rarest first: tokens are ordered by a count over all texts in ``2 ** SKETCH_BITS`` buckets (a
   fixed 4 MB), then by hash.  Any order gives exact results; this one keeps passages that many
   texts share out of the prefixes.
-* Groups first link inside themselves, in chunks of at most about ``CHUNK`` classes, for a
-  few rounds; what is then in one component is never paired again, so a family of near copies
-  costs its size, not its square.  The matrix pass that follows is complete: every link
-  between two components is found there, whatever the rounds have left.
+* Groups first link inside themselves: classes that share a minimum hash, in chunks of at most
+  about ``CHUNK``, once per each of ``MINS`` hashes.  What is then in one component is never paired
+  again, so a family of near copies costs its size, not its square.  The matrix pass that
+  follows is complete: every link between two components is found there.
+* Sets are fetched by reading the texts again, for the classes that need them only.  The wanted
+  rows are marked in a bit map of at most ``2 ** MARK_BITS`` bits, so no text is shuffled.
 
 Cases: null, empty and blank texts have the empty set, link with nothing and are their own
 component; fewer than five words are one shingle; copies and repeated rows share a class; a
@@ -21,7 +27,7 @@ null id stays null; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -30,14 +36,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from markbook.llm.common import Memo, components, keep_rows, mix64, row_key, stored
+from markbook.llm.common import Memo, components, keep_rows, mix64, row_key, scratch, stored
 
 WORDS = 5
 SIMILAR = 75  # per cent
 SKETCH_BITS = 20
 BLOCKS = 64
 CHUNK = 64
-ROUNDS = 6
+MINS = 3
+MARK_BITS = 26
 # odd multipliers, one per place of a shingle
 PLACES = mix64(np.arange(1, WORDS + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -53,10 +60,10 @@ class Shingles:
         n = len(words)
         if n < WORDS:
             return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=n)][:n], np.uint64)
-        memo = self.memo
-        memo.room(n)
-        for w in words:
-            if w not in memo:
+        memo, known = self.memo, set(words)
+        new = memo.missing(known)
+        if new:
+            for w in known if memo.room(len(new)) else new:
                 memo[w] = xxhash.xxh3_64_intdigest(w)
         h = np.fromiter(map(memo.__getitem__, words), np.uint64, n)
         total = np.zeros(n - WORDS + 1, np.uint64)
@@ -81,17 +88,21 @@ def _plain(docs: DataFrame, id_col: str, text: str) -> DataFrame:
 
 
 def token_counts(rows: DataFrame) -> np.ndarray:
-    """Number of texts with a token, by the token's high bits, over all texts."""
+    """Number of (text, token) pairs by the token's high bits, over all texts."""
     width = 1 << SKETCH_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, total = Shingles(), np.zeros(width, np.uint32)
+        own, total, held, size = Shingles(), np.zeros(width, np.int64), [], 0
         for b in batches:
-            for t in b.column(1).to_pylist():
-                s = own(t)
-                if len(s):
-                    total[np.unique(s >> np.uint64(64 - SKETCH_BITS))] += 1
-        parts = np.split(total, BLOCKS)
+            for t in b.column(1):
+                held.append((own(t.as_py()) >> np.uint64(64 - SKETCH_BITS)).astype(np.int32))
+                size += len(held[-1])
+                if size > 4 * width:
+                    total += np.bincount(np.concatenate(held), minlength=width)
+                    held, size = [], 0
+        if held:
+            total += np.bincount(np.concatenate(held), minlength=width)
+        parts = np.split(total.astype(np.uint32), BLOCKS)
         yield pa.RecordBatch.from_pydict({"block": pa.array(range(BLOCKS), pa.int32()),
                                           "counts": pa.array([p.tobytes() for p in parts], pa.binary())})
 
@@ -122,15 +133,15 @@ def add64(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def prefixes(spark: SparkSession, rows: DataFrame) -> DataFrame:
-    """doc_id, n, cls and ``prefix``, the tokens by which the class is looked up (null for
-    a copy of a text that the same task has already sent)."""
+    """doc_id, row_key, n, cls, and for the first text of a class in a task ``prefix``, the tokens
+    by which the class is looked up, and ``mins``, its minimum hashes."""
     level = (2 * np.log2(token_counts(rows) + 1.0)).astype(np.uint8)
     shared = spark.sparkContext.broadcast(level)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, level, seen = Shingles(), shared.value, set()
         for b in batches:
-            n, cls, prefix = [], [], []
+            n, cls, prefix, mins = [], [], [], []
             for t in b.column(1).to_pylist():
                 s = own(t)
                 key = set_key(s)
@@ -138,30 +149,61 @@ def prefixes(spark: SparkSession, rows: DataFrame) -> DataFrame:
                 cls.append(key)
                 if key in seen or not len(s):
                     prefix.append(None)
+                    mins.append(None)
                     continue
                 seen.add(key)
                 order = np.argsort(level[s >> np.uint64(64 - SKETCH_BITS)], kind="stable")
                 prefix.append(s[order[:len(s) - least_overlap(len(s)) + 1]].view(np.int64))
+                mins.append([int(mix64(s * PLACES[k]).min().view(np.int64)) for k in range(MINS)])
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(prefix, pa.list_(pa.int64()))],
-                names=["doc_id", "row_key", "n", "cls", "prefix"])
+                [b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(cls, pa.int64()),
+                 pa.array(prefix, pa.list_(pa.int64())), pa.array(mins, pa.list_(pa.int64()))],
+                names=["doc_id", "row_key", "n", "cls", "prefix", "mins"])
+
+    return stored(spark, rows.mapInArrow(run, "doc_id long, row_key long, n long, cls long, prefix array<long>, mins array<long>"), "prefixes")
+
 
-    return stored(spark, rows.mapInArrow(run, "doc_id long, row_key long, n long, cls long, prefix array<long>"), "prefixes")
+def marks(keys: DataFrame, bits: int) -> np.ndarray:
+    """Bit map of the keys (one long column), built by aggregation."""
+    place = F.pmod(F.col(keys.columns[0]), F.lit(1 << bits))
+    rows = keys.select(F.bitmap_bucket_number(place).alias("b"), F.bitmap_bit_position(place).alias("p"))
+    out = np.zeros(((1 << bits) // 32768 + 2, 4096), np.uint8)
+    for r in rows.groupBy("b").agg(F.bitmap_construct_agg("p").alias("m")).toLocalIterator():
+        out[r["b"]] = np.frombuffer(r["m"], np.uint8)
+    return out
+
+
+def marked(bitmap: np.ndarray, keys: np.ndarray, bits: int) -> np.ndarray:
+    """Whether each key is (or shares a bit with one) in the bit map; Spark's buckets start at 1
+    and hold the places 1 to 32768 of the numbers that follow."""
+    place = keys & ((1 << bits) - 1)
+    bucket, bit = np.where(place > 0, 1 + (place - 1) // 32768, 0), np.where(place > 0, (place - 1) % 32768, 0)
+    return (bitmap[bucket, bit // 8] >> (bit % 8).astype(np.uint8)) & 1 == 1
 
 
-def token_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """cls and its tokens (sorted, 8 bytes each) for the classes in ``wanted`` (cls, doc_id of
-    a member); texts are read again rather than kept."""
+def token_sets(spark: SparkSession, rows: DataFrame, base: DataFrame, wanted: DataFrame) -> DataFrame:
+    """cls and its tokens (sorted, 8 bytes each) for the classes in ``wanted``."""
+    wanted = wanted.select("cls").distinct()
+    keys = stored(spark, base.where("n > 0").groupBy("cls").agg(F.min("row_key").alias("row_key")).join(wanted, "cls", "left_semi").select(
+        "row_key"), "wanted")
+    bits = min(MARK_BITS, max(15, (16 * keys.count()).bit_length()))
+    shared = spark.sparkContext.broadcast(marks(keys, bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Shingles()
+        own, seen = Shingles(), set()
         for b in batches:
-            sets = [own(t) for t in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.int64()),
-                                              pa.array([s.tobytes() for s in sets], pa.binary())], names=["cls", "tokens"])
+            cls, tokens = [], []
+            for i in np.flatnonzero(marked(shared.value, b.column(1).to_numpy(), bits)).tolist():
+                s = own(b.column(0)[i].as_py())
+                key = set_key(s)
+                if key not in seen:
+                    seen.add(key)
+                    cls.append(key)
+                    tokens.append(s.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(tokens, pa.binary())], names=["cls", "tokens"])
 
-    found = rows.join(wanted.select("doc_id"), "doc_id", "left_semi").select("text")
-    return found.mapInArrow(run, "cls long, tokens binary").dropDuplicates(["cls"])
+    found = rows.select("text", "row_key").mapInArrow(run, "cls long, tokens binary")
+    return stored(spark, found.join(wanted, "cls", "left_semi").dropDuplicates(["cls"]), "sets")
 
 
 def common(a: np.ndarray, b: np.ndarray) -> int:
@@ -200,22 +242,13 @@ def link_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"comp": comp, "joined": [comp[top(i)] for i in range(len(comp))]})
 
 
-def _compatible(a: Column, low: Column, high: Column) -> Column:
-    return (100 * a >= SIMILAR * low) & (100 * high >= SIMILAR * a)
-
-
-def verify_groups(pairs: DataFrame) -> DataFrame:
-    """(cls, grp) of the candidate pairs whose overlap bound lets the group be opened."""
+def overlap(n: Column, m: Column) -> Column:
+    """The overlap that an n-set and an m-set need."""
+    return F.ceil(3 * (n + m) / 7)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keep = []
-            for q, u in zip(b.column(2), b.column(3), strict=True):
-                q = np.frombuffer(q.as_buffer(), np.uint64)
-                keep.append(common(q, np.frombuffer(u.as_buffer(), np.uint64)) >= least_overlap(len(q)))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["cls", "grp"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.select("cls", "grp", "tokens", "union").mapInArrow(run, "cls long, grp long")
+def _compatible(a: Column, low: Column, high: Column) -> Column:
+    return (100 * a >= SIMILAR * low) & (100 * high >= SIMILAR * a)
 
 
 def verify_pairs(pairs: DataFrame) -> DataFrame:
@@ -228,54 +261,81 @@ def verify_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long")
 
 
-def union_of(pdf: pd.DataFrame) -> pd.DataFrame:
-    tokens = np.unique(np.concatenate([np.frombuffer(t, np.uint64) for t in pdf["tokens"]]))
-    return pd.DataFrame({"grp": pdf["grp"].iloc[:1].tolist(), "union": [tokens.tobytes()]})
-
-
 def shared_matrix(spark: SparkSession, keyed: DataFrame) -> DataFrame:
-    """(token, cls, n) of the tokens that at least two classes have."""
+    """(token, cls, n, pos) of the tokens that at least two classes have; ``pos`` is the token's
+    place in the class's order."""
     shared = keyed.groupBy("token").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi").select("token")
-    return stored(spark, keyed.join(shared, "token").groupBy("token", "cls").agg(F.max("n").alias("n")), "matrix")
+    return stored(spark, keyed.join(shared, "token").groupBy("token", "cls").agg(F.max("n").alias("n"), F.max("pos").alias("pos")), "matrix")
 
 
-def cluster(spark: SparkSession, matrix: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, component) of all classes that link to another one.  ``sets`` holds (cls, tokens)
-    of every class of the matrix."""
-    # rounds of linking inside chunks of similar classes
+def link_groups(spark: SparkSession, mins: DataFrame, sets: DataFrame) -> DataFrame:
+    """(cls, comp) after linking inside groups; ``mins`` holds (cls, r, m), the shared minimum
+    hashes.  Where a group outgrows a chunk, the round is repeated with the components that
+    its chunks have made."""
     comp = stored(spark, sets.select("cls", F.col("cls").alias("comp")), "comp")
-    for r in range(ROUNDS):
-        least = matrix.groupBy("cls").agg(F.min(F.xxhash64("token", F.lit(r // 2))).alias("g"))
-        lead = least.join(comp, "cls").groupBy("comp").agg(F.min(F.struct("g", "cls")).alias("x")).select("comp", "x.g", "x.cls")
-        size = lead.groupBy("g").agg(F.count("*").alias("size")).where("size > 1")
-        lead = lead.join(size, "g").withColumn("sub", F.pmod(F.xxhash64("cls"), F.ceil(F.col("size") / CHUNK)))
-        merged = lead.join(sets, "cls").select("g", "sub", "comp", "tokens").groupBy("g", "sub").applyInPandas(
-            link_chunk, "comp long, joined long").where("comp <> joined")
-        merged = stored(spark, merged, f"merged{r}")
-        comp = stored(spark, comp.join(merged, "comp", "left").select("cls", F.coalesce("joined", "comp").alias("comp")), f"comp{r}")
-        if r % 2 and merged.isEmpty():
-            break
+    for r in range(MINS):
+        own = mins.where(F.col("r") == r).select("cls", "m")
+        while True:
+            lead = own.join(comp, "cls").groupBy("comp").agg(F.min(F.struct("m", "cls")).alias("x")).select("comp", "x.m", "x.cls")
+            size = lead.groupBy("m").agg(F.count("*").alias("size")).where("size > 1")
+            lead = stored(spark, lead.join(size, "m").withColumn("sub", F.pmod(F.xxhash64("cls"), F.ceil(F.col("size") / CHUNK))), "lead")
+            most = lead.agg(F.max("size")).first()[0]
+            if most is None:
+                break
+            merged = lead.join(sets, "cls").select("m", "sub", "comp", "tokens").groupBy("m", "sub").applyInPandas(
+                link_chunk, "comp long, joined long").where("comp <> joined")
+            merged = stored(spark, merged, "merged")
+            comp = stored(spark, comp.join(merged, "comp", "left").select("cls", F.coalesce("joined", "comp").alias("comp")), "comp")
+            if most <= CHUNK or merged.isEmpty():
+                break
+    return comp
+
+
+def cluster(spark: SparkSession, matrix: DataFrame, mins: DataFrame, fetch: Callable[[DataFrame], DataFrame],
+            prefixed: bool = True) -> DataFrame:
+    """(node, component) of all classes that link to another one.  ``mins``: (cls, mins) of every
+    class; ``fetch`` returns the stored (cls, tokens) of the classes it is given; ``prefixed``: the
+    matrix holds prefixes, whose places and counts bound overlaps."""
+    listed = mins.select("cls", F.posexplode("mins").alias("r", "m"))
+    twice = listed.groupBy("r", "m").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi").select("r", "m")
+    listed = stored(spark, listed.join(twice, ["r", "m"]).distinct(), "mins")
+    grouped = link_groups(spark, listed, fetch(listed))
 
     # the matrix between components
-    labelled = matrix.join(comp, "cls")
+    weight = grouped.groupBy("comp").agg(F.count("*").alias("weight")).where("weight > 1")
+    grouped = stored(spark, grouped.join(weight, "comp", "left").select("cls", "comp", F.coalesce("weight", F.lit(1)).alias("weight")), "grouped")
+    labelled = matrix.join(grouped, "cls", "left").select(
+        "token", "cls", "n", "pos", F.coalesce("comp", "cls").alias("comp"), F.coalesce("weight", F.lit(1)).alias("weight"))
     bridge = labelled.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
-    key = matrix.groupBy("cls").agg(F.min("token").alias("g")).join(comp, "cls")
+    open_rows = stored(spark, labelled.join(bridge, "token"), "open")
+    key = open_rows.groupBy("cls", "comp").agg(F.min("token").alias("g"))
     size = key.groupBy("g", "comp").agg(F.count("*").alias("size"))
     groups = stored(spark, key.join(size, ["g", "comp"]).select(
         "cls", F.xxhash64("g", "comp", F.pmod(F.xxhash64("cls"), F.ceil(F.col("size") / CHUNK))).alias("grp")), "groups")
-    open_rows = labelled.join(bridge, "token").join(groups, "cls")
-    by_group = open_rows.groupBy("token", "grp", "comp").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    asked = open_rows.select("token", "cls", F.col("comp").alias("own"), "n")
-    candidates = stored(spark, asked.join(by_group, "token").where(
-        (F.col("own") > F.col("comp")) & _compatible(F.col("n"), F.col("low"), F.col("high"))).select("cls", "grp").distinct(), "candidates")
-    used = candidates.select("grp").distinct()
-    members = groups.withColumnRenamed("cls", "member").join(used, "grp", "left_semi")
-    unions = members.join(sets, members["member"] == sets["cls"]).select("grp", "tokens").groupBy("grp").applyInPandas(
-        union_of, "grp long, union binary")
-    opened = verify_groups(candidates.join(sets, "cls").join(unions, "grp"))
+    sizes = open_rows.join(groups, "cls").groupBy("grp").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    by_group = open_rows.join(groups, "cls").groupBy("token", "grp", "comp", "weight").agg(
+        F.min("pos").alias("first")).join(sizes, "grp")
+    asked = open_rows.select("token", "cls", F.col("comp").alias("own"), F.col("weight").alias("own_weight"), "n", "pos")
+    n, low, high = F.col("n"), F.col("low"), F.col("high")
+    # the smaller of two components asks the groups of the larger one
+    asks = (F.col("own_weight") < F.col("weight")) | ((F.col("own_weight") == F.col("weight")) & (F.col("own") > F.col("comp")))
+    fits = asks & _compatible(n, low, high)
+    if not prefixed:
+        candidates = asked.join(by_group, "token").where(fits).select("cls", "grp").distinct()
+    else:
+        # the shared token must be early in both orders, whichever member it is
+        early = (F.col("pos") <= n - overlap(n, low)) & (F.col("first") <= high - overlap(n, high))
+        hits = asked.join(by_group, "token").where(fits & early).select("cls", "grp").distinct()
+        sides = open_rows.select("token", "cls", "n"), by_group.select("token", "grp", "low", "high")
+        met = hits.join(sides[0], "cls").join(sides[1], ["grp", "token"]).groupBy("cls", "grp").agg(
+            F.count("*").alias("c"), *[F.max(x).alias(x) for x in ("n", "low", "high")])
+        least = overlap(n, low) - F.ceil(SIMILAR * F.greatest("n", "high") / 100) + 1
+        candidates = met.where(F.col("c") >= least).select("cls", "grp")
+    pairs = stored(spark, candidates.join(groups.withColumnRenamed("cls", "member"), "grp").select("cls", "member").distinct(), "pairs")
+    sets = fetch(pairs.select("cls").union(pairs.select("member")))
     others = sets.select(F.col("cls").alias("member"), F.col("tokens").alias("other"))
-    pairs = opened.join(members, "grp").select("cls", "member").join(sets, "cls").join(others, "member").select("cls", "member", "tokens", "other")
-    edges = comp.select(F.col("cls").alias("a"), F.col("comp").alias("b")).where("a <> b").union(verify_pairs(pairs))
+    pairs = pairs.join(sets, "cls").join(others, "member").select("cls", "member", "tokens", "other")
+    edges = grouped.select(F.col("cls").alias("a"), F.col("comp").alias("b")).where("a <> b").union(verify_pairs(pairs))
     return components(spark, edges, "edges")
 
 
@@ -283,27 +343,28 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     """Per row of ``docs``: doc_id, n_shingles, component_id (the smallest doc_id reachable by
     links, itself included), and row_key and component (the component's own key, null for the
     empty set)."""
-    rows = _plain(docs, id_col, text)
-    base = prefixes(spark, rows)
-    matrix = shared_matrix(spark, base.where("prefix is not null").select("cls", "n", F.explode("prefix").alias("token")))
-    member = base.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
-    wanted = matrix.select("cls").distinct().join(member, "cls")
-    sets = stored(spark, token_sets(rows, wanted), "sets")
-    found = cluster(spark, matrix, sets)
-
-    labels = member.join(found, member["cls"] == found["node"], "left").select(
-        "cls", "doc_id", F.coalesce("component", "cls").alias("component"))
-    first = labels.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    labels = labels.join(first, "component").select(F.col("cls").alias("key"), "component", "component_id")
-    out = base.select("doc_id", "row_key", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("cls")).alias("key"))
-    return out.join(labels, "key", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "row_key", "component")
+    with scratch(spark):
+        rows = _plain(docs, id_col, text)
+        base = prefixes(spark, rows)
+        matrix = shared_matrix(spark, base.where("prefix is not null").select("cls", "n", F.posexplode("prefix").alias("pos", "token")))
+        mins = base.where("mins is not null").select("cls", "mins")
+        found = cluster(spark, matrix, mins, lambda wanted: token_sets(spark, rows, base, wanted))
+        member = base.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
+
+        labels = member.join(found, member["cls"] == found["node"], "left").select(
+            "cls", "doc_id", F.coalesce("component", "cls").alias("component"))
+        first = labels.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+        labels = labels.join(first, "component").select(F.col("cls").alias("key"), "component", "component_id")
+        out = base.select("doc_id", "row_key", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("cls")).alias("key"))
+        out = out.join(labels, "key", "left").select(
+            "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "row_key", "component")
+        return stored(spark, out, "components", kept=True)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of every component: that of the smallest doc_id, repeated rows
     once.  Rows with the empty set link with nothing and stay."""
-    found = stored(spark, jaccard_components(spark, docs, id_col, text), "components")
+    found = jaccard_components(spark, docs, id_col, text)
     first = found.where("component is not null").groupBy("component").agg(F.min(F.struct("doc_id", "row_key")).alias("first"))
     keys = found.where("component is null").select("row_key").union(first.select("first.row_key"))
     kept = keep_rows(docs, keys, id_col, text)

@@ -25,8 +25,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from markbook.llm.common import Memo, mix64, stored
-from markbook.llm.jaccard import PLACES, WORDS, cluster, set_key, shared_matrix
+from markbook.llm.common import Memo, mix64, scratch, stored
+from markbook.llm.jaccard import MINS, PLACES, WORDS, cluster, set_key, shared_matrix
 
 MIN_WORDS = 12
 BANDS, ROWS = 10, 2
@@ -120,16 +120,22 @@ def paragraph_removals(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     """Every paragraph that occurs again, exactly or nearly: doc_id, paragraph (its number among
     the text's stretches), n_words, cluster_id (the cluster's smallest doc_id), removed (false
     for the one that stays)."""
-    units = paragraph_units(spark, docs, id_col, text)
-    matrix = shared_matrix(spark, signatures(units))
-    sets = stored(spark, units.where("tokens is not null").select("cls", "tokens").join(
-        matrix.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"]), "sets")
-    found = cluster(spark, matrix, sets)
-    copies = units.groupBy("cls").agg(F.count("*").alias("copies"))
-    again = copies.join(found, copies["cls"] == found["node"], "left").where("copies > 1 or component is not null").select(
-        "cls", F.coalesce("component", "cls").alias("component"))
-    rows = stored(spark, units.select("doc_id", "paragraph", "n_words", "cls").join(again, "cls").withColumn(
-        "row", F.monotonically_increasing_id()), "members")
+    with scratch(spark):
+        units = paragraph_units(spark, docs, id_col, text)
+        matrix = shared_matrix(spark, signatures(units).withColumn("pos", F.lit(0)))
+        mins = matrix.groupBy("cls").agg(F.sort_array(F.collect_set("token")).alias("keys")).select(
+            "cls", F.slice("keys", 1, MINS).alias("mins"))
+
+        def fetch(wanted: DataFrame) -> DataFrame:
+            own = units.where("tokens is not null").select("cls", "tokens")
+            return stored(spark, own.join(wanted.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"]), "sets")
+
+        found = cluster(spark, matrix, mins, fetch, prefixed=False)
+        copies = units.groupBy("cls").agg(F.count("*").alias("copies"))
+        again = copies.join(found, copies["cls"] == found["node"], "left").where("copies > 1 or component is not null").select(
+            "cls", F.coalesce("component", "cls").alias("component"))
+        rows = stored(spark, units.select("doc_id", "paragraph", "n_words", "cls").join(again, "cls").withColumn(
+            "row", F.monotonically_increasing_id()), "members", kept=True)
     # the first member by an aggregate that combines before it shuffles
     first = rows.groupBy("component").agg(F.min(F.struct(
         F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"), "paragraph", "row")).alias("first"))

@@ -56,8 +56,8 @@ def test_chains_of_near_copies_and_hot_families(spark, monkeypatch):
 
 
 def test_links_do_not_depend_on_the_rounds(spark, monkeypatch):
-    """With no round at all the matrix alone finds every link."""
-    monkeypatch.setattr(jaccard, "ROUNDS", 0)
+    """Without any minimum hash the matrix alone finds every link."""
+    monkeypatch.setattr(jaccard, "MINS", 0)
     rnd = random.Random(9)
     base = prose(rnd, 60)
     texts = [near(rnd, base, k % 7) for k in range(25)] + [prose(rnd, 30) for _ in range(10)]
