@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from markbook.llm.common import stored
+from markbook.llm.common import scratch, stored
 
 WINDOW = 400
 TRIGGER = 8
@@ -336,26 +336,28 @@ def _rows(docs: DataFrame, id_col: str, text: str) -> DataFrame:
 
 def _edits(spark: SparkSession, docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
     """The parsed rows, and per class with removed bytes: n_removed, n_spans, kept_sha256, kept."""
-    parsed, cand, ranges = repeated_ranges(spark, docs, window)
-    per = ranges.groupBy("cls").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
-    per = per.select("cls", F.col("ranges.low").alias("low"), F.col("ranges.high").alias("high"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            removed, spans, sha, kept = [], [], [], []
-            for t, low, high in zip(*(b.column(k) for k in (1, 2, 3)), strict=True):
-                left, n, runs = strip(t.as_py().encode(), low.values.to_numpy(), high.values.to_numpy(), window)
-                removed.append(n)
-                spans.append(runs)
-                sha.append(hashlib.sha256(left).hexdigest())
-                kept.append(left.decode("utf-8", "ignore"))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()),
-                                              pa.array(sha, pa.string()), pa.array(kept, pa.string())],
-                                             names=["cls", "n_removed", "n_spans", "kept_sha256", "kept"])
-
-    edits = cand.select("cls", "text").join(per, "cls").select("cls", "text", "low", "high").mapInArrow(
-        run, "cls long, n_removed long, n_spans long, kept_sha256 string, kept string")
-    return parsed.where("cls is not null"), edits
+    with scratch(spark):
+        parsed, cand, ranges = repeated_ranges(spark, docs, window)
+        per = ranges.groupBy("cls").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
+        per = per.select("cls", F.col("ranges.low").alias("low"), F.col("ranges.high").alias("high"))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                removed, spans, sha, kept = [], [], [], []
+                for t, low, high in zip(*(b.column(k) for k in (1, 2, 3)), strict=True):
+                    left, n, runs = strip(t.as_py().encode(), low.values.to_numpy(), high.values.to_numpy(), window)
+                    removed.append(n)
+                    spans.append(runs)
+                    sha.append(hashlib.sha256(left).hexdigest())
+                    kept.append(left.decode("utf-8", "ignore"))
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()),
+                                                  pa.array(sha, pa.string()), pa.array(kept, pa.string())],
+                                                 names=["cls", "n_removed", "n_spans", "kept_sha256", "kept"])
+
+        edits = cand.select("cls", "text").join(per, "cls").select("cls", "text", "low", "high").mapInArrow(
+            run, "cls long, n_removed long, n_spans long, kept_sha256 string, kept string")
+        rows = parsed.where("cls is not null").select("doc_id", "cls", "n_bytes", "sha256")
+        return stored(spark, rows, "rows", kept=True), stored(spark, edits, "edits", kept=True)
 
 
 def dedup_substrings(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text: str = "text",
