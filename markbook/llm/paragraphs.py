@@ -1,15 +1,20 @@
 """Operator 3: near-duplicate paragraphs by MinHash banding.
 
-A paragraph is a stretch of text up to a line break or a sentence's end, with at least
-``MIN_WORDS`` words, so a passage is met again inside other lines too, and short lines that
-belong to every site's frame are left alone.  Paragraphs with equal 5-word shingle sets form one
-class.  A class has ``BANDS`` keys of ``ROWS`` minimum hashes each: two classes of Jaccard
-similarity 0.75 share no key with probability (1 - 0.75 ** 2) ** 10, below 0.03 %.  Classes that
-share a key are joined and verified by the exact Jaccard similarity (at least 0.75); of a
-component of verified classes, the first paragraph (smallest doc_id, then place) stays and the
+A paragraph is what stands between line breaks, whatever its sentences' lengths.  Sentences of at
+least ``MIN_WORDS`` words are units of their own besides, so a passage is met again inside other
+paragraphs too.  Units with equal 5-word shingle sets form one class; fewer than five words
+are one shingle, so only exact copies of such a paragraph are found.  A class has ``BANDS`` keys of
+``ROWS`` minimum hashes each: two classes of Jaccard similarity 0.75 share no key with probability
+(1 - 0.75 ** 2) ** 10, below 0.03 %.  Classes that share a key (paragraphs
+with paragraphs, sentences with sentences, a paragraph of one sentence with both) are joined and
+verified by the exact Jaccard similarity (at least 0.75); of a component of verified classes, one unit stays and the
 others are removals.
 
-Cases: null, empty and short texts have no paragraphs; copies and repeated rows fall into one
+What stays: the first whole paragraph (smallest doc_id, then place); among sentences alone, the
+first that does not lie in a removed paragraph.  A sentence whose own paragraph is in the same
+component is no member beside it.
+
+Cases: null and blank texts have no paragraphs; copies and repeated rows fall into one
 class, and equal ids and places leave exactly one of them as the first; an empty table gives no
 rows; other columns are not read.
 """
@@ -17,73 +22,121 @@ rows; other columns are not read.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from markbook.llm.common import Memo, mix64, scratch, stored
-from markbook.llm.jaccard import MINS, PLACES, WORDS, cluster, set_key, shared_matrix
+from markbook.llm.jaccard import MARK_BITS, MINS, PLACES, WORDS, cluster, marked, marks
 
 MIN_WORDS = 12
 BANDS, ROWS = 10, 2
+PART = 300_000  # words whose units are worked on together
 ENDS = re.compile(rb"(?<=[.!?])[ \t\r\x0b\x0c]+|\n")
 _HASHES = mix64(np.arange(1000, 1000 + BANDS * ROWS, dtype=np.uint64)) | np.uint64(1)
 
 
 class Paragraphs:
-    """Paragraphs of a text with their shingle sets."""
-
-    def __init__(self):
-        self.memo = Memo(300_000)
-
-    def __call__(self, text: str | None) -> list[tuple[int, int, np.ndarray]]:
-        """(number, words, sorted distinct shingle hashes) of every paragraph."""
-        memo, out = self.memo, []
-        for number, part in enumerate(ENDS.split((text or "").encode().lower())):
-            words = part.split()
-            n = len(words)
-            if n < MIN_WORDS:
-                continue
-            memo.room(n)
-            for w in words:
-                if w not in memo:
-                    memo[w] = xxhash.xxh3_64_intdigest(w)
-            h = np.array(list(map(memo.__getitem__, words)), np.uint64)
-            total = h[:n - WORDS + 1] * PLACES[0]
-            for k in range(1, WORDS):
-                total += h[k:n - WORDS + 1 + k] * PLACES[k]
-            total = mix64(total)
-            total.sort()
-            if n > WORDS:
-                total = total[np.append(True, total[1:] != total[:-1])]
-            out.append((number, n, total))
-        return out
-
-
-def paragraph_units(spark: SparkSession, docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """doc_id, paragraph, n_words, cls, n (set size) and tokens; a class's tokens are sent once
-    by a task."""
-    schema = "doc_id long, paragraph int, n_words int, cls long, n long, tokens binary"
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+    """Units of texts with their shingle sets; words are hashed once per worker."""
+
+    def __init__(self, least: int = MIN_WORDS):
+        self.memo, self.least = Memo(300_000), least
+
+    def __call__(self, texts: Iterable[str | None]) -> Iterator[tuple[np.ndarray, ...]]:
+        """Per bounded part of the texts: (text's place, number of the unit's first stretch,
+        stretches, for a sentence its paragraph's number or else -1, words), a row for each unit;
+        the units' sorted distinct shingle hashes end to end, and how many each has."""
+        units, words = [], []
+        for place, text in enumerate(texts):
+            number = 0
+            for line in (text or "").encode().lower().split(b"\n"):
+                parts, at = [part.split() for part in ENDS.split(line)], len(words)
+                for part in parts:
+                    words += part
+                n = len(words) - at
+                if n >= max(self.least, 1):
+                    units.append((place, number, len(parts), -1, n, at))
+                if len(parts) > 1:
+                    for k, part in enumerate(parts):
+                        if len(part) >= MIN_WORDS:
+                            units.append((place, number + k, 1, number, len(part), at))
+                        at += len(part)
+                number += len(parts)
+            if len(words) >= PART:
+                yield from self.sets(units, words)
+                units, words = [], []
+        yield from self.sets(units, words)
+
+    def sets(self, units: list[tuple[int, ...]], words: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
+        if not units:
+            return
+        memo, known = self.memo, set(words)
+        new = memo.missing(known)
+        for w in known if memo.room(len(new)) else new:
+            memo[w] = xxhash.xxh3_64_intdigest(w)
+        h = np.zeros(len(words) + WORDS, np.uint64)
+        h[:len(words)] = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+        total = np.zeros(len(words), np.uint64)
+        for k in range(WORDS):
+            total += h[k:k + len(words)] * PLACES[k]
+        total = mix64(total)
+        table = np.array(units, np.int64)
+        n, at = table[:, 4], table[:, 5]
+        size = np.maximum(n - WORDS + 1, 1)
+        start = np.cumsum(size) - size
+        flat = total[np.repeat(at - start, size) + np.arange(size.sum())]
+        few = np.flatnonzero(n < WORDS)  # one shingle of all words
+        own = n[few].astype(np.uint64)
+        for k in range(WORDS - 1):
+            own += np.where(n[few] > k, h[at[few] + k] * PLACES[k], 0).astype(np.uint64)
+        flat[start[few]] = mix64(own)
+        unit = np.repeat(np.arange(len(n)), size)
+        flat = flat[np.lexsort((flat, unit))]
+        fresh = np.append(True, (flat[1:] != flat[:-1]) | (unit[1:] != unit[:-1]))
+        yield table[:, :5], flat[fresh], np.add.reduceat(fresh.astype(np.int64), start)
+
+
+def class_keys(flat: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """64-bit key of every set."""
+    return mix64(np.add.reduceat(mix64(flat + PLACES[0]), np.cumsum(size) - size) + size.astype(np.uint64)).view(np.int64)
+
+
+def paragraph_units(spark: SparkSession, rows: DataFrame, least: int = MIN_WORDS) -> DataFrame:
+    """doc_id, text_key (of the row), paragraph, stretches, inside, n_words, cls, n (set size) and
+    the band keys, which a task sends once for a class.  Paragraphs have keys of one kind and
+    sentences of another, else every paragraph would meet its own sentences; a paragraph of one
+    sentence has both.  Sets that differ are similar from three shingles on only; smaller ones have no keys."""
+    schema = "doc_id long, text_key long, paragraph int, stretches int, inside int, n_words int, cls long, n long, keys array<long>"
+    kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.int64(), pa.int64(), pa.list_(pa.int64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, seen = Paragraphs(), set()
+        own, seen = Paragraphs(least), (set(), set())
         for b in batches:
-            rows = []
-            for doc, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                for number, n, s in own(t.as_py()):
-                    key = set_key(s)
-                    rows.append((doc, number, n, key, len(s), None if key in seen else s.tobytes()))
-                    seen.add(key)
-            cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
-                                             names=[c.split()[0] for c in schema.split(", ")])
-
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+            for table, flat, size in own(x.as_py() for x in b.column(2)):
+                cls, sentence = class_keys(flat, size), table[:, 3] >= 0
+                both = ~sentence & (table[:, 2] == 1) & (table[:, 4] >= MIN_WORDS)
+                send = np.zeros((2, len(cls)), bool)
+                for role, taking in enumerate((~sentence, sentence | both)):
+                    for i in np.flatnonzero(taking & (size > 2)).tolist():
+                        if (key := int(cls[i])) not in seen[role]:
+                            seen[role].add(key)
+                            send[role, i] = True
+                keys: list[np.ndarray | None] = [None] * len(cls)
+                if (any_role := send.any(0)).any():
+                    mine = size[any_role]
+                    for i, row in zip(np.flatnonzero(any_role).tolist(), band_keys(
+                            flat[np.repeat(any_role, size)], np.cumsum(mine) - mine), strict=True):
+                        keys[i] = np.concatenate([r for r, sent in zip((row, mix64(row ^ PLACES[1])), send[:, i], strict=True) if sent]).view(np.int64)
+                place = pa.array(table[:, 0])
+                cols = [b.column(0).take(place), b.column(1).take(place), *table[:, 1:].T, cls, size, keys]
+                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
+                                                 names=[c.split()[0] for c in schema.split(", ")])
+
     return stored(spark, rows.mapInArrow(run, schema), "units")
 
 
@@ -100,45 +153,90 @@ def band_keys(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
-def signatures(units: DataFrame) -> DataFrame:
-    """(token, cls, n): the band keys of every class."""
+def bits_for(keys: DataFrame) -> int:
+    return min(MARK_BITS, max(15, (16 * keys.count()).bit_length()))
+
+
+def shared_keys(spark: SparkSession, units: DataFrame) -> DataFrame:
+    """(token, cls, n, pos) of the band keys that at least two classes have.  A bit map of them
+    leaves the others out before rows are shuffled."""
+    sent = units.where("keys is not null").select("cls", "n", "keys")
+    shared = stored(spark, sent.select("cls", F.explode("keys").alias("token")).groupBy("token").agg(
+        F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi").select("token"), "shared")
+    bits = bits_for(shared)
+    bitmap = spark.sparkContext.broadcast(marks(shared, bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if not b.num_rows:
-                continue
-            n = b.column(1).to_numpy()
-            flat = np.frombuffer(b"".join(x.as_py() for x in b.column(2)), np.uint64)
-            keys = band_keys(flat, np.cumsum(n) - n)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64).ravel()), pa.array(np.repeat(b.column(0).to_numpy(), BANDS)),
-                                              pa.array(np.repeat(n, BANDS))], names=["token", "cls", "n"])
+            if b.num_rows:
+                keys = b.column(2).flatten().to_numpy()
+                keep = np.flatnonzero(marked(bitmap.value, keys, bits))
+                owner = pc.list_parent_indices(b.column(2)).take(pa.array(keep))
+                yield pa.RecordBatch.from_arrays([pa.array(keys[keep]), b.column(0).take(owner), b.column(1).take(owner)],
+                                                 names=["token", "cls", "n"])
 
-    return units.where("tokens is not null").select("cls", "n", "tokens").mapInArrow(run, "token long, cls long, n long")
+    keyed = sent.mapInArrow(run, "token long, cls long, n long")
+    return stored(spark, keyed.join(shared, "token").groupBy("token", "cls").agg(F.max("n").alias("n")).withColumn("pos", F.lit(0)), "matrix")
 
 
-def paragraph_removals(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every paragraph that occurs again, exactly or nearly: doc_id, paragraph (its number among
-    the text's stretches), n_words, cluster_id (the cluster's smallest doc_id), removed (false
-    for the one that stays)."""
+def class_sets(spark: SparkSession, rows: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
+    """(cls, tokens) of the classes in ``wanted``, from the texts."""
+    wanted = stored(spark, wanted.select("cls").distinct(), "wanted")
+    bits = bits_for(wanted)
+    bitmap = spark.sparkContext.broadcast(marks(wanted, bits))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, seen = Paragraphs(least), set()
+        for b in batches:
+            for _, flat, size in own(x.as_py() for x in b.column(0)):
+                cls, end, out = class_keys(flat, size), np.cumsum(size), []
+                for i in np.flatnonzero(marked(bitmap.value, cls, bits)).tolist():
+                    if (key := int(cls[i])) not in seen:
+                        seen.add(key)
+                        out.append((key, flat[end[i] - size[i]:end[i]].tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int64()), pa.array([t for _, t in out], pa.binary())],
+                                                 names=["cls", "tokens"])
+
+    found = rows.select("text").mapInArrow(run, "cls long, tokens binary")
+    return stored(spark, found.join(wanted, "cls", "left_semi").dropDuplicates(["cls"]), "sets")
+
+
+def paragraph_removals(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text: str = "text",
+                       least: int = MIN_WORDS) -> DataFrame:
+    """Every paragraph (of ``least`` words or more) and sentence that occurs again, exactly or
+    nearly: doc_id, paragraph (the number of its first stretch among the text's stretches),
+    stretches (how many it spans), n_words, cluster_id (the cluster's smallest doc_id), removed
+    (false for the one that stays)."""
     with scratch(spark):
-        units = paragraph_units(spark, docs, id_col, text)
-        matrix = shared_matrix(spark, signatures(units).withColumn("pos", F.lit(0)))
+        rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("text_key"),
+                           F.col(text).cast("string").alias("text"))
+        units = paragraph_units(spark, rows, least)
+        matrix = shared_keys(spark, units)
         mins = matrix.groupBy("cls").agg(F.sort_array(F.collect_set("token")).alias("keys")).select(
             "cls", F.slice("keys", 1, MINS).alias("mins"))
+        sets = class_sets(spark, rows, matrix, least)
 
         def fetch(wanted: DataFrame) -> DataFrame:
-            own = units.where("tokens is not null").select("cls", "tokens")
-            return stored(spark, own.join(wanted.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"]), "sets")
+            return stored(spark, sets.join(wanted.select("cls").distinct(), "cls", "left_semi"), "fetched")
 
         found = cluster(spark, matrix, mins, fetch, prefixed=False)
         copies = units.groupBy("cls").agg(F.count("*").alias("copies"))
         again = copies.join(found, copies["cls"] == found["node"], "left").where("copies > 1 or component is not null").select(
             "cls", F.coalesce("component", "cls").alias("component"))
-        rows = stored(spark, units.select("doc_id", "paragraph", "n_words", "cls").join(again, "cls").withColumn(
-            "row", F.monotonically_increasing_id()), "members", kept=True)
+        rows = stored(spark, units.select("doc_id", "text_key", "paragraph", "stretches", "inside", "n_words", "cls").join(again, "cls").drop(
+            "cls").withColumn("row", F.monotonically_increasing_id()), "found")
+        # a sentence counts for nothing beside its own paragraph
+        whole = rows.where("inside < 0")
+        several = whole.where("stretches > 1").select("text_key", F.col("paragraph").alias("inside"), "component", "row")
+        members = rows.join(several.drop("row"), ["text_key", "inside", "component"], "left_anti")
+        order = F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"), "paragraph", "row"
+        # which paragraphs go does not depend on sentences, as a paragraph stays before any sentence
+        stays = whole.groupBy("component").agg(F.min(F.struct(*order)).alias("first")).select("component", "first.row")
+        gone = several.join(stays, ["component", "row"], "left_anti").select("text_key", "inside", F.lit(True).alias("gone"))
+        members = stored(spark, members.join(gone, ["text_key", "inside"], "left"), "members", kept=True)
     # the first member by an aggregate that combines before it shuffles
-    first = rows.groupBy("component").agg(F.min(F.struct(
-        F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"), "paragraph", "row")).alias("first"))
-    return rows.join(first, "component").select(
-        "doc_id", "paragraph", "n_words", F.when(F.col("first.doc") < (1 << 63) - 1, F.col("first.doc")).alias("cluster_id"),
-        (F.col("row") != F.col("first.row")).alias("removed"))
+    first = members.groupBy("component").agg(
+        F.min(F.struct(F.col("inside") >= 0, F.coalesce("gone", F.lit(False)), *order)).alias("first"),
+        F.min("doc_id").alias("cluster_id"), F.count("*").alias("size")).where("size > 1")
+    return members.join(first, "component").select(
+        "doc_id", "paragraph", "stretches", "n_words", "cluster_id", (F.col("row") != F.col("first.row")).alias("removed"))

@@ -31,7 +31,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paragraphs.paragraph_removals(spark, table(spark, sf_dir, "documents"))
+    return paragraphs.paragraph_removals(spark, table(spark, sf_dir, "documents"), least=1)
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,3 +49,51 @@ def test_clusters_equal_all_pairs(spark):
 
 def test_empty_table(spark):
     assert paragraphs.paragraph_removals(spark, frame(spark, [])).collect() == []
+
+
+def sentences(rnd, sizes):
+    return [prose(rnd, n) for n in sizes]
+
+
+def joined(parts):
+    return ". ".join(parts) + "."
+
+
+def test_paragraphs_of_short_sentences(spark):
+    rnd = random.Random(9)
+    short = [sentences(rnd, [rnd.randint(2, 9) for _ in range(12)]) for _ in range(6)]
+    edited = [[s if k else "other " + s for k, s in enumerate(p)] for p in short]
+    texts = [f"{prose(rnd, 30)}\n{joined(p)}\n{prose(rnd, 25)}" for p in short + edited]
+    rows = paragraphs.paragraph_removals(spark, frame(spark, texts)).collect()
+    assert sorted((r["doc_id"], r["paragraph"], r["stretches"], r["cluster_id"], r["removed"]) for r in rows) == [
+        (k, 1, 12, k % 6, k >= 6) for k in range(12)]
+
+
+def test_one_edit_per_sentence(spark):
+    rnd = random.Random(10)
+    base = sentences(rnd, [37] * 6)
+    edited = [" ".join("edit" if k == 18 else w for k, w in enumerate(s.split())) for s in base]
+    rows = paragraphs.paragraph_removals(spark, frame(spark, [joined(base), joined(edited)])).collect()
+    assert sorted((r["doc_id"], r["paragraph"], r["stretches"], r["removed"]) for r in rows) == [(0, 0, 6, False), (1, 0, 6, True)]
+
+
+def test_copies_of_short_paragraphs(spark):
+    texts = ["Read more\nown one", "own two\nread  MORE", "Read", "more", None, "", "\n \n"]
+    rows = paragraphs.paragraph_removals(spark, frame(spark, texts), least=1).collect()
+    assert sorted((r["doc_id"], r["paragraph"], r["n_words"], r["removed"]) for r in rows) == [(0, 0, 2, False), (1, 1, 2, True)]
+
+
+def test_a_sentence_is_no_copy_of_its_own_paragraph(spark):
+    rnd = random.Random(11)
+    assert paragraphs.paragraph_removals(spark, frame(spark, ["Well. " + prose(rnd, 80)]), least=1).collect() == []
+
+
+def test_a_sentence_stays_where_its_paragraph_stays(spark):
+    """The near copy (1) goes with its own wording of the last sentence, which text 2 has too."""
+    rnd = random.Random(12)
+    base, own = sentences(rnd, [60, 60, 14]), prose(rnd, 14)
+    texts = [joined(base), joined([*base[:2], own]), joined([prose(rnd, 50), own])]
+    got = {(r["doc_id"], r["paragraph"], r["stretches"]): r["removed"] for r in
+           paragraphs.paragraph_removals(spark, frame(spark, texts)).collect()}
+    assert got[0, 0, 3] is False and got[1, 0, 3] is True
+    assert got[1, 2, 1] is True and got[2, 1, 1] is False
