@@ -2,7 +2,7 @@
 
 log P(language | everything) is the sum of
 * the text's likelihood under byte-trigram models (one per language, fitted on a bounded sample
-  of labelled rows), tempered because neighbouring trigrams are not independent;
+  of its distinct labelled texts), tempered because neighbouring trigrams are not independent;
 * the likelihood of the declared markup language given the true one;
 * the likelihood of the address suffix given the true language;
 * the log prior of the host, smoothed towards its domain, which is smoothed towards the whole
@@ -22,6 +22,7 @@ judged alike; other columns are not read, or returned in ``row`` as they are wit
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import islice
 
 import numpy as np
@@ -34,8 +35,7 @@ from markbook.llm.common import row_key, stored
 
 LANGUAGES = ("de", "en", "es", "fr")
 TABLE_BITS = 16
-SAMPLE_ROWS = 2_000  # bound of the labelled sample,
-SAMPLE_BYTES = 4_000  # and of each text in it
+SAMPLE_ROWS = 2_000  # bound of the labelled sample of a language, distinct texts
 FULL_TRIGRAMS = 60.0  # a text's likelihood counts as at most so many independent trigrams
 SMOOTH = 4.0
 MIN_LETTERS = 8
@@ -52,13 +52,35 @@ def trigrams(text: str) -> np.ndarray:
 
 
 def fit_text_model(spark: SparkSession, docs: DataFrame, text: Column, label: Column) -> np.ndarray:
-    """log P(trigram | language), shape (2 ** TABLE_BITS, languages), from at most
-    ``SAMPLE_ROWS`` labelled rows in the order of a hash of the text."""
-    rows = docs.select(text.alias("t"), label.alias("l")).where(F.col("l").isin(*LANGUAGES) & F.col("t").isNotNull())
-    rows = rows.select(F.substring("t", 1, SAMPLE_BYTES).alias("t"), "l").orderBy(F.xxhash64("t"), "l").limit(SAMPLE_ROWS)
+    """log P(trigram | language), shape (2 ** TABLE_BITS, languages), from the whole texts of at most
+    ``SAMPLE_ROWS`` distinct labelled texts of every language, in the order of a hash."""
+    rows = docs.select(text.cast("string").alias("t"), label.alias("l")).where(F.col("l").isin(*LANGUAGES) & F.col("t").isNotNull())
+    # the hash decides which texts are taken, so only hashes are shuffled; copies share theirs
+    keys = stored(spark, rows.select("l", F.xxhash64("t").alias("h")).distinct(), "labelled")
+    bound = [keys.where(F.col("l") == name).orderBy("h").limit(SAMPLE_ROWS).select("l", "h") for name in LANGUAGES]
+    taken: dict[str, set[int]] = {name: set() for name in LANGUAGES}
+    for r in reduce(DataFrame.union, bound).toLocalIterator():
+        taken[r["l"]].add(r["h"])
+    shared = spark.sparkContext.broadcast(taken)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = {name: set(hashes) for name, hashes in shared.value.items()}  # a task sends a text once
+        for b in batches:
+            hit = []
+            for name, h in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                hit.append(h in left[name])
+                left[name].discard(h)
+            some = b.filter(pa.array(hit, pa.bool_()))
+            for t, name, h in zip(*(some.column(k) for k in range(3)), strict=True):
+                g, n = np.unique(trigrams(t.as_py()), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([name.as_py()]), pa.array([h.as_py()]), pa.array([g.astype(np.int32)], pa.list_(pa.int32())),
+                                                  pa.array([n.astype(np.int64)], pa.list_(pa.int64()))], names=["l", "h", "g", "n"])
+
+    found = rows.select("t", "l", F.xxhash64("t").alias("h")).mapInArrow(run, "l string, h long, g array<int>, n array<long>")
+    pairs = found.dropDuplicates(["l", "h"]).select("l", F.explode(F.arrays_zip("g", "n")).alias("x"))
     count = np.full((1 << TABLE_BITS, len(LANGUAGES)), 0.1)
-    for r in rows.toLocalIterator():
-        np.add.at(count[:, LANGUAGES.index(r["l"])], trigrams(r["t"]), 1.0)
+    for r in pairs.groupBy("l", "x.g").agg(F.sum("x.n").alias("n")).toLocalIterator():
+        count[r["g"], LANGUAGES.index(r["l"])] += r["n"]
     return np.log(count / count.sum(0)).astype(np.float32)
 
 

@@ -38,3 +38,23 @@ def test_evidence_moves_an_unclear_text(spark):
 def test_unlabelled_rows_only(spark):
     rows = langid.identify_documents(spark, frame(spark, ["some words of text here", None, ""], [None, None, None])).collect()
     assert [r["kept"] for r in rows] == [False] * 3 and len(rows) == 3
+
+
+def fitted(spark, rows):
+    return langid.fit_text_model(spark, spark.createDataFrame(rows, "t string, l string"), langid.F.col("t"), langid.F.col("l"))
+
+
+def test_copies_do_not_fill_the_sample(spark):
+    rows = [(f"{word} number {k}", lang) for lang, word in (("de", "haus"), ("en", "house"), ("es", "casa"), ("fr", "maison")) for k in range(60)]
+    first = spark.createDataFrame(rows, "t string, l string").orderBy(langid.F.xxhash64("t")).first()
+    one = fitted(spark, rows)
+    assert (fitted(spark, rows + [tuple(first)] * 5000) == one).all()
+    assert (one.max(0) > one.min(0)).all()
+
+
+def test_rare_language_and_ends_of_long_texts_are_learnt(spark):
+    rows = [(f"the house of number {k}", "en") for k in range(2500)] + [("la casa " * 3, "es"), ("1 " * 3000 + "schluss", "de")]
+    table = fitted(spark, rows)
+    assert (table.max(0) > table.min(0))[[0, 1, 2]].all()
+    seen = langid.trigrams("schluss")[2]
+    assert table[seen, 0] > table[:, 0].min()
