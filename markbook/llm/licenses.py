@@ -3,14 +3,17 @@
 Templates are cut into word sequences; a text is cut into overlapping windows of the templates'
 lengths.  Windows retrieve templates by MinHash bands, and each retrieved place is verified: the
 share of the template's distinct shingles found in the text around the window must reach
-``CONTAINMENT``.
+``least_share``, which leaves room for one replaced word, or two in templates of ``LONG`` words.
+In a template shorter than ``SHORT`` words every word tells licenses apart, so it must be whole.
+Where matches of several licenses overlap, those with a smaller share go.
 
 Lengths are put into classes (powers of two); a window of class ``m`` has ``m`` words and starts
-every ``max(1, m // 4)`` words.  A template is looked up by its parts of the class's length, so a
-verbatim copy shares all but ``m // 8`` words at either end with some window: its Jaccard
-similarity to that part is at least 0.6, and with ``BANDS`` bands of one hash each the chance to
-miss it is below 0.4 ** BANDS, about 4e-7, per part.  A key is a window's least shingle hash, so a
-window without any shingle of a template cannot collide; such windows are left out before.
+every ``max(1, m // 4)`` words.  A template is looked up by its parts of the class's length, all of
+its starts.  A window in a place with two replaced words has at least ``m - 5`` of the ``m - 1``
+shingles of the part it stands for (``m >= 8``, so a Jaccard similarity of 3 / 11 or more), and with
+``BANDS`` bands of one hash each the chance to miss it is below (8 / 11) ** BANDS, about 4e-5.  A key
+is a window's least shingle hash, so a window without any shingle of a template cannot collide;
+such windows are left out before.
 
 Words are runs of letters and digits, lower-cased, so punctuation and case never matter.
 
@@ -34,6 +37,8 @@ from markbook.llm.common import Memo, mix64
 
 # Notices by which texts state a license.
 TEMPLATES = {
+    "AGPL-3.0": ["it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either "
+                 "version 3 of the License"],
     "Apache-2.0": ["Licensed under the Apache License, Version 2.0",
                    "you may not use this file except in compliance with the License. You may obtain a copy of the License at"],
     "BSD-3-Clause": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
@@ -41,20 +46,47 @@ TEMPLATES = {
     "CC-BY-4.0": ["Licensed under CC BY 4.0", "licensed under a Creative Commons Attribution 4.0 International License"],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0",
                      "licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"],
+    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0",
+                     "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"],
     "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3",
                 "it under the terms of the GNU General Public License as published by the Free Software Foundation, either "
                 "version 3 of the License"],
+    "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+            "granted, provided that the above copyright notice and this permission notice appear in all copies"],
+    "LGPL-3.0": ["it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either "
+                 "version 3 of the License"],
     "MIT": ["Released under the MIT License",
             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
             "documentation files"],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"],
 }
-SHINGLE = 3
-BANDS = 16
-CONTAINMENT = 0.9
+SHINGLE = 2
+BANDS = 32
+SHORT, LONG = 8, 16
 WORD = re.compile(r"[^\W_]+")
 
 
+def least_share(words: int, shingles: int) -> float:
+    """The share that a template of so many words needs of its distinct shingles: an edited word
+    costs two."""
+    edits = 0 if words < SHORT else 1 if words < LONG else 2
+    return 1 - edits * SHINGLE / shingles
+
+
+def clearest(found: list[tuple[str, int, int, float]]) -> list[tuple[str, int, int, float]]:
+    """The matches that no overlapping match beats."""
+    by_place = sorted(found, key=lambda m: m[1])
+    beaten: set[int] = set()
+    reach = max((n for _, _, n, _ in found), default=0)
+    for i, (_, first, n, share) in enumerate(by_place):
+        for j in range(i + 1, len(by_place)):
+            if by_place[j][1] >= first + reach:
+                break
+            if by_place[j][1] < first + n and by_place[j][3] != share:
+                beaten.add(i if share < by_place[j][3] else j)
+    return sorted(m for i, m in enumerate(by_place) if i not in beaten)
+
+
 class Scanner:
     """Templates, their band keys by window length, and a text's windows."""
 
@@ -71,7 +103,7 @@ class Scanner:
                 k, m = len(self.templates), 1 << (len(h).bit_length() - 1)
                 self.templates.append((name, len(h), np.unique(self.shingles(h))))
                 table = self.retrieve.setdefault(m, {})
-                starts = sorted({*range(0, len(h) - m + 1, max(1, m // 4)), len(h) - m})
+                starts = range(len(h) - m + 1)
                 for key_row in self.keys(h, m, np.array(starts)).T.tolist():
                     for band, key in enumerate(key_row):
                         table.setdefault((band, key), set()).add(k)
@@ -146,7 +178,7 @@ class Scanner:
                 name, n, need = self.templates[k]
                 lo, hi = max(0, start - n), min(len(s), start + m + n)
                 share, first, last = self.contained(s[lo:hi], need, n)
-                if share >= CONTAINMENT:
+                if share >= least_share(n, len(need)) - 1e-9:
                     own = best.setdefault(k, [])
                     if own and lo + first <= own[-1][1]:
                         own[-1] = max(own[-1], (lo + first, lo + last, share), key=lambda x: x[2])
@@ -157,7 +189,7 @@ class Scanner:
             for first, last, share in own:
                 key = (self.templates[k][0], first)
                 found[key] = max(found.get(key, (0, 0.0)), (last - first + SHINGLE, share), key=lambda x: x[1])
-        return [(name, first, n, share) for (name, first), (n, share) in sorted(found.items())]
+        return clearest([(name, first, n, share) for (name, first), (n, share) in sorted(found.items())])
 
     @staticmethod
     def contained(s: np.ndarray, need: np.ndarray, n: int) -> tuple[float, int, int]:

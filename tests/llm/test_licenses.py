@@ -40,3 +40,27 @@ def test_brute_force_containment():
 def test_empty_table_and_no_templates(spark):
     assert licenses.scan_licenses(frame(spark, [])).collect() == []
     assert licenses.scan_licenses(frame(spark, ["Released under the MIT License"]), templates={}).collect() == []
+
+
+def test_edited_notices_equal_brute_force_containment():
+    """Every place of one and, from 16 words on, two replaced words."""
+    rnd, scanner = random.Random(7), licenses.Scanner()
+    for name, notices in licenses.TEMPLATES.items():
+        for notice in notices:
+            words = licenses.WORD.findall(notice.lower())
+            need = {*zip(words, words[1:])}
+            if len(words) < licenses.SHORT:
+                continue
+            for i in range(len(words)):
+                edits = [i] if len(words) < licenses.LONG else [i, rnd.randrange(len(words))]
+                text = [w if k not in edits else f"edit{k}" for k, w in enumerate(words)]
+                share = len(need & {*zip(text, text[1:])}) / len(need)
+                found = {m[0]: m[3] for m in scanner.scan(f"{prose(rnd, 40)} {' '.join(text)} {prose(rnd, 40)}")}
+                assert found and max(found.values()) >= share - 1e-9, (name, edits)
+
+
+def test_the_closer_license_wins():
+    scanner = licenses.Scanner()
+    for name in ("LGPL-3.0", "AGPL-3.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "ISC"):
+        for notice in licenses.TEMPLATES[name]:
+            assert {m[0] for m in scanner.scan(f"This is {notice}, as said.")} == {name}
