@@ -8,10 +8,10 @@ equal strings are cut alike wherever they stand; the bytes between two boundarie
 The window that starts at ``i`` belongs to the first boundary whose 8 trigger bytes it holds.
 A window with a complete phrase that occurs nowhere else has no copy, which leaves few windows.
 
-Order.  The remaining windows meet by the hash of their first complete phrase.  There, suffixes
-of the dictionary (what stands left of the boundary) and suffixes of the parse (what
-stands right of it) are each sorted once with their longest common prefixes; together the
-two ranks give the corpus order of all windows, and two windows are equal if neither order
+Order.  The remaining windows meet by the hash of their first complete phrase.  There, the bytes
+left and right of every occurrence of the boundary stand in for the suffix arrays of a
+dictionary and of a parse, which are not built; each side is sorted once with its longest
+common prefixes.  The ranks hold within the bucket, and two windows are equal if neither order
 separates them within the window.  So hundreds of windows share the two sorts of one boundary.
 Windows without a complete phrase (about one in 400) and those of phrases met more than
 ``HOT`` times are counted by the hash of their bytes instead, which Spark splits at will.
