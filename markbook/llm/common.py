@@ -23,14 +23,15 @@ def _folder(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
-def stored(spark: SparkSession, df: DataFrame, name: str, kept: bool = False) -> DataFrame:
+def stored(spark: SparkSession, df: DataFrame, name: str, kept: bool = False, by: str | None = None) -> DataFrame:
     """``df`` written once as Parquet under the cluster's shared ``spark.checkpoint.dir``
     and read back: lineage is cut, lost executors lose nothing, and the optimizer sees
     the real size.  Inside a :func:`scratch` block the table goes with the block, unless it is
-    ``kept``; kept tables stay until the folder's owner clears them."""
+    ``kept``; kept tables stay until the folder's owner clears them.  ``by``: one folder per value of
+    that (last) column."""
     outer = _open[:-1] if kept else _open
     path = f"{outer[-1] if outer else _folder(spark)}/{name}-{uuid.uuid4().hex[:8]}"
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

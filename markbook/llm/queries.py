@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from markbook.llm import bpe_lexicon, gru_lm, jaccard, langid, licenses, packing, paragraphs, quality, substrings, vptree
+from markbook.llm import (bpe_lexicon, collocations, gru_lm, jaccard, langid, licenses, packing, paragraphs, quality,
+                          ranked_search, secret_scan, substrings, vptree)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,9 +63,22 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_lexicon.encode_documents(spark, table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op11_term_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(spark, table(spark, sf_dir, "documents"))
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(spark, table(spark, sf_dir, "documents")).drop("found")
+
+
 def queries() -> dict[str, Query]:
     listed = (op1_packing, op2_quality_rules, op3_paragraph_dedup, op4_jaccard_join, op5_suffix_dedup, op6_language_id,
-              op7_vantage_search, op8_gru_scores, op9_license_scan, op10_bpe)
+              op7_vantage_search, op8_gru_scores, op9_license_scan, op10_bpe, op11_term_pipeline,
+              op12_collocations, op13_secret_scan)
     return {f.__name__: f for f in listed}
 
 
@@ -128,4 +142,4 @@ from f left join char_js c using (rid) left join word_js w using (rid)"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": quality_sql()}
+    return {"op2_quality_rules": quality_sql(), "op11_term_pipeline": ranked_search.SQL, "op12_collocations": collocations.SQL}
