@@ -4,8 +4,9 @@ Words are counted once by shuffle; the frequent ones get numbers, and every text
 them (0: a piece ends, or a word too rare for any candidate).  Then, for phrases of k = 2 to 5 words:
 
 * candidates: (k-1)-phrases that are frequent at a place and at the next one make a k-phrase.  A pass
-  over the texts hashes these into buckets of counts, which are summed over the tasks; only k-phrases
-  whose bucket reaches the threshold can be frequent.  Another pass lists those that are met;
+  over the texts hashes these into buckets of counts, in two tables by two hashes, which are summed over the
+  tasks; only k-phrases whose buckets both reach the threshold can be frequent.  The tables grow with
+  the corpus up to ``MOST_BUCKETS`` (beyond, more candidates pass).  Another pass lists those that are met;
 * count: the candidates are compiled into a double-array trie and broadcast; numpy moves the states of
   all text positions through it at once, word by word, ``bincount`` adds up the accepting states, and
   the tasks' counts are summed.
@@ -40,7 +41,7 @@ TRIE_PHRASES = 2_000_000
 BLOCK_WORDS = 1_000_000
 HELD_WORDS = 500_000  # distinct words that a task counts before it hands them on
 TOGETHER = 4_000_000  # words that move through a trie at once
-MOST_BUCKETS = 1 << 24
+MOST_BUCKETS = 1 << 27  # of each of the two bucket tables
 CHUNK = 1 << 16
 
 _PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -190,12 +191,12 @@ class Trie:
 
 # --- candidates and counts -----------------------------------------------------------------------
 
-def _bucket(x: np.ndarray, places: np.ndarray, k: int, bits: int) -> np.ndarray:
-    """Bucket of the k words at each place."""
+def _buckets(x: np.ndarray, places: np.ndarray, k: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the k words at each place, in either table: the first and the last bits of one hash."""
     h = np.zeros(len(places), np.uint64)
     for d in range(k):
         h = mix64(h + x[places + d].astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
-    return (h >> np.uint64(64 - bits)).astype(np.int64)
+    return (h >> np.uint64(64 - bits)).astype(np.int64), (h & np.uint64((1 << bits) - 1)).astype(np.int64)
 
 
 def _extensible(x: np.ndarray, places: np.ndarray, both: bool) -> np.ndarray:
@@ -207,39 +208,61 @@ def _extensible(x: np.ndarray, places: np.ndarray, both: bool) -> np.ndarray:
 
 
 class Buckets:
-    """A task's counts by bucket, cut off at the threshold: their sum reaches it just as the full sum does."""
+    """A task's two tables of counts, cut off at the threshold: their sums reach it just as the full sums do."""
 
     def __init__(self, bits: int, least: int):
-        self.bits, self.least, self.counts = bits, least, np.zeros(1 << bits, np.int32)
+        self.bits, self.least = bits, least
+        self.tables = np.zeros((2, 1 << bits), np.uint8 if least < 256 else np.int32)
 
-    def add(self, buckets: np.ndarray) -> None:
-        self.counts = np.minimum(self.counts + np.bincount(buckets, minlength=len(self.counts)), self.least).astype(np.int32)
+    def add(self, buckets: tuple[np.ndarray, np.ndarray]) -> None:
+        for table, own in zip(self.tables, buckets):
+            if len(table) <= TOGETHER:
+                table[:] = np.minimum(table + np.bincount(own, minlength=len(table)), self.least)
+            else:
+                own, n = np.unique(own, return_counts=True)
+                table[own] = np.minimum(table[own] + n, self.least)
 
-    def rows(self) -> pa.RecordBatch:
-        parts = [(i, p) for i, p in enumerate(np.split(self.counts, max(1, len(self.counts) // CHUNK))) if p.any()]
-        return pa.RecordBatch.from_arrays([pa.nulls(len(parts), pa.int32()), pa.nulls(len(parts), pa.int64()), pa.array([i for i, _ in parts], pa.int32()),
-                                           pa.array([p.astype(np.uint8).tobytes() if self.least < 256 else p.tobytes() for _, p in parts], pa.binary())],
-                                          names=["i", "n", "chunk", "counts"])
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """Chunks of both tables, each as its places and counts above zero."""
+        for i, part in enumerate(self.tables.reshape(-1, min(CHUNK, 1 << self.bits))):
+            at = np.flatnonzero(part)
+            if len(at):
+                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), pa.array([i], pa.int32()),
+                                                  pa.array([at.astype(np.uint16).tobytes()], pa.binary()), pa.array([part[at].tobytes()], pa.binary())],
+                                                 names=["i", "n", "chunk", "places", "counts"])
 
 
-PASSED = "i int, n long, chunk int, counts binary"
+PASSED = "i int, n long, chunk int, places binary, counts binary"
 
 
 def frequent_buckets(passed: DataFrame, bits: int, least: int) -> np.ndarray:
-    """Which buckets reach the threshold over all tasks, a boolean array of fixed size; summed in two steps."""
-    kind = np.uint8 if least < 256 else np.int32
+    """Which buckets of either table reach the threshold over all tasks, one bit each; summed in two steps."""
+    kind, size = np.uint8 if least < 256 else np.int32, min(CHUNK, 1 << bits)
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(c, kind).astype(np.int64) for c in pdf["counts"])
-        return pd.DataFrame({"chunk": pdf["chunk"].iloc[:1], "counts": [np.minimum(total, least).astype(kind).tobytes()]})
+        total = np.zeros(size, np.int64)
+        for at, n in zip(pdf["places"], pdf["counts"]):
+            total[np.frombuffer(at, np.uint16)] += np.frombuffer(n, kind)
+        at = np.flatnonzero(total)
+        return pd.DataFrame({"chunk": pdf["chunk"].iloc[:1], "places": [at.astype(np.uint16).tobytes()],
+                             "counts": [np.minimum(total[at], least).astype(kind).tobytes()]})
 
-    part = passed.where("chunk is not null").select("chunk", "counts", F.pmod(F.spark_partition_id(), F.lit(256)).alias("salt"))
-    once = part.groupBy("chunk", "salt").applyInPandas(add, "chunk int, counts binary")
-    flags = np.zeros(1 << bits, bool)
-    each = len(flags) // max(1, len(flags) // CHUNK)
-    for chunk, counts in once.groupBy("chunk").applyInPandas(add, "chunk int, counts binary").collect():
-        flags[chunk * each:(chunk + 1) * each] = np.frombuffer(counts, kind) >= least
-    return flags
+    def reached(pdf: pd.DataFrame) -> pd.DataFrame:
+        full = add(pdf).iloc[0]
+        at = np.frombuffer(full["places"], np.uint16)[np.frombuffer(full["counts"], kind) >= least]
+        return pd.DataFrame({"chunk": pdf["chunk"].iloc[:1], "places": [at.tobytes()]})
+
+    part = passed.where("chunk is not null").select("chunk", "places", "counts", F.pmod(F.spark_partition_id(), F.lit(256)).alias("salt"))
+    once = part.groupBy("chunk", "salt").applyInPandas(add, "chunk int, places binary, counts binary")
+    flags = np.zeros(((2 << bits) // size, size), bool)
+    for chunk, at in once.groupBy("chunk").applyInPandas(reached, "chunk int, places binary").collect():
+        flags[chunk, np.frombuffer(at, np.uint16)] = True
+    return np.packbits(flags.reshape(2, -1), axis=1)
+
+
+def _may_be(flags: np.ndarray, buckets: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    first, second = (table[b >> 3] >> (7 - (b & 7)).astype(np.uint8) & 1 for table, b in zip(flags, buckets))
+    return (first & second).astype(bool)
 
 
 def first_buckets(coded: DataFrame, bits: int, least: int) -> DataFrame:
@@ -247,8 +270,8 @@ def first_buckets(coded: DataFrame, bits: int, least: int) -> DataFrame:
         buckets = Buckets(bits, least)
         for x in stretches(batches):
             places = np.flatnonzero(x[:-1])
-            buckets.add(_bucket(x, _extensible(x, places, True), 2, bits))
-        yield buckets.rows()
+            buckets.add(_buckets(x, _extensible(x, places, True), 2, bits))
+        yield from buckets.rows()
 
     return coded.mapInArrow(run, PASSED)
 
@@ -266,29 +289,28 @@ def count_phrases(spark: SparkSession, coded: DataFrame, trie: Trie, bits: int,
             if extend:
                 on = _extensible(x, places, both)
                 on = on[x[on + trie.k] > 0]
-                buckets.add(_bucket(x, on, trie.k + 1, bits))
+                buckets.add(_buckets(x, on, trie.k + 1, bits))
         met = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(met, pa.int32()), pa.array(counts[met], pa.int64()), pa.nulls(len(met), pa.int32()),
-                                          pa.nulls(len(met), pa.binary())], names=["i", "n", "chunk", "counts"])
+                                          *[pa.nulls(len(met), pa.binary())] * 2], names=["i", "n", "chunk", "places", "counts"])
         if extend:
-            yield buckets.rows()
+            yield from buckets.rows()
 
     return coded.mapInArrow(run, PASSED)
 
 
 def met_candidates(spark: SparkSession, coded: DataFrame, trie: Trie | None, flags: np.ndarray, both: bool) -> DataFrame:
     """Distinct sequences one word longer than the trie's (pairs, without one) that are met and may be frequent."""
-    sent = spark.sparkContext.broadcast((trie, np.packbits(flags)))
+    sent = spark.sparkContext.broadcast((trie, flags))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, packed = sent.value
-        flags = np.unpackbits(packed).astype(bool)
-        k, bits = (trie.k if trie else 1) + 1, len(flags).bit_length() - 1
+        trie, flags = sent.value
+        k, bits = (trie.k if trie else 1) + 1, (8 * flags.shape[1]).bit_length() - 1
         seen = np.zeros((0, k), np.int32)
         for x in stretches(batches):
             on = _extensible(x, trie.walk(x)[0] if trie else np.flatnonzero(x[:-1]), both)
             on = on[x[on + k - 1] > 0]
-            on = on[flags[_bucket(x, on, k, bits)]]
+            on = on[_may_be(flags, _buckets(x, on, k, bits))]
             found = np.stack([x[on + d] for d in range(k)], axis=1)
             seen = np.unique(np.concatenate([seen, found]), axis=0)
             if len(seen) > HELD_WORDS:
@@ -314,7 +336,7 @@ def _blocks(phrases: DataFrame, n: int) -> Iterator[np.ndarray]:
 
 def frequent_phrases(spark: SparkSession, coded: DataFrame, n_words: int, least: int, longest: int) -> DataFrame | None:
     """(words: array of word numbers, f) of all phrases of 2 to ``longest`` words with f >= ``least``."""
-    bits = min(MOST_BUCKETS.bit_length() - 1, max(16, (n_words // 32).bit_length()))
+    bits = min(MOST_BUCKETS.bit_length() - 1, max(16, (n_words // 16).bit_length()))
     flags = frequent_buckets(stored(spark, first_buckets(coded, bits, least), "buckets"), bits, least)
     found, before, n_before = None, None, 0
     for k in range(2, longest + 1):
