@@ -29,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -43,6 +44,7 @@ HELD_WORDS = 500_000  # distinct words that a task counts before it hands them o
 TOGETHER = 4_000_000  # words that move through a trie at once
 MOST_BUCKETS = 1 << 27  # of each of the two bucket tables
 CHUNK = 1 << 16
+TASKS_TOGETHER = 64  # tasks whose tables are added up first
 
 _PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 _FOLD = bytes(10 if c in _PIECE_ENDS else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -223,43 +225,60 @@ class Buckets:
                 table[own] = np.minimum(table[own] + n, self.least)
 
     def rows(self) -> Iterator[pa.RecordBatch]:
-        """Chunks of both tables, each as its places and counts above zero."""
-        for i, part in enumerate(self.tables.reshape(-1, min(CHUNK, 1 << self.bits))):
-            at = np.flatnonzero(part)
-            if len(at):
-                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), pa.array([i], pa.int32()),
-                                                  pa.array([at.astype(np.uint16).tobytes()], pa.binary()), pa.array([part[at].tobytes()], pa.binary())],
-                                                 names=["i", "n", "chunk", "places", "counts"])
+        yield from packed(self.tables.reshape(-1), "buckets", min(CHUNK, 1 << self.bits))
 
 
-PASSED = "i int, n long, chunk int, places binary, counts binary"
+def packed(table: np.ndarray, what: str, size: int) -> Iterator[pa.RecordBatch]:
+    """A task's table in chunks, each as its places and values above zero."""
+    group = TaskContext.get().partitionId() // TASKS_TOGETHER
+    for chunk in range(-(-len(table) // size)):
+        part = table[chunk * size:(chunk + 1) * size]
+        at = np.flatnonzero(part)
+        if len(at):
+            yield pa.RecordBatch.from_pydict({"what": [what], "task_group": pa.array([group], pa.int32()), "chunk": pa.array([chunk], pa.int32()),
+                                              "places": [at.astype(np.uint16).tobytes()], "counts": [part[at].tobytes()]})
+
+
+PASSED = "what string, task_group int, chunk int, places binary, counts binary"
+
+
+def summed(passed: DataFrame, what: str, size: int, kind, most: int, least: int) -> DataFrame:
+    """(chunk, places, counts): packed tables added up over the tasks in two steps, so that no task adds up a chunk
+    of every task; sums cut off at ``most``, those below ``least`` left out at the end."""
+    def adding(least: int):
+        def add(pdf: pd.DataFrame) -> pd.DataFrame:
+            total = np.zeros(size, np.int64)
+            for at, n in zip(pdf["places"], pdf["counts"]):
+                total[np.frombuffer(at, np.uint16)] += np.frombuffer(n, kind)
+            at = np.flatnonzero(total >= least)
+            return pd.DataFrame({"task_group": pdf["task_group"].iloc[:1], "chunk": pdf["chunk"].iloc[:1], "places": [at.astype(np.uint16).tobytes()],
+                                 "counts": [np.minimum(total[at], most).astype(kind).tobytes()]})
+        return add
+
+    schema = "task_group int, chunk int, places binary, counts binary"
+    part = passed.where(F.col("what") == what).drop("what")
+    once = part.groupBy("task_group", "chunk").applyInPandas(adding(1), schema)
+    return once.groupBy("chunk").applyInPandas(adding(least), schema).drop("task_group")
 
 
 def frequent_buckets(passed: DataFrame, bits: int, least: int) -> np.ndarray:
-    """Which buckets of either table reach the threshold over all tasks, one bit each; summed in two steps."""
+    """Which buckets of either table reach the threshold over all tasks, one bit each."""
     kind, size = np.uint8 if least < 256 else np.int32, min(CHUNK, 1 << bits)
-
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(size, np.int64)
-        for at, n in zip(pdf["places"], pdf["counts"]):
-            total[np.frombuffer(at, np.uint16)] += np.frombuffer(n, kind)
-        at = np.flatnonzero(total)
-        return pd.DataFrame({"chunk": pdf["chunk"].iloc[:1], "places": [at.astype(np.uint16).tobytes()],
-                             "counts": [np.minimum(total[at], least).astype(kind).tobytes()]})
-
-    def reached(pdf: pd.DataFrame) -> pd.DataFrame:
-        full = add(pdf).iloc[0]
-        at = np.frombuffer(full["places"], np.uint16)[np.frombuffer(full["counts"], kind) >= least]
-        return pd.DataFrame({"chunk": pdf["chunk"].iloc[:1], "places": [at.tobytes()]})
-
-    part = passed.where("chunk is not null").select("chunk", "places", "counts", F.pmod(F.spark_partition_id(), F.lit(256)).alias("salt"))
-    once = part.groupBy("chunk", "salt").applyInPandas(add, "chunk int, places binary, counts binary")
     flags = np.zeros(((2 << bits) // size, size), bool)
-    for chunk, at in once.groupBy("chunk").applyInPandas(reached, "chunk int, places binary").collect():
+    for chunk, at in summed(passed, "buckets", size, kind, least, least).select("chunk", "places").collect():
         flags[chunk, np.frombuffer(at, np.uint16)] = True
     return np.packbits(flags.reshape(2, -1), axis=1)
 
 
+def frequent_sequences(passed: DataFrame, n: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the trie's ``n`` sequences occur at least ``least`` times, and how often."""
+    counts = np.zeros(-(-n // CHUNK) * CHUNK, np.int64)
+    for chunk, at, f in summed(passed, "sequences", CHUNK, np.int64, 1 << 62, least).collect():
+        counts[chunk * CHUNK + np.frombuffer(at, np.uint16).astype(np.int64)] = np.frombuffer(f, np.int64)
+    i = np.flatnonzero(counts)
+    return i, counts[i]
+
+
 def _may_be(flags: np.ndarray, buckets: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     first, second = (table[b >> 3] >> (7 - (b & 7)).astype(np.uint8) & 1 for table, b in zip(flags, buckets))
     return (first & second).astype(bool)
@@ -277,7 +296,7 @@ def first_buckets(coded: DataFrame, bits: int, least: int) -> DataFrame:
 
 
 def count_phrases(spark: SparkSession, coded: DataFrame, trie: Trie, bits: int, least: int, both: bool, extend: bool) -> DataFrame:
-    """A pass with one trie: rows (i, n) with a task's count of sequence i, and the task's buckets of the next length."""
+    """A pass with one trie: each task's counts of the sequences, and its buckets of the next length."""
     sent = spark.sparkContext.broadcast(trie)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,9 +309,7 @@ def count_phrases(spark: SparkSession, coded: DataFrame, trie: Trie, bits: int,
                 on = _extensible(x, places, both)
                 on = on[x[on + trie.k] > 0]
                 buckets.add(_buckets(x, on, trie.k + 1, bits))
-        met = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(met, pa.int32()), pa.array(counts[met], pa.int64()), pa.nulls(len(met), pa.int32()),
-                                          *[pa.nulls(len(met), pa.binary())] * 2], names=["i", "n", "chunk", "places", "counts"])
+        yield from packed(counts, "sequences", CHUNK)
         if extend:
             yield from buckets.rows()
 
@@ -319,9 +336,26 @@ def met_candidates(spark: SparkSession, coded: DataFrame, trie: Trie | None, fla
         yield out(seen)
 
     def out(seen: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.list_(pa.int32()))], names=["words"])
+        """Chunks by hash, sequences one after the other."""
+        k = seen.shape[1]
+        chunk = (_buckets(seen.reshape(-1), np.arange(len(seen)) * k, k, 8)[0] if len(seen) else np.zeros(0, np.int64))
+        parts = [(c, seen[chunk == c]) for c in np.unique(chunk)]
+        return pa.RecordBatch.from_pydict({"task_group": pa.array([TaskContext.get().partitionId() // TASKS_TOGETHER] * len(parts), pa.int32()),
+                                           "chunk": pa.array([c for c, _ in parts], pa.int32()), "k": pa.array([k] * len(parts), pa.int32()),
+                                           "words": pa.array([p.tobytes() for _, p in parts], pa.binary())})
+
+    def merged(pdf: pd.DataFrame) -> np.ndarray:
+        return np.unique(np.concatenate([np.frombuffer(w, np.int32) for w in pdf["words"]]).reshape(-1, pdf["k"].iloc[0]), axis=0)
+
+    def once(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pdf.iloc[:1].assign(words=[merged(pdf).tobytes()])
+
+    def rows(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"words": list(merged(pdf))})
 
-    return coded.mapInArrow(run, "words array<int>").distinct()
+    schema = "task_group int, chunk int, k int, words binary"
+    part = coded.mapInArrow(run, schema).groupBy("task_group", "chunk").applyInPandas(once, schema)
+    return part.groupBy("chunk").applyInPandas(rows, "words array<int>")
 
 
 def _blocks(phrases: DataFrame, n: int) -> Iterator[np.ndarray]:
@@ -336,7 +370,7 @@ def _blocks(phrases: DataFrame, n: int) -> Iterator[np.ndarray]:
 
 def frequent_phrases(spark: SparkSession, coded: DataFrame, n_words: int, least: int, longest: int) -> DataFrame | None:
     """(words: array of word numbers, f) of all phrases of 2 to ``longest`` words with f >= ``least``."""
-    bits = min(MOST_BUCKETS.bit_length() - 1, max(16, (n_words // 16).bit_length()))
+    bits = min(MOST_BUCKETS.bit_length() - 1, max(16, (n_words // 32).bit_length()))
     flags = frequent_buckets(stored(spark, first_buckets(coded, bits, least), "buckets"), bits, least)
     found, before, n_before = None, None, 0
     for k in range(2, longest + 1):
@@ -354,9 +388,8 @@ def frequent_phrases(spark: SparkSession, coded: DataFrame, n_words: int, least:
         passes, level = [], None
         for block in _blocks(met, n):
             passes.append(stored(spark, count_phrases(spark, coded, Trie(block), bits, least, n <= TRIE_PHRASES, k < longest), "passes"))
-            counts = passes[-1].where("i is not null").groupBy("i").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toArrow()
-            i = counts.column("i").to_numpy()
-            rows = pa.table({"words": pa.array(list(block[i]), pa.list_(pa.int32())), "f": counts.column("n")})
+            i, f = frequent_sequences(passes[-1], len(block), least)
+            rows = pa.table({"words": pa.array(list(block[i]), pa.list_(pa.int32())), "f": pa.array(f, pa.int64())})
             part = stored(spark, spark.createDataFrame(rows), "frequent") if len(i) else None
             level = part if level is None else level if part is None else level.union(part)
         if level is None:
