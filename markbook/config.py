@@ -98,9 +98,9 @@ class ReportParams:
     # Q5: the reference excludes only the as-of date itself, so a backfill
     # can pick a later fallback date; strict mode uses dates before as-of.
     strict_as_of: bool = False
-    # The one-pass core needs one markets row per join key and one description
-    # per held ticker; a run over tables that break this stops, unless it is
-    # told to go on with the core's own reading (each ticker counted once).
+    # Several markets rows per join key, and descriptions that tickers share, multiply
+    # rows in the reference (Q2, Q7), and so in the reports; with this, each
+    # ticker counts once instead.
     allow_shared: bool = False
 
     @property

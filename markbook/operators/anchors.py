@@ -28,7 +28,8 @@ from ..functions.dates import (beginning_of_year, beginning_of_year_of, previous
                                previous_weekday_of)
 from ..session import ensure_checkpoint_dir
 from ..sources.tables import Tables
-from .lots import check_preconditions, held_tickers
+from .factorised import shares_markets
+from .lots import held_tickers
 
 
 @dataclass(frozen=True)
@@ -39,6 +40,7 @@ class Anchors:
     boy: dt.date
     rate: Decimal
     max_known: dt.date | None = None  # warehouse profile / a single lake user
+    shared: bool = False  # markets rows or descriptions are shared (Q2, Q7)
 
     def dates(self) -> list[dt.date]:
         ds = {self.today, self.yesterday, self.boy}
@@ -223,23 +225,24 @@ def compute_anchors(spark: SparkSession, tables: Tables, params: ReportParams,
     """Anchors of one run.  Returns the literal anchors and, for the lake
     profile over many users, the per-user fallback frame."""
     as_of, yesterday, boy = _date_literals(spark, params.as_of)
-    # the two lookups are independent jobs: submit them together so the
+    # the lookups are independent jobs: submit them together so the
     # scheduler runs them side by side instead of one after the other
     # (job group and local properties go along)
     own = inheritable_thread_target(spark)
     with ThreadPoolExecutor(max_workers=3) as pool:
         rate_f = pool.submit(own(fx_rate), tables, params, as_of, yesterday)
         fb_f = pool.submit(own(fallback_date), tables, params, as_of, lots)
-        check_f = pool.submit(own(check_preconditions), tables, params)
-        rate, fb, _ = rate_f.result(), fb_f.result(), check_f.result()
+        shared_f = None if params.allow_shared else pool.submit(own(shares_markets), tables, params)
+        rate, fb = rate_f.result(), fb_f.result()
+        shared = bool(shared_f and shared_f.result())
     if isinstance(fb, DataFrame):
         # one row per user, read twice downstream (its distinct dates, then
         # the join): write it once to the shared checkpoint folder, which also
         # cuts the long lineage of the per-user counts
         ensure_checkpoint_dir(spark)
         fb = fb.checkpoint(eager=True)
-        return Anchors(as_of, as_of, yesterday, boy, rate, None), fb
-    return Anchors(as_of, as_of, yesterday, boy, rate, fb), None
+        return Anchors(as_of, as_of, yesterday, boy, rate, None, shared), fb
+    return Anchors(as_of, as_of, yesterday, boy, rate, fb, shared), None
 
 
 def backfill_anchors(spark: SparkSession, tables: Tables, params: ReportParams, as_of_dates) -> DataFrame:
@@ -254,7 +257,6 @@ def backfill_anchors(spark: SparkSession, tables: Tables, params: ReportParams,
     history has been read).  The frame has one row per requested date.
     """
     as_of_dates = sorted(set(as_of_dates))
-    check_preconditions(tables, params)
     if params.profile.fallback_scope != "all":  # the fallback is per user, see user_fallbacks
         asof = as_of_frame(spark, as_of_dates)
         return asof.withColumn("max_known", F.lit(None).cast("date")).join(fx_rates(tables, params, asof), "as_of")

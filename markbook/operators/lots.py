@@ -44,19 +44,6 @@ def user_lots(tables: Tables, params: ReportParams, users: list[str] | None = No
     return joined.select(*LOT_COLUMNS).dropDuplicates()
 
 
-def positions(lots: DataFrame) -> DataFrame:
-    """One row per (user, ticker, attributes) from already joined lots:
-    total quantity and cost basis.
-
-    ``qty`` is held as decimal(18,4) so that ``qty * price(18,6)`` stays an
-    exact decimal(37,10), equal to the reference's per-lot sum.
-    """
-    return lots.groupBy("_user", "ticker", "description", *DIMENSIONS).agg(
-        F.sum("quantity").cast("decimal(18,4)").alias("qty"),
-        F.sum(F.col("quantity") * F.col("cost_per_share")).alias("cost"),
-    )
-
-
 def user_positions(tables: Tables, params: ReportParams) -> DataFrame:
     """Positions for the valuation, aggregated *before* the markets join.
 
@@ -101,11 +88,10 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def precondition_violations(tables: Tables, params: ReportParams) -> DataFrame:
-    """(kind, key, n) rows that break the one-pass core's assumptions:
+    """(kind, key, n) rows for which the reference's joins multiply rows:
     several markets rows per join key (Q2), or one description shared by
-    several held tickers (Q7).  Empty when the reports equal the reference's
-    literal join chains; otherwise use :mod:`markbook.operators.literal`.
-    A missing description is not a shared one."""
+    several held tickers (Q7).  A report for people, to see which listings are meant; runs
+    ask :func:`.factorised.shares_markets`.  A missing description is not a shared one."""
     prof = params.profile
     keys = ["ticker", "dataset"] if prof.markets_on_dataset else ["ticker"]
     mk = tables.markets
@@ -119,14 +105,3 @@ def precondition_violations(tables: Tables, params: ReportParams) -> DataFrame:
     dup_desc = duplicate_keys(descs.select("description"), ["description"]).select(
         F.lit("description").alias("kind"), F.col("description").alias("key"), "n")
     return dup_keys.unionByName(dup_desc)
-
-
-def check_preconditions(tables: Tables, params: ReportParams) -> None:
-    """Stops a run whose tables break the core's assumptions."""
-    if params.allow_shared:
-        return
-    found = precondition_violations(tables, params).limit(5).collect()
-    if found:
-        raise ValueError("the one-pass reports need one markets row per ticker and one ticker per description; found "
-                         + ", ".join(f"{r['kind']} {r['key']!r} x {r['n']}" for r in found)
-                         + " (allow_shared=True counts each ticker once; operators.literal has the join chains)")

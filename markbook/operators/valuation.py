@@ -3,9 +3,10 @@
 The reference computes four grouped right joins (today, yesterday, 2 January,
 fallback date), then merges them with two chains of full outer joins, first
 on ticker (JN6), then on description (JN7).  With one price row per (ticker,
-date) and one markets row per ticker, that whole chain is a per-ticker
-formula over the wide anchor prices, so it is expressed as one join of the
-position sums with the wide prices plus column arithmetic (SURVEY 7.2):
+date), one markets row per ticker and one ticker per description, that whole chain is a
+per-ticker formula over the wide anchor prices, so it is expressed as one join of the
+position sums with the wide prices plus column arithmetic (SURVEY 7.2); where markets
+rows or descriptions are shared, :mod:`.factorised` multiplies by counts and sums:
 
 * ``v_d = coalesce(qty * p_d, cost)`` when a price row exists on date d;
 * today ``T`` also counts the 2 January value for the year-start-price
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from ..config import DIMENSIONS, ReportParams
 from ..sources.tables import Tables
 from .anchors import Anchors, backfill_anchors, compute_anchors, user_fallbacks
+from .factorised import multiplied_rows, shares_markets
 from .lots import user_positions
 from .prices import ROLES, anchor_prices, anchor_prices_at, converted_price, daily_prices, prices_on, roles_of
 
@@ -38,15 +40,15 @@ def _lit_date(d) -> Column:
     return F.lit(d).cast("date")
 
 
-def value_rows(j: DataFrame, params: ReportParams, today: Column, boy: Column,
-               max_known: Column, keys=()) -> DataFrame:
-    """Apply the per-ticker formula to joined positions x wide prices.
+def legs(j: DataFrame, params: ReportParams, today: Column, boy: Column, max_known: Column, keys=()) -> DataFrame:
+    """Joined positions x wide prices as one row per position: price flags ``h_*``, values ``v_y`` and ``v_b``, and the
+    current (``on_t``, T, Tc) and fallback (``on_m``, B, Bc) value and cost.
 
-    Three projections, each naming its intermediate values once, keep the
-    expression trees small (Catalyst collapses them into one projection)."""
+    Projections that name their intermediate values once keep the expression trees small
+    (Catalyst collapses them into one projection)."""
     h = {r: F.coalesce(F.col(f"h_{r}"), F.lit(False)) for r in ROLES}
     qty, cost = F.col("qty"), F.col("cost")
-    is_ys = F.col("ticker") == F.lit(params.year_start_price_ticker)
+    is_ys = F.coalesce(F.col("ticker") == F.lit(params.year_start_price_ticker), F.lit(False))
     base = [*[F.col(k) for k in keys], "_user", "ticker", "description", *DIMENSIONS, "cost"]
     step1 = j.select(
         *base,
@@ -64,8 +66,18 @@ def value_rows(j: DataFrame, params: ReportParams, today: Column, boy: Column,
 
     T, Tc = leg("h_t", "x_t", "v_t")
     B, Bc = leg("h_m", "x_m", "v_m")
-    step2 = step1.select(*base, "h_y", "v_y", "v_b", T.alias("T"), Tc.alias("Tc"), B.alias("B"),
-                         Bc.alias("Bc"))
+    return step1.select(*base, *[f"h_{r}" for r in ROLES], "v_y", "v_b", (F.col("h_t") | F.col("x_t")).alias("on_t"),
+                        (F.col("h_m") | F.col("x_m")).alias("on_m"), T.alias("T"), Tc.alias("Tc"), B.alias("B"), Bc.alias("Bc"))
+
+
+def value_rows(j: DataFrame, params: ReportParams, today: Column, boy: Column,
+               max_known: Column, keys=(), shared: bool = False) -> DataFrame:
+    """Core rows from joined positions x wide prices: by the per-ticker formula, or where markets rows or
+    descriptions are ``shared`` by counts and sums (:func:`.factorised.multiplied_rows`)."""
+    rows = legs(j, params, today, boy, max_known, keys)
+    if shared:
+        return multiplied_rows(rows, params, keys)
+    zero = F.lit(0)
     T, Tc, B, Bc, v_b = F.col("T"), F.col("Tc"), F.col("B"), F.col("Bc"), F.col("v_b")
     present = T.isNotNull() | F.col("h_y") | B.isNotNull()
 
@@ -82,7 +94,7 @@ def value_rows(j: DataFrame, params: ReportParams, today: Column, boy: Column,
         return F.when(a.isNull() & b.isNull(), F.lit(None)).otherwise(F.coalesce(a, zero) + F.coalesce(b, zero))
 
     ytd_today_part = F.when(F.col("h_y"), T - v_b)
-    return step2.select(
+    return rows.select(
         *[F.col(k) for k in keys], "_user", keep("ticker"), keep("description"),
         *[keep(d) for d in DIMENSIONS],
         F.when(no_desc, both(Tc, Bc)).otherwise(F.coalesce(Tc, Bc)).alias("cost_basis"),
@@ -124,7 +136,7 @@ def valuation(spark: SparkSession, tables: Tables, params: ReportParams,
             j = j.where(F.coalesce(F.col("h_t") | F.col("h_y") | F.col("h_b"), F.lit(False))
                         | F.coalesce(F.col("h_m"), F.lit(False)))
         max_known = F.col("max_known")
-    return value_rows(j, params, _lit_date(anchors.today), _lit_date(anchors.boy), max_known)
+    return value_rows(j, params, _lit_date(anchors.today), _lit_date(anchors.boy), max_known, shared=anchors.shared)
 
 
 def backfill_valuation(spark: SparkSession, tables: Tables, params: ReportParams, as_of_dates) -> DataFrame:
@@ -141,14 +153,15 @@ def backfill_valuation(spark: SparkSession, tables: Tables, params: ReportParams
     px = anchor_prices(daily, roles_of(local), params.fx_ticker, keys=("as_of",))
     px = px.join(local.select("as_of", "today", "boy", "max_known"), "as_of")
     pos = user_positions(tables, params)
+    shared = not params.allow_shared and shares_markets(tables, params)
     if params.profile.fallback_scope != "all":
-        return _lake_backfill(tables, params, as_of_dates, local, px, pos)
+        return _lake_backfill(tables, params, as_of_dates, local, px, pos, shared)
     j = pos.join(px, "ticker")
-    return value_rows(j, params, F.col("today"), F.col("boy"), F.col("max_known"), keys=("as_of",))
+    return value_rows(j, params, F.col("today"), F.col("boy"), F.col("max_known"), keys=("as_of",), shared=shared)
 
 
 def _lake_backfill(tables: Tables, params: ReportParams, as_of_dates, local: DataFrame, px: DataFrame,
-                   pos: DataFrame) -> DataFrame:
+                   pos: DataFrame, shared: bool) -> DataFrame:
     """Core rows of many as-of dates where every user has a fallback date of their own:
     each position meets its (as_of, ticker) prices and its user's fallback price."""
     fb = user_fallbacks(tables, params, as_of_dates, pos)
@@ -161,4 +174,4 @@ def _lake_backfill(tables: Tables, params: ReportParams, as_of_dates, local: Dat
     if not params.profile.keep_unpriced:
         priced = [F.coalesce(F.col(f"h_{r}"), F.lit(False)) for r in ROLES]
         j = j.where(priced[0] | priced[1] | priced[2] | priced[3])
-    return value_rows(j, params, F.col("today"), F.col("boy"), F.col("max_known"), keys=("as_of",))
+    return value_rows(j, params, F.col("today"), F.col("boy"), F.col("max_known"), keys=("as_of",), shared=shared)

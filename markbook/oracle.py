@@ -55,8 +55,25 @@ equities_fact as (
 )"""
 
 
-def with_standins(body: str) -> str:
-    return "with " + STANDIN_CTES.strip() + ",\n" + body.strip()
+# listings that share names (sources.standin.shared_markets)
+SHARED_MARKETS = """
+named_markets as (
+  select dataset, ticker, regexp_replace(description, ' #.*', '') || ' ' || asset_type as description, asset_type, location,
+         case when cast(substr(ticker, 2) as bigint) % 11 <> 0 then capitalization end as capitalization, investment_style,
+         cast(substr(ticker, 2) as bigint) as number
+  from unique_markets
+), markets_dim as (
+  select * exclude (number) from named_markets
+  union all
+  select * exclude (number) replace ('TIINGO' as dataset, 'Fund' as asset_type) from named_markets where number % 7 = 0
+)"""
+
+
+def with_standins(body: str, shared: bool = False) -> str:
+    views = STANDIN_CTES.strip()
+    if shared:
+        views = views.replace("markets_dim as (", "unique_markets as (") + ",\n" + SHARED_MARKETS.strip()
+    return "with " + views + ",\n" + body.strip()
 
 
 def _pct(num: str, den: str) -> str:
@@ -75,8 +92,9 @@ _DIMS = ", ".join((*_DIM_COLS, "description"))
 
 def core_ctes(*, as_of: dt.date = STANDIN_AS_OF, user: str = STANDIN_USER, lake: bool = False,
               weekly: bool = False, min_rows: int | None = None, fx_ticker: str = STANDIN_FX_TICKER,
-              ys_ticker: str = STANDIN_YEAR_START_TICKER) -> str:
-    """CTEs of one run, ending in ``valued``: one row per valued position.
+              ys_ticker: str = STANDIN_YEAR_START_TICKER, joined: bool = False) -> str:
+    """CTEs of one run, ending in ``valued``: one row per valued position, or with ``joined`` one
+    per joined row (:func:`_joined_rows`).
 
     Every anchor date gets a role (t today, y previous weekday, b 2 January, m fallback); prices
     are tagged with the roles their date plays and spread into one row per position.  A
@@ -133,7 +151,7 @@ calendar as (
   from equities_fact e, rate r
   where e.date in (select day from roles){null_quotes}
   group by all
-), spread as (
+), {_joined_rows(ys_ticker, lake and weekly) if joined else f"""spread as (
   select q.ticker, {spread}
   from quotes q join roles c on c.day = q.date group by q.ticker
 ), held as (
@@ -170,6 +188,34 @@ calendar as (
   select {nothing} from legs where h_b and not h_y
   union all
   select {nothing} from legs where h_b and (value_then is null or description is null){unpriced}
+)"""}"""
+
+
+def _joined_rows(ys_ticker: str, keep_unpriced: bool) -> str:
+    """``valued`` as rows joined to rows: what each date says about a lot group, put side by side by ticker,
+    then by description.  Holds also where tickers share a description or have several markets rows."""
+    def day(role):
+        return f"(select day from roles where role = '{role}')"
+
+    def said(name, role, extra="", values=True):
+        cols = "sum(quantity * cost_per_share) as cost, " if values else ""
+        return f"""{name} as (
+  select {_DIMS}, q.ticker as tk, {cols}sum(quantity * coalesce(q.close, cost_per_share)) as worth
+  from lots l left join quotes q on q.ticker = l.ticker
+  where q.date = {day(role)}{extra} group by all
+)"""
+
+    again = f" or (q.ticker = '{ys_ticker}' and q.date = {day('b')})"
+    both = ", ".join(f"coalesce(now.{c}, prior.{c}) as {c}" for c in (*_DIM_COLS, "description", "tk"))
+    either = ", ".join(f"coalesce(f.{c}, x.{c}) as {c}" for c in (*_DIM_COLS, "description"))
+    return f"""{said("now", "t", again)}, {said("prior", "y", " or q.date is null" if keep_unpriced else "", False)}, {said("january", "b", values=False)}, {said("last", "m", again)}, by_ticker as (
+  select {both}, now.cost, now.worth, now.worth - now.cost as gain, now.worth - january.worth as ytd, now.worth - prior.worth as day_change
+  from now full join prior on prior.tk = now.tk full join january on january.tk = prior.tk
+), valued as (
+  select {either}, coalesce(f.tk, x.tk) as ticker, coalesce(f.cost, x.cost) as cost_basis, coalesce(f.worth, x.worth) as market_value,
+         coalesce(f.gain, x.worth - x.cost) as gain_loss, coalesce(f.ytd, x.worth - january.worth, 0) as ytd_gain_loss,
+         coalesce(f.day_change, 0) as today_gain_loss
+  from by_ticker f full join last x on x.description = f.description full join january on january.description = x.description
 )"""
 
 
@@ -199,8 +245,8 @@ select if(kind = 'total', 'TOTAL', ticker) as ticker, if(kind = 'total', 'Portfo
 from (from grouped where kind = 'total' or ticker <> '')"""
 
 
-def daily_sql(**kw) -> str:
-    return with_standins(f"one as ({daily_select(**kw)})\nselect * from one")
+def daily_sql(shared: bool = False, **kw) -> str:
+    return with_standins(f"one as ({daily_select(**kw)})\nselect * from one", shared)
 
 
 def rollup_select(dimension: str, benchmark: str = STANDIN_BENCHMARK_TICKER, **kw) -> str:
@@ -223,8 +269,8 @@ def rollup_select(dimension: str, benchmark: str = STANDIN_BENCHMARK_TICKER, **k
 select asset_type, {cols} from grouped"""
 
 
-def rollup_sql(dimension: str, **kw) -> str:
-    return with_standins(f"one as ({rollup_select(dimension, **kw)})\nselect * from one")
+def rollup_sql(dimension: str, shared: bool = False, **kw) -> str:
+    return with_standins(f"one as ({rollup_select(dimension, **kw)})\nselect * from one", shared)
 
 
 def stacked(parts: list[tuple[str, str]]) -> str:
@@ -350,7 +396,6 @@ def registered_sql() -> dict[str, str]:
         return now_leg.format(leg=name, cost=_m(f"cost_{name}"), value=_m(f"value_{name}"),
                               gain=_m(f"value_{name} - cost_{name}"))
 
-    no_keys = ", ".join(["null"] * (len(_DIM_COLS) + 2))
     log_between = f"where date between date '{STANDIN_LOG_START}' and date '{STANDIN_LOG_END}'"
     sql = {
         "rpt1": daily_sql(),
@@ -358,6 +403,9 @@ def registered_sql() -> dict[str, str]:
         "rpt3": rollup_sql("asset_type"), "rpt4": rollup_sql("location"),
         "rpt5": rollup_sql("capitalization"), "rpt6": rollup_sql("investment_style"),
         **{f"rpt7_{x}": rollup_sql(x, lake=True) for x in dims},
+        "rpt1_shared": daily_sql(shared=True, joined=True), "rpt2_shared": daily_sql(shared=True, lake=True, joined=True),
+        "rpt5_shared": rollup_sql("capitalization", shared=True, joined=True),
+        "rpt7_shared": rollup_sql("capitalization", shared=True, lake=True, joined=True),
         "rpt8": with_standins(f"select * from equities_fact where date = date '{d}'"),
         "rpt9": _count_pivot(STANDIN_DEVICES, log_between),
         "rpt10": _retired_cost_basis(),
@@ -413,12 +461,9 @@ def registered_sql() -> dict[str, str]:
         "jn3": _on_core(f"select {block_cols}, {_m('v_b')} as market_value from legs where h_b"),
         "jn4": _on_core(yesterday_leg, lake=True, weekly=True),
         "jn5": _fx_per_date(),
-        "jn6": _on_core(f"select {block_cols}, {_m('cost_now')} as cost_basis, {_m('value_now')} as market_value, "
-                        f"{_m('value_now - cost_now')} as gain_loss, {_m('if(h_y, value_now - v_b, null)')} as ytd_gain_loss, "
-                        f"{_m('value_now - v_y')} as today_gain_loss from legs where value_now is not null or h_y "
-                        f"union all select {no_keys}, null, null, null, null, null from legs where h_b and not h_y"),
-        "jn7": _on_core(f"select {block_cols}, " + ", ".join(f"{_m(c)} as {c}" for c in _MEAS)
-                        + " from valued"),
+        "jn6": _on_core(f"select {_DIMS}, tk as ticker, {_m('cost')} as cost_basis, {_m('worth')} as market_value, {_m('gain')} as gain_loss, "
+                        f"{_m('ytd')} as ytd_gain_loss, {_m('day_change')} as today_gain_loss from by_ticker", joined=True),
+        "jn7": _on_core(f"select {block_cols}, " + ", ".join(f"{_m(c)} as {c}" for c in _MEAS) + " from valued", joined=True),
         "jn8": with_standins("select * from equities_fact where ticker in "
                              "(select distinct ticker from portfolio_dim where dataset = 'ALPHA-VANTAGE')"),
         "jn9": _on_core("select * from equities_fact where ticker in (select ticker from lots)", lake=True),

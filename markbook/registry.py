@@ -13,6 +13,7 @@ import datetime as dt
 import os
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,6 +75,29 @@ def _rollup(dim, profile=None):
     return q
 
 
+def _shared_tables(spark, sf):
+    t = _tables(spark, sf)
+    return replace(t, markets=S.shared_markets(t.markets))
+
+
+def rpt1_shared(spark, sf):
+    """RPT1 over listings that share descriptions (Q7)."""
+    return portfolio_daily(spark, _shared_tables(spark, sf), _params())
+
+
+def rpt2_shared(spark, sf):
+    """RPT2 over listings that share descriptions and have several markets rows (Q2, Q7)."""
+    return portfolio_daily(spark, _shared_tables(spark, sf), _params(profile=LAKE_DAILY))
+
+
+def rpt5_shared(spark, sf):
+    return portfolio_rollup(spark, _shared_tables(spark, sf), _params(), "capitalization")
+
+
+def rpt7_shared(spark, sf):
+    return portfolio_rollup(spark, _shared_tables(spark, sf), _params(profile=LAKE_WEEKLY), "capitalization")
+
+
 def rpt8(spark, sf):
     return X.equities_snapshot(_tables(spark, sf), AS_OF)
 
@@ -547,6 +571,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rpt7_location": _rollup("location", LAKE_WEEKLY),
         "rpt7_capitalization": _rollup("capitalization", LAKE_WEEKLY),
         "rpt7_investment_style": _rollup("investment_style", LAKE_WEEKLY),
+        "rpt1_shared": rpt1_shared, "rpt2_shared": rpt2_shared, "rpt5_shared": rpt5_shared, "rpt7_shared": rpt7_shared,
         "rpt8": rpt8, "rpt9": rpt9, "rpt10": rpt10, "rpt11": rpt11,
         "ext1": ext1, "ext1_lake": ext1_lake, "ext2": ext2, "ext2_lake": ext2_lake, "ext3": ext3,
         "src1": src1, "src2": src2, "src3": src3, "src4": src4, "src5": src5, "src6": src6,

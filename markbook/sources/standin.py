@@ -61,6 +61,17 @@ def markets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def shared_markets(mk: DataFrame) -> DataFrame:
+    """Stand-in listings that share names: tickers of one part name and type have one description, every
+    seventh ticker has a second row in another dataset, every eleventh no capitalization."""
+    number = F.substring("ticker", 2, 20).cast("bigint")
+    rows = mk.select(
+        "dataset", "ticker", F.concat(F.regexp_replace("description", " #.*", ""), F.lit(" "), F.col("asset_type")).alias("description"),
+        "asset_type", "location", F.when(number % 11 != 0, F.col("capitalization")).alias("capitalization"), "investment_style")
+    second = rows.where(number % 7 == 0).withColumns({"dataset": F.lit("TIINGO"), "asset_type": F.lit("Fund")})
+    return rows.unionByName(second)
+
+
 def portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem")
     lots = li.select(

@@ -115,13 +115,26 @@ def test_totals_beyond_32_bits(spark):
     assert r["TOTAL"]["market_value"] == 8_999_910_000 and r["A"]["cost_basis"] == 999_890_001
 
 
-def test_shared_descriptions_stop_the_report(spark):
+def test_shared_descriptions_multiply_like_the_joins(spark):
+    """Two tickers, one description, both priced today and on the fallback date (yesterday): each
+    of the two rows meets two fallback rows."""
     mk = [("A", "Same", "Stock", "US", "Large", "Blend"), ("B", "Same", "Stock", "US", "Large", "Blend")]
-    t = tables(spark, [("A", T, 10), ("B", T, 10)], [("U", "A", 1, 5), ("U", "B", 1, 5)], markets=mk)
-    with pytest.raises(ValueError, match="Same"):
-        portfolio_daily(spark, t, params())
-    r = portfolio_daily(spark, t, params(allow_shared=True)).where("ticker = 'TOTAL'").collect()[0]
-    assert (r["cost_basis"], r["market_value"]) == (10, 20)
+    t = tables(spark, [("A", T, 10), ("B", T, 20), ("A", Y, 9), ("B", Y, 19)], [("U", "A", 1, 5), ("U", "B", 1, 5)], markets=mk)
+    r = rows_by_ticker(portfolio_daily(spark, t, params()))
+    assert (r["A"]["cost_basis"], r["A"]["market_value"], r["A"]["today_gain_loss"]) == (10, 20, 2)
+    assert (r["TOTAL"]["cost_basis"], r["TOTAL"]["market_value"]) == (20, 60)
+    r = rows_by_ticker(portfolio_daily(spark, t, params(allow_shared=True)))
+    assert (r["TOTAL"]["cost_basis"], r["TOTAL"]["market_value"]) == (10, 30)
+
+
+def test_several_markets_rows_multiply_by_ticker_and_description(spark):
+    """Lake profile, one ticker with two markets rows: 2 today rows x 2 yesterday rows x 2 fallback rows,
+    and the 2 January rows twice, once by ticker and once by description."""
+    from markbook import LAKE_DAILY
+    t = tables(spark, [("A", T, 10), ("A", Y, 9), ("A", B, 4)], [("U", "A", 1, 5)], markets=[("A", "A Inc", "Stock", "US", "Large", "Blend")])
+    t.markets = t.markets.unionByName(spark.createDataFrame([("OTHER", "A", "A Inc", "Bond", "US", "Large", "Blend")], t.markets.schema))
+    r = rows_by_ticker(portfolio_daily(spark, t, params(profile=LAKE_DAILY)))
+    assert r["A"]["market_value"] == 10 * 32 and r["A"]["today_gain_loss"] == 32 and r["A"]["ytd_gain_loss"] == 6 * 32
 
 
 def test_requested_user_without_holdings_gets_a_total(spark):
