@@ -291,8 +291,8 @@ def _money_sums() -> str:
     return ", ".join(f"{_m(f'sum({c})')} as {c}" for c in _MEAS)
 
 
-def _on_core(select: str, **kw) -> str:
-    return with_standins(core_ctes(**kw) + "\n" + select)
+def _on_core(select: str, shared: bool = False, **kw) -> str:
+    return with_standins(core_ctes(**kw) + "\n" + select, shared)
 
 
 def _count_pivot(devices, where: str = "") -> str:
@@ -396,6 +396,7 @@ def registered_sql() -> dict[str, str]:
         return now_leg.format(leg=name, cost=_m(f"cost_{name}"), value=_m(f"value_{name}"),
                               gain=_m(f"value_{name} - cost_{name}"))
 
+    joins = (("", {}), ("_shared", {"shared": True, "lake": True, "weekly": True}))
     log_between = f"where date between date '{STANDIN_LOG_START}' and date '{STANDIN_LOG_END}'"
     sql = {
         "rpt1": daily_sql(),
@@ -461,9 +462,11 @@ def registered_sql() -> dict[str, str]:
         "jn3": _on_core(f"select {block_cols}, {_m('v_b')} as market_value from legs where h_b"),
         "jn4": _on_core(yesterday_leg, lake=True, weekly=True),
         "jn5": _fx_per_date(),
-        "jn6": _on_core(f"select {_DIMS}, tk as ticker, {_m('cost')} as cost_basis, {_m('worth')} as market_value, {_m('gain')} as gain_loss, "
-                        f"{_m('ytd')} as ytd_gain_loss, {_m('day_change')} as today_gain_loss from by_ticker", joined=True),
-        "jn7": _on_core(f"select {block_cols}, " + ", ".join(f"{_m(c)} as {c}" for c in _MEAS) + " from valued", joined=True),
+        **{f"jn6{end}": _on_core(
+            f"select {_DIMS}, tk as ticker, {_m('cost')} as cost_basis, {_m('worth')} as market_value, {_m('gain')} as gain_loss, "
+            f"{_m('ytd')} as ytd_gain_loss, {_m('day_change')} as today_gain_loss from by_ticker", joined=True, **kw) for end, kw in joins},
+        **{f"jn7{end}": _on_core(f"select {block_cols}, " + ", ".join(f"{_m(c)} as {c}" for c in _MEAS) + " from valued",
+                                 joined=True, **kw) for end, kw in joins},
         "jn8": with_standins("select * from equities_fact where ticker in "
                              "(select distinct ticker from portfolio_dim where dataset = 'ALPHA-VANTAGE')"),
         "jn9": _on_core("select * from equities_fact where ticker in (select ticker from lots)", lake=True),

@@ -22,6 +22,7 @@ from . import oracle as O
 from .config import LAKE_DAILY, LAKE_WEEKLY, ReportParams
 from .functions import dates as D
 from .functions.money import percent, to_int
+from .operators import chains
 from .operators import literal as L
 from .operators.anchors import compute_anchors, date_row_counts, fx_rates, qualifying_dates
 from .operators.lots import held_tickers, user_lots
@@ -233,12 +234,16 @@ def flt4(spark, sf):
     return t.equities.where(on_dates(a.dates()) | F.col("date").isNull())
 
 
-def _blocks(spark, sf, lake_weekly=False):
+def _block_inputs(spark, sf, lake_weekly=False):
     t = _tables(spark, sf)
     p = _params(profile=LAKE_WEEKLY) if lake_weekly else _params()
     a, lots = _anchors(spark, t, p)
-    px = L.anchor_price_rows(t, p, a)
-    return L.blocks(px, lots, p, a, lake_weekly), p
+    return L.anchor_price_rows(t, p, a), lots, p, a, lake_weekly
+
+
+def _blocks(spark, sf, lake_weekly=False):
+    inputs = _block_inputs(spark, sf, lake_weekly)
+    return L.blocks(*inputs), inputs[2]
 
 
 def _fmt_block(df: DataFrame) -> DataFrame:
@@ -323,13 +328,27 @@ def jn5(spark, sf):
 
 
 def jn6(spark, sf):
-    (today, yesterday, ytd, _), _ = _blocks(spark, sf)
-    return _fmt_block(L.ticker_chain(today, yesterday, ytd))
+    return _fmt_block(chains.ticker_chain(L.wide_blocks(*_block_inputs(spark, sf))))
 
 
 def jn7(spark, sf):
-    (today, yesterday, ytd, backup), _ = _blocks(spark, sf)
-    return _fmt_block(L.description_chain(L.ticker_chain(today, yesterday, ytd), backup, ytd))
+    return _fmt_block(chains.description_chain(L.wide_blocks(*_block_inputs(spark, sf))))
+
+
+def jn6_shared(spark, sf):
+    """JN6 where tickers have several markets rows: rows multiply."""
+    return _fmt_block(chains.ticker_chain(L.wide_blocks(*_shared_inputs(spark, sf))))
+
+
+def jn7_shared(spark, sf):
+    """JN7 where tickers share descriptions as well."""
+    return _fmt_block(chains.description_chain(L.wide_blocks(*_shared_inputs(spark, sf))))
+
+
+def _shared_inputs(spark, sf):
+    t, p = _shared_tables(spark, sf), _params(profile=LAKE_WEEKLY)
+    a, lots = _anchors(spark, t, p)
+    return L.anchor_price_rows(t, p, a), lots, p, a, True
 
 
 def jn8(spark, sf):
@@ -579,7 +598,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "prj1": prj1, "prj2": prj2, "prj3": prj3,
         "flt1": flt1, "flt2": flt2, "flt3": flt3, "flt4": flt4, "flt5": flt5, "flt6": flt6,
         "flt7": flt7, "flt8": flt8, "flt9": flt9, "flt10": flt10, "sub1": sub1,
-        "jn1": jn1, "jn2": jn2, "jn3": jn3, "jn4": jn4, "jn5": jn5, "jn6": jn6, "jn7": jn7,
+        "jn1": jn1, "jn2": jn2, "jn3": jn3, "jn4": jn4, "jn5": jn5, "jn6": jn6, "jn7": jn7, "jn6_shared": jn6_shared, "jn7_shared": jn7_shared,
         "jn8": jn8, "jn9": jn9, "jn10": jn10, "jn11": jn11,
         "agg1": agg1, "agg2": agg2, "agg3": agg3, "agg4": agg4, "agg5": agg5, "agg6": agg6,
         "agg7": agg7, "agg8": _dim_agg("asset_type"), "agg9": _dim_agg("location"),

@@ -67,3 +67,15 @@ def test_hash_exchanges_move_aggregated_rows(spark, name):
         # a checkpointed frame (Scan ExistingRDD) is the per-user fallback
         # table: one row per user, already aggregated
         assert child.startswith(("HashAggregate", "Scan ExistingRDD")), f"{ex}\n  over {child[:200]}"
+
+
+@pytest.mark.parametrize("name", ["jn6", "jn7"])
+def test_outer_chains_run_in_one_pass(spark, name):
+    """With broadcasts off: every table is read for the wide rows once, and no full join is left."""
+    q = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = final_plan(E.queries()[name](spark, SF001))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", q)
+    assert plan.count("FileScan parquet") <= 8 and plan.count(" Exchange ") <= 12 and "FullOuter" not in plan

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from test_random_equivalence import AV, TICKERS, duck_con, frames, make_case
 
 from markbook import LAKE_DAILY, LAKE_WEEKLY, WAREHOUSE, ReportParams, oracle
+from markbook.operators import chains
 from markbook.operators import literal as L
 from markbook.operators.anchors import compute_anchors
 from markbook.operators.factorised import shares_markets
@@ -54,6 +55,23 @@ def test_reports_equal_joined_rows(spark, seed):
         assert ok, f"seed {seed} as_of {as_of} min_rows {min_rows}: {msg}"
 
 
+@pytest.mark.parametrize("seed", [40, 41, 42])
+def test_one_pass_chains_equal_the_joins_row_by_row(spark, seed):
+    prices, lots, markets, rates, as_of, min_rows = shared_case(seed)
+    t = frames(spark, prices, lots, markets, rates)
+    for profile in (WAREHOUSE, LAKE_WEEKLY):
+        p = parameters(as_of, min_rows, user="U", profile=profile)
+        a, _ = compute_anchors(spark, t, p, user_positions(t, p))
+        inputs = L.anchor_price_rows(t, p, a), user_lots(t, p), p, a, profile.keep_unpriced
+        today, yesterday, ytd, backup = L.blocks(*inputs)
+        by_ticker = L.ticker_chain(today, yesterday, ytd)
+        for got, want in ((chains.ticker_chain(L.wide_blocks(*inputs)), by_ticker),
+                          (chains.description_chain(L.wide_blocks(*inputs)), L.description_chain(by_ticker, backup, ytd))):
+            assert got.columns == want.columns
+            rows = sorted([str(None if v is None else f"{v:.6f}" if hasattr(v, "quantize") else v) for v in r] for r in got.collect())
+            assert rows == sorted([str(None if v is None else f"{v:.6f}" if hasattr(v, "quantize") else v) for v in r] for r in want.collect())
+
+
 @pytest.mark.parametrize("seed", [20])
 @pytest.mark.parametrize("profile", [WAREHOUSE, LAKE_DAILY, LAKE_WEEKLY], ids=lambda p: p.name)
 def test_reports_equal_the_chain_operators(spark, seed, profile):
