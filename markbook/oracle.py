@@ -413,7 +413,7 @@ def registered_sql() -> dict[str, str]:
         "rpt11": _retired_day_change(),
         "ext1": union_of([(f"'{u}' as _user", daily_select(user=u)) for u in "ANR"]),
         "ext1_lake": union_of([(f"'{u}' as _user", rollup_select("location", user=u, lake=True)) for u in "ANR"]),
-        "ext2": union_of([(f"date '{x}' as as_of", daily_select(as_of=x)) for x in BACKFILL_DATES]),
+        **{name: union_of([(f"date '{x}' as as_of", daily_select(as_of=x)) for x in BACKFILL_DATES]) for name in ("ext2", "ext2_resumed")},
         "ext2_lake": union_of([(f"date '{x}' as as_of, '{u}' as _user", daily_select(as_of=x, user=u, lake=True))
                                for x in BACKFILL_DATES[2:6] for u in "ANR"]),
         "ext3": union_of([(f"'{x}' as dimension", rollup_select(x)) for x in dims]),

@@ -22,7 +22,7 @@ from . import oracle as O
 from .config import LAKE_DAILY, LAKE_WEEKLY, ReportParams
 from .functions import dates as D
 from .functions.money import percent, to_int
-from .operators import chains
+from .operators import chains, semi
 from .operators import literal as L
 from .operators.anchors import compute_anchors, date_row_counts, fx_rates, qualifying_dates
 from .operators.lots import held_tickers, user_lots
@@ -31,6 +31,7 @@ from .operators.prices import on_dates
 from .operators.valuation import valuation
 from .plans import other as X
 from .plans.api import portfolio_daily, portfolio_daily_backfill, portfolio_rollup, portfolio_rollups
+from .plans.backfill import read_backfill, write_backfill
 from .session import ensure_checkpoint_dir
 from .sources.sinks import write_csv
 from .sources import standin as S
@@ -134,6 +135,14 @@ def ext2_lake(spark, sf):
     return portfolio_daily_backfill(spark, _tables(spark, sf), _params(user=None, profile=LAKE_DAILY), BACKFILL_DATES[2:6])
 
 
+def ext2_resumed(spark, sf):
+    """EXT2 written by date in two runs, the second skipping what the first has done, and read back."""
+    t, p, path = _tables(spark, sf), _params(), f"{ensure_checkpoint_dir(spark).rstrip('/')}/backfill-{uuid.uuid4().hex}"
+    write_backfill(spark, t, p, BACKFILL_DATES[:4], path)
+    write_backfill(spark, t, p, BACKFILL_DATES, path)
+    return read_backfill(spark, path)
+
+
 def ext3(spark, sf):
     return portfolio_rollups(spark, _tables(spark, sf), _params())
 
@@ -285,13 +294,14 @@ D_BOY = dt.date(AS_OF.year, 1, 2)
 
 
 def sub1(spark, sf):
-    """Scalar subquery: price rows on the fallback date, computed in SQL."""
+    """Scalar subquery: price rows on the fallback date.  The rows counted per date are those that pass the
+    held tickers' filter and semi join; the date reaches the outer scan as a scalar subquery."""
     t = _tables(spark, sf)
+    held = semi.semi_join(t.equities, held_tickers(t, _params()), "ticker")
     return spark.sql(
-        "with full_days as (select e.date from {e} e left semi join {p} h on h.ticker = e.ticker and "
-        "h.dataset = 'ALPHA-VANTAGE' group by e.date, e.dataset having count(*) > 40) "
-        "select q.* from {e} q where q.date = (select max(date) from full_days where date <> :d)",
-        args={"d": AS_OF}, e=t.equities, p=t.portfolio)
+        "with full_days as (select date from {e} group by date, dataset having count(*) > 40) "
+        "select q.* from {q} q where q.date = (select max(date) from full_days where date <> :d)",
+        args={"d": AS_OF}, e=held, q=t.equities)
 
 
 # ----------------------------------------------------------------- joins
@@ -352,17 +362,17 @@ def _shared_inputs(spark, sf):
 
 
 def jn8(spark, sf):
+    """Price rows of tickers that anyone holds; a Bloom filter of the set is applied where they are read."""
     t = _tables(spark, sf)
-    return t.equities.join(held_tickers(t, _params()), "ticker", "left_semi")
+    return semi.semi_join(t.equities, held_tickers(t, _params()), "ticker")
 
 
 def jn9(spark, sf):
-    """Price rows of the user's listed tickers: only ticker names are joined.  The price rows
-    themselves move by ticker when the set is too large to broadcast, which is what returning
-    them row by row costs (JN8 alike)."""
+    """Price rows of the user's listed tickers: only ticker names are joined, and only price rows
+    that pass the set's filter move (JN8 alike)."""
     t, p = _tables(spark, sf), _params(profile=LAKE_DAILY)
     own = t.portfolio.where((F.col("dataset") == p.dataset) & (F.col("_user") == p.user)).select("ticker").distinct()
-    return t.equities.join(own.join(t.markets, "ticker", "left_semi"), "ticker", "left_semi")
+    return semi.semi_join(t.equities, own.join(t.markets, "ticker", "left_semi"), "ticker")
 
 
 def jn10(spark, sf):
@@ -592,7 +602,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rpt7_investment_style": _rollup("investment_style", LAKE_WEEKLY),
         "rpt1_shared": rpt1_shared, "rpt2_shared": rpt2_shared, "rpt5_shared": rpt5_shared, "rpt7_shared": rpt7_shared,
         "rpt8": rpt8, "rpt9": rpt9, "rpt10": rpt10, "rpt11": rpt11,
-        "ext1": ext1, "ext1_lake": ext1_lake, "ext2": ext2, "ext2_lake": ext2_lake, "ext3": ext3,
+        "ext1": ext1, "ext1_lake": ext1_lake, "ext2": ext2, "ext2_lake": ext2_lake, "ext2_resumed": ext2_resumed, "ext3": ext3,
         "src1": src1, "src2": src2, "src3": src3, "src4": src4, "src5": src5, "src6": src6,
         "snk1": snk1, "snk2": snk2, "par1": par1,
         "prj1": prj1, "prj2": prj2, "prj3": prj3,
