@@ -499,7 +499,12 @@ def registered_sql() -> dict[str, str]:
         "agg15": with_standins(_priced_holdings(f"date '{d}'") + "\nselect description, "
                                + ", ".join(f"{_m(c)} as {c}" for c in ("cost_basis", "market_value", "gain_loss"))
                                + " from cb"),
-        "pvt1": _count_pivot(STANDIN_DEVICES),
+        "pvt1": _count_pivot(STANDIN_DEVICES), "pvt1_discovered": _count_pivot(STANDIN_DEVICES),
+        "rpt9_positional": with_standins(
+            "devices as (select device, row_number() over (order by device) as place from (select distinct device from log))\n"
+            "select date, " + ", ".join(f"cast(nullif(count(*) filter (where place = {i}), 0) as integer) as device_{i}"
+                                        for i in range(1, len(STANDIN_DEVICES) + 1))
+            + f" from log join devices using (device) {log_between} group by date"),
         "pvt2": with_standins(_pvt2_ctes() + "\nselect * from pv"),
         "srt1": daily_sql(),
         "srt2": _count_pivot(STANDIN_DEVICES, "where date between date '2024-01-01' and date '2024-12-31'"),

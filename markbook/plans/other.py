@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..config import LOG_DEVICES, LOG_END, LOG_START, SNAPSHOT_ZONE, TOTAL_DESCRIPTION
 from ..functions.dates import previous_weekday_of, today_in
 from ..functions.money import percent, to_int
-from ..operators.pivot import count_pivot
+from ..operators.pivot import count_pivot, discover_categories
 from ..operators.prices import on_dates
 from ..sources.tables import Tables
 
@@ -25,14 +25,17 @@ def equities_snapshot(tables: Tables, as_of: dt.date | None = None) -> DataFrame
 
 
 def device_log_pivot(log: DataFrame, start: dt.date = LOG_START, end: dt.date = LOG_END,
-                     devices=LOG_DEVICES, order: bool = True) -> DataFrame:
+                     devices=LOG_DEVICES, order: bool = True, names=None) -> DataFrame:
     """RPT9: date x device row counts between two dates, newest first.
 
     One output column per declared device, matched by value (Q20); a date
-    missing a device has NULL there, devices outside the list are ignored.
+    missing a device has NULL there, devices outside the list are ignored.  With ``devices=None`` the
+    devices of the whole log are the columns, also those without a row between the dates; ``names``
+    then maps them to columns by sorted position, as the reference's pivot does.
     The date range is filtered before the pivot, which Spark would do anyway.
     """
-    out = count_pivot(log.where(F.col("date").between(F.lit(start), F.lit(end))), "date", "device", devices)
+    devices = discover_categories(log, "device") if devices is None else devices
+    out = count_pivot(log.where(F.col("date").between(F.lit(start), F.lit(end))), "date", "device", devices, names=names)
     return out.orderBy(F.col("date").desc()) if order else out
 
 

@@ -467,6 +467,17 @@ def pvt1(spark, sf):
     return count_pivot(_tables(spark, sf).log, "date", "device", S.STANDIN_DEVICES)
 
 
+def pvt1_discovered(spark, sf):
+    """PVT1 with the categories read from the data."""
+    return count_pivot(_tables(spark, sf).log, "date", "device")
+
+
+def rpt9_positional(spark, sf):
+    """RPT9 with the devices read from the log, mapped to columns by sorted position (Q20)."""
+    return X.device_log_pivot(_tables(spark, sf).log, S.STANDIN_LOG_START, S.STANDIN_LOG_END, None,
+                              names=[f"device_{i}" for i in range(1, len(S.STANDIN_DEVICES) + 1)])
+
+
 def pvt2(spark, sf):
     t = _tables(spark, sf)
     yday = D.previous_weekday_of(AS_OF)
@@ -613,7 +624,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "agg1": agg1, "agg2": agg2, "agg3": agg3, "agg4": agg4, "agg5": agg5, "agg6": agg6,
         "agg7": agg7, "agg8": _dim_agg("asset_type"), "agg9": _dim_agg("location"),
         "agg10": _dim_agg("capitalization"), "agg11": _dim_agg("investment_style"),
-        "agg12": agg12, "agg13": agg13, "agg14": agg14, "agg15": agg15, "pvt1": pvt1, "pvt2": pvt2,
+        "agg12": agg12, "agg13": agg13, "agg14": agg14, "agg15": agg15, "pvt1": pvt1, "pvt1_discovered": pvt1_discovered, "rpt9_positional": rpt9_positional, "pvt2": pvt2,
         "srt1": srt1, "srt2": srt2, "srt3": srt3, "top1": top1,
         "set1": set1, "set2": set2, "set3": set3,
         "fn1": fn1, "fn2": fn2, "fn3": fn3, "fn4": fn4, "fn5": fn5, "fn6": fn6, "fn7": fn7, "fn8": fn8,

@@ -294,3 +294,25 @@ def test_q2_ticker_only_join_fans_out_and_is_reported(spark):
     assert user_positions(t, params(profile=LAKE_DAILY)).count() == 2    # ticker-only join fans out
     kinds = [r["kind"] for r in precondition_violations(t, params(profile=LAKE_DAILY)).collect()]
     assert kinds == ["markets_key"]
+
+
+def test_pivot_categories_from_the_data(spark):
+    from markbook.operators.pivot import discover_categories
+    from markbook.plans.other import device_log_pivot
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    rows = [(d1, "router"), (d1, "router"), (d1, "a.b`c"), (d2, "date"), (d2, None), (dt.date(2024, 3, 1), "new device")]
+    log = spark.createDataFrame(rows, "date date, device string")
+    assert discover_categories(log, "device") == ["a.b`c", "date", "new device", "router"]
+    by_name = count_pivot(log.withColumnRenamed("date", "day"), "day", "device")
+    assert by_name.columns == ["day", "a.b`c", "date", "new device", "router"]
+    assert sorted(map(tuple, by_name.collect()))[:2] == [(d1, 1, None, None, 2), (d2, None, 1, None, None)]
+    # by position; the new device has a column although its only row is outside the range
+    out = device_log_pivot(log, d1, d2, None, names=["w", "x", "y", "z"])
+    assert out.columns == ["date", "w", "x", "y", "z"]
+    assert [tuple(r) for r in out.collect()] == [(d2, None, 1, None, None), (d1, 1, None, None, 2)]
+    with pytest.raises(ValueError, match="3 columns for 4"):
+        device_log_pivot(log, d1, d2, None, names=["w", "x", "y"])
+    with pytest.raises(ValueError, match="more than 3"):
+        discover_categories(log, "device", most=3)
+    empty = count_pivot(log.limit(0), "date", "device")
+    assert empty.columns == ["date"] and empty.collect() == []
