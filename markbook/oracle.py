@@ -418,6 +418,10 @@ def registered_sql() -> dict[str, str]:
                                for x in BACKFILL_DATES[2:6] for u in "ANR"]),
         "ext3": union_of([(f"'{x}' as dimension", rollup_select(x)) for x in dims]),
         "src1": with_standins("select * from equities_fact"),
+        "src1_bucketed": with_standins(
+            "p as (select ticker, count(*) as n_prices, " + _m("sum(close)") + " as close_sum from equities_fact group by ticker),\n"
+            "l as (select ticker, count(*) as n_lots, cast(sum(quantity) as decimal(18,4)) as quantity from portfolio_dim group by ticker)\n"
+            "select * from p join l using (ticker)"),
         "src2": with_standins("select * from portfolio_dim"),
         "src3": with_standins("select * from markets_dim"),
         "src4": with_standins("select * from currency_fact"),

@@ -33,7 +33,7 @@ from .plans import other as X
 from .plans.api import portfolio_daily, portfolio_daily_backfill, portfolio_rollup, portfolio_rollups
 from .plans.backfill import read_backfill, write_backfill
 from .session import ensure_checkpoint_dir
-from .sources.sinks import write_csv
+from .sources.sinks import write_bucketed, write_csv
 from .sources import standin as S
 
 AS_OF = S.STANDIN_AS_OF
@@ -152,6 +152,18 @@ def src1(spark, sf):
     return _tables(spark, sf).equities
 
 
+def src1_bucketed(spark, sf):
+    """Prices and holdings laid out in buckets by ticker, then joined by ticker without an exchange of either:
+    price rows and their average beside the lots of every ticker."""
+    t, name = _tables(spark, sf), uuid.uuid4().hex
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/buckets-{name}"
+    px = write_bucketed(t.equities, f"prices_{name}", f"{root}/prices", buckets=16)
+    own = write_bucketed(t.portfolio, f"holdings_{name}", f"{root}/holdings", buckets=16)
+    prices = px.groupBy("ticker").agg(F.count(F.lit(1)).alias("n_prices"), _money(F.sum("close")).alias("close_sum"))
+    lots = own.groupBy("ticker").agg(F.count(F.lit(1)).alias("n_lots"), F.sum("quantity").cast("decimal(18,4)").alias("quantity"))
+    return prices.join(lots, "ticker")
+
+
 def src2(spark, sf):
     return _tables(spark, sf).portfolio
 
@@ -614,7 +626,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rpt1_shared": rpt1_shared, "rpt2_shared": rpt2_shared, "rpt5_shared": rpt5_shared, "rpt7_shared": rpt7_shared,
         "rpt8": rpt8, "rpt9": rpt9, "rpt10": rpt10, "rpt11": rpt11,
         "ext1": ext1, "ext1_lake": ext1_lake, "ext2": ext2, "ext2_lake": ext2_lake, "ext2_resumed": ext2_resumed, "ext3": ext3,
-        "src1": src1, "src2": src2, "src3": src3, "src4": src4, "src5": src5, "src6": src6,
+        "src1": src1, "src1_bucketed": src1_bucketed, "src2": src2, "src3": src3, "src4": src4, "src5": src5, "src6": src6,
         "snk1": snk1, "snk2": snk2, "par1": par1,
         "prj1": prj1, "prj2": prj2, "prj3": prj3,
         "flt1": flt1, "flt2": flt2, "flt3": flt3, "flt4": flt4, "flt5": flt5, "flt6": flt6,

@@ -45,3 +45,17 @@ def write_partitioned(df: DataFrame, path: str, column: str = "date", mode: str
     Rows are clustered by the partition column first so each task writes few
     files; the rebalance hint lets AQE split a date that is too large for one task."""
     df.hint("rebalance", column).write.mode(mode).partitionBy(column).parquet(path)
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, column: str = "ticker", buckets: int = 64) -> DataFrame:
+    """Lay a table out in ``buckets`` files by hash of ``column``, each sorted by it, as the catalog table
+    ``table`` with its files under ``path``, and return it.
+
+    Aggregates and joins by ``column`` then read a bucket per task and need no exchange on this side; two
+    tables with the same number of buckets join without any.  The layout is made once, when rows
+    arrive; rows are dealt to the buckets' tasks before writing, so there is one file per bucket.
+    A bucket holds all rows of its tickers: choose ``buckets`` so that it suits a task, and keep
+    the date layout (:func:`write_partitioned`) for reports, which read four dates."""
+    (df.repartition(buckets, column).write.mode("overwrite").format("parquet").option("path", path)
+       .bucketBy(buckets, column).sortBy(column).saveAsTable(table))
+    return df.sparkSession.table(table)

@@ -79,3 +79,13 @@ def test_outer_chains_run_in_one_pass(spark, name):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", q)
     assert plan.count("FileScan parquet") <= 8 and plan.count(" Exchange ") <= 12 and "FullOuter" not in plan
+
+
+def test_bucketed_tables_join_without_an_exchange(spark):
+    q = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = final_plan(E.queries()["src1_bucketed"](spark, SF001))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", q)
+    assert "Exchange" not in plan and plan.count("Bucketed: true") == 2 and "Join" in plan
