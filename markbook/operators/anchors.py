@@ -72,7 +72,8 @@ def date_row_counts(tables: Tables, tickers: DataFrame, date_filter=None, by_use
     ``_user`` and the counts are per user: prices are first reduced to one row
     per (ticker, date, dataset) so a popular ticker is not replicated row by
     row across its holders."""
-    px = tables.equities.select("date", "dataset", "ticker")
+    px = tables.prices()
+    n = F.count(F.lit(1)) if tables.totals is None else F.sum("n_rows")
     if date_filter is not None:
         px = px.where(date_filter)
     # map-side combine first: the join then sees one row per
@@ -81,7 +82,7 @@ def date_row_counts(tables: Tables, tickers: DataFrame, date_filter=None, by_use
     # written as an inner join because Catalyst would push a semi join below
     # the aggregate, back onto raw rows (a shuffle of the whole price table
     # by ticker whenever the ticker set is not broadcast).
-    per_ticker = px.groupBy("ticker", "date", "dataset").agg(F.count(F.lit(1)).alias("n"))
+    per_ticker = px.groupBy("ticker", "date", "dataset").agg(n.alias("n"))
     if not by_user:
         return (per_ticker.join(tickers.select("ticker"), "ticker")
                 .groupBy("date", "dataset").agg(F.sum("n").alias("n")))

@@ -39,7 +39,11 @@ def on_dates(dates, column: str = "date") -> F.Column:
 
 
 def daily_prices(equities: DataFrame, dates) -> DataFrame:
-    """(ticker, date, close_sum, close_n, n_rows) for the given dates."""
+    """(ticker, date, close_sum, close_n, n_rows) for the given dates, from price rows or from totals of them."""
+    if "close_sum" in equities.columns:
+        return (equities.where(on_dates(dates)).groupBy("ticker", "date")
+                .agg(F.sum("close_sum").cast("decimal(24,6)").alias("close_sum"),
+                     F.sum("close_n").alias("close_n"), F.sum("n_rows").alias("n_rows")))
     return (equities.where(on_dates(dates))
             .groupBy("ticker", "date")
             .agg(F.sum(F.col("close").cast("decimal(18,6)")).cast("decimal(24,6)").alias("close_sum"),
@@ -50,9 +54,10 @@ def daily_prices(equities: DataFrame, dates) -> DataFrame:
 def anchor_prices_at(equities: DataFrame, role_dates: dict, rate: Decimal, fx_ticker: str) -> DataFrame:
     """Wide prices for ONE as-of date in a single aggregation, no join:
     conditional sums per role over ``date IN (anchor dates)``, grouped by
-    ticker with a map-side partial aggregate and one shuffle."""
+    ticker with a map-side partial aggregate and one shuffle.  ``equities`` may be totals of price rows."""
     dates = sorted({d for d in role_dates.values() if d is not None})
-    close = F.col("close").cast("decimal(18,6)")
+    totals = "close_sum" in equities.columns
+    close = F.col("close_sum") if totals else F.col("close").cast("decimal(18,6)")
     aggs = []
     for r in ROLES:
         d = role_dates.get(r)
@@ -60,7 +65,7 @@ def anchor_prices_at(equities: DataFrame, role_dates: dict, rate: Decimal, fx_ti
             continue
         on = F.col("date") == F.lit(d)
         aggs += [F.sum(F.when(on, close)).cast("decimal(24,6)").alias(f"s_{r}"),
-                 F.count(F.when(on, close)).alias(f"n_{r}"),
+                 (F.sum(F.when(on, F.col("close_n"))) if totals else F.count(F.when(on, close))).alias(f"n_{r}"),
                  F.max(F.when(on, F.lit(True))).alias(f"h_{r}")]
     if not aggs:
         raise ValueError("no anchor dates")

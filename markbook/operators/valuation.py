@@ -116,7 +116,7 @@ def valuation(spark: SparkSession, tables: Tables, params: ReportParams,
         anchors, per_user_fb = compute_anchors(spark, tables, params, pos)
     role_dates = {"t": anchors.today, "y": anchors.yesterday, "b": anchors.boy,
                   "m": anchors.max_known if per_user_fb is None else None}
-    px = anchor_prices_at(tables.equities, role_dates, anchors.rate, params.fx_ticker)
+    px = anchor_prices_at(tables.prices(), role_dates, anchors.rate, params.fx_ticker)
     how = "left" if prof.keep_unpriced else "inner"
     if per_user_fb is None:
         j = pos.join(px, "ticker", how)
@@ -125,7 +125,7 @@ def valuation(spark: SparkSession, tables: Tables, params: ReportParams,
         # bounded by the calendar: the distinct fallback dates across users
         mdates = sorted(r["max_known"] for r in per_user_fb.select("max_known").distinct().collect()
                         if r["max_known"] is not None)
-        pm = (prices_on(daily_prices(tables.equities, mdates), anchors.rate, params.fx_ticker)
+        pm = (prices_on(daily_prices(tables.prices(), mdates), anchors.rate, params.fx_ticker)
               .select("ticker", F.col("date").alias("max_known"),
                       F.col("price").alias("p_m_"), F.lit(True).alias("h_m_")))
         j = (pos.join(per_user_fb, "_user", "left")
@@ -149,7 +149,7 @@ def backfill_valuation(spark: SparkSession, tables: Tables, params: ReportParams
     rows = anchors.collect()  # one row per requested as-of date
     local = F.broadcast(spark.createDataFrame(rows, anchors.schema))  # bounded: one row per as-of date
     dates = sorted({r[c] for r in rows for c in ("today", "yesterday", "boy", "max_known") if r[c]})
-    daily = daily_prices(tables.equities, dates)
+    daily = daily_prices(tables.prices(), dates)
     px = anchor_prices(daily, roles_of(local), params.fx_ticker, keys=("as_of",))
     px = px.join(local.select("as_of", "today", "boy", "max_known"), "as_of")
     pos = user_positions(tables, params)
@@ -166,7 +166,7 @@ def _lake_backfill(tables: Tables, params: ReportParams, as_of_dates, local: Dat
     each position meets its (as_of, ticker) prices and its user's fallback price."""
     fb = user_fallbacks(tables, params, as_of_dates, pos)
     known = sorted(r["max_known"] for r in fb.select("max_known").distinct().collect())  # calendar-bounded
-    pm = daily_prices(tables.equities, known).select("ticker", F.col("date").alias("max_known"), "close_sum", "close_n")
+    pm = daily_prices(tables.prices(), known).select("ticker", F.col("date").alias("max_known"), "close_sum", "close_n")
     wide = px.select("as_of", "ticker", *[c for r in ROLES if r != "m" for c in (f"p_{r}", f"h_{r}")])
     j = (pos.join(local.select("as_of", "today", "boy", "rate"))  # bounded: one row per requested date
          .join(wide, ["as_of", "ticker"], "left").join(fb, ["_user", "as_of"], "left").join(pm, ["ticker", "max_known"], "left"))

@@ -549,4 +549,5 @@ def registered_sql() -> dict[str, str]:
                               f"{_pct('gain_loss', 'market_value')} as of_market_value, "
                               f"{_pct('gain_loss', 'cost_basis')} as of_cost_basis from cb"),
     }
+    sql |= {f"{name}_maintained": sql[name] for name in ("rpt1", "agg4")}  # however the totals were kept
     return sql

@@ -35,6 +35,7 @@ from .plans.backfill import read_backfill, write_backfill
 from .session import ensure_checkpoint_dir
 from .sources.sinks import write_bucketed, write_csv
 from .sources import standin as S
+from .sources.totals import add_batch, refresh, with_totals
 
 AS_OF = S.STANDIN_AS_OF
 BACKFILL_DATES = [dt.date(2024, 1, d) for d in (2, 3, 15, 26, 27, 28, 29, 30)] + [dt.date(2024, 2, 1)]
@@ -92,6 +93,23 @@ def rpt2_shared(spark, sf):
     return portfolio_daily(spark, _shared_tables(spark, sf), _params(profile=LAKE_DAILY))
 
 
+def _maintained_tables(spark, sf):
+    """Price totals kept in batches: history, then the as-of date and later, then rows of one dataset that come late
+    for all dates (sent twice, as after a failure); two dates are taken from the fact anew."""
+    t, path = _tables(spark, sf), f"{ensure_checkpoint_dir(spark).rstrip('/')}/totals-{uuid.uuid4().hex}"
+    late = F.col("dataset") == "TIINGO"
+    recent = F.col("date") >= F.lit(AS_OF)
+    for rows, name in ((~late & ~recent, "history"), (~late & recent, "recent"), (late, "late"), (late, "late")):
+        add_batch(spark, t.equities.where(rows), path, name)
+    refresh(spark, t.equities, path, BACKFILL_DATES[5:7])
+    return with_totals(spark, t, path)
+
+
+def rpt1_maintained(spark, sf):
+    """RPT1 whose fallback date and prices come from maintained totals (AGG3, AGG4)."""
+    return portfolio_daily(spark, _maintained_tables(spark, sf), _params())
+
+
 def rpt5_shared(spark, sf):
     return portfolio_rollup(spark, _shared_tables(spark, sf), _params(), "capitalization")
 
@@ -421,6 +439,12 @@ def agg4(spark, sf):
     return qualifying_dates(counts, 40)
 
 
+def agg4_maintained(spark, sf):
+    """AGG4 from the maintained totals: no price row is counted anew."""
+    t = _maintained_tables(spark, sf)
+    return qualifying_dates(date_row_counts(t, held_tickers(t, _params()), F.col("date") != F.lit(AS_OF)), 40)
+
+
 def _core(spark, sf, **kw):
     return valuation(spark, _tables(spark, sf), _params(**kw))
 
@@ -624,6 +648,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rpt7_capitalization": _rollup("capitalization", LAKE_WEEKLY),
         "rpt7_investment_style": _rollup("investment_style", LAKE_WEEKLY),
         "rpt1_shared": rpt1_shared, "rpt2_shared": rpt2_shared, "rpt5_shared": rpt5_shared, "rpt7_shared": rpt7_shared,
+        "rpt1_maintained": rpt1_maintained, "agg4_maintained": agg4_maintained,
         "rpt8": rpt8, "rpt9": rpt9, "rpt10": rpt10, "rpt11": rpt11,
         "ext1": ext1, "ext1_lake": ext1_lake, "ext2": ext2, "ext2_lake": ext2_lake, "ext2_resumed": ext2_resumed, "ext3": ext3,
         "src1": src1, "src1_bucketed": src1_bucketed, "src2": src2, "src3": src3, "src4": src4, "src5": src5, "src6": src6,

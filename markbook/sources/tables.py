@@ -24,6 +24,7 @@ class Tables:
     markets: DataFrame
     currency: DataFrame
     log: DataFrame | None = None
+    totals: DataFrame | None = None  # maintained price totals (totals.py), read instead of the fact
 
     def check(self) -> "Tables":
         for name, cols in (("equities", EQUITIES_COLUMNS), ("portfolio", PORTFOLIO_COLUMNS),
@@ -33,6 +34,10 @@ class Tables:
                 raise ValueError(f"{name} lacks columns {sorted(missing)}")
         return self
 
+    def prices(self) -> DataFrame:
+        """What counts and average prices are read from: the maintained totals if there are any, else the fact."""
+        return self.equities if self.totals is None else self.totals
+
     def register(self, prefix: str = "") -> None:
         """Expose the tables as temp views for ``spark.sql`` users."""
         for name in ("equities", "portfolio", "markets", "currency", "log"):
