@@ -550,4 +550,5 @@ def registered_sql() -> dict[str, str]:
                               f"{_pct('gain_loss', 'cost_basis')} as of_cost_basis from cb"),
     }
     sql |= {f"{name}_maintained": sql[name] for name in ("rpt1", "agg4")}  # however the totals were kept
+    sql |= {f"{name}_sql": sql[name] for name in ("rpt1", "rpt4", "rpt7_location")}
     return sql

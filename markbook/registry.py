@@ -32,6 +32,7 @@ from .operators.valuation import valuation
 from .plans import other as X
 from .plans.api import portfolio_daily, portfolio_daily_backfill, portfolio_rollup, portfolio_rollups
 from .plans.backfill import read_backfill, write_backfill
+from .plans.sql_functions import create_report_functions
 from .session import ensure_checkpoint_dir
 from .sources.sinks import write_bucketed, write_csv
 from .sources import standin as S
@@ -110,6 +111,24 @@ def rpt1_maintained(spark, sf):
     return portfolio_daily(spark, _maintained_tables(spark, sf), _params())
 
 
+def rpt1_sql(spark, sf):
+    """RPT1 as a table function, called with parameters of the session's SQL."""
+    create_report_functions(spark, _tables(spark, sf), _params(), "warehouse_")
+    return spark.sql("select * from warehouse_portfolio_daily(:who, :day)", {"who": S.STANDIN_USER, "day": AS_OF})
+
+
+def rpt4_sql(spark, sf):
+    """RPT4 as a table function."""
+    create_report_functions(spark, _tables(spark, sf), _params(), "warehouse_")
+    return spark.sql(f"select * from warehouse_portfolio_rollup('{S.STANDIN_USER}', date '{AS_OF}', 'location')")
+
+
+def rpt7_location_sql(spark, sf):
+    """RPT7 by location as a table function of the weekly lake profile."""
+    create_report_functions(spark, _tables(spark, sf), _params(profile=LAKE_WEEKLY), "lake_")
+    return spark.sql(f"select * from lake_portfolio_rollup('{S.STANDIN_USER}', date '{AS_OF}', 'location')")
+
+
 def rpt5_shared(spark, sf):
     return portfolio_rollup(spark, _shared_tables(spark, sf), _params(), "capitalization")
 
@@ -648,7 +667,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rpt7_capitalization": _rollup("capitalization", LAKE_WEEKLY),
         "rpt7_investment_style": _rollup("investment_style", LAKE_WEEKLY),
         "rpt1_shared": rpt1_shared, "rpt2_shared": rpt2_shared, "rpt5_shared": rpt5_shared, "rpt7_shared": rpt7_shared,
-        "rpt1_maintained": rpt1_maintained, "agg4_maintained": agg4_maintained,
+        "rpt1_sql": rpt1_sql, "rpt4_sql": rpt4_sql, "rpt7_location_sql": rpt7_location_sql, "rpt1_maintained": rpt1_maintained, "agg4_maintained": agg4_maintained,
         "rpt8": rpt8, "rpt9": rpt9, "rpt10": rpt10, "rpt11": rpt11,
         "ext1": ext1, "ext1_lake": ext1_lake, "ext2": ext2, "ext2_lake": ext2_lake, "ext2_resumed": ext2_resumed, "ext3": ext3,
         "src1": src1, "src1_bucketed": src1_bucketed, "src2": src2, "src3": src3, "src4": src4, "src5": src5, "src6": src6,
