@@ -11,8 +11,10 @@ together; a query leaves a branch out if the branch's ring around the vantage po
 its current k-th distance divided by ``relax``, does not reach it.  ``relax = 1`` (the default)
 is the triangle inequality itself and the search is exact; a larger factor leaves more out.
 
-What is found is scored anew in double precision, pair by pair, with one order of additions, so
-equal vectors get equal scores wherever they lie; ties go to the smaller id.
+A search keeps every point whose distance is within rounding of the k-th, not k of them: what is kept is
+scored anew in double precision, pair by pair, with one order of additions, so equal scores are told from
+unequal ones and ties, of equal vectors or of different ones, go to the smaller id.  One vector of a huge norm
+makes the lifted distances coarse; then more points are kept and scored, at most a shard's for each query.
 
 Cases: vectors that are null, zero, of another length than the first usable one's, or with null
 or non-finite components take no part; repeated rows with one id count once per row; fewer than
@@ -35,7 +37,7 @@ QUERY_EVERY = 20
 SHARD = 8192  # vectors of a tree
 LEAF = 512
 BLOCK = 1024  # queries that descend together
-SLACK = 1e-6  # room for rounding in distances of unit scale
+PAIRS = 1 << 22  # numbers that are scored at a time
 
 
 class Tree:
@@ -65,24 +67,28 @@ class Tree:
         return len(self.nodes) - 1
 
     def search(self, queries: np.ndarray, k: int, relax: float) -> tuple[np.ndarray, np.ndarray]:
-        """(places, distances) of the k nearest points of each query, unsorted; -1 where fewer."""
-        best = np.full((len(queries), k), np.inf)
-        who = np.full((len(queries), k), -1)
-        slack = SLACK * max(1.0, float(np.sqrt(self.square.max(initial=0))))
+        """(query, place) of every point that is among a query's k nearest or within rounding of the k-th,
+        ordered by query; k is at most the number of points."""
+        best = np.full((len(queries), k), np.inf)  # squared distances
+        # what rounding can change in a squared distance, and so in a distance
+        room = 4 * np.finfo(float).eps * (queries.shape[1] + 8) * ((queries * queries).sum(1) + self.square.max())
+        slack = 4 * np.sqrt(room)
+        near_rows, near_places, near_squares = [], [], []
         stack = [(self.root, np.arange(len(queries)), np.zeros(len(queries)))]
         while stack:
             node, live, bound = stack.pop()
-            live = live[bound * relax <= best[live].max(1) + slack]
+            live = live[bound * relax <= np.sqrt(best[live].max(1)) + slack[live]]
             if not len(live):
                 continue
             if len(self.nodes[node]) == 2:
                 a, b = self.nodes[node]
                 own = self.order[a:b]
-                d = distances(self.points[own], self.square[own], queries[live]).T
-                both = np.concatenate([best[live], d], 1)
-                ids = np.concatenate([who[live], np.broadcast_to(own, d.shape)], 1)
-                near = np.argpartition(both, k - 1, axis=1)[:, :k]
-                best[live], who[live] = np.take_along_axis(both, near, 1), np.take_along_axis(ids, near, 1)
+                d = squares(self.points[own], self.square[own], queries[live]).T
+                best[live] = np.partition(np.concatenate([best[live], d], 1), k - 1, axis=1)[:, :k]
+                row, col = np.nonzero(d <= (best[live].max(1) + 2 * room[live])[:, None])
+                near_rows.append(live[row].astype(np.int32))
+                near_places.append(own[col].astype(np.int32))
+                near_squares.append(d[row, col])
                 continue
             vantage, in_low, in_high, out_low, out_high, inner, outer = self.nodes[node]
             d = distances(queries[live], (queries[live] ** 2).sum(1), self.points[vantage][None])[:, 0]
@@ -93,11 +99,19 @@ class Tree:
             if (to_in < to_out).sum() * 2 < len(live):
                 pair.reverse()
             stack += pair
-        return who, best
+        row, place, square = map(np.concatenate, (near_rows, near_places, near_squares))
+        ok = square <= (best.max(1) + 2 * room)[row]  # the k-th distance has shrunk since
+        row, place = row[ok], place[ok]
+        order = np.argsort(row, kind="stable")
+        return row[order], place[order]
+
+
+def squares(x: np.ndarray, square: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.maximum(square[:, None] + (y * y).sum(1)[None] - 2 * (x @ y.T), 0)
 
 
 def distances(x: np.ndarray, square: np.ndarray, y: np.ndarray) -> np.ndarray:
-    return np.sqrt(np.maximum(square[:, None] + (y * y).sum(1)[None] - 2 * (x @ y.T), 0))
+    return np.sqrt(squares(x, square, y))
 
 
 def scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -120,21 +134,22 @@ def search_shard(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, queries:
     for at in range(0, len(queries), BLOCK):
         q, qid = queries[at:at + BLOCK], query_ids[at:at + BLOCK]
         lifted = np.concatenate([q, np.zeros((len(q), 1))], 1)
-        who, _ = tree.search(lifted, want, relax)
-        n = len(q)
-        size = np.minimum(cuts[who + 1] - cuts[who], k + 1)  # copies of each, smallest ids first
-        row = np.repeat(np.repeat(np.arange(n), want), size.ravel())
-        begin = np.repeat(cuts[who].ravel(), size.ravel())
-        step = np.arange(size.sum()) - np.repeat(np.cumsum(size.ravel()) - size.ravel(), size.ravel())
-        place = copies[begin + step]
-        ok = ids[place] != qid[row]
-        row, place = row[ok], place[ok]
-        s = scores(q[row], x[place])
-        order = np.lexsort((ids[place], -s, row))
-        row, place, s = row[order], place[order], s[order]
-        start = np.searchsorted(row, np.arange(n))
-        keep = np.arange(len(row)) - start[row] < k
-        yield qid[row[keep]], ids[place[keep]], s[keep]
+        asked, near = tree.search(lifted, want, relax)
+        size = np.minimum(cuts[near + 1] - cuts[near], k + 1)  # copies of each, smallest ids first
+        per = np.bincount(asked, size, len(q)).astype(np.int64)  # rows to score of each query
+        parts = np.cumsum(per) * x.shape[1] // PAIRS  # queries that are scored together
+        for part in np.unique(parts):
+            own = (parts == part)[asked]
+            row, some = np.repeat(asked[own], size[own]), size[own]
+            step = np.arange(some.sum()) - np.repeat(np.cumsum(some) - some, some)
+            place = copies[np.repeat(cuts[near[own]], some) + step]
+            ok = ids[place] != qid[row]
+            row, place = row[ok], place[ok]
+            s = scores(q[row], x[place])
+            order = np.lexsort((ids[place], -s, row))
+            row, place, s = row[order], place[order], s[order]
+            keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+            yield qid[row[keep]], ids[place[keep]], s[keep]
 
 
 def usable(df: DataFrame, id_col: str, vector: str) -> DataFrame:

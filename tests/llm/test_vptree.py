@@ -37,6 +37,21 @@ def test_factor_one_is_exact_with_ties(spark, monkeypatch, copies):
     assert found(vptree.nearest(spark, table(spark, ids, x), every=10)) == brute(ids, x.astype(np.float64), 20, 10)
 
 
+@pytest.mark.parametrize("norm", [None, 1e4, 1e9])
+def test_ties_of_different_vectors_and_an_outlier(spark, monkeypatch, norm):
+    """Whole-number vectors tie with many different ones; a huge norm makes lifted distances coarse."""
+    monkeypatch.setattr(vptree, "SHARD", 700)
+    monkeypatch.setattr(vptree, "LEAF", 32)
+    monkeypatch.setattr(vptree, "PAIRS", 1 << 14)
+    g = np.random.default_rng(5)
+    x = g.integers(-2, 3, (3000, 16)).astype(np.float32)
+    x[(x == 0).all(1)] = 1
+    if norm:
+        x[11] *= np.float32(norm)
+    ids = g.permutation(3000)
+    assert found(vptree.nearest(spark, table(spark, ids, x), every=10)) == brute(ids, x.astype(np.float64), 20, 10)
+
+
 def test_recall_on_the_given_vectors(spark):
     df = spark.read.parquet(f"{SF001}/embeddings.parquet")
     rows = df.orderBy("vec_id").collect()
