@@ -1,6 +1,8 @@
+import random
+
 import corpus_pipeline
 from helpers import frame, mixed_texts
-from markbook.llm import langid, quality, substrings
+from markbook.llm import langid, quality
 from test_jaccard import brute as jaccard_brute
 from test_quality import brute as base_counts
 from test_substrings import brute as substring_brute
@@ -32,7 +34,7 @@ def test_stages_follow_each_other(spark, tmp_path):
             assert {r["doc_id"] for r in docs.collect()} == want
         elif name == "suffix-array dedup":
             rows = before.orderBy("doc_id").collect()
-            want = substring_brute([(r["doc_id"], r["text"]) for r in rows], substrings.WINDOW)[1]
+            want = substring_brute([(r["doc_id"], r["text"]) for r in rows], corpus_pipeline.PASSAGE)[1]
             got = docs.orderBy("doc_id").collect()
             assert [r["text"] for r in got] == want
             assert all(r["n_chars"] == len(r["text"]) for r in got)
@@ -48,6 +50,19 @@ def test_odd_documents_do_not_break_a_stage(spark):
         out.collect()
 
 
+def test_a_passage_of_fifty_words_goes_and_clean_texts_stay(spark):
+    """Below op5's 400 bytes, above the stage's window; what surrounds it stays."""
+    g = random.Random(4)
+    word = lambda: "".join(g.choices("abcdefghijklmnoprstu", k=g.randint(3, 8)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    passage = text(52)
+    assert corpus_pipeline.PASSAGE < len(passage) < 400
+    rows = [(i, f"{text(60)} {passage} {text(60)}" if i < 3 else text(150)) for i in range(12)]
+    out = {r["doc_id"]: r["text"] for r in corpus_pipeline.substring_dedup(spark, frame(spark, rows), DIR).collect()}
+    for i, t in rows:
+        assert out[i] == (t if i >= 3 else t.replace(f" {passage} ", "")), i
+
+
 def test_run(spark):
     rows = corpus_pipeline.run(spark, DIR).collect()
     assert rows and set(rows[0].asDict()) >= {"doc_id", "start", "length", "sequence_id", "offset"}
