@@ -12,6 +12,10 @@ from markbook.llm import jaccard, langid, packing, quality, substrings
 from markbook.llm.common import keep_rows, stored
 from markbook.llm.queries import tokenizer
 
+#: Bytes of the shortest repeated string that the substring stage removes: about 40 to 50 words, so that a passage of
+#: over 50 words holds one.  The query op5 has the 400 bytes of its contract.
+PASSAGE = 250
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: documents whose language cannot be told go."""
@@ -31,8 +35,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 5: bytes of repeated 400-byte strings go; n_chars follows the text."""
-    out = substrings.strip_documents(spark, docs)
+    """Operator 5: bytes of repeated ``PASSAGE``-byte strings go, from every text that holds them; n_chars follows the text."""
+    out = substrings.strip_documents(spark, docs, window=PASSAGE)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
