@@ -1,10 +1,11 @@
 """Operator 4: exact n-gram Jaccard join by a token-group matrix.
 
 Texts with equal shingle sets form one class, and classes stand for their copies from then
-on.  Classes are kept in groups of similar ones; the matrix holds, per token, the groups whose
-union has it.  A class asks the matrix with its rarest tokens; the number of tokens it shares
-with a group's union bounds its overlap with every member, and only groups within the bound
-are opened and compared member by member.
+on.  Classes that share their commonest token and are about as large are kept in groups of about
+``CHUNK``, whatever their components; the matrix holds, per token, the groups whose union has it, so
+a passage in k texts is met k times k / ``CHUNK`` times, not k times k.  A class asks the matrix with its
+tokens; the number that it shares with a group's union bounds its overlap with every member, and only
+groups within the bound are opened, where one sorted pass counts the tokens common to askers and members.
 
 * Prefixes: of an n-set, the n - ceil(0.75 n) + 1 rarest tokens.  Similarity 0.75 of an n-set and
   an m-set takes an overlap of a = ceil(3 (n + m) / 7), so they share a token that is among the
@@ -13,10 +14,10 @@ are opened and compared member by member.
 * Rarest first: tokens are ordered by a count over all texts in ``2 ** SKETCH_BITS`` buckets (a
   fixed 4 MB), then by hash.  Any order gives exact results; this one keeps passages that many
   texts share out of the prefixes.
-* Groups first link inside themselves: classes that share a minimum hash, in chunks of at most
-  about ``CHUNK``, once per each of ``MINS`` hashes.  What is then in one component is never paired
-  again, so a family of near copies costs its size, not its square.  The matrix pass that
-  follows is complete: every link between two components is found there.
+* Families first shrink: classes that share a minimum hash link in chunks of about ``CHUNK``, for each
+  of ``MINS`` hashes, and again while a round still merges more than one in ``WORTH``.  What is then in
+  one component is never compared again, so a family of near copies costs its size, not its square.  The
+  matrix pass that follows is complete: every link between two components is found there.
 * Sets are fetched by reading the texts again, for the classes that need them only.  The wanted
   rows are marked in a bit map of at most ``2 ** MARK_BITS`` bits, so no text is shuffled.
 
@@ -43,6 +44,11 @@ SIMILAR = 75  # per cent
 SKETCH_BITS = 20
 BLOCKS = 64
 CHUNK = 64
+ASKERS = 256  # that one task compares with a group at a time
+ROOM = 1 << 21  # tokens of a group, or of its askers, in one task (or one set, if that is larger)
+BAND = 1.15  # sizes of one group: within about this factor
+COLUMNS = 1 << 14  # tokens counted at a time
+WORTH = 50
 MINS = 3
 MARK_BITS = 26
 # odd multipliers, one per place of a shingle
@@ -206,40 +212,52 @@ def token_sets(spark: SparkSession, rows: DataFrame, base: DataFrame, wanted: Da
     return stored(spark, found.join(wanted, "cls", "left_semi").dropDuplicates(["cls"]), "sets")
 
 
-def common(a: np.ndarray, b: np.ndarray) -> int:
-    if len(a) > len(b):
-        a, b = b, a
-    at = np.searchsorted(b, a)
-    at[at == len(b)] = 0
-    return int((b[at] == a).sum()) if len(b) else 0
-
-
-def similar(a: np.ndarray, b: np.ndarray) -> bool:
-    if 100 * min(len(a), len(b)) < SIMILAR * max(len(a), len(b)) or not len(a):
-        return False
-    both = common(a, b)
-    return 100 * both >= SIMILAR * (len(a) + len(b) - both)
+def overlaps(a: list[np.ndarray], b: list[np.ndarray] | None = None) -> np.ndarray:
+    """How many tokens each set of ``a`` shares with each set of ``b`` (of ``a`` itself by default): one
+    sorted pass finds the tokens met twice or more, which are counted ``COLUMNS`` at a time."""
+    sets = a if b is None else a + b
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    order = np.argsort(flat := np.concatenate(sets), kind="stable")
+    flat, owner = flat[order], owner[order]
+    fresh = np.append(True, flat[1:] != flat[:-1])
+    often = ~(fresh & np.append(fresh[1:], True))
+    owner, place = owner[often], np.cumsum(fresh[often]) - 1
+    total = np.zeros((len(a), len(a if b is None else b)), np.int64)
+    for at in range(0, int(place[-1]) + 1 if len(place) else 0, COLUMNS):
+        lo, hi = np.searchsorted(place, (at, at + COLUMNS))
+        held = np.zeros((len(sets), COLUMNS), np.float32)
+        held[owner[lo:hi], place[lo:hi] - at] = 1
+        total += (held[:len(a)] @ held[-total.shape[1]:].T).astype(np.int64)
+    return total
+
+
+def similar_sets(a: list[np.ndarray], b: list[np.ndarray] | None = None) -> np.ndarray:
+    """Whether each set of ``a`` is similar to each set of ``b`` (of ``a`` itself by default)."""
+    both = overlaps(a, b)
+    sizes = [np.array([len(x) for x in sets], np.int64) for sets in (a, a if b is None else b)]
+    return (both > 0) & (100 * both >= SIMILAR * (sizes[0][:, None] + sizes[1] - both))
 
 
 def link_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
     """The component of every member of one chunk, links inside the chunk applied."""
     pdf = pdf.sort_values("comp", kind="stable")
-    sets = [np.frombuffer(t, np.uint64) for t in pdf["tokens"]]
-    root = list(range(len(sets)))
+    near = similar_sets([np.frombuffer(t, np.uint64) for t in pdf["tokens"]])
+    np.fill_diagonal(near, True)
+    label, last = np.arange(len(pdf)), None
+    while last is None or (label != last).any():
+        last, label = label, np.where(near, label, len(pdf)).min(1)
+    comp = pdf["comp"].to_numpy()
+    return pd.DataFrame({"comp": comp, "joined": comp[label]})
 
-    def top(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
 
-    for i in range(len(sets)):
-        for j in range(i):
-            a, b = top(i), top(j)
-            if a != b and similar(sets[i], sets[j]):
-                root[max(a, b)] = min(a, b)
-    comp = pdf["comp"].tolist()
-    return pd.DataFrame({"comp": comp, "joined": [comp[top(i)] for i in range(len(comp))]})
+def open_group(askers: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
+    """The components that an opened group's members link to those of its askers."""
+    if not len(askers) or not len(members):
+        return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+    near = similar_sets(*([np.frombuffer(t, np.uint64) for t in side] for side in (askers["tokens"], members["held"])))
+    a, b = askers["comp"].to_numpy(), members["member"].to_numpy()
+    i, j = np.nonzero(near & (a[:, None] != b))
+    return pd.DataFrame({"a": a[i], "b": b[j]}).drop_duplicates()
 
 
 def overlap(n: Column, m: Column) -> Column:
@@ -251,14 +269,9 @@ def _compatible(a: Column, low: Column, high: Column) -> Column:
     return (100 * a >= SIMILAR * low) & (100 * high >= SIMILAR * a)
 
 
-def verify_pairs(pairs: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keep = [similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64))
-                    for x, y in zip(b.column(2), b.column(3), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return pairs.mapInArrow(run, "a long, b long")
+def parts_of(count: Column, tokens: Column, most: int) -> Column:
+    """Into how many parts rows are dealt, of about ``most`` rows and ``ROOM`` tokens each."""
+    return F.ceil(F.greatest(count / most, tokens / ROOM)).cast("long")
 
 
 def shared_matrix(spark: SparkSession, keyed: DataFrame) -> DataFrame:
@@ -271,7 +284,7 @@ def shared_matrix(spark: SparkSession, keyed: DataFrame) -> DataFrame:
 def link_groups(spark: SparkSession, mins: DataFrame, sets: DataFrame) -> DataFrame:
     """(cls, comp) after linking inside groups; ``mins`` holds (cls, r, m), the shared minimum
     hashes.  Where a group outgrows a chunk, the round is repeated with the components that
-    its chunks have made."""
+    its chunks have made, as long as that merges more than one in ``WORTH``."""
     comp = stored(spark, sets.select("cls", F.col("cls").alias("comp")), "comp")
     for r in range(MINS):
         own = mins.where(F.col("r") == r).select("cls", "m")
@@ -279,14 +292,14 @@ def link_groups(spark: SparkSession, mins: DataFrame, sets: DataFrame) -> DataFr
             lead = own.join(comp, "cls").groupBy("comp").agg(F.min(F.struct("m", "cls")).alias("x")).select("comp", "x.m", "x.cls")
             size = lead.groupBy("m").agg(F.count("*").alias("size")).where("size > 1")
             lead = stored(spark, lead.join(size, "m").withColumn("sub", F.pmod(F.xxhash64("cls"), F.ceil(F.col("size") / CHUNK))), "lead")
-            most = lead.agg(F.max("size")).first()[0]
+            most, leads = lead.agg(F.max("size"), F.count("*")).first()
             if most is None:
                 break
             merged = lead.join(sets, "cls").select("m", "sub", "comp", "tokens").groupBy("m", "sub").applyInPandas(
                 link_chunk, "comp long, joined long").where("comp <> joined")
             merged = stored(spark, merged, "merged")
             comp = stored(spark, comp.join(merged, "comp", "left").select("cls", F.coalesce("joined", "comp").alias("comp")), "comp")
-            if most <= CHUNK or merged.isEmpty():
+            if most <= CHUNK or merged.count() * WORTH <= leads:
                 break
     return comp
 
@@ -306,36 +319,49 @@ def cluster(spark: SparkSession, matrix: DataFrame, mins: DataFrame, fetch: Call
     grouped = stored(spark, grouped.join(weight, "comp", "left").select("cls", "comp", F.coalesce("weight", F.lit(1)).alias("weight")), "grouped")
     labelled = matrix.join(grouped, "cls", "left").select(
         "token", "cls", "n", "pos", F.coalesce("comp", "cls").alias("comp"), F.coalesce("weight", F.lit(1)).alias("weight"))
-    bridge = labelled.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
-    open_rows = stored(spark, labelled.join(bridge, "token"), "open")
-    key = open_rows.groupBy("cls", "comp").agg(F.min("token").alias("g"))
-    size = key.groupBy("g", "comp").agg(F.count("*").alias("size"))
-    groups = stored(spark, key.join(size, ["g", "comp"]).select(
-        "cls", F.xxhash64("g", "comp", F.pmod(F.xxhash64("cls"), F.ceil(F.col("size") / CHUNK))).alias("grp")), "groups")
-    sizes = open_rows.join(groups, "cls").groupBy("grp").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    by_group = open_rows.join(groups, "cls").groupBy("token", "grp", "comp", "weight").agg(
-        F.min("pos").alias("first")).join(sizes, "grp")
-    asked = open_rows.select("token", "cls", F.col("comp").alias("own"), F.col("weight").alias("own_weight"), "n", "pos")
+    bridge = labelled.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("held")).where("lo <> hi")
+    open_rows = stored(spark, labelled.join(bridge.select("token", "held"), "token"), "open")
+
+    # groups of similar classes: the commonest token and about the same size
+    key = open_rows.groupBy("cls").agg(F.max(F.struct("held", "token")).alias("x"), *[F.max(c).alias(c) for c in ("n", "comp")]).select(
+        "cls", "n", "comp", F.col("x.token").alias("g"), F.floor(F.log("n") / float(np.log(BAND))).alias("band"))
+    size = key.groupBy("g", "band").agg(parts_of(F.count("*"), F.sum("n"), CHUNK).alias("parts"))
+    groups = stored(spark, key.join(size, ["g", "band"]).select(
+        "cls", "n", "comp", F.xxhash64("g", "band", F.pmod(F.xxhash64("cls"), "parts")).alias("grp")), "groups")
+    # of two components the smaller one asks, so a group is asked by who stands below its highest member
+    stand = F.struct("weight", F.bitwise_not("comp"))
+    by_group = stored(spark, open_rows.join(groups.select("cls", "grp"), "cls").groupBy("token", "grp").agg(
+        F.min("pos").alias("first"), F.min("n").alias("low"), F.max("n").alias("high"), F.max(stand).alias("top")), "unions")
+    asked = open_rows.select("token", "cls", "n", "pos", stand.alias("stand"))
     n, low, high = F.col("n"), F.col("low"), F.col("high")
-    # the smaller of two components asks the groups of the larger one
-    asks = (F.col("own_weight") < F.col("weight")) | ((F.col("own_weight") == F.col("weight")) & (F.col("own") > F.col("comp")))
-    fits = asks & _compatible(n, low, high)
+    fits = (F.col("stand") < F.col("top")) & _compatible(n, low, high)
     if not prefixed:
-        candidates = asked.join(by_group, "token").where(fits).select("cls", "grp").distinct()
+        opened = asked.join(by_group, "token").where(fits).select("cls", "grp").distinct()
     else:
         # the shared token must be early in both orders, whichever member it is
         early = (F.col("pos") <= n - overlap(n, low)) & (F.col("first") <= high - overlap(n, high))
         hits = asked.join(by_group, "token").where(fits & early).select("cls", "grp").distinct()
-        sides = open_rows.select("token", "cls", "n"), by_group.select("token", "grp", "low", "high")
-        met = hits.join(sides[0], "cls").join(sides[1], ["grp", "token"]).groupBy("cls", "grp").agg(
-            F.count("*").alias("c"), *[F.max(x).alias(x) for x in ("n", "low", "high")])
-        least = overlap(n, low) - F.ceil(SIMILAR * F.greatest("n", "high") / 100) + 1
-        candidates = met.where(F.col("c") >= least).select("cls", "grp")
-    pairs = stored(spark, candidates.join(groups.withColumnRenamed("cls", "member"), "grp").select("cls", "member").distinct(), "pairs")
-    sets = fetch(pairs.select("cls").union(pairs.select("member")))
-    others = sets.select(F.col("cls").alias("member"), F.col("tokens").alias("other"))
-    pairs = pairs.join(sets, "cls").join(others, "member").select("cls", "member", "tokens", "other")
-    edges = grouped.select(F.col("cls").alias("a"), F.col("comp").alias("b")).where("a <> b").union(verify_pairs(pairs))
+        met = hits.join(open_rows.select("token", "cls", "n"), "cls").join(by_group.select("token", "grp", "low", "high"), ["grp", "token"])
+        met = met.groupBy("cls", "grp").agg(F.count("*").alias("c"), F.max("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+
+        def least(m: Column) -> Column:
+            """Tokens that prefixes of an n-set and a similar m-set share at least; it grows with m up to n and
+            falls beyond, there within one because of the rounding."""
+            return overlap(n, m) - F.ceil(SIMILAR * F.greatest(n, m) / 100) + 1
+
+        bound = F.least(F.when(low <= n, least(low)), F.when(high > n, least(high) - 1))
+        opened = met.where(F.col("c") >= bound).select("cls", "grp")
+    opened = stored(spark, opened, "opened")
+    members = groups.join(opened.select("grp").distinct(), "grp", "left_semi").select("grp", "cls", "comp")
+    sets = fetch(opened.select("cls").union(members.select("cls")))
+    # askers are dealt into parts, and a group goes to each part of its askers
+    askers = opened.join(groups.select("cls", "n", "comp"), "cls")
+    parts = stored(spark, askers.groupBy("grp").agg(parts_of(F.count("*"), F.sum("n"), ASKERS).alias("parts")), "parts")
+    askers = askers.join(parts, "grp").join(sets, "cls").select("grp", F.pmod(F.xxhash64("cls"), "parts").alias("part"), "comp", "tokens")
+    members = members.join(parts, "grp").join(sets, "cls").select("grp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "comp", "tokens")
+    members = members.toDF("of", "at", "member", "held")
+    found = askers.groupBy("grp", "part").cogroup(members.groupBy("of", "at")).applyInPandas(open_group, "a long, b long")
+    edges = grouped.select(F.col("cls").alias("a"), F.col("comp").alias("b")).where("a <> b").union(found.distinct())
     return components(spark, edges, "edges")
 
 

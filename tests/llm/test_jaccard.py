@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pandas as pd
 from helpers import frame, mixed_texts, near, prose
 from markbook.llm import jaccard
 
@@ -64,6 +66,36 @@ def test_links_do_not_depend_on_the_rounds(spark, monkeypatch):
     assert run(spark, texts) == brute(texts)
 
 
+def test_overlaps_count_common_tokens(monkeypatch):
+    rnd = np.random.default_rng(3)
+    sets = [np.unique(rnd.integers(0, 90, n).astype(np.uint64)) for n in (1, 5, 40, 40, 80, 200, 3, 60)] + [np.arange(500, 520, dtype=np.uint64)]
+    for columns in (7, 1 << 14):
+        monkeypatch.setattr(jaccard, "COLUMNS", columns)
+        want = [[len(set(a.tolist()) & set(b.tolist())) for b in sets] for a in sets]
+        assert jaccard.overlaps(sets).tolist() == want
+        assert jaccard.overlaps(sets[:3], sets[3:]).tolist() == [row[3:] for row in want[:3]]
+
+
+def test_opened_groups_link_other_components_only():
+    base = np.arange(100, dtype=np.uint64)
+    held = [base.tobytes(), (base + 3).tobytes(), (base + 60).tobytes()]
+    askers = pd.DataFrame({"comp": [1, 9], "tokens": held[:1] + held[2:]})
+    members = pd.DataFrame({"member": [1, 2, 3], "held": held})
+    assert jaccard.open_group(askers, members).values.tolist() == [[1, 2], [9, 3]]
+    assert jaccard.open_group(askers, members[:0]).empty
+
+
+def test_a_passage_of_many_short_texts(spark, monkeypatch):
+    """Texts that share most of their words without being similar meet as groups, and every link stays."""
+    monkeypatch.setattr(jaccard, "CHUNK", 8)
+    monkeypatch.setattr(jaccard, "ASKERS", 5)
+    rnd = random.Random(12)
+    passage = prose(rnd, 12)
+    texts = [passage + " " + prose(rnd, 4 + k % 3) for k in range(60)]
+    texts += [near(rnd, t, 1) for t in texts[:10]] + [prose(rnd, 300) + " " + passage for _ in range(3)]
+    assert run(spark, texts) == brute(texts)
+
+
 def test_one_of_each_keeps_whole_rows(spark):
     texts = mixed_texts()
     docs = frame(spark, texts)
