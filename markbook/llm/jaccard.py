@@ -228,6 +228,8 @@ def overlaps(a: list[np.ndarray], b: list[np.ndarray] | None = None) -> np.ndarr
         held = np.zeros((len(sets), COLUMNS), np.float32)
         held[owner[lo:hi], place[lo:hi] - at] = 1
         total += (held[:len(a)] @ held[-total.shape[1]:].T).astype(np.int64)
+    if b is None:  # a set's own tokens need no second holder
+        np.fill_diagonal(total, [len(x) for x in a])
     return total
 
 
