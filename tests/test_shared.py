@@ -2,6 +2,7 @@
 sums, against the join chains row by row, in DuckDB and as Spark operators."""
 
 import random
+import re
 from dataclasses import replace
 
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from test_random_equivalence import AV, TICKERS, duck_con, frames, make_case
 
 from markbook import LAKE_DAILY, LAKE_WEEKLY, WAREHOUSE, ReportParams, oracle
-from markbook.operators import chains
+from markbook.operators import chains, factorised, valuation
 from markbook.operators import literal as L
 from markbook.operators.anchors import compute_anchors
 from markbook.operators.factorised import shares_markets
@@ -121,3 +122,60 @@ def test_no_pairs_are_formed(spark):
     markets = [(AV, f"K{i}", "same", "Stock", "US", "Large", "Value") for i in range(n)]
     r = portfolio_daily(spark, frames(spark, prices, lots, markets, []), ReportParams(as_of=T, user="U", min_rows=0)).where("ticker = 'TOTAL'").first()
     assert r["market_value"] == 12 * n ** 3 and r["ytd_gain_loss"] == 2 * n ** 3 and r["today_gain_loss"] == n ** 3
+
+
+def one_description(spark, n, **attributes):
+    """``n`` tickers of one description, priced on the three dates."""
+    import datetime as dt
+    from decimal import Decimal as D
+    T, Y, B = dt.date(2024, 1, 29), dt.date(2024, 1, 26), dt.date(2024, 1, 2)
+    prices = [(AV, f"K{i}", d, D(str(10 + k + i))) for i in range(n) for k, d in enumerate((B, Y, T))]
+    lots = [(AV, "U", f"K{i}", D("1"), D("5")) for i in range(n)]
+    cap = attributes.get("capitalization", lambda i: "Large")
+    markets = [(AV, f"K{i}", "same", "Stock", "US", cap(i), "Value") for i in range(n)]
+    return frames(spark, prices, lots, markets, []), ReportParams(as_of=T, user="U", min_rows=0)
+
+
+def test_a_description_is_unfolded_in_chunks_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(chains, "CHUNK", 4, raising=False)
+    t, p = one_description(spark, 14)
+    a, _ = compute_anchors(spark, t, p, user_positions(t, p))
+    inputs = L.anchor_price_rows(t, p, a), user_lots(t, p), p, a, False
+    today, yesterday, ytd, backup = L.blocks(*inputs)
+    want = L.description_chain(L.ticker_chain(today, yesterday, ytd), backup, ytd)
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        got = chains.description_chain(L.wide_blocks(*inputs)).withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    assert len({r["part"] for r in got}) > 1
+    assert sorted(str(tuple(r)[:-1]) for r in got) == sorted(str(tuple(r)) for r in want.collect())
+
+
+def test_missing_attributes_form_no_pairs_of_rows(spark, monkeypatch):
+    """Rows that lack an attribute meet sums of the fallback rows, one per value of what they lack."""
+    n, seen = 60, []
+    own = factorised.multiplied_rows
+
+    def counted(*args, **kw):
+        rows = own(*args, **kw)
+        seen.append(rows.count())
+        return rows
+
+    monkeypatch.setattr(valuation, "multiplied_rows", counted)
+    t, p = one_description(spark, n, capitalization=lambda i: None if i % 2 else "Small" if i % 4 else "Large")
+    portfolio_rollup(spark, t, p, "capitalization").collect()
+    assert seen and max(seen) <= 6 * n  # 30 rows that lack it, 60 fallback rows: 1,800 pairs
+
+
+def test_unpriced_holdings_are_not_gathered(spark):
+    """Holdings without a price have no ticker; the rows alike that a window gathers are those of a ticker."""
+    t, p = one_description(spark, 30)
+    none = t.equities.where("ticker in ('K0', 'K1')")
+    p = p.with_(profile=LAKE_WEEKLY)
+    plan = portfolio_rollup(spark, replace(t, equities=none), p, "location")._jdf.queryExecution().optimizedPlan().toString()
+    gathered = re.findall(r"collect_list\(.*?windowspecdefinition\(([^)]*?), specifiedwindowframe", plan)
+    assert gathered and all(len(spec.split(", ")) >= 4 for spec in gathered), gathered  # user, ticker, unpriced or not, and its attributes
