@@ -108,6 +108,9 @@ class Scanner:
                     for band, key in enumerate(key_row):
                         table.setdefault((band, key), set()).add(k)
         self.known = np.unique(np.concatenate([s for _, _, s in self.templates])) if self.templates else np.zeros(0, np.uint64)
+        # which template has which known shingle, and how many it needs
+        self.has = np.array([np.isin(self.known, s) for _, _, s in self.templates], np.int64).reshape(len(self.templates), len(self.known))
+        self.least = np.array([len(s) * (least_share(n, len(s)) - 1e-9) for _, n, s in self.templates])
         self.sorted_keys = {m: np.array(sorted({key for _, key in t}), np.uint64) for m, t in self.retrieve.items()}
 
     def words(self, text: str) -> np.ndarray:
@@ -141,18 +144,32 @@ class Scanner:
 
     def near(self, s: np.ndarray) -> list[tuple[int, int]]:
         """Stretches of shingles around those that some template has, wide enough for any window
-        and any verified place."""
+        and any verified place, from a multiple of 64.  A stretch without the least share of any
+        template's distinct shingles cannot hold a verified place and is left out."""
         if not len(self.known):
             return []
         at = np.searchsorted(self.known, s)
         at[at == len(self.known)] = 0
         hit = np.flatnonzero(self.known[at] == s)
-        if not len(hit):
+        if not self.enough(at[hit]):
             return []
         reach = 3 * max(n for _, n, _ in self.templates)
         cut = np.flatnonzero(np.diff(hit) > 2 * reach)
-        return [(max(0, int(a) - reach), min(len(s), int(b) + reach + 1)) for a, b in zip(
-            hit[np.append(0, cut + 1)], hit[np.append(cut, len(hit) - 1)], strict=True)]
+        found = []
+        for a, b in zip(hit[np.append(0, cut + 1)].tolist(), hit[np.append(cut, len(hit) - 1)].tolist(), strict=True):
+            a, b = max(0, a - reach), min(len(s), b + reach + 1)
+            a -= a % 64
+            if self.enough(at[hit[np.searchsorted(hit, a):np.searchsorted(hit, b)]]):
+                found.append((a, b))
+        return found
+
+    def enough(self, places: np.ndarray) -> bool:
+        """Whether these places among the known shingles hold the least share of some template."""
+        if not len(places):
+            return False
+        there = np.zeros(len(self.known), np.int64)
+        there[places] = 1
+        return bool((self.has @ there >= self.least).any())
 
     def scan(self, text: str | None) -> list[tuple[str, int, int, float]]:
         """(license, first word, words, containment) of every verified, merged match."""
@@ -160,7 +177,6 @@ class Scanner:
         found = []
         for a, b in self.near(self.shingles(h)) if len(h) >= SHINGLE else ():
             # windows start at multiples of their step, counted from the text's start
-            a -= a % 64
             found += [(name, first + a, n, share) for name, first, n, share in self.scan_words(h[a:b + SHINGLE - 1])]
         return found
 

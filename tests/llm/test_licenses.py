@@ -64,3 +64,20 @@ def test_the_closer_license_wins():
     for name in ("LGPL-3.0", "AGPL-3.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "ISC"):
         for notice in licenses.TEMPLATES[name]:
             assert {m[0] for m in scanner.scan(f"This is {notice}, as said.")} == {name}
+
+
+def test_common_word_pairs_open_no_windows():
+    """Stretches that no template can be found in are left out, and nothing that is found in the whole text is lost."""
+    rnd, scanner = random.Random(8), licenses.Scanner()
+    pairs = ["in the", "of the", "that the following", "to the terms of the", "with the license", "version 3 of"]
+    plain = " ".join(rnd.choice(pairs) + " " + prose(rnd, 5) for _ in range(300))
+    assert scanner.near(scanner.shingles(scanner.words(plain))) == []
+    notices = [n for own in licenses.TEMPLATES.values() for n in own]
+    for _ in range(30):
+        words = []
+        for notice in rnd.sample(notices, 3):
+            cut = notice.split()[rnd.randrange(3):]
+            words += [*plain.split()[:rnd.randrange(900)], *cut[:rnd.randint(1, len(cut))], *notice.split(), *plain.split()[:rnd.randrange(300)]]
+        h = scanner.words(" ".join(words))
+        whole = scanner.scan_words(h)
+        assert whole and scanner.scan(" ".join(words)) == whole
