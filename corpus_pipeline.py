@@ -41,8 +41,8 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 1: packs every document left."""
-    return packing.pack(spark, docs, tokenizer("word_bpe_49k.json"))
+    """Operator 1: packs every document left; workers that serve other stages too keep no words of it."""
+    return packing.pack(spark, docs, tokenizer("word_bpe_49k.json"), keep_words=False)
 
 
 STAGES = [("language ID", language), ("quality rules", rules), ("n-gram Jaccard join", near_duplicates),

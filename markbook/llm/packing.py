@@ -31,6 +31,7 @@ from markbook.llm.common import Memo, stored
 
 END_ID = 1
 GROUP_PIECES = 20_000
+LINES = 256  # lines of 256 words that the tokenizers library encodes at a time
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -58,9 +59,11 @@ class WordIds:
         return low.replace(",", " ,").replace(".", " .").split()
 
     def ids(self, words: list[str]) -> Iterator[bytes]:
-        """Ids of each word; words are encoded some hundred to a line and told apart by offsets."""
+        """Ids of each word; words are encoded some hundred to a line and told apart by offsets, some lines at a
+        time, as the library's results take many times the words' own memory."""
         lines = [words[i:i + 256] for i in range(0, len(words), 256)]
-        encoded = self.tokenizer.encode_batch([" ".join(x) for x in lines], add_special_tokens=False)
+        encoded = (e for at in range(0, len(lines), LINES)
+                   for e in self.tokenizer.encode_batch([" ".join(x) for x in lines[at:at + LINES]], add_special_tokens=False))
         for line, e in zip(lines, encoded, strict=True):
             starts = np.cumsum([0, *(len(w) + 1 for w in line)])
             owner = np.searchsorted(starts, np.array([a for a, _ in e.offsets], np.int64), "right")
@@ -73,9 +76,9 @@ class WordIds:
         new = list(words) if self.memo.room(len(new)) else new
         self.memo.update(zip(new, self.ids(new), strict=True))
 
-    def __call__(self, texts: list[str]) -> Iterator[bytes]:
+    def __call__(self, texts: pa.Array) -> Iterator[bytes]:
         for at in range(0, len(texts), 1024):
-            some = list(map(self.words, texts[at:at + 1024]))
+            some = [self.words(t or "") for t in texts[at:at + 1024].to_pylist()]
             self.learn(set().union(*some))
             for words in some:
                 yield b"".join(map(self.memo.__getitem__, words))
@@ -90,15 +93,14 @@ def _encoder(path: str) -> WordIds:
     return _encoders[path]
 
 
-def cut_pieces(docs: DataFrame, path: str, id_col: str, text: str, size: int, end_id: int) -> DataFrame:
-    """One row per piece: whole sequences of ``size`` ids, then the rest."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = _encoder(path), end_id.to_bytes(4, "little")
+def pieces_of(batches: Iterator[pa.RecordBatch], path: str, size: int, end_id: int, keep_words: bool = True) -> Iterator[pa.RecordBatch]:
+    """The pieces of (id, text) rows.  A worker keeps the tokenizer for its next task, and the words with ``keep_words``;
+    without, idle workers do not hold them through the stages of other operators."""
+    encode, end = _encoder(path), end_id.to_bytes(4, "little")
+    try:
         for b in batches:
             rows = []
-            texts = [t or "" for t in b.column(1).to_pylist()]
-            for doc, ids in zip(b.column(0).to_pylist(), encode(texts), strict=True):
+            for doc, ids in zip(b.column(0).to_pylist(), encode(b.column(1)), strict=True):
                 ids = memoryview(ids + end)
                 n = len(ids) // 4
                 for at in range(0, n, size):
@@ -107,6 +109,16 @@ def cut_pieces(docs: DataFrame, path: str, id_col: str, text: str, size: int, en
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols],
                                              names=[c.split()[0] for c in PIECES.split(", ")])
+    finally:
+        if not keep_words:
+            encode.memo.clear()
+
+
+def cut_pieces(docs: DataFrame, path: str, id_col: str, text: str, size: int, end_id: int, keep_words: bool = True) -> DataFrame:
+    """One row per piece: whole sequences of ``size`` ids, then the rest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from pieces_of(batches, path, size, end_id, keep_words)
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, PIECES)
 
@@ -140,11 +152,11 @@ def first_fit(lengths: list[int], size: int) -> tuple[list[int], list[int]]:
 
 
 def pack(spark: SparkSession, docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text", size: int = 2048,
-         end_id: int = END_ID, group_pieces: int = GROUP_PIECES, seed: int = 17) -> DataFrame:
+         end_id: int = END_ID, group_pieces: int = GROUP_PIECES, seed: int = 17, keep_words: bool = True) -> DataFrame:
     """Pieces of all documents with their place: doc_id, start, length, ids_crc32,
     doc_tokens, sequence_id, offset.  Texts are read once and never shuffled; only the
-    pieces' few numbers are."""
-    pieces = stored(spark, cut_pieces(docs, path, id_col, text, size, end_id), "pieces")
+    pieces' few numbers are.  ``keep_words``: whether workers keep words between tasks, which saves time and takes memory."""
+    pieces = stored(spark, cut_pieces(docs, path, id_col, text, size, end_id, keep_words), "pieces")
     groups = max(1, -(-pieces.count() // group_pieces))
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:

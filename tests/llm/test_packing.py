@@ -52,3 +52,32 @@ def test_first_fit_takes_the_leftmost_bin_with_room():
 
 def test_empty_table(spark):
     assert packing.pack(spark, frame(spark, []), PATH).collect() == []
+
+
+def test_a_task_leaves_no_words_in_its_worker(monkeypatch):
+    """Idle workers would hold them through other operators' stages; the words known at a time, and the lines given to the library, are bounded."""
+    import random
+
+    import pyarrow as pa
+
+    rnd = random.Random(3)
+    texts = [" ".join(f"w{rnd.randrange(1 << 40)}" for _ in range(300)) for _ in range(3000)] + [None, ""]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    encoder = packing._encoder(PATH)
+    most, lines, library = [], [], encoder.tokenizer
+
+    class Counted:
+        def encode_batch(self, some, **options):
+            lines.append(len(some))
+            return library.encode_batch(some, **options)
+
+    monkeypatch.setattr(encoder, "tokenizer", Counted())
+    learn = encoder.learn
+    monkeypatch.setattr(encoder, "learn", lambda words: (learn(words), most.append(len(encoder.memo))))
+    found = [r for b in packing.pieces_of(iter([batch]), PATH, 2048, packing.END_ID, keep_words=False) for r in b.to_pylist()]
+    assert {r["doc_id"] for r in found} == set(range(len(texts)))
+    assert len(encoder.memo) == 0 and max(most) <= encoder.memo.most and max(lines) <= packing.LINES
+    for i in (0, 1500, 3000, 3001):
+        ids = library_ids(texts[i])
+        assert [(r["length"], r["ids_crc32"]) for r in found if r["doc_id"] == i] == [
+            (len(ids[a:a + 2048]), zlib.crc32(np.array(ids[a:a + 2048], "<u4").tobytes())) for a in range(0, len(ids), 2048)]
