@@ -26,13 +26,12 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from markbook.llm.common import Memo, mix64, scratch, stored
-from markbook.llm.jaccard import MARK_BITS, MINS, PLACES, WORDS, cluster, marked, marks
+from markbook.llm.jaccard import MINS, PLACES, WORDS, bits_for, cluster, marked, marks, shared_matrix
 
 MIN_WORDS = 12
 BANDS, ROWS = 10, 2
@@ -153,32 +152,6 @@ def band_keys(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
-def bits_for(keys: DataFrame) -> int:
-    return min(MARK_BITS, max(15, (16 * keys.count()).bit_length()))
-
-
-def shared_keys(spark: SparkSession, units: DataFrame) -> DataFrame:
-    """(token, cls, n, pos) of the band keys that at least two classes have.  A bit map of them
-    leaves the others out before rows are shuffled."""
-    sent = units.where("keys is not null").select("cls", "n", "keys")
-    shared = stored(spark, sent.select("cls", F.explode("keys").alias("token")).groupBy("token").agg(
-        F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi").select("token"), "shared")
-    bits = bits_for(shared)
-    bitmap = spark.sparkContext.broadcast(marks(shared, bits))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                keys = b.column(2).flatten().to_numpy()
-                keep = np.flatnonzero(marked(bitmap.value, keys, bits))
-                owner = pc.list_parent_indices(b.column(2)).take(pa.array(keep))
-                yield pa.RecordBatch.from_arrays([pa.array(keys[keep]), b.column(0).take(owner), b.column(1).take(owner)],
-                                                 names=["token", "cls", "n"])
-
-    keyed = sent.mapInArrow(run, "token long, cls long, n long")
-    return stored(spark, keyed.join(shared, "token").groupBy("token", "cls").agg(F.max("n").alias("n")).withColumn("pos", F.lit(0)), "matrix")
-
-
 def class_sets(spark: SparkSession, rows: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
     """(cls, tokens) of the classes in ``wanted``, from the texts."""
     wanted = stored(spark, wanted.select("cls").distinct(), "wanted")
@@ -211,9 +184,9 @@ def paragraph_removals(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
         rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("text_key"),
                            F.col(text).cast("string").alias("text"))
         units = paragraph_units(spark, rows, least)
-        matrix = shared_keys(spark, units)
-        mins = matrix.groupBy("cls").agg(F.sort_array(F.collect_set("token")).alias("keys")).select(
-            "cls", F.slice("keys", 1, MINS).alias("mins"))
+        matrix = shared_matrix(spark, units.where("keys is not null").select("cls", "n", "keys"))
+        mins = matrix.groupBy("cls").agg(F.max("n").alias("n"), F.sort_array(F.collect_set("token")).alias("keys")).select(
+            "cls", "n", F.slice("keys", 1, MINS).alias("mins"))
         sets = class_sets(spark, rows, matrix, least)
 
         def fetch(wanted: DataFrame) -> DataFrame:

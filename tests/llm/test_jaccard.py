@@ -96,6 +96,33 @@ def test_a_passage_of_many_short_texts(spark, monkeypatch):
     assert run(spark, texts) == brute(texts)
 
 
+def test_a_family_of_many_chunks_is_one_component_before_the_matrix(spark, monkeypatch):
+    """However many other groups there are: its members would ask all groups of the rest of the family."""
+    monkeypatch.setattr(jaccard, "CHUNK", 4)
+    monkeypatch.setattr(jaccard, "MINS", 1)
+    base, n = np.arange(100, dtype=np.uint64), 40
+    sets = [(k, bytearray(np.append(base, np.uint64(1000 + k)).tobytes())) for k in range(n)]
+    sets += [(k, bytearray(np.arange(k * 50, k * 50 + 20, dtype=np.uint64).tobytes())) for k in range(n, 12 * n)]
+    mins = [(k, 0, 1 if k < n else k // 2 * 10) for k, _ in sets]
+    found = jaccard.link_groups(spark, spark.createDataFrame(mins, "cls long, r int, m long"),
+                                spark.createDataFrame(sets, "cls long, tokens binary")).collect()
+    assert len(found) == len(sets)
+    assert len({r["comp"] for r in found if r["cls"] < n}) == 1
+    assert len({r["comp"] for r in found if r["cls"] >= n}) == 11 * n
+
+
+def test_many_groups_in_one_bucket():
+    base = np.arange(100, dtype=np.uint64)
+    held = [base.tobytes(), (base + 3).tobytes(), (base + 60).tobytes()]
+    chunks = pd.DataFrame({"m": [5, 5, 5, 6, 6], "sub": [0, 0, 1, 0, 0], "comp": [4, 2, 1, 9, 7], "tokens": [held[k] for k in (0, 1, 0, 0, 2)]})
+    assert jaccard.link_chunks(chunks).values.tolist() == [[4, 2]]
+    askers = pd.DataFrame({"grp": [8, 7, 7], "part": [1, 0, 1], "comp": [1, 2, 3], "tokens": held[:1] * 3})
+    members = pd.DataFrame({"of": [7, 8, 8, 9], "at": [1, 1, 0, 1], "member": [4, 5, 6, 7], "held": held[1:2] * 4})
+    assert sorted(jaccard.open_groups(askers, members).values.tolist()) == [[1, 5], [3, 4]]
+    assert jaccard.open_groups(askers[:0], members).empty
+    assert jaccard.overlaps([base], [base + np.uint64(200)]).tolist() == [[0]]
+
+
 def test_one_of_each_keeps_whole_rows(spark):
     texts = mixed_texts()
     docs = frame(spark, texts)
