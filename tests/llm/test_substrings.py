@@ -66,3 +66,9 @@ def test_strip_documents_returns_the_texts_left(spark):
 
 def test_empty_table(spark):
     assert substrings.dedup_substrings(spark, frame(spark, [])).collect() == []
+
+
+def test_windows_met_once_do_not_reach_the_join(spark):
+    plain = spark.createDataFrame([(1, list(range(1000)), list(range(1000))), (2, [5, 2000], [3, 4])], "cls long, plain array<long>, start array<int>")
+    twice = spark.createDataFrame([(5,)], "key long")
+    assert sorted(tuple(r) for r in substrings.marked_windows(spark, plain, twice).collect()) == [(1, 5, 5), (2, 5, 3)]
