@@ -4,6 +4,7 @@ import numpy as np
 import pandas as pd
 from helpers import frame, mixed_texts, near, prose
 from markbook.llm import jaccard
+from markbook.llm.common import bucketed, dealt, scratch
 
 
 def brute(texts):
@@ -136,3 +137,26 @@ def test_one_of_each_keeps_whole_rows(spark):
 
 def test_empty_table(spark):
     assert run(spark, []) == []
+
+
+def test_shingle_sets_do_not_depend_on_what_is_hashed_together(monkeypatch):
+    texts = [None, "", " \n", "a", "A ", "a b", "b a", "ab", "x" * 300_000 + " y", "\x0b\x0ca\x1cb", "a b c d", "a b c d e",
+             "a\tB c d e f", "a b c d e a b c d e a b c d e", "é è É a b c d", *mixed_texts()]
+    texts = [t[1] if isinstance(t, tuple) else t for t in texts]
+    sets = list(jaccard.shingle_sets(texts))
+    assert [len(s) for s in sets] == [n for _, n, _ in sorted(brute(list(enumerate(texts))), key=lambda r: r[0])]
+    assert (sets[3] == sets[4]).all() and len({s.tobytes() for s in sets[3:9]}) == 5
+    monkeypatch.setattr(jaccard, "TOGETHER_BYTES", 1)
+    assert all((a == b).all() for a, b in zip(sets, jaccard.shingle_sets(texts), strict=True))
+
+
+def test_bucketed_sets_are_not_shuffled_again(spark):
+    rows = spark.range(100).selectExpr("id as cls", "id * 2 as x")
+    with scratch(spark):
+        sets = bucketed(spark, dealt(spark, rows, "cls"), "sets", "cls")
+        both = sets.join(rows.hint("merge").withColumnRenamed("x", "y"), "cls")
+        plan = both._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "SortMergeJoin" in plan
+        assert both.where("x = y").count() == 100
+        name = sets.inputFiles()[0].split("/")[-2]
+    assert not spark.catalog.tableExists(name)
