@@ -21,7 +21,6 @@ rows; other columns are not read.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -30,61 +29,79 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from markbook.llm.common import Memo, mix64, scratch, stored
+from markbook.llm.common import SPACE, bucketed, dealt, hash_words, mix64, scratch, stored
 from markbook.llm.jaccard import MINS, PLACES, WORDS, bits_for, cluster, marked, marks, shared_matrix
 
 MIN_WORDS = 12
 BANDS, ROWS = 10, 2
-PART = 300_000  # words whose units are worked on together
-ENDS = re.compile(rb"(?<=[.!?])[ \t\r\x0b\x0c]+|\n")
+PART = 1 << 20  # bytes whose units are worked on together
+ENDS = np.isin(np.arange(256), list(b".!?"))  # bytes that end a sentence
 _HASHES = mix64(np.arange(1000, 1000 + BANDS * ROWS, dtype=np.uint64)) | np.uint64(1)
 
 
 class Paragraphs:
-    """Units of texts with their shingle sets; words are hashed once per worker."""
+    """Units of texts with their shingle sets."""
 
     def __init__(self, least: int = MIN_WORDS):
-        self.memo, self.least = Memo(300_000), least
+        self.least = max(least, 1)
 
     def __call__(self, texts: Iterable[str | None]) -> Iterator[tuple[np.ndarray, ...]]:
         """Per bounded part of the texts: (text's place, number of the unit's first stretch,
         stretches, for a sentence its paragraph's number or else -1, words), a row for each unit;
-        the units' sorted distinct shingle hashes end to end, and how many each has."""
-        units, words = [], []
-        for place, text in enumerate(texts):
-            number = 0
-            for line in (text or "").encode().lower().split(b"\n"):
-                parts, at = [part.split() for part in ENDS.split(line)], len(words)
-                for part in parts:
-                    words += part
-                n = len(words) - at
-                if n >= max(self.least, 1):
-                    units.append((place, number, len(parts), -1, n, at))
-                if len(parts) > 1:
-                    for k, part in enumerate(parts):
-                        if len(part) >= MIN_WORDS:
-                            units.append((place, number + k, 1, number, len(part), at))
-                        at += len(part)
-                number += len(parts)
-            if len(words) >= PART:
-                yield from self.sets(units, words)
-                units, words = [], []
-        yield from self.sets(units, words)
-
-    def sets(self, units: list[tuple[int, ...]], words: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
-        if not units:
+        the units' distinct shingle hashes end to end, and how many each has."""
+        held, size, first = [], 0, 0
+        for t in texts:
+            held.append((t or "").encode())
+            size += len(held[-1])
+            if size >= PART:
+                yield from self.part(held, first)
+                held, size, first = [], 0, first + len(held)
+        yield from self.part(held, first)
+
+    def part(self, texts: list[bytes], place: int) -> Iterator[tuple[np.ndarray, ...]]:
+        text = b"\n".join(texts).lower()
+        starts, h = hash_words(text)
+        if not len(starts):
             return
-        memo, known = self.memo, set(words)
-        new = memo.missing(known)
-        for w in known if memo.room(len(new)) else new:
-            memo[w] = xxhash.xxh3_64_intdigest(w)
-        h = np.zeros(len(words) + WORDS, np.uint64)
-        h[:len(words)] = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+        data = np.frombuffer(text, np.uint8)
+        h = named(text, data, starts, h)
+        # a stretch begins behind each line break, and behind spaces that follow a sentence's end
+        line = data == 0x0A
+        cut = SPACE[data]
+        cut[1:] &= ENDS[data[:-1]]
+        cut[0] = False
+        breaks = np.flatnonzero(cut | line)
+        begins = np.append(True, line[breaks])  # whether the stretch begins a line
+        line_of = np.cumsum(begins) - 1
+        first = np.flatnonzero(begins)  # each line's first stretch
+        stretches = np.diff(np.append(first, len(begins)))
+        # words of every stretch and line
+        at = np.append(np.searchsorted(starts, np.append(0, breaks)), len(starts))
+        line_at = at[np.append(first, len(begins))]
+        n, line_n = np.diff(at), np.diff(line_at)
+        # the text of every line, and the text's first stretch
+        text_begin = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
+        line_begin = np.append(-1, breaks)[first] + 1
+        owner = np.searchsorted(text_begin, line_begin, side="right") - 1
+        number = first - first[np.searchsorted(line_begin, text_begin)][owner]
+        whole = np.flatnonzero(line_n >= self.least)
+        part = np.flatnonzero((n >= MIN_WORDS) & (stretches[line_of] > 1))
+        own = line_of[part]
+        table = np.concatenate([
+            np.stack([owner[whole], number[whole], stretches[whole], np.full(len(whole), -1), line_n[whole], line_at[whole]], 1),
+            np.stack([owner[own], number[own] + part - first[own], np.ones(len(part), np.int64), number[own], n[part], at[part]], 1)])
+        # a paragraph stands before its sentences
+        table = table[np.argsort(np.concatenate([2 * first[whole], 2 * part + 1]), kind="stable")].astype(np.int64)
+        table[:, 0] += place
+        if len(table):
+            yield self.sets(table, h)
+
+    def sets(self, table: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, ...]:
+        h = np.append(words, np.zeros(WORDS, np.uint64))
         total = np.zeros(len(words), np.uint64)
         for k in range(WORDS):
             total += h[k:k + len(words)] * PLACES[k]
         total = mix64(total)
-        table = np.array(units, np.int64)
         n, at = table[:, 4], table[:, 5]
         size = np.maximum(n - WORDS + 1, 1)
         start = np.cumsum(size) - size
@@ -95,9 +112,30 @@ class Paragraphs:
             own += np.where(n[few] > k, h[at[few] + k] * PLACES[k], 0).astype(np.uint64)
         flat[start[few]] = mix64(own)
         unit = np.repeat(np.arange(len(n)), size)
-        flat = flat[np.lexsort((flat, unit))]
+        # by unit and the hash's upper bits in one number; what these leave in doubt is sorted in full
+        bits = np.uint64(max(len(n) - 1, 1).bit_length())
+        key = (unit.astype(np.uint64) << (np.uint64(64) - bits)) | (flat >> bits)
+        order = np.argsort(key)
+        key = key[order]
+        if ((key[1:] == key[:-1]) & (flat[order[1:]] != flat[order[:-1]])).any():
+            order = np.lexsort((flat, unit))
+        flat = flat[order]
         fresh = np.append(True, (flat[1:] != flat[:-1]) | (unit[1:] != unit[:-1]))
-        yield table[:, :5], flat[fresh], np.add.reduceat(fresh.astype(np.int64), start)
+        return table[:, :5], flat[fresh], np.add.reduceat(fresh.astype(np.int64), start)
+
+
+def named(text: bytes, data: np.ndarray, starts: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """xxh3 of every word, computed once for the words of equal hash: band keys, and so what banding finds, rest on it."""
+    order = np.argsort(h)
+    fresh = np.append(True, h[order[1:]] != h[order[:-1]])
+    first = order[fresh]
+    space = np.append(SPACE[data], True)
+    ends = np.flatnonzero(space[1:] & ~space[:-1]) + 1
+    words = map(text.__getitem__, map(slice, starts[first].tolist(), ends[first].tolist()))
+    new = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(first))
+    out = np.empty_like(h)
+    out[order] = new[np.cumsum(fresh) - 1]
+    return out
 
 
 def class_keys(flat: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -121,18 +159,13 @@ def paragraph_units(spark: SparkSession, rows: DataFrame, least: int = MIN_WORDS
                 both = ~sentence & (table[:, 2] == 1) & (table[:, 4] >= MIN_WORDS)
                 send = np.zeros((2, len(cls)), bool)
                 for role, taking in enumerate((~sentence, sentence | both)):
-                    for i in np.flatnonzero(taking & (size > 2)).tolist():
-                        if (key := int(cls[i])) not in seen[role]:
-                            seen[role].add(key)
-                            send[role, i] = True
-                keys: list[np.ndarray | None] = [None] * len(cls)
-                if (any_role := send.any(0)).any():
-                    mine = size[any_role]
-                    for i, row in zip(np.flatnonzero(any_role).tolist(), band_keys(
-                            flat[np.repeat(any_role, size)], np.cumsum(mine) - mine), strict=True):
-                        keys[i] = np.concatenate([r for r, sent in zip((row, mix64(row ^ PLACES[1])), send[:, i], strict=True) if sent]).view(np.int64)
+                    taken = np.flatnonzero(taking & (size > 2))
+                    listed, first = np.unique(cls[taken], return_index=True)
+                    fresh = [k for k, key in enumerate(listed.tolist()) if key not in seen[role]]
+                    seen[role].update(listed[fresh].tolist())
+                    send[role, taken[first[fresh]]] = True
                 place = pa.array(table[:, 0])
-                cols = [b.column(0).take(place), b.column(1).take(place), *table[:, 1:].T, cls, size, keys]
+                cols = [b.column(0).take(place), b.column(1).take(place), *table[:, 1:].T, cls, size, sent_keys(flat, size, send)]
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
                                                  names=[c.split()[0] for c in schema.split(", ")])
 
@@ -152,6 +185,20 @@ def band_keys(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
+def sent_keys(flat: np.ndarray, size: np.ndarray, send: np.ndarray) -> pa.Array:
+    """Per unit the list of its keys as a paragraph, then as a sentence, where ``send`` (2 x units) says so; null without."""
+    any_role = send.any(0)
+    mine, sent = size[any_role], send[:, any_role]
+    values = np.empty(BANDS * int(sent.sum()), np.uint64)
+    if len(mine):
+        rows = band_keys(flat[np.repeat(any_role, size)], np.cumsum(mine) - mine)
+        at = BANDS * (np.cumsum(sent.sum(0)) - sent.sum(0))[:, None] + np.arange(BANDS)
+        values[at[sent[0]]] = rows[sent[0]]
+        values[(at + BANDS * sent[0][:, None])[sent[1]]] = mix64(rows[sent[1]] ^ PLACES[1])
+    ends = np.append(0, np.cumsum(BANDS * send.sum(0)))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.view(np.int64)), mask=pa.array(~any_role))
+
+
 def class_sets(spark: SparkSession, rows: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
     """(cls, tokens) of the classes in ``wanted``, from the texts."""
     wanted = stored(spark, wanted.select("cls").distinct(), "wanted")
@@ -170,8 +217,8 @@ def class_sets(spark: SparkSession, rows: DataFrame, wanted: DataFrame, least: i
                 yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int64()), pa.array([t for _, t in out], pa.binary())],
                                                  names=["cls", "tokens"])
 
-    found = rows.select("text").mapInArrow(run, "cls long, tokens binary")
-    return stored(spark, found.join(wanted, "cls", "left_semi").dropDuplicates(["cls"]), "sets")
+    found = dealt(spark, rows.select("text").mapInArrow(run, "cls long, tokens binary"), "cls")
+    return bucketed(spark, found.join(wanted, "cls", "left_semi").dropDuplicates(["cls"]), "sets", "cls")
 
 
 def paragraph_removals(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text: str = "text",
@@ -190,7 +237,7 @@ def paragraph_removals(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
         sets = class_sets(spark, rows, matrix, least)
 
         def fetch(wanted: DataFrame) -> DataFrame:
-            return stored(spark, sets.join(wanted.select("cls").distinct(), "cls", "left_semi"), "fetched")
+            return bucketed(spark, dealt(spark, sets.join(wanted.select("cls").distinct(), "cls", "left_semi"), "cls"), "fetched", "cls")
 
         found = cluster(spark, matrix, mins, fetch, prefixed=False)
         copies = units.groupBy("cls").agg(F.count("*").alias("copies"))

@@ -1,8 +1,11 @@
 import random
 import re
 
+import numpy as np
+import xxhash
 from helpers import frame, mixed_texts, near, prose
 from markbook.llm import paragraphs
+from markbook.llm.common import hash_words
 
 
 def brute(texts):
@@ -97,3 +100,40 @@ def test_a_sentence_stays_where_its_paragraph_stays(spark):
            paragraphs.paragraph_removals(spark, frame(spark, texts)).collect()}
     assert got[0, 0, 3] is False and got[1, 0, 3] is True
     assert got[1, 2, 1] is True and got[2, 1, 1] is False
+
+
+def plain_units(texts, least):
+    """Units by splitting one text at a time: place, first stretch, stretches, paragraph or -1, words, the words."""
+    for place, text in enumerate(texts):
+        number = 0
+        for line in (text or "").encode().lower().split(b"\n"):
+            parts = [p.split() for p in re.split(rb"(?<=[.!?])[ \t\r\x0b\x0c]+", line)]
+            words = [w for p in parts for w in p]
+            if len(words) >= least:
+                yield (place, number, len(parts), -1, len(words)), words
+            for k, p in enumerate(parts):
+                if len(parts) > 1 and len(p) >= paragraphs.MIN_WORDS:
+                    yield (place, number + k, 1, number, len(p)), p
+            number += len(parts)
+
+
+def test_units_of_many_texts_at_once(monkeypatch):
+    g = random.Random(4)
+    pieces = ["a", "B ", "c. ", " ", "\n", "d!\t", "e?\r\n", ".", "f\x0b", "w " * 13, "\x1c", "é ", "x y x y x y x y "]
+    texts = [None, "", "\n", "a" * 200_000 + " b", *("".join(g.choice(pieces) for _ in range(g.randrange(60))) for _ in range(300))]
+    want = list(plain_units(texts, 1))
+    for part in (1 << 20, 50):
+        monkeypatch.setattr(paragraphs, "PART", part)
+        found = [np.concatenate(x) for x in zip(*paragraphs.Paragraphs(1)(texts), strict=True)]
+        assert [tuple(r) for r in found[0].tolist()] == [row for row, _ in want]
+        cls = paragraphs.class_keys(found[1], found[2])
+        sets = [frozenset(tuple(w[i:i + 5]) for i in range(max(len(w) - 4, 1))) for _, w in want]
+        assert [len(s) for s in sets] == found[2].tolist()
+        assert len(set(zip(cls.tolist(), sets, strict=True))) == len(set(cls.tolist())) == len(set(sets))
+
+
+def test_words_keep_their_own_hash():
+    text = b"b a  a\ncc b"
+    starts, h = hash_words(text)
+    named = paragraphs.named(text, np.frombuffer(text, np.uint8), starts, h)
+    assert named.tolist() == [xxhash.xxh3_64_intdigest(w) for w in text.split()]
