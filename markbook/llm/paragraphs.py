@@ -64,10 +64,11 @@ class Paragraphs:
         if not len(starts):
             return
         data = np.frombuffer(text, np.uint8)
-        h = named(text, data, starts, h)
+        space = np.append(SPACE[data], True)
+        h = named(text, space, starts, h)
         # a stretch begins behind each line break, and behind spaces that follow a sentence's end
         line = data == 0x0A
-        cut = SPACE[data]
+        cut = space[:-1].copy()
         cut[1:] &= ENDS[data[:-1]]
         cut[0] = False
         breaks = np.flatnonzero(cut | line)
@@ -124,12 +125,12 @@ class Paragraphs:
         return table[:, :5], flat[fresh], np.add.reduceat(fresh.astype(np.int64), start)
 
 
-def named(text: bytes, data: np.ndarray, starts: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """xxh3 of every word, computed once for the words of equal hash: band keys, and so what banding finds, rest on it."""
+def named(text: bytes, space: np.ndarray, starts: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """xxh3 of every word, computed once for the words of equal hash: band keys, and so what banding finds, rest on it.
+    ``space``: which bytes part words, and true at the end."""
     order = np.argsort(h)
     fresh = np.append(True, h[order[1:]] != h[order[:-1]])
     first = order[fresh]
-    space = np.append(SPACE[data], True)
     ends = np.flatnonzero(space[1:] & ~space[:-1]) + 1
     words = map(text.__getitem__, map(slice, starts[first].tolist(), ends[first].tolist()))
     new = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(first))
