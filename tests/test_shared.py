@@ -155,6 +155,35 @@ def test_a_description_is_unfolded_in_chunks_by_many_tasks(spark, monkeypatch):
     assert sorted(str(tuple(r)[:-1]) for r in got) == sorted(str(tuple(r)) for r in want.collect())
 
 
+def test_small_cells_are_not_put_together_in_one_task(spark, monkeypatch):
+    """Cells are small beside what they unfold to: joining small partitions by their bytes would leave it all to one task."""
+    monkeypatch.setattr(chains, "CHUNK", 4)
+    t, p = one_description(spark, 14)
+    a, _ = compute_anchors(spark, t, p, user_positions(t, p))
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "true"
+    got = chains.description_chain(L.wide_blocks(L.anchor_price_rows(t, p, a), user_lots(t, p), p, a))
+    tasks = dict(got.groupBy(F.spark_partition_id()).count().collect())
+    assert sum(tasks.values()) == 14 ** 3 and len(tasks) > 1
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_amounts_of_the_chain_are_cast_before_the_last_rows_are_formed(spark, monkeypatch, seed):
+    monkeypatch.setattr(chains, "CHUNK", 2)
+    prices, lots, markets, rates, as_of, min_rows = shared_case(seed)
+    t, p = frames(spark, prices, lots, markets, rates), parameters(as_of, min_rows, user="U", profile=LAKE_WEEKLY)
+    a, _ = compute_anchors(spark, t, p, user_positions(t, p))
+    inputs = L.anchor_price_rows(t, p, a), user_lots(t, p), p, a, True
+    today, yesterday, ytd, backup = L.blocks(*inputs)
+    want = L.description_chain(L.ticker_chain(today, yesterday, ytd), backup, ytd)
+    got = chains.description_chain(L.wide_blocks(*inputs), "decimal(18,2)")
+    money = got.columns[-5:]
+    want = want.select(*got.columns[:-5], *[F.col(c).cast("decimal(18,2)").alias(c) for c in money])
+    assert got.dtypes == want.dtypes
+    assert sorted(str(tuple(r)) for r in got.collect()) == sorted(str(tuple(r)) for r in want.collect())
+    # nothing is computed for the single row
+    assert got._jdf.queryExecution().optimizedPlan().toString().startswith("Generate inline")
+
+
 def test_missing_attributes_form_no_pairs_of_rows(spark, monkeypatch):
     """Rows that lack an attribute meet sums of the fallback rows, one per value of what they lack."""
     n, seen = 60, []
